@@ -102,7 +102,7 @@ def test_close_missing(spark):
 def test_repeated_key_in_one_slice_keeps_last(spark):
     rows = [("T9", "ATM", "Omsk", "first", TS("2021-03-01 00:00:00"), 1),
             ("T9", "ATM", "Omsk", "second", TS("2021-03-01 00:00:00"), 2)]
-    schema = SLICE_SCHEMA.add(T.StructField("row_no", T.IntegerType()))
+    schema = T.StructType(list(SLICE_SCHEMA.fields) + [T.StructField("row_no", T.IntegerType())])
     hist = history.scd2_history(spark.createDataFrame(rows, schema), KEYS, ATTRS, row_col="row_no")
     assert [r["terminal_address"] for r in hist.collect()] == ["second"]
 
