@@ -12,6 +12,8 @@ from fraudmart.sources import feeds
 from fraudmart.sources.store import TableStore
 from fraudmart.warehouse import Warehouse
 
+TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
 
 def build_report(wh: Warehouse, report_dt=None, as_of=None, since=None,
                  city_hop_emit: str = "both") -> DataFrame:
@@ -42,13 +44,15 @@ def export_report(spark: SparkSession, day: DataFrame, out_dir: str, report_dt,
         return []
     tag = date_tag(date_lit(report_dt))
     (day.orderBy("event_dt").withColumn("_feed_day", tag)
-     .write.mode("overwrite").partitionBy("_feed_day").option("header", "true").csv(staging))
+     .write.mode("overwrite").partitionBy("_feed_day").option("header", "true")
+     .option("timestampNTZFormat", TS_FORMAT).csv(staging))
     return feeds.publish(spark, staging, out_dir, "report", "csv")
 
 
 def read_export(spark: SparkSession, out_dir: str) -> DataFrame:
     fields = schemas.REPORT
     return (spark.read.schema(fields).option("header", "true")
+            .option("timestampNTZFormat", TS_FORMAT)
             .option("pathGlobFilter", "report_????????.csv")
             .option("recursiveFileLookup", "true").csv(out_dir))
 

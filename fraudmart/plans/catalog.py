@@ -9,10 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudmart import schemas
-from fraudmart.functions import full_name
-from fraudmart.operators import chain, history, rules
+from fraudmart.functions import amount_from_text, full_name
+from fraudmart.functions import epoch_ms_to_date as epoch_ms_to_day
+from fraudmart.operators import chain, history, report, rules
 from fraudmart.operators.sequence import ordered_neighbours
-from fraudmart.plans import lens
+from fraudmart.plans import daily, lens
+from fraudmart.session import scratch_path
+from fraudmart.sources import feeds, workbook
+from fraudmart.sources.store import TableStore, ensure_dimensions
 
 Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = lens.AS_OF
@@ -230,3 +234,112 @@ QUERIES: dict[str, Query] = {
     "blacklist_insert_if_absent": blacklist_insert_if_absent,
     "blacklist_as_of": blacklist_as_of,
 }
+
+
+# --- feeds, storage and the mart: stage rows derived from the shared tables
+# in a fresh folder under the session's checkpoint folder, run the operator,
+# return what it produced ----------------------------------------------------
+
+def _staged_tx_feed(spark, sf_dir) -> str:
+    base = scratch_path(spark, "txfeed")
+    feeds.write_tx_feed(spark, _wh(spark, sf_dir).transactions, f"{base}/staging", f"{base}/landing")
+    return f"{base}/landing"
+
+
+_TX_COLS = [f.name for f in schemas.TRANSACTIONS.fields]
+
+
+def tx_feed_scan(spark, sf_dir):
+    landing = _staged_tx_feed(spark, sf_dir)
+    return feeds.normalise_transactions(feeds.read_tx_feed(spark, landing)).select(*_TX_COLS)
+
+
+def feed_business_date(spark, sf_dir):
+    landing = _staged_tx_feed(spark, sf_dir)
+    return (feeds.discover(spark, landing, schemas.TX_FEED_GLOB)
+            .select("file_name", "business_dt").distinct())
+
+
+def amount_normalise(spark, sf_dir):
+    landing = _staged_tx_feed(spark, sf_dir)
+    feed = feeds.read_tx_feed(spark, landing)
+    return feed.select(F.col("transaction_id").alias("trans_id"), "amount",
+                       amount_from_text("amount").alias("amt"))
+
+
+def epoch_ms_to_date(spark, sf_dir):
+    bl = lens.passport_blacklist(spark, sf_dir)
+    ms = (F.datediff("entry_dt", F.lit("1970-01-01").cast("date")).cast("long") * 86_400_000
+          + 43_200_000)
+    return bl.select("passport_num", ms.alias("entry_ms")).select(
+        "passport_num", "entry_ms", epoch_ms_to_day("entry_ms").alias("entry_dt"))
+
+
+def tx_append(spark, sf_dir):
+    landing = _staged_tx_feed(spark, sf_dir)
+    store = TableStore(spark, scratch_path(spark, "wh"))
+    daily.load_transactions(spark, store, landing)
+    daily.load_transactions(spark, store, landing)  # nothing new: no duplicates
+    return store.read("transactions").select("trans_id", "load_dt")
+
+
+def ingest_ledger(spark, sf_dir):
+    landing = _staged_tx_feed(spark, sf_dir)
+    store = TableStore(spark, scratch_path(spark, "wh"))
+    daily.load_transactions(spark, store, landing)
+    daily.load_transactions(spark, store, landing)
+    led = store.read("_ingest_ledger")
+    per_file = led.groupBy("file_path", "file_name", "business_dt").agg(F.count(F.lit(1)).alias("n"))
+    return per_file.groupBy("file_name", "business_dt").agg(F.max("n").alias("loads_per_file"))
+
+
+def report_for_day(spark, sf_dir):
+    store = TableStore(spark, scratch_path(spark, "wh"))
+    rep = report.build_report(_wh(spark, sf_dir), REPORT_DT, AS_OF)
+    report.write_report(store, rep)
+    report.write_report(store, rep)  # same-day rerun replaces the slice
+    out_dir = scratch_path(spark, "export")
+    report.export_report(spark, report.report_for_day(store, REPORT_DT), out_dir, REPORT_DT,
+                         scratch_path(spark, "export-staging"))
+    return report.read_export(spark, out_dir)
+
+
+def dim_seed_if_empty(spark, sf_dir):
+    store = TableStore(spark, scratch_path(spark, "wh"))
+    seed = {"cards": lens.cards(spark, sf_dir)}
+    ensure_dimensions(store, seed)
+    ensure_dimensions(store, seed)  # second call sees rows and does nothing
+    return store.read("cards")
+
+
+def terminal_feed_scan(spark, sf_dir):
+    slices = lens.terminal_slices(spark, sf_dir)
+    staged = workbook.stage_workbooks(slices, "effective_from", "terminals", schemas.TERMINAL_SHEET,
+                                      workbook.TERMINAL_COLUMNS)
+    parsed = workbook.parse_workbooks(staged, schemas.TERMINAL_SHEET, workbook.TERMINAL_COLUMNS)
+    return workbook.terminal_slices(parsed).select(*_TERMINAL_KEYS, *_TERMINAL_ATTRS, "effective_from")
+
+
+def blacklist_feed_scan(spark, sf_dir):
+    files_rows = lens.blacklist_files(spark, sf_dir).select(
+        F.col("passport_num").alias("passport"),
+        F.datediff("entry_dt", F.lit("1899-12-30").cast("date")).alias("date"),
+        "effective_from")
+    staged = workbook.stage_workbooks(files_rows, "effective_from", "passport_blacklist",
+                                      schemas.BLACKLIST_SHEET, workbook.BLACKLIST_COLUMNS)
+    parsed = workbook.parse_workbooks(staged, schemas.BLACKLIST_SHEET, workbook.BLACKLIST_COLUMNS)
+    return workbook.blacklist_rows(parsed).select("passport_num", "entry_dt", "effective_from")
+
+
+QUERIES.update({
+    "tx_feed_scan": tx_feed_scan,
+    "feed_business_date": feed_business_date,
+    "amount_normalise": amount_normalise,
+    "epoch_ms_to_date": epoch_ms_to_date,
+    "tx_append": tx_append,
+    "ingest_ledger": ingest_ledger,
+    "report_for_day": report_for_day,
+    "dim_seed_if_empty": dim_seed_if_empty,
+    "terminal_feed_scan": terminal_feed_scan,
+    "blacklist_feed_scan": blacklist_feed_scan,
+})

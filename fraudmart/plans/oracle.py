@@ -227,3 +227,26 @@ SQL["fraud_report"] = _q(
               f"{CITY_PREV} OR {CITY_NEXT}")
     + f") UNION ALL ({amount_guess_select(3, 1200)})")
 SQL["report_sorted"] = SQL["fraud_report"]
+
+# The feed layout carries whole seconds (YYYY-MM-DD HH:MM:SS).
+SQL["tx_feed_scan"] = _q(
+    "SELECT trans_id, date_trunc('second', trans_date) AS trans_date, card_num, oper_type, amt, "
+    "oper_result, terminal FROM l_tx")
+SQL["feed_business_date"] = _q(
+    "SELECT DISTINCT 'transactions_' || strftime(trans_date, '%d%m%Y') || '.txt' AS file_name, "
+    "CAST(CAST(trans_date AS DATE) AS TIMESTAMP) AS business_dt FROM l_tx")
+SQL["amount_normalise"] = _q(
+    "SELECT trans_id, replace(CAST(amt AS VARCHAR), '.', ',') AS amount, amt FROM l_tx")
+SQL["epoch_ms_to_date"] = _q(
+    "SELECT passport_num, CAST(date_diff('day', DATE '1970-01-01', entry_dt) AS BIGINT) * 86400000 "
+    "+ 43200000 AS entry_ms, entry_dt FROM l_blacklist")
+SQL["tx_append"] = _q("SELECT trans_id, CAST(trans_date AS DATE) AS load_dt FROM l_tx")
+SQL["ingest_ledger"] = _q(
+    "SELECT DISTINCT 'transactions_' || strftime(trans_date, '%d%m%Y') || '.txt' AS file_name, "
+    "CAST(CAST(trans_date AS DATE) AS TIMESTAMP) AS business_dt, CAST(1 AS BIGINT) AS loads_per_file "
+    "FROM l_tx")
+SQL["report_for_day"] = SQL["fraud_report"]
+SQL["dim_seed_if_empty"] = SQL["table_scan"]
+SQL["terminal_feed_scan"] = _q(
+    "SELECT terminal_id, terminal_type, terminal_city, terminal_address, effective_from FROM l_slices")
+SQL["blacklist_feed_scan"] = _q("SELECT passport_num, entry_dt, effective_from FROM l_blacklist_files")
