@@ -9,6 +9,8 @@ dimensions are derived row by row, the fact is ``events``.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,8 +25,31 @@ EPOCH_START = "2024-01-01 00:00:00"
 # --- end of fixed values ---
 
 
+_DEFINED: dict[tuple, DataFrame] = {}
+
+
+def _once(fn):
+    """Define a binding table once per session and folder, as one would
+    register a view: later calls reuse the same (lazy) DataFrame, so file
+    listing, schema reads and analysis are not repeated. No data is cached."""
+    @functools.wraps(fn)
+    def wrapper(spark: SparkSession, sf_dir: str):
+        key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"), fn.__name__)
+        if key not in _DEFINED:
+            _DEFINED[key] = fn(spark, sf_dir)
+        return _DEFINED[key]
+    return wrapper
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return _table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def _table(spark: SparkSession, path: str) -> DataFrame:
+    key = (spark.sparkContext.applicationId, id(spark), path, "parquet")
+    if key not in _DEFINED:
+        _DEFINED[key] = spark.read.parquet(path)
+    return _DEFINED[key]
 
 
 def _str(c: str | Column) -> Column:
@@ -40,6 +65,7 @@ def _two_accounts(customer: DataFrame) -> DataFrame:
     return customer.select("c_custkey", F.explode(F.array(F.lit(0), F.lit(1))).alias("a"))
 
 
+@_once
 def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
     n = _read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -58,6 +84,7 @@ def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.lit(None).cast("date").alias("update_dt")))
 
 
+@_once
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _two_accounts(_read(spark, sf_dir, "customer"))
     k, a = F.col("c_custkey"), F.col("a")
@@ -68,6 +95,7 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(None).cast("date").alias("update_dt"))
 
 
+@_once
 def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _two_accounts(_read(spark, sf_dir, "customer"))
     k, a = F.col("c_custkey"), F.col("a")
@@ -83,6 +111,7 @@ def _suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.join(n, s["s_nationkey"] == n["n_nationkey"])
 
 
+@_once
 def terminals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Current terminals, stored as open history rows."""
     s = _suppliers(spark, sf_dir)
@@ -96,6 +125,7 @@ def terminals(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(0).alias("deleted_flg"))
 
 
+@_once
 def terminal_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three daily full slices of terminals (2024-01-01..03); some terminals
     skip a day, some change type, addresses alternate."""
@@ -110,6 +140,7 @@ def terminal_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.timestamp_add("DAY", d, ts_lit(EPOCH_START)).alias("effective_from")))
 
 
+@_once
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     n_terminals = _read(spark, sf_dir, "supplier").select(F.count(F.lit(1))).scalar()
@@ -135,6 +166,7 @@ def _blacklisted(customer: DataFrame) -> DataFrame:
     return first.unionByName(second)
 
 
+@_once
 def passport_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Current blacklist, stored as open history rows."""
     b = _blacklisted(_read(spark, sf_dir, "customer").select("c_custkey"))
@@ -142,6 +174,7 @@ def passport_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
                     ts_lit(schemas.OPEN_END).alias("effective_to"), F.lit(0).alias("deleted_flg"))
 
 
+@_once
 def blacklist_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of three cumulative monthly blacklist files (2024-01-01..03)."""
     c = _read(spark, sf_dir, "customer").select(
@@ -153,6 +186,7 @@ def blacklist_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.timestamp_add("DAY", d, ts_lit(EPOCH_START)).alias("effective_from")))
 
 
+@_once
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return Warehouse(
         cards=cards(spark, sf_dir),
