@@ -343,3 +343,76 @@ QUERIES.update({
     "terminal_feed_scan": terminal_feed_scan,
     "blacklist_feed_scan": blacklist_feed_scan,
 })
+
+
+# --- streaming extensions: the shared rows arrive as files -------------------
+
+def _staged_tx_stream(spark, sf_dir) -> str:
+    """Lens transactions as Parquet files, one folder per day, plus a
+    far-future marker row that moves the watermark past everything."""
+    from fraudmart.streaming.stateful import FLUSH_ROW
+    base = scratch_path(spark, "txstream")
+    tx = _wh(spark, sf_dir).transactions
+    (tx.withColumn("_day", F.to_date("trans_date")).write.partitionBy("_day")
+     .parquet(f"{base}/src/days"))
+    spark.createDataFrame([FLUSH_ROW], schemas.TRANSACTIONS).write.parquet(f"{base}/src/zz-flush")
+    return base
+
+
+def _drain(spark, base: str, name: str, build) -> DataFrame:
+    from fraudmart.streaming import rules as srules
+    stream = spark.readStream.schema(schemas.TRANSACTIONS).option("recursiveFileLookup", "true") \
+        .parquet(f"{base}/src")
+    return srules.drain_to_table(spark, build(stream), f"{base}/out-{name}", f"{base}/ck-{name}")
+
+
+def stream_ingest(spark, sf_dir):
+    from fraudmart.streaming.ingest import ingest_transactions
+    landing = _staged_tx_feed(spark, sf_dir)
+    base = scratch_path(spark, "ingest")
+    ingest_transactions(spark, landing, f"{base}/tx", f"{base}/ck").awaitTermination()
+    ingest_transactions(spark, landing, f"{base}/tx", f"{base}/ck").awaitTermination()
+    return spark.read.parquet(f"{base}/tx").select(*_TX_COLS)
+
+
+def stream_passport(spark, sf_dir):
+    from fraudmart.streaming import rules as srules
+    wh = _wh(spark, sf_dir)
+    return _drain(spark, _staged_tx_stream(spark, sf_dir), "passport",
+                  lambda s: srules.stream_passport(wh, s, REPORT_DT, AS_OF))
+
+
+def stream_contract(spark, sf_dir):
+    from fraudmart.streaming import rules as srules
+    wh = _wh(spark, sf_dir)
+    return _drain(spark, _staged_tx_stream(spark, sf_dir), "contract",
+                  lambda s: srules.stream_contract(wh, s, REPORT_DT))
+
+
+def stream_city_hop_any_pair(spark, sf_dir):
+    from fraudmart.streaming import stateful
+    wh = _wh(spark, sf_dir)
+    out = _drain(spark, _staged_tx_stream(spark, sf_dir), "anypair",
+                 lambda s: stateful.stream_city_hop_any_pair(wh, s, REPORT_DT, AS_OF))
+    return out.select(*schemas.REPORT_COLUMNS)
+
+
+def _stream_guess(n_rejects: int, seconds: int) -> Query:
+    def q(spark, sf_dir):
+        from fraudmart.streaming import stateful
+        wh = _wh(spark, sf_dir)
+        out = _drain(spark, _staged_tx_stream(spark, sf_dir), "guess",
+                     lambda s: stateful.stream_amount_guess(wh, s, REPORT_DT, AS_OF,
+                                                            n_rejects=n_rejects, seconds=seconds))
+        return out.select(*schemas.REPORT_COLUMNS)
+    return q
+
+
+QUERIES.update({
+    "stream_ingest": stream_ingest,
+    "stream_passport": stream_passport,
+    "stream_contract": stream_contract,
+    "stream_city_hop_any_pair": stream_city_hop_any_pair,
+    "stream_amount_guess": _stream_guess(schemas.AMOUNT_GUESS_REJECTS, schemas.AMOUNT_GUESS_SECONDS),
+    "stream_amount_guess_1reject_1day": _stream_guess(1, 86400),
+})

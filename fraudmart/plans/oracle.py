@@ -250,3 +250,10 @@ SQL["dim_seed_if_empty"] = SQL["table_scan"]
 SQL["terminal_feed_scan"] = _q(
     "SELECT terminal_id, terminal_type, terminal_city, terminal_address, effective_from FROM l_slices")
 SQL["blacklist_feed_scan"] = _q("SELECT passport_num, entry_dt, effective_from FROM l_blacklist_files")
+
+SQL["stream_ingest"] = SQL["tx_feed_scan"]
+SQL["stream_passport"] = SQL["fraud_passport"]
+SQL["stream_contract"] = SQL["fraud_contract"]
+SQL["stream_city_hop_any_pair"] = SQL["city_hop_any_pair"]
+SQL["stream_amount_guess"] = SQL["fraud_amount_guess"]
+SQL["stream_amount_guess_1reject_1day"] = SQL["amount_guess_1reject_1day"]

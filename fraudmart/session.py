@@ -62,3 +62,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     on a cluster), for written intermediate tables and feed fixtures."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/fraudmart-{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``fraudmart`` importable on the executors (as ``--py-files``
+    would): zip the package once per application and add it to the session.
+    Needed by the few operators that run Python on executors (workbook
+    parsing, keyed streaming state)."""
+    import tempfile
+    import zipfile
+
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    fd, path = tempfile.mkstemp(prefix="fraudmart-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, names in os.walk(pkg):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(root, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)

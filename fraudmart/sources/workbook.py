@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from fraudmart import schemas
 from fraudmart.functions import business_date, date_tag, excel_serial_to_date
+from fraudmart.session import ship_package
 
 NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
       "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships",
@@ -112,6 +113,7 @@ def parse_workbooks(files: DataFrame, sheet: str, columns: Sequence[str]) -> Dat
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns]
                           + [T.StructField("file_path", T.StringType()),
                              T.StructField("row_no", T.LongType())])
+    ship_package(files.sparkSession)
     parsed = files.select("file_path", "content").mapInPandas(_parser(sheet, columns), schema)
     name = F.element_at(F.split("file_path", "/"), -1)
     return parsed.withColumns({"file_name": name, "business_dt": business_date(name)})
@@ -220,6 +222,7 @@ def stage_workbooks(rows: DataFrame, day_col: str, prefix: str, sheet: str,
 
     schema = T.StructType([T.StructField("file_path", T.StringType()),
                            T.StructField("content", T.BinaryType())])
+    ship_package(rows.sparkSession)
     return tagged.mapInPandas(build, schema)
 
 
