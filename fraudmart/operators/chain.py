@@ -71,6 +71,19 @@ def with_terminal(rows: DataFrame, terminals: DataFrame) -> DataFrame:
     return rows.join(t, rows["terminal"] == t["terminal_id"])
 
 
+def with_terminal_at_event(rows: DataFrame, terminal_history: DataFrame) -> DataFrame:
+    """Point-in-time variant: the terminal row valid when the operation took
+    place (trans_date between effective_from and effective_to). An equi-join
+    on the id with the interval as a join condition; a terminal has one
+    history row per slice, so the fan-out per id stays small."""
+    t = (terminal_history.filter(F.col("deleted_flg") == 0)
+         .select("terminal_id", "terminal_type", "terminal_city", "terminal_address",
+                 F.col("effective_from").alias("_t_from"), F.col("effective_to").alias("_t_to")))
+    cond = ((rows["terminal"] == t["terminal_id"])
+            & rows["trans_date"].between(t["_t_from"], t["_t_to"]))
+    return rows.join(t, cond).drop("_t_from", "_t_to")
+
+
 def with_blacklist(rows: DataFrame, blacklist: DataFrame) -> DataFrame:
     """Left join to the current blacklist on passport; several entries of one
     passport fan a row out, one per entry."""

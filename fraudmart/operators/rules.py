@@ -74,23 +74,31 @@ def fraud_contract(wh: Warehouse, report_dt=None) -> DataFrame:
     return _emit(rows, schemas.EVENT_CONTRACT, report_dt)
 
 
-def located_successes(wh: Warehouse, as_of=None) -> DataFrame:
-    """Successful operations of known clients at a current terminal."""
-    rows = chain.ownership_chain(wh, _success(wh))
-    rows = chain.with_terminal(rows, chain.current_terminals(wh, as_of))
+def _locate(rows: DataFrame, wh: Warehouse, as_of, point_in_time: bool) -> DataFrame:
+    """Attach the terminal: the one current at ``as_of`` (as the original
+    does), or with ``point_in_time`` the one valid at the operation's time."""
+    if point_in_time:
+        return chain.with_terminal_at_event(rows, wh.terminals)
+    return chain.with_terminal(rows, chain.current_terminals(wh, as_of))
+
+
+def located_successes(wh: Warehouse, as_of=None, point_in_time: bool = False) -> DataFrame:
+    """Successful operations of known clients at a known terminal."""
+    rows = _locate(chain.ownership_chain(wh, _success(wh)), wh, as_of, point_in_time)
     return rows.withColumn("_sec", epoch_seconds("trans_date"))
 
 
 def fraud_city_hop(wh: Warehouse, report_dt=None, as_of=None, emit: str = "both",
                    seconds: int = schemas.CITY_HOP_SECONDS,
-                   bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                   bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+                   point_in_time: bool = False) -> DataFrame:
     """Rule 3: neighbouring successful operations of one client in different
     cities at most ``seconds`` apart. ``emit="both"`` reports both operations
     of a pair, as the original query does; ``"later"`` only the one that
     establishes the event."""
     if emit not in ("both", "later"):
         raise ValueError("emit must be 'both' or 'later'")
-    rows = located_successes(wh, as_of)
+    rows = located_successes(wh, as_of, point_in_time)
     leads = 1 if emit == "both" else 0
     rows = ordered_neighbours(rows, ["client_id"], "trans_date", "trans_id",
                               ["_sec", "terminal_city"], lags=1, leads=leads,
@@ -105,11 +113,12 @@ def fraud_city_hop(wh: Warehouse, report_dt=None, as_of=None, emit: str = "both"
 
 def city_hop_any_pair(wh: Warehouse, report_dt=None, as_of=None,
                       seconds: int = schemas.CITY_HOP_SECONDS,
-                      bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                      bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+                      point_in_time: bool = False) -> DataFrame:
     """Rule 3 as its text reads: an operation is reported when the same client
     made any successful operation in another city at most ``seconds`` earlier
     (or in the same second), adjacent or not."""
-    rows = located_successes(wh, as_of)
+    rows = located_successes(wh, as_of, point_in_time)
     rows = recent_other_value(rows, ["client_id"], "_sec", "trans_id", "terminal_city",
                               seconds, bucket_seconds)
     return _emit(rows, schemas.EVENT_CITY_HOP, report_dt)
@@ -118,14 +127,14 @@ def city_hop_any_pair(wh: Warehouse, report_dt=None, as_of=None,
 def fraud_amount_guess(wh: Warehouse, report_dt=None, as_of=None,
                        n_rejects: int = schemas.AMOUNT_GUESS_REJECTS,
                        seconds: int = schemas.AMOUNT_GUESS_SECONDS,
-                       bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                       bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+                       point_in_time: bool = False) -> DataFrame:
     """Rule 4: on one card, ``n_rejects`` rejected withdrawals/payments with
     strictly falling amounts, then a success with a still smaller amount, the
     first and last at most ``seconds`` apart. Only the success is reported."""
     tx = chain.v_transactions(wh).filter(
         F.col("oper_type").isin(schemas.TYPE_WITHDRAW, schemas.TYPE_PAYMENT))
-    rows = chain.ownership_chain(wh, tx)
-    rows = chain.with_terminal(rows, chain.current_terminals(wh, as_of))
+    rows = _locate(chain.ownership_chain(wh, tx), wh, as_of, point_in_time)
     rows = rows.withColumn("_sec", epoch_seconds("trans_date"))
     rows = ordered_neighbours(rows, ["card_num"], "trans_date", "trans_id",
                               ["oper_result", "amt", "_sec"], lags=n_rejects,

@@ -416,3 +416,53 @@ QUERIES.update({
     "stream_amount_guess": _stream_guess(schemas.AMOUNT_GUESS_REJECTS, schemas.AMOUNT_GUESS_SECONDS),
     "stream_amount_guess_1reject_1day": _stream_guess(1, 86400),
 })
+
+
+# --- behaviour options ----------------------------------------
+
+def terminal_open_rows(spark, sf_dir):
+    """Ids with more than one current row (type change keeps old open)."""
+    return history.open_rows_per_id(scd2_terminal_history(spark, sf_dir), "terminal_id", AS_OF)
+
+
+def fraud_passport_distinct(spark, sf_dir):
+    """One report row per transaction instead of one per blacklist entry."""
+    return rules.report_rows(rules.fraud_passport(_wh(spark, sf_dir), REPORT_DT, AS_OF,
+                                                  distinct_events=True))
+
+
+def scd2_terminal_history_close_missing(spark, sf_dir):
+    """A terminal missing from the next full slice is closed."""
+    return history.scd2_history(lens.terminal_slices(spark, sf_dir), _TERMINAL_KEYS, _TERMINAL_ATTRS,
+                                close_missing=True)
+
+
+def chain_terminal_at_event_time(spark, sf_dir):
+    """The terminal row valid at the operation's time."""
+    wh = _wh(spark, sf_dir).with_(terminals=scd2_terminal_history(spark, sf_dir))
+    rows = chain.with_terminal_at_event(chain.v_transactions(wh), wh.terminals)
+    return rows.select("trans_id", "terminal_id", "terminal_type", "terminal_city", "terminal_address")
+
+
+def city_hop_point_in_time(spark, sf_dir):
+    """Rule 3 (both) with the terminal valid at each operation's time."""
+    wh = _wh(spark, sf_dir).with_(terminals=scd2_terminal_history(spark, sf_dir))
+    return rules.report_rows(rules.fraud_city_hop(wh, REPORT_DT, AS_OF, point_in_time=True))
+
+
+SINCE = "2024-01-15 00:00:00"
+
+
+def fraud_report_since(spark, sf_dir):
+    """R5 with ``since``: only events from that instant on."""
+    return report.build_report(_wh(spark, sf_dir), REPORT_DT, AS_OF, since=SINCE)
+
+
+QUERIES.update({
+    "terminal_open_rows": terminal_open_rows,
+    "fraud_passport_distinct": fraud_passport_distinct,
+    "scd2_terminal_history_close_missing": scd2_terminal_history_close_missing,
+    "chain_terminal_at_event_time": chain_terminal_at_event_time,
+    "city_hop_point_in_time": city_hop_point_in_time,
+    "fraud_report_since": fraud_report_since,
+})

@@ -257,3 +257,39 @@ SQL["stream_contract"] = SQL["fraud_contract"]
 SQL["stream_city_hop_any_pair"] = SQL["city_hop_any_pair"]
 SQL["stream_amount_guess"] = SQL["fraud_amount_guess"]
 SQL["stream_amount_guess_1reject_1day"] = SQL["amount_guess_1reject_1day"]
+
+SQL["terminal_open_rows"] = _q(
+    "SELECT terminal_id, count(*) AS open_rows FROM " + _HISTORY
+    + " WHERE TIMESTAMP '2024-01-03 12:00:00' BETWEEN effective_from AND effective_to "
+    "GROUP BY terminal_id HAVING count(*) > 1")
+SQL["fraud_passport_distinct"] = _q(
+    "SELECT event_dt, passport, fio, phone, event_type, report_dt FROM (SELECT DISTINCT trans_id, "
+    "trans_date AS event_dt, chain.passport_num AS passport, fio, phone, "
+    f"'{schemas.EVENT_PASSPORT}' AS event_type, {REPORT_DT} AS report_dt "
+    "FROM chain LEFT JOIN l_blacklist b ON b.passport_num = chain.passport_num "
+    "WHERE (b.entry_dt <= trans_date OR passport_valid_to <= trans_date) AND oper_result = 'SUCCESS')")
+SQL["scd2_terminal_history_close_missing"] = _q(
+    "SELECT terminal_id, terminal_type, terminal_city, terminal_address, effective_from, "
+    "least(coalesce(lead(effective_from) OVER w - INTERVAL 1 SECOND, TIMESTAMP '9999-12-31 23:59:59'), "
+    "coalesce(c.next_slice - INTERVAL 1 SECOND, TIMESTAMP '9999-12-31 23:59:59')) AS effective_to, "
+    "0 AS deleted_flg FROM l_slices JOIN (SELECT s, lead(s) OVER (ORDER BY s) AS next_slice FROM "
+    "(SELECT DISTINCT effective_from AS s FROM l_slices)) c ON l_slices.effective_from = c.s "
+    "WINDOW w AS (PARTITION BY terminal_id, terminal_type ORDER BY effective_from)")
+_HISTORY_AT = ("(SELECT terminal_id, terminal_type, terminal_city, terminal_address, effective_from, "
+               "coalesce(lead(effective_from) OVER w - INTERVAL 1 SECOND, "
+               "TIMESTAMP '9999-12-31 23:59:59') AS effective_to FROM l_slices "
+               "WINDOW w AS (PARTITION BY terminal_id, terminal_type ORDER BY effective_from))")
+SQL["chain_terminal_at_event_time"] = _q(
+    "SELECT t.trans_id, h.terminal_id, h.terminal_type, h.terminal_city, h.terminal_address "
+    f"FROM l_tx t JOIN {_HISTORY_AT} h ON t.terminal = h.terminal_id "
+    "AND t.trans_date BETWEEN h.effective_from AND h.effective_to")
+SQL["city_hop_point_in_time"] = _q(
+    _report(schemas.EVENT_CITY_HOP,
+            "(SELECT *, lag(trans_date) OVER w AS p_dt, lag(terminal_city) OVER w AS p_city, "
+            "lead(trans_date) OVER w AS f_dt, lead(terminal_city) OVER w AS f_city FROM "
+            f"(SELECT ch.*, h.terminal_city FROM chain ch JOIN {_HISTORY_AT} h ON ch.terminal = h.terminal_id "
+            "AND ch.trans_date BETWEEN h.effective_from AND h.effective_to WHERE ch.oper_result = 'SUCCESS') "
+            "WINDOW w AS (PARTITION BY client_id ORDER BY trans_date, trans_id)) nb",
+            f"{CITY_PREV} OR {CITY_NEXT}"))
+SQL["fraud_report_since"] = ("SELECT * FROM (" + SQL["fraud_report"] + ") r "
+                             "WHERE event_dt >= TIMESTAMP '2024-01-15 00:00:00'")
