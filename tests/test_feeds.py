@@ -93,3 +93,35 @@ def test_workbook_round_trip(spark, tmp_path):
     # Missing sheet: no rows.
     none = workbook.read_workbooks(spark, str(tmp_path), schemas.TERMINAL_FEED_GLOB, "nope", ["a"])
     assert none.count() == 0
+
+
+def test_workbook_shared_strings_and_date_cells(spark, tmp_path):
+    # The layout spreadsheet tools write: shared strings, a styled date cell,
+    # cells without references, a sheet that is not the first one.
+    import io
+    import zipfile
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    rel_ns = 'xmlns="http://schemas.openxmlformats.org/package/2006/relationships"'
+    wb = (f'<workbook {ns} xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships">'
+          '<sheets><sheet name="other" sheetId="1" r:id="rId1"/>'
+          '<sheet name="blacklist" sheetId="2" r:id="rId2"/></sheets></workbook>')
+    rels = (f'<Relationships {rel_ns}>'
+            '<Relationship Id="rId1" Type="x" Target="worksheets/sheet1.xml"/>'
+            '<Relationship Id="rId2" Type="x" Target="/xl/worksheets/sheet2.xml"/></Relationships>')
+    sst = f'<sst {ns}><si><t>passport</t></si><si><t>date</t></si><si><r><t>p</t></r><r><t>7</t></r></si></sst>'
+    sheet2 = (f'<worksheet {ns}><sheetData>'
+              '<row r="1"><c r="A1" t="s"><v>0</v></c><c r="B1" t="s"><v>1</v></c></row>'
+              '<row r="2"><c t="s"><v>2</v></c><c s="1"><v>44257</v></c></row>'
+              '</sheetData></worksheet>')
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as z:
+        z.writestr("xl/workbook.xml", wb)
+        z.writestr("xl/_rels/workbook.xml.rels", rels)
+        z.writestr("xl/sharedStrings.xml", sst)
+        z.writestr("xl/worksheets/sheet1.xml", f'<worksheet {ns}><sheetData/></worksheet>')
+        z.writestr("xl/worksheets/sheet2.xml", sheet2)
+    (tmp_path / "passport_blacklist_02032021.xlsx").write_bytes(buf.getvalue())
+    b = workbook.blacklist_rows(workbook.read_workbooks(
+        spark, str(tmp_path), schemas.BLACKLIST_FEED_GLOB, "blacklist", ["passport", "date"])).collect()
+    assert [(r["passport_num"], r["entry_dt"], r["effective_from"]) for r in b] == [
+        ("p7", dt.date(2021, 3, 2), dt.datetime(2021, 3, 2))]

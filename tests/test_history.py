@@ -140,3 +140,39 @@ def test_blacklist_insert_if_absent_file_by_file(spark):
     once = history.insert_if_absent(None, everything, ["passport_num", "entry_dt"])
     assert _bl_rows(once) == BL_EXPECTED
     assert history.insert_if_absent_rejects(everything, ["passport_num", "entry_dt"]).count() == 1
+
+
+def _row_at_a_time(slices_by_day):
+    """The original loader, one row at a time: for each row of a slice close
+    the open row of the same (id, type) at slice time - 1 s, then insert a new
+    open row. Slices are loaded in date order."""
+    import datetime as dt
+    table = []
+    for day in sorted(slices_by_day):
+        start = TS(day + " 00:00:00")
+        for tid, ttype, addr in slices_by_day[day]:
+            for r in table:
+                if r[0] == tid and r[1] == ttype and r[4] == TS(schemas.OPEN_END):
+                    r[4] = start - dt.timedelta(seconds=1)
+            table.append([tid, ttype, addr, start, TS(schemas.OPEN_END)])
+    return sorted((a, b, c, str(d), str(e)) for a, b, c, d, e in table)
+
+
+def test_scd2_equals_row_at_a_time_loader(spark):
+    import random
+    rnd = random.Random(5)
+    for trial in range(6):
+        days = sorted(rnd.sample([f"2021-03-{d:02d}" for d in range(1, 11)], rnd.randint(1, 5)))
+        slices = {}
+        for day in days:
+            rows = {}
+            for _ in range(rnd.randint(1, 6)):
+                tid, ttype = f"T{rnd.randint(1, 4)}", rnd.choice(["ATM", "POS"])
+                rows[(tid, ttype)] = rnd.choice("ABC")  # one row per key and slice
+            slices[day] = [(k[0], k[1], a) for k, a in rows.items()]
+        expected = _row_at_a_time(slices)
+        df = spark.createDataFrame(
+            [(i, t, "City", a, TS(day + " 00:00:00")) for day, rs in slices.items() for i, t, a in rs],
+            SLICE_SCHEMA)
+        got = _rows(history.scd2_history(df, KEYS, ATTRS))
+        assert got == expected, trial
