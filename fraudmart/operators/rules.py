@@ -22,6 +22,8 @@ from fraudmart.functions import date_lit, epoch_seconds
 from fraudmart.operators import chain
 from fraudmart.operators.sequence import (
     DEFAULT_BUCKET_SECONDS,
+    DEFAULT_OVERLAP_BUCKET_SECONDS,
+    DEFAULT_SPLIT_ROWS,
     ordered_neighbours,
     recent_other_value,
 )
@@ -91,7 +93,8 @@ def located_successes(wh: Warehouse, as_of=None, point_in_time: bool = False) ->
 def fraud_city_hop(wh: Warehouse, report_dt=None, as_of=None, emit: str = "both",
                    seconds: int = schemas.CITY_HOP_SECONDS,
                    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-                   point_in_time: bool = False) -> DataFrame:
+                   point_in_time: bool = False,
+                   split_rows: int = DEFAULT_SPLIT_ROWS) -> DataFrame:
     """Rule 3: neighbouring successful operations of one client in different
     cities at most ``seconds`` apart. ``emit="both"`` reports both operations
     of a pair, as the original query does; ``"later"`` only the one that
@@ -102,7 +105,7 @@ def fraud_city_hop(wh: Warehouse, report_dt=None, as_of=None, emit: str = "both"
     leads = 1 if emit == "both" else 0
     rows = ordered_neighbours(rows, ["client_id"], "trans_date", "trans_id",
                               ["_sec", "terminal_city"], lags=1, leads=leads,
-                              bucket_seconds=bucket_seconds)
+                              bucket_seconds=bucket_seconds, split_rows=split_rows)
     hit = ((F.col("terminal_city") != F.col("prev1_terminal_city"))
            & (F.abs(F.col("_sec") - F.col("prev1__sec")) <= seconds))
     if emit == "both":
@@ -113,14 +116,15 @@ def fraud_city_hop(wh: Warehouse, report_dt=None, as_of=None, emit: str = "both"
 
 def city_hop_any_pair(wh: Warehouse, report_dt=None, as_of=None,
                       seconds: int = schemas.CITY_HOP_SECONDS,
-                      bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-                      point_in_time: bool = False) -> DataFrame:
+                      bucket_seconds: int = DEFAULT_OVERLAP_BUCKET_SECONDS,
+                      point_in_time: bool = False,
+                      split_rows: int = DEFAULT_SPLIT_ROWS) -> DataFrame:
     """Rule 3 as its text reads: an operation is reported when the same client
     made any successful operation in another city at most ``seconds`` earlier
     (or in the same second), adjacent or not."""
     rows = located_successes(wh, as_of, point_in_time)
     rows = recent_other_value(rows, ["client_id"], "_sec", "trans_id", "terminal_city",
-                              seconds, bucket_seconds)
+                              seconds, bucket_seconds, split_rows)
     return _emit(rows, schemas.EVENT_CITY_HOP, report_dt)
 
 
@@ -128,7 +132,8 @@ def fraud_amount_guess(wh: Warehouse, report_dt=None, as_of=None,
                        n_rejects: int = schemas.AMOUNT_GUESS_REJECTS,
                        seconds: int = schemas.AMOUNT_GUESS_SECONDS,
                        bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-                       point_in_time: bool = False) -> DataFrame:
+                       point_in_time: bool = False,
+                       split_rows: int = DEFAULT_SPLIT_ROWS) -> DataFrame:
     """Rule 4: on one card, ``n_rejects`` rejected withdrawals/payments with
     strictly falling amounts, then a success with a still smaller amount, the
     first and last at most ``seconds`` apart. Only the success is reported."""
@@ -138,7 +143,7 @@ def fraud_amount_guess(wh: Warehouse, report_dt=None, as_of=None,
     rows = rows.withColumn("_sec", epoch_seconds("trans_date"))
     rows = ordered_neighbours(rows, ["card_num"], "trans_date", "trans_id",
                               ["oper_result", "amt", "_sec"], lags=n_rejects,
-                              bucket_seconds=bucket_seconds)
+                              bucket_seconds=bucket_seconds, split_rows=split_rows)
     hit = F.col("oper_result") == schemas.RESULT_SUCCESS
     prev_amt = F.col("amt")
     for j in range(1, n_rejects + 1):

@@ -6,12 +6,19 @@ is the whole job. Both helpers here split a key's history into time buckets
 so that a hot key spreads over many tasks, and they still return exactly the
 answer of the plain window.
 
+Only hot keys are split. A count per key (combined map-side, so it shuffles
+one row per key and partition) finds the keys above ``split_rows`` rows; at
+most ``max_split_keys`` of them, the largest, are kept, so the broadcast set
+has a fixed size bound. Every other key stays one group, and its rows need no
+repair. Which keys are split never changes a result, only where the work
+runs.
+
 ``ordered_neighbours``: exact ``lag``/``lead`` up to k steps, unbounded in
 time. Window per (key, bucket); then only the first and last k rows of every
-bucket go through a second window per key (at most 2k rows per bucket, so
-a hot key costs 2k rows per bucket there), which gives the true neighbours of
-rows near a bucket edge. Rows away from the edges keep their in-bucket
-values. No join; the two halves are a union over one reused shuffle.
+bucket of a split key go through a second window per key (at most 2k rows
+per bucket), which gives the true neighbours of rows near a bucket edge.
+Rows away from the edges keep their in-bucket values. No join of the large
+side; the two halves are a union over one reused shuffle.
 
 ``overlap_buckets``: for frames bounded in time (look back at most N
 seconds). Each row goes to its own bucket and, when it lies within N seconds
@@ -27,16 +34,39 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKET_SECONDS = 86_400
+DEFAULT_BUCKET_SECONDS = 3_600       # ordered neighbours: an hour per task
+DEFAULT_OVERLAP_BUCKET_SECONDS = 21_600  # bounded look-back: six hours, an hour of overlap
+DEFAULT_SPLIT_ROWS = 1_000_000       # a key with more rows is split by time
+DEFAULT_MAX_SPLIT_KEYS = 10_000      # size bound of the broadcast hot-key set
 
 
 def _cols(names: Sequence[str]) -> list[Column]:
     return [F.col(n) for n in names]
 
 
+def hot_keys(df: DataFrame, keys: Sequence[str], split_rows: int = DEFAULT_SPLIT_ROWS,
+             max_keys: int = DEFAULT_MAX_SPLIT_KEYS) -> DataFrame:
+    """Keys with more than ``split_rows`` rows: the ``max_keys`` largest."""
+    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_hk_n"))
+              .filter(F.col("_hk_n") > split_rows)
+              .orderBy(F.desc("_hk_n")).limit(max_keys)
+              .select(*keys, F.lit(True).alias("_hk")))
+
+
+def _flag_hot(df: DataFrame, keys: Sequence[str], split_rows: int, max_keys: int) -> DataFrame:
+    if split_rows <= 0:
+        return df.withColumn("_hk", F.lit(True))
+    hot = hot_keys(df, keys, split_rows, max_keys)
+    # The hot-key set has at most max_keys rows: a proven bound for broadcast.
+    return (df.join(F.broadcast(hot), list(keys), "left")
+              .withColumn("_hk", F.coalesce(F.col("_hk"), F.lit(False))))
+
+
 def ordered_neighbours(df: DataFrame, keys: Sequence[str], ts: str, tie: str,
                        values: Sequence[str], lags: int = 1, leads: int = 0,
-                       bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                       bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+                       split_rows: int = DEFAULT_SPLIT_ROWS,
+                       max_split_keys: int = DEFAULT_MAX_SPLIT_KEYS) -> DataFrame:
     """Add ``prev{j}_{v}`` (j = 1..lags) and ``next{j}_{v}`` (j = 1..leads)
     for each value column ``v``: the value of the j-th previous / next row of
     the same key in (ts, tie) order, null when there is none."""
@@ -45,7 +75,9 @@ def ordered_neighbours(df: DataFrame, keys: Sequence[str], ts: str, tie: str,
         return df
     keys = list(keys)
     b, rn, cnt = "_sq_bucket", "_sq_rn", "_sq_cnt"
-    d = df.withColumn(b, F.floor(F.unix_timestamp(F.col(ts)) / F.lit(bucket_seconds)))
+    d = _flag_hot(df, keys, split_rows, max_split_keys)
+    d = d.withColumn(b, F.when(F.col("_hk"), F.floor(F.unix_timestamp(F.col(ts)) / F.lit(bucket_seconds)))
+                     .otherwise(F.lit(-1)))
     order = [F.col(ts), F.col(tie)]
     w_in = Window.partitionBy(*_cols(keys), F.col(b)).orderBy(*order)
     w_all = Window.partitionBy(*_cols(keys), F.col(b))
@@ -58,7 +90,7 @@ def ordered_neighbours(df: DataFrame, keys: Sequence[str], ts: str, tie: str,
             in_cols.append((f"next{j}_{v}", F.lead(v, j).over(w_in)))
     d = d.withColumns(dict(in_cols))
 
-    edge = (F.col(rn) <= m) | (F.col(cnt) - F.col(rn) < m)
+    edge = F.col("_hk") & ((F.col(rn) <= m) | (F.col(cnt) - F.col(rn) < m))
     inner = d.filter(~edge)
     # Edge rows: first m and last m rows of each bucket. In their own order
     # per key they are contiguous wherever a lag/lead of at most m steps can
@@ -73,19 +105,21 @@ def ordered_neighbours(df: DataFrame, keys: Sequence[str], ts: str, tie: str,
             fixes[f"next{j}_{v}"] = F.when(F.col(cnt) - F.col(rn) >= j, F.col(f"next{j}_{v}")) \
                 .otherwise(F.lead(v, j).over(w_edge))
     outer = d.filter(edge).withColumns(fixes)
-    return inner.unionByName(outer).drop(b, rn, cnt)
+    return inner.unionByName(outer).drop(b, rn, cnt, "_hk")
 
 
 def overlap_buckets(df: DataFrame, sec: str, lookback_seconds: int,
-                    bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                    bucket_seconds: int = DEFAULT_OVERLAP_BUCKET_SECONDS,
+                    split: Column | None = None) -> DataFrame:
     """Assign ``_ob_bucket`` and ``_ob_native``: every row once in its own
     bucket of the epoch-seconds column ``sec`` (native) and, when it lies
     within ``lookback_seconds`` before the next bucket's start, once more in
-    that bucket as context."""
+    that bucket as context. Rows where ``split`` is false stay in bucket -1."""
     width = max(int(bucket_seconds), int(lookback_seconds))
     sec = F.col(sec)
-    own = F.floor(sec / F.lit(width))
-    carry = sec >= (own + 1) * F.lit(width) - F.lit(lookback_seconds)
+    split = F.lit(True) if split is None else split
+    own = F.when(split, F.floor(sec / F.lit(width))).otherwise(F.lit(-1))
+    carry = split & (sec >= (own + 1) * F.lit(width) - F.lit(lookback_seconds))
     buckets = F.when(carry, F.array(own, own + 1)).otherwise(F.array(own))
     return (df.withColumn("_ob_own", own)
               .withColumn("_ob_bucket", F.explode(buckets))
@@ -95,7 +129,9 @@ def overlap_buckets(df: DataFrame, sec: str, lookback_seconds: int,
 
 def recent_other_value(df: DataFrame, keys: Sequence[str], sec: str, tie: str, value: str,
                        lookback_seconds: int,
-                       bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                       bucket_seconds: int = DEFAULT_OVERLAP_BUCKET_SECONDS,
+                       split_rows: int = DEFAULT_SPLIT_ROWS,
+                       max_split_keys: int = DEFAULT_MAX_SPLIT_KEYS) -> DataFrame:
     """Keep rows that have another row of the same key with a different
     ``value`` at most ``lookback_seconds`` earlier (or at the same second).
 
@@ -103,7 +139,8 @@ def recent_other_value(df: DataFrame, keys: Sequence[str], sec: str, tie: str, v
     row just before the current run of equal values; rows of the same second
     are checked with a peer frame."""
     keys = list(keys)
-    d = overlap_buckets(df, sec, lookback_seconds, bucket_seconds)
+    d = _flag_hot(df, keys, split_rows, max_split_keys)
+    d = overlap_buckets(d, sec, lookback_seconds, bucket_seconds, F.col("_hk"))
     part = [*_cols(keys), F.col("_ob_bucket")]
     w = Window.partitionBy(*part).orderBy(F.col(sec), F.col(tie))
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -119,5 +156,5 @@ def recent_other_value(df: DataFrame, keys: Sequence[str], sec: str, tie: str, v
     hit = ((F.col(sec) - F.col("_rov_other_sec") <= lookback_seconds)
            | (F.col("_rov_pmin") != F.col("_rov_pmax")))
     return (d.filter(F.col("_ob_native") & hit)
-             .drop("_ob_bucket", "_ob_native", "_rov_start", "_rov_other_sec",
+             .drop("_hk", "_ob_bucket", "_ob_native", "_rov_start", "_rov_other_sec",
                    "_rov_pmin", "_rov_pmax"))

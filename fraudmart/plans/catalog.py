@@ -466,3 +466,45 @@ QUERIES.update({
     "city_hop_point_in_time": city_hop_point_in_time,
     "fraud_report_since": fraud_report_since,
 })
+
+
+# --- the hot-key path: every key split by time (split_rows=0), so the
+# bucket-edge repair runs on the shared data and is checked by the oracle ----
+
+def fraud_city_hop_split(spark, sf_dir):
+    return rules.report_rows(rules.fraud_city_hop(_wh(spark, sf_dir), REPORT_DT, AS_OF, emit="both",
+                                                  bucket_seconds=3600, split_rows=0))
+
+
+def city_hop_any_pair_split(spark, sf_dir):
+    return rules.report_rows(rules.city_hop_any_pair(_wh(spark, sf_dir), REPORT_DT, AS_OF,
+                                                     bucket_seconds=7200, split_rows=0))
+
+
+def amount_guess_1reject_1day_split(spark, sf_dir):
+    return rules.report_rows(rules.fraud_amount_guess(_wh(spark, sf_dir), REPORT_DT, AS_OF, n_rejects=1,
+                                                      seconds=86400, bucket_seconds=3600, split_rows=0))
+
+
+def tx_lag3_split(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    tx = chain.v_transactions(wh).filter(
+        F.col("oper_type").isin(schemas.TYPE_WITHDRAW, schemas.TYPE_PAYMENT))
+    rows = chain.with_terminal(chain.ownership_chain(wh, tx), chain.current_terminals(wh, AS_OF))
+    rows = ordered_neighbours(rows, ["card_num"], "trans_date", "trans_id",
+                              ["trans_date", "oper_result", "amt"], lags=3,
+                              bucket_seconds=3600, split_rows=0)
+    cols = ["trans_id", "card_num"]
+    for j in (1, 2, 3):
+        cols += [F.col(f"prev{j}_trans_date").alias(f"dt_{j}"),
+                 F.col(f"prev{j}_oper_result").alias(f"op_r_{j}"),
+                 F.col(f"prev{j}_amt").alias(f"amt_{j}")]
+    return rows.select(*cols)
+
+
+QUERIES.update({
+    "fraud_city_hop_split": fraud_city_hop_split,
+    "city_hop_any_pair_split": city_hop_any_pair_split,
+    "amount_guess_1reject_1day_split": amount_guess_1reject_1day_split,
+    "tx_lag3_split": tx_lag3_split,
+})

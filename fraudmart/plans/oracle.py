@@ -293,3 +293,7 @@ SQL["city_hop_point_in_time"] = _q(
             f"{CITY_PREV} OR {CITY_NEXT}"))
 SQL["fraud_report_since"] = ("SELECT * FROM (" + SQL["fraud_report"] + ") r "
                              "WHERE event_dt >= TIMESTAMP '2024-01-15 00:00:00'")
+SQL["fraud_city_hop_split"] = SQL["fraud_city_hop"]
+SQL["city_hop_any_pair_split"] = SQL["city_hop_any_pair"]
+SQL["amount_guess_1reject_1day_split"] = SQL["amount_guess_1reject_1day"]
+SQL["tx_lag3_split"] = SQL["tx_lag3"]

@@ -53,10 +53,16 @@ def test_amount_guess(planted):
 
 
 def test_small_buckets_do_not_change_rules(planted):
-    # A bucket of 5 minutes splits every chain across buckets.
-    assert ids(rules.fraud_amount_guess(planted, REPORT_DT, AS_OF, bucket_seconds=300)) == [34, 55]
-    assert ids(rules.fraud_city_hop(planted, REPORT_DT, AS_OF, bucket_seconds=300)) == [9, 10, 20, 21]
-    assert ids(rules.city_hop_any_pair(planted, REPORT_DT, AS_OF, bucket_seconds=600)) == [10, 21, 22]
+    # Every key split (split_rows=0) into 5-minute buckets: chains cross buckets.
+    kw = dict(split_rows=0)
+    assert ids(rules.fraud_amount_guess(planted, REPORT_DT, AS_OF, bucket_seconds=300, **kw)) == [34, 55]
+    assert ids(rules.fraud_city_hop(planted, REPORT_DT, AS_OF, bucket_seconds=300, **kw)) == [9, 10, 20, 21]
+    assert ids(rules.city_hop_any_pair(planted, REPORT_DT, AS_OF, bucket_seconds=600, **kw)) == [10, 21, 22]
+    # Only keys above 3 rows split (c5a, c9, client 1 ...): same answers.
+    kw = dict(split_rows=3)
+    assert ids(rules.fraud_amount_guess(planted, REPORT_DT, AS_OF, bucket_seconds=300, **kw)) == [34, 55]
+    assert ids(rules.fraud_city_hop(planted, REPORT_DT, AS_OF, bucket_seconds=300, **kw)) == [9, 10, 20, 21]
+    assert ids(rules.city_hop_any_pair(planted, REPORT_DT, AS_OF, bucket_seconds=600, **kw)) == [10, 21, 22]
 
 
 def test_all_rules_union_keeps_duplicates(planted):

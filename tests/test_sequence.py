@@ -36,11 +36,11 @@ def test_ordered_neighbours_matches_plain_window(spark):
     w = Window.partitionBy("k").orderBy("ts", "id")
     plain = df.select("id", *[F.lag("v", j).over(w).alias(f"prev{j}_v") for j in (1, 2, 3)],
                       *[F.lead("city", j).over(w).alias(f"next{j}_city") for j in (1, 2)])
-    for bucket in (600, 3600, 86400):
+    for bucket, split in ((600, 0), (3600, 0), (86400, 0), (600, 100), (600, 10_000)):
         got = ordered_neighbours(df, ["k"], "ts", "id", ["v", "city"], lags=3, leads=2,
-                                 bucket_seconds=bucket)
+                                 bucket_seconds=bucket, split_rows=split)
         got = got.select("id", "prev1_v", "prev2_v", "prev3_v", "next1_city", "next2_city")
-        assert sorted(got.collect()) == sorted(plain.collect()), bucket
+        assert sorted(got.collect()) == sorted(plain.collect()), (bucket, split)
 
 
 def test_ordered_neighbours_on_shared_events(spark):
@@ -49,7 +49,7 @@ def test_ordered_neighbours_on_shared_events(spark):
     w = Window.partitionBy("k").orderBy("ts", "id")
     plain = ev.select("id", F.lag("event_type", 1).over(w).alias("p"), F.lead("ts", 1).over(w).alias("n"))
     got = ordered_neighbours(ev, ["k"], "ts", "id", ["event_type", "ts"], lags=1, leads=1,
-                             bucket_seconds=3600)
+                             bucket_seconds=3600, split_rows=50)
     got = got.select("id", F.col("prev1_event_type").alias("p"), F.col("next1_ts").alias("n"))
     assert sorted(got.collect()) == sorted(plain.collect())
 
@@ -65,6 +65,6 @@ def test_recent_other_value_matches_brute_force(spark):
                 if k2 == k and city2 != city and 0 <= gap <= lookback:
                     expected.add(i)
                     break
-        for bucket in (1800, 86400):
-            got = recent_other_value(df, ["k"], "sec", "id", "city", lookback, bucket)
-            assert sorted(r["id"] for r in got.collect()) == sorted(expected), (lookback, bucket)
+        for bucket, split in ((1800, 0), (86400, 0), (1800, 100), (1800, 10_000)):
+            got = recent_other_value(df, ["k"], "sec", "id", "city", lookback, bucket, split)
+            assert sorted(r["id"] for r in got.collect()) == sorted(expected), (lookback, bucket, split)
