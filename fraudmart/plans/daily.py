@@ -19,7 +19,7 @@ from fraudmart import schemas
 from fraudmart.operators import history, report, rules
 from fraudmart.session import scratch_path
 from fraudmart.sources import feeds, files, workbook
-from fraudmart.sources.store import TableStore, ensure_dimensions
+from fraudmart.sources.store import TableStore, ensure_dimensions, ensure_history_tables
 
 TERMINAL_KEYS = ["terminal_id", "terminal_type"]
 TERMINAL_ATTRS = ["terminal_city", "terminal_address"]
@@ -116,6 +116,14 @@ def archive(spark: SparkSession, paths: list[str], landing: str, archive_dir: st
     return out
 
 
+def load_feeds(spark: SparkSession, landing: str, root: str) -> dict[str, list[str]]:
+    """Load every new feed file of the landing folder into the warehouse."""
+    store = TableStore(spark, root)
+    return {"terminals": load_terminals(spark, store, landing),
+            "transactions": load_transactions(spark, store, landing),
+            "passport_blacklist": load_blacklist(spark, store, landing)}
+
+
 def run_day(spark: SparkSession, landing: str, root: str, seeds: dict[str, DataFrame] | None = None,
             report_dt: _dt.date | str | None = None, as_of=None, export_dir: str | None = None,
             archive_dir: str | None = None) -> DayResult:
@@ -123,9 +131,8 @@ def run_day(spark: SparkSession, landing: str, root: str, seeds: dict[str, DataF
     res = DayResult()
     if seeds:
         res.seeded = ensure_dimensions(store, seeds)
-    res.loaded_files["terminals"] = load_terminals(spark, store, landing)
-    res.loaded_files["transactions"] = load_transactions(spark, store, landing)
-    res.loaded_files["passport_blacklist"] = load_blacklist(spark, store, landing)
+    ensure_history_tables(store)
+    res.loaded_files = load_feeds(spark, landing, root)
     report_dt = report_dt or rules.default_report_dt()
     rep = report.build_report(store.warehouse(), report_dt, as_of)
     report.write_report(store, rep)

@@ -100,3 +100,23 @@ def seed_if_empty(store: TableStore, name: str, seed: DataFrame) -> bool:
 
 def ensure_dimensions(store: TableStore, seeds: dict[str, DataFrame]) -> dict[str, bool]:
     return {name: seed_if_empty(store, name, df) for name, df in seeds.items()}
+
+
+def ensure_history_tables(store: TableStore) -> list[str]:
+    """Create every missing table empty, with its schema (CREATE TABLE IF NOT
+    EXISTS). Column defaults (open end, deleted_flg = 0, load time) are set by
+    the loaders that write rows. Returns the tables it created."""
+    made = []
+    for name in ("terminals", "passport_blacklist", "transactions", "reporting_list"):
+        if store.exists(name):
+            continue
+        empty = store.spark.createDataFrame([], SCHEMAS[name])
+        if name in VERSIONED:
+            store.write_version(name, empty)
+        else:
+            w = empty.write.mode("append")
+            if name in PARTITIONS:
+                w = w.partitionBy(*PARTITIONS[name])
+            w.parquet(store.path(name))
+        made.append(name)
+    return made
