@@ -29,9 +29,6 @@ from fraudmart.operators.sequence import (
 )
 from fraudmart.warehouse import Warehouse
 
-INTERNAL = ["trans_id", "client_id"]
-
-
 def _emit(rows: DataFrame, event_type: str, report_dt, ts: str = "trans_date") -> DataFrame:
     return rows.select(
         "trans_id", "client_id",

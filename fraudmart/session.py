@@ -69,23 +69,32 @@ _SHIPPED: set[str] = set()
 
 def ship_package(spark: SparkSession) -> None:
     """Make ``fraudmart`` importable on the executors (as ``--py-files``
-    would): zip the package once per application and add it to the session.
-    Needed by the few operators that run Python on executors (workbook
-    parsing, keyed streaming state)."""
-    import tempfile
+    would): zip the package in memory once per application, write it below
+    the shared checkpoint folder and add it to the session. Needed by the few
+    operators that run Python on executors (workbook parsing, keyed streaming
+    state)."""
+    import io
     import zipfile
 
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
-    fd, path = tempfile.mkstemp(prefix="fraudmart-", suffix=".zip")
-    os.close(fd)
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
         for root, _, names in os.walk(pkg):
             for n in names:
                 if n.endswith(".py"):
                     full = os.path.join(root, n)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fraudmart-{uuid.uuid4().hex[:12]}.zip"
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(target, True)
+    try:
+        out.write(bytearray(buf.getvalue()))
+    finally:
+        out.close()
     spark.sparkContext.addPyFile(path)
     _SHIPPED.add(app)

@@ -228,5 +228,3 @@ def stage_workbooks(rows: DataFrame, day_col: str, prefix: str, sheet: str,
 
 TERMINAL_COLUMNS = ["terminal_id", "terminal_type", "terminal_city", "terminal_address"]
 BLACKLIST_COLUMNS = ["passport", "date"]
-__all__ = ["read_workbooks", "parse_workbooks", "terminal_slices", "blacklist_rows",
-           "workbook_bytes", "stage_workbooks", "sheet_rows", "schemas"]
