@@ -89,3 +89,16 @@ def test_archive_moves_processed_files(spark, tmp_path):
     assert TableStore(spark, root).read("transactions").filter(
         F.col("load_dt") == F.lit("2021-03-03").cast("date")).count() == 32
     assert sorted(TableStore(spark, root).read("reporting_list").columns) == sorted(schemas.REPORT_COLUMNS)
+
+
+def test_command_line_run_day(spark, tmp_path):
+    from fraudmart.__main__ import main
+    landing = _landing(tmp_path)
+    wh = planted_warehouse(spark)
+    seeds = tmp_path / "seed"
+    for name in ("cards", "accounts", "clients"):
+        getattr(wh, name).write.parquet(str(seeds / f"{name}.parquet"))
+    assert main(["run-day", "--landing", landing, "--root", str(tmp_path / "wh"), "--seeds", str(seeds),
+                 "--report-dt", "2021-03-04", "--as-of", "2021-03-03 12:00:00",
+                 "--export", str(tmp_path / "out")]) == 0
+    assert report.read_export(spark, str(tmp_path / "out")).count() > 0
