@@ -126,7 +126,10 @@ def load_feeds(spark: SparkSession, landing: str, root: str) -> dict[str, list[s
 
 def run_day(spark: SparkSession, landing: str, root: str, seeds: dict[str, DataFrame] | None = None,
             report_dt: _dt.date | str | None = None, as_of=None, export_dir: str | None = None,
-            archive_dir: str | None = None) -> DayResult:
+            archive_dir: str | None = None, since=None) -> DayResult:
+    """One daily run. With ``since`` the report holds only events from that
+    instant on (computed from a bounded slice of history) instead of the
+    whole history re-reported under the new date."""
     store = TableStore(spark, root)
     res = DayResult()
     if seeds:
@@ -134,7 +137,7 @@ def run_day(spark: SparkSession, landing: str, root: str, seeds: dict[str, DataF
     ensure_history_tables(store)
     res.loaded_files = load_feeds(spark, landing, root)
     report_dt = report_dt or rules.default_report_dt()
-    rep = report.build_report(store.warehouse(), report_dt, as_of)
+    rep = report.build_report(store.warehouse(), report_dt, as_of, since=since)
     report.write_report(store, rep)
     if export_dir:
         day = report.report_for_day(store, report_dt)

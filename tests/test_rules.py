@@ -73,3 +73,15 @@ def test_all_rules_union_keeps_duplicates(planted):
 def test_rule_terminal_as_of(planted):
     # Before the terminals' validity starts nothing is located.
     assert ids(rules.fraud_city_hop(planted, REPORT_DT, "2020-12-31 00:00:00")) == []
+
+
+def test_report_since_reads_bounded_history_exactly(planted):
+    from pyspark.sql import functions as F
+    from fraudmart.operators import report
+    full = report.build_report(planted, REPORT_DT, AS_OF)
+    # Cut points inside chains and pairs, before and after all data.
+    for since in ["2021-03-01 00:00:00", "2021-03-03 10:05:00", "2021-03-03 10:20:00",
+                  "2021-03-03 11:00:00", "2021-03-03 12:20:01", "2021-03-04 00:00:00"]:
+        got = report.build_report(planted, REPORT_DT, AS_OF, since=since)
+        want = full.filter(F.col("event_dt") >= F.lit(since).cast("timestamp_ntz"))
+        assert sorted(got.collect()) == sorted(want.collect()), since
