@@ -50,17 +50,18 @@ def load_transactions(spark: SparkSession, store: TableStore, landing: str) -> l
     those days are read again and replace the days' partitions."""
     listing = feeds.discover(spark, landing, schemas.TX_FEED_GLOB)
     fresh = new_files(store, listing, "transactions").select("file_path", "file_name", "business_dt")
-    # Only the file list reaches the driver (one row per new file), as any
-    # Spark file scan lists its files there too.
-    fresh_rows = fresh.collect()
-    if not fresh_rows:
+    # Only file paths reach the driver (one row per file), as any Spark file
+    # scan lists its files there too. Days are matched in Spark (semi join),
+    # never through Python datetime values, so no time zone is involved.
+    fresh_paths = [r["file_path"] for r in fresh.select("file_path").collect()]
+    if not fresh_paths:
         return []
-    days = sorted({r["business_dt"] for r in fresh_rows if r["business_dt"] is not None})
-    day_files = listing.filter(F.col("business_dt").isin(days)).select("file_path").collect()
+    days = fresh.select("business_dt").where(F.col("business_dt").isNotNull()).distinct()
+    day_files = listing.join(days, "business_dt", "left_semi").select("file_path").collect()
     feed = feeds.read_tx_feed(spark, [r["file_path"] for r in day_files])
     store.overwrite_partitions("transactions", feeds.normalise_transactions(feed))
     _record(store, "transactions", fresh)
-    return [r["file_path"] for r in fresh_rows]
+    return fresh_paths
 
 
 def load_terminals(spark: SparkSession, store: TableStore, landing: str,

@@ -102,3 +102,19 @@ def test_command_line_run_day(spark, tmp_path):
                  "--report-dt", "2021-03-04", "--as-of", "2021-03-03 12:00:00",
                  "--export", str(tmp_path / "out")]) == 0
     assert report.read_export(spark, str(tmp_path / "out")).count() > 0
+
+
+def test_loading_does_not_depend_on_session_zone(spark, tmp_path):
+    from fraudmart.plans.daily import load_transactions
+    landing = _landing(tmp_path)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        store = TableStore(spark, str(tmp_path / "wh"))
+        assert len(load_transactions(spark, store, landing)) == 4
+        assert store.read("transactions").count() == 40
+        row = store.read("transactions").filter(F.col("trans_id") == "1").first()
+        assert row["trans_date"] == dt.datetime(2021, 2, 28, 23, 59, 59)
+        assert row["load_dt"] == dt.date(2021, 2, 28)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
