@@ -118,3 +118,35 @@ def test_loading_does_not_depend_on_session_zone(spark, tmp_path):
         assert row["load_dt"] == dt.date(2021, 2, 28)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_rule_filters_and_columns_reach_the_parquet_scan(spark, tmp_path):
+    from fraudmart.operators import rules
+    landing = _landing(tmp_path)
+    root = str(tmp_path / "wh")
+    wh = planted_warehouse(spark)
+    run_day(spark, landing, root, seeds={"cards": wh.cards, "accounts": wh.accounts, "clients": wh.clients},
+            report_dt="2021-03-04")
+    stored = TableStore(spark, root).warehouse()
+
+    def scan_of(df, table):
+        old = spark.conf.get("spark.sql.maxMetadataStringLength")
+        spark.conf.set("spark.sql.maxMetadataStringLength", "10000")  # no "..." in plans
+        try:
+            plan = df._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.set("spark.sql.maxMetadataStringLength", old)
+        return [l for l in plan.splitlines()
+                if "FileScan parquet" in l and (f"/{table}]" in l or f"/{table}/v=" in l)]
+
+    contract = rules.fraud_contract(stored, "2021-03-04")
+    tx_scan = scan_of(contract, "transactions")
+    assert tx_scan and all("EqualTo(oper_result,SUCCESS)" in l for l in tx_scan)
+    # Only the columns the rule needs are read from the fact.
+    assert all("amt" not in l.split("ReadSchema:")[1] and "oper_type" not in l.split("ReadSchema:")[1]
+               for l in tx_scan)
+    guess = rules.fraud_amount_guess(stored, "2021-03-04", "2021-03-03 12:00:00")
+    g_scan = scan_of(guess, "transactions")
+    assert g_scan and all("In(oper_type" in l for l in g_scan)
+    term = scan_of(guess, "terminals")
+    assert term and all("deleted_flg" in l.split("PushedFilters:")[1] for l in term)
