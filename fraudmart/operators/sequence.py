@@ -78,6 +78,10 @@ def ordered_neighbours(df: DataFrame, keys: Sequence[str], ts: str, tie: str,
     d = _flag_hot(df, keys, split_rows, max_split_keys)
     d = d.withColumn(b, F.when(F.col("_hk"), F.floor(F.unix_timestamp(F.col(ts)) / F.lit(bucket_seconds)))
                      .otherwise(F.lit(-1)))
+    # Explicit shuffle on (key, bucket). Input that is already hash
+    # partitioned by the key alone (a sort-merge join on it) would otherwise
+    # satisfy the window's clustering, and a hot key would stay in one task.
+    d = d.repartition(*_cols(keys), F.col(b))
     order = [F.col(ts), F.col(tie)]
     w_in = Window.partitionBy(*_cols(keys), F.col(b)).orderBy(*order)
     w_all = Window.partitionBy(*_cols(keys), F.col(b))
@@ -142,6 +146,7 @@ def recent_other_value(df: DataFrame, keys: Sequence[str], sec: str, tie: str, v
     d = _flag_hot(df, keys, split_rows, max_split_keys)
     d = overlap_buckets(d, sec, lookback_seconds, bucket_seconds, F.col("_hk"))
     part = [*_cols(keys), F.col("_ob_bucket")]
+    d = d.repartition(*part)  # see ordered_neighbours: never inherit a key-only partitioning
     w = Window.partitionBy(*part).orderBy(F.col(sec), F.col(tie))
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     peers = Window.partitionBy(*part).orderBy(F.col(sec)).rangeBetween(Window.currentRow, Window.currentRow)

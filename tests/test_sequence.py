@@ -68,3 +68,16 @@ def test_recent_other_value_matches_brute_force(spark):
         for bucket, split in ((1800, 0), (86400, 0), (1800, 100), (1800, 10_000)):
             got = recent_other_value(df, ["k"], "sec", "id", "city", lookback, bucket, split)
             assert sorted(r["id"] for r in got.collect()) == sorted(expected), (lookback, bucket, split)
+
+
+def test_hot_key_is_shuffled_by_bucket_even_when_input_is_partitioned_by_key(spark):
+    # A sort-merge join on the key leaves the input hash partitioned by the
+    # key; the window must still be distributed by (key, bucket).
+    df = spark.createDataFrame(_random_rows(), SCHEMA).repartition(4, "k")
+    got = ordered_neighbours(df, ["k"], "ts", "id", ["v"], lags=1, bucket_seconds=3600, split_rows=0)
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert any("hashpartitioning(k#" in l and "_sq_bucket" in l for l in plan.splitlines())
+    # Tasks: the hot key k0 spans many buckets, hence many shuffle partitions.
+    rows = got.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
+    assert len(rows) > 1
