@@ -2,7 +2,7 @@
 
     python -m fraudmart run-day --landing . --root ./warehouse \
         [--seeds ./seed] [--report-dt 2021-03-04] [--as-of "2021-03-04 00:00:00"] \
-        [--export .] [--archive ./archive] [--master local[*]]
+        [--export .] [--archive ./archive] [--since "2021-03-04 00:00:00"] [--master local[*]]
 
 Seeds (cards, accounts, clients) are read from ``<seeds>/<name>.parquet`` or
 ``<seeds>/<name>.csv`` (header row) and loaded only into empty tables.
@@ -44,12 +44,13 @@ def main(argv: list[str] | None = None) -> int:
     day.add_argument("--as-of")
     day.add_argument("--export")
     day.add_argument("--archive")
+    day.add_argument("--since", help="report only events from this instant on")
     day.add_argument("--master")
     a = ap.parse_args(argv)
     spark = get_session(a.master)
     seeds = read_seeds(spark, a.seeds) if a.seeds else None
     res = run_day(spark, a.landing, a.root, seeds=seeds, report_dt=a.report_dt, as_of=a.as_of,
-                  export_dir=a.export, archive_dir=a.archive)
+                  export_dir=a.export, archive_dir=a.archive, since=a.since)
     print(json.dumps({"seeded": res.seeded, "loaded_files": res.loaded_files, "exported": res.exported}))
     return 0
 
