@@ -85,14 +85,13 @@ def ordered_neighbours(df: DataFrame, keys: Sequence[str], ts: str, tie: str,
     order = [F.col(ts), F.col(tie)]
     w_in = Window.partitionBy(*_cols(keys), F.col(b)).orderBy(*order)
     w_all = Window.partitionBy(*_cols(keys), F.col(b))
-    d = d.withColumn(rn, F.row_number().over(w_in)).withColumn(cnt, F.count(F.lit(1)).over(w_all))
-    in_cols: list[tuple[str, Column]] = []
+    in_cols: dict[str, Column] = {rn: F.row_number().over(w_in), cnt: F.count(F.lit(1)).over(w_all)}
     for v in values:
         for j in range(1, lags + 1):
-            in_cols.append((f"prev{j}_{v}", F.lag(v, j).over(w_in)))
+            in_cols[f"prev{j}_{v}"] = F.lag(v, j).over(w_in)
         for j in range(1, leads + 1):
-            in_cols.append((f"next{j}_{v}", F.lead(v, j).over(w_in)))
-    d = d.withColumns(dict(in_cols))
+            in_cols[f"next{j}_{v}"] = F.lead(v, j).over(w_in)
+    d = d.withColumns(in_cols)
 
     edge = F.col("_hk") & ((F.col(rn) <= m) | (F.col(cnt) - F.col(rn) < m))
     inner = d.filter(~edge)
