@@ -508,3 +508,32 @@ QUERIES.update({
     "amount_guess_1reject_1day_split": amount_guess_1reject_1day_split,
     "tx_lag3_split": tx_lag3_split,
 })
+
+
+def stream_fraud_city_hop(spark, sf_dir):
+    from fraudmart.streaming import stateful
+    wh = _wh(spark, sf_dir)
+    out = _drain(spark, _staged_tx_stream(spark, sf_dir), "hop",
+                 lambda s: stateful.stream_city_hop(wh, s, REPORT_DT, AS_OF, emit="both"))
+    return out.select(*schemas.REPORT_COLUMNS)
+
+
+def stream_fraud_report(spark, sf_dir):
+    """The report mart fed by one streaming query (rules 1-4), exactly once."""
+    from fraudmart.streaming import rules as srules
+    from fraudmart.streaming.report import start_report_stream
+    wh = _wh(spark, sf_dir)
+    base = _staged_tx_stream(spark, sf_dir)
+    stream = spark.readStream.schema(schemas.TRANSACTIONS).option("recursiveFileLookup", "true") \
+        .parquet(f"{base}/src")
+    q = start_report_stream(wh, stream, f"{base}/mart", f"{base}/ck-mart", REPORT_DT, AS_OF)
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return spark.read.parquet(f"{base}/mart").select(*schemas.REPORT_COLUMNS)
+
+
+QUERIES.update({
+    "stream_fraud_city_hop": stream_fraud_city_hop,
+    "stream_fraud_report": stream_fraud_report,
+})

@@ -297,3 +297,5 @@ SQL["fraud_city_hop_split"] = SQL["fraud_city_hop"]
 SQL["city_hop_any_pair_split"] = SQL["city_hop_any_pair"]
 SQL["amount_guess_1reject_1day_split"] = SQL["amount_guess_1reject_1day"]
 SQL["tx_lag3_split"] = SQL["tx_lag3"]
+SQL["stream_fraud_city_hop"] = SQL["fraud_city_hop"]
+SQL["stream_fraud_report"] = SQL["fraud_report"]

@@ -68,15 +68,18 @@ def _records(frames: Iterator[pd.DataFrame], value_cols: list[str]) -> list[dict
     return out
 
 
-def _emit(hits: list[dict]) -> pd.DataFrame:
-    return pd.DataFrame({
+def _emit(hits: list[dict], with_event_type: bool = False) -> pd.DataFrame:
+    out = pd.DataFrame({
         "trans_id": [h["trans_id"] for h in hits], "client_id": [h["client_id"] for h in hits],
         "event_dt": pd.to_datetime([h["ts"] for h in hits]),
         "passport": [h["passport_num"] for h in hits], "fio": [h["fio"] for h in hits],
         "phone": [h["phone"] for h in hits]})
+    if with_event_type:
+        out["event_type"] = [h["event_type"] for h in hits]
+    return out
 
 
-def _ordered_scan(step: Step, init, value_cols: list[str]):
+def _ordered_scan(step: Step, init, value_cols: list[str], with_event_type: bool = False):
     """Wrap a row scanner into an ``applyInPandasWithState`` function."""
     def fn(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         pending, tail = [], copy.deepcopy(init)  # never share the initial object
@@ -95,7 +98,7 @@ def _ordered_scan(step: Step, init, value_cols: list[str]):
             state.setTimeoutTimestamp(max(nxt, wm + 1))
         elif state.exists:
             state.remove()
-        yield _emit(hits)
+        yield _emit(hits, with_event_type)
     return fn
 
 
@@ -145,14 +148,69 @@ def city_hop_step(lookback: int) -> Step:
     return step
 
 
-def _keyed(rows: DataFrame, key: str, step: Step, init, value_cols: list[str]) -> DataFrame:
+def city_hop_adjacent_step(seconds: int, emit: str = "both") -> Step:
+    """Rule 3 as the batch rule: neighbouring operations of one client in
+    different cities at most ``seconds`` apart. The tail is the last
+    operation (with whether it was reported already); with ``emit="both"``
+    the earlier operation of a pair is reported when its successor arrives."""
+    def step(tail, rows):
+        hits = []
+        last = tail.get("last")
+        for r in rows:
+            r = dict(r, done=False)
+            if (last is not None and r["terminal_city"] is not None and last["terminal_city"] is not None
+                    and r["terminal_city"] != last["terminal_city"] and abs(r["sec"] - last["sec"]) <= seconds):
+                hits.append(r)
+                r["done"] = True
+                if emit == "both" and not last["done"]:
+                    hits.append(last)
+                    last["done"] = True
+            last = r
+        tail = {"last": last}
+        live = (last["sec"] + seconds + 1) * 1000 if last is not None else None
+        return hits, tail, live
+    return step
+
+
+def sequence_rules_step(hop_seconds: int, emit: str, n_rejects: int, guess_seconds: int) -> Step:
+    """Rules 3 and 4 in one scan over a client's operations (a streaming
+    query takes one applyInPandasWithState only): successes feed the city
+    hop, withdrawals/payments feed one amount-guess tail per card."""
+    hop = city_hop_adjacent_step(hop_seconds, emit)
+    guess = amount_guess_step(n_rejects, guess_seconds)
+
+    def step(tail, rows):
+        hop_tail, cards, hits = tail.get("hop", {}), tail.get("cards", {}), []
+        succ = [r for r in rows if r["oper_result"] == schemas.RESULT_SUCCESS]
+        if succ:
+            h, hop_tail, _ = hop(hop_tail, succ)
+            hits += [dict(x, event_type=schemas.EVENT_CITY_HOP) for x in h]
+        by_card: dict[str, list[dict]] = {}
+        for r in rows:
+            if r["oper_type"] in (schemas.TYPE_WITHDRAW, schemas.TYPE_PAYMENT):
+                by_card.setdefault(r["card_num"], []).append(r)
+        for card, rs in by_card.items():
+            h, cards[card], _ = guess(cards.get(card, []), rs)
+            hits += [dict(x, event_type=schemas.EVENT_AMOUNT_GUESS) for x in h]
+        ends = [t[-1][2] + guess_seconds for t in cards.values() if t]
+        if hop_tail.get("last"):
+            ends.append(hop_tail["last"]["sec"] + hop_seconds)
+        live = (max(ends) + 1) * 1000 if ends else None
+        return hits, {"hop": hop_tail, "cards": cards}, live
+    return step
+
+
+def _keyed(rows: DataFrame, key: str, step: Step, init, value_cols: list[str],
+           with_event_type: bool = False) -> DataFrame:
     ship_package(rows.sparkSession)
     cols = [*PASS, "trans_date", "_sec", "event_time", *value_cols]
     if key not in cols:
         cols.append(key)
+    out = T.StructType(list(OUT.fields) + ([T.StructField("event_type", T.StringType())]
+                                           if with_event_type else []))
     return (rows.select(*cols).groupBy(key)
-            .applyInPandasWithState(_ordered_scan(step, init, value_cols), OUT, STATE, "append",
-                                    GroupStateTimeout.EventTimeTimeout))
+            .applyInPandasWithState(_ordered_scan(step, init, value_cols, with_event_type), out, STATE,
+                                    "append", GroupStateTimeout.EventTimeTimeout))
 
 
 def _report(df: DataFrame, event_type: str, report_dt) -> DataFrame:
@@ -178,6 +236,32 @@ def stream_amount_guess(wh: Warehouse, tx_stream: DataFrame, report_dt, as_of=No
     return _report(out, schemas.EVENT_AMOUNT_GUESS, report_dt)
 
 
+def stream_city_hop(wh: Warehouse, tx_stream: DataFrame, report_dt, as_of=None, emit: str = "both",
+                    seconds: int = schemas.CITY_HOP_SECONDS, delay: str = "1 hour") -> DataFrame:
+    """Rule 3 (neighbouring operations, both or later) on a stream."""
+    tx = watermarked(tx_stream, delay).filter(F.col("oper_result") == schemas.RESULT_SUCCESS)
+    rows = chain.with_terminal(chain.ownership_chain(wh, tx), chain.current_terminals(wh, as_of))
+    rows = rows.withColumn("_sec", F.unix_timestamp("trans_date"))
+    out = _keyed(rows, "client_id", city_hop_adjacent_step(seconds, emit), {}, ["terminal_city"])
+    return _report(out, schemas.EVENT_CITY_HOP, report_dt)
+
+
+def stream_sequence_rules(wh: Warehouse, tx_stream: DataFrame, report_dt, as_of=None,
+                          emit: str = "both", hop_seconds: int = schemas.CITY_HOP_SECONDS,
+                          n_rejects: int = schemas.AMOUNT_GUESS_REJECTS,
+                          guess_seconds: int = schemas.AMOUNT_GUESS_SECONDS,
+                          delay: str = "1 hour") -> DataFrame:
+    """Rules 3 and 4 together on a stream, one keyed state per client."""
+    tx = watermarked(tx_stream, delay).filter(
+        (F.col("oper_result") == schemas.RESULT_SUCCESS)
+        | F.col("oper_type").isin(schemas.TYPE_WITHDRAW, schemas.TYPE_PAYMENT))
+    rows = chain.with_terminal(chain.ownership_chain(wh, tx), chain.current_terminals(wh, as_of))
+    rows = rows.withColumn("_sec", F.unix_timestamp("trans_date")).withColumn("amt", F.col("amt").cast("string"))
+    out = _keyed(rows, "client_id", sequence_rules_step(hop_seconds, emit, n_rejects, guess_seconds), {},
+                 ["terminal_city", "oper_result", "oper_type", "amt", "card_num"], with_event_type=True)
+    return out.select(*OUT.fieldNames(), "event_type", date_lit(report_dt).alias("report_dt"))
+
+
 def stream_city_hop_any_pair(wh: Warehouse, tx_stream: DataFrame, report_dt, as_of=None,
                              seconds: int = schemas.CITY_HOP_SECONDS, delay: str = "1 hour") -> DataFrame:
     tx = watermarked(tx_stream, delay).filter(F.col("oper_result") == schemas.RESULT_SUCCESS)

@@ -81,3 +81,22 @@ def test_stream_ingest_exactly_once(spark, tmp_path):
     df = spark.read.parquet(table)
     assert df.count() == 40
     assert df.filter(F.col("trans_id") == "34").first()["amt"] == decimal.Decimal("100.00")
+
+
+def test_stream_city_hop_and_report_equal_batch(spark, planted, tmp_path):
+    from fraudmart.operators import report
+    from fraudmart.streaming.report import start_report_stream
+    src = _stage(spark, planted, str(tmp_path / "src"))
+    wh = planted.with_(transactions=planted.transactions.unionByName(
+        spark.createDataFrame(LATE, schemas.TRANSACTIONS)))
+    for emit, expected in (("both", [9, 10, 20, 21]), ("later", [10, 21])):
+        stream = srules.transaction_stream(spark, src + "/*")
+        out = srules.drain_to_table(spark, stateful.stream_city_hop(planted, stream, REPORT_DT, AS_OF, emit=emit),
+                                    str(tmp_path / f"hop-{emit}"), str(tmp_path / f"ck-hop-{emit}"))
+        assert ids(out) == expected
+    stream = srules.transaction_stream(spark, src + "/*")
+    q = start_report_stream(planted, stream, str(tmp_path / "mart"), str(tmp_path / "ck-mart"), REPORT_DT, AS_OF)
+    q.awaitTermination()
+    mart = spark.read.parquet(str(tmp_path / "mart")).select(*schemas.REPORT_COLUMNS)
+    batch = report.build_report(wh, REPORT_DT, AS_OF)
+    assert sorted(mart.collect()) == sorted(batch.collect())
