@@ -113,13 +113,13 @@ def tx_prev_next(spark, sf_dir):
                        F.col("next1_terminal_city").alias("next_city"))
 
 
-def tx_lag3(spark, sf_dir):
+def _lag3(spark, sf_dir, **split) -> DataFrame:
     wh = _wh(spark, sf_dir)
     tx = chain.v_transactions(wh).filter(
         F.col("oper_type").isin(schemas.TYPE_WITHDRAW, schemas.TYPE_PAYMENT))
     rows = chain.with_terminal(chain.ownership_chain(wh, tx), chain.current_terminals(wh, AS_OF))
     rows = ordered_neighbours(rows, ["card_num"], "trans_date", "trans_id",
-                              ["trans_date", "oper_result", "amt"], lags=3)
+                              ["trans_date", "oper_result", "amt"], lags=3, **split)
     cols = ["trans_id", "card_num"]
     for j in (1, 2, 3):
         cols += [F.col(f"prev{j}_trans_date").alias(f"dt_{j}"),
@@ -128,6 +128,10 @@ def tx_lag3(spark, sf_dir):
     return rows.select(*cols)
 
 
+def tx_lag3(spark, sf_dir):
+    return _lag3(spark, sf_dir)
+
+
 def time_gap(spark, sf_dir):
     tx = chain.v_transactions(_wh(spark, sf_dir)).withColumn("_sec", F.unix_timestamp("trans_date"))
     rows = ordered_neighbours(tx, ["card_num"], "trans_date", "trans_id", ["_sec"], lags=1)
@@ -487,19 +491,7 @@ def amount_guess_1reject_1day_split(spark, sf_dir):
 
 
 def tx_lag3_split(spark, sf_dir):
-    wh = _wh(spark, sf_dir)
-    tx = chain.v_transactions(wh).filter(
-        F.col("oper_type").isin(schemas.TYPE_WITHDRAW, schemas.TYPE_PAYMENT))
-    rows = chain.with_terminal(chain.ownership_chain(wh, tx), chain.current_terminals(wh, AS_OF))
-    rows = ordered_neighbours(rows, ["card_num"], "trans_date", "trans_id",
-                              ["trans_date", "oper_result", "amt"], lags=3,
-                              bucket_seconds=3600, split_rows=0)
-    cols = ["trans_id", "card_num"]
-    for j in (1, 2, 3):
-        cols += [F.col(f"prev{j}_trans_date").alias(f"dt_{j}"),
-                 F.col(f"prev{j}_oper_result").alias(f"op_r_{j}"),
-                 F.col(f"prev{j}_amt").alias(f"amt_{j}")]
-    return rows.select(*cols)
+    return _lag3(spark, sf_dir, bucket_seconds=3600, split_rows=0)
 
 
 QUERIES.update({
