@@ -140,10 +140,22 @@ def terminal_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.timestamp_add("DAY", d, ts_lit(EPOCH_START)).alias("effective_from")))
 
 
+_COUNTS: dict[tuple, int] = {}
+
+
+def _supplier_count(spark: SparkSession, sf_dir: str) -> int:
+    """Number of suppliers (terminal ids are ``event_id % n``): one number,
+    counted once per session and folder."""
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"))
+    if key not in _COUNTS:
+        _COUNTS[key] = _read(spark, sf_dir, "supplier").count()
+    return _COUNTS[key]
+
+
 @_once
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    n_terminals = _read(spark, sf_dir, "supplier").select(F.count(F.lit(1))).scalar()
+    n_terminals = F.lit(_supplier_count(spark, sf_dir))
     i = F.col("event_id")
     return e.select(_str(i).alias("trans_id"),
                     F.col("ts").cast(schemas.TS).alias("trans_date"),
