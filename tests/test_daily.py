@@ -150,3 +150,18 @@ def test_rule_filters_and_columns_reach_the_parquet_scan(spark, tmp_path):
     assert g_scan and all("In(oper_type" in l for l in g_scan)
     term = scan_of(guess, "terminals")
     assert term and all("deleted_flg" in l.split("PushedFilters:")[1] for l in term)
+
+
+def test_run_day_since_reports_only_new_events(spark, tmp_path):
+    landing = _landing(tmp_path)
+    root = str(tmp_path / "wh")
+    wh = planted_warehouse(spark)
+    seeds = {"cards": wh.cards, "accounts": wh.accounts, "clients": wh.clients}
+    run_day(spark, landing, root, seeds=seeds, report_dt="2021-03-04", as_of="2021-03-03 12:00:00",
+            since="2021-03-03 00:00:00")
+    store = TableStore(spark, root)
+    mart = report.report_for_day(store, "2021-03-04")
+    full = report.build_report(store.warehouse(), "2021-03-04", "2021-03-03 12:00:00")
+    want = full.filter(F.col("event_dt") >= F.lit("2021-03-03 00:00:00").cast("timestamp_ntz"))
+    assert sorted(mart.collect()) == sorted(want.collect())
+    assert mart.count() < full.count()

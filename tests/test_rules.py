@@ -85,3 +85,11 @@ def test_report_since_reads_bounded_history_exactly(planted):
         got = report.build_report(planted, REPORT_DT, AS_OF, since=since)
         want = full.filter(F.col("event_dt") >= F.lit(since).cast("timestamp_ntz"))
         assert sorted(got.collect()) == sorted(want.collect()), since
+
+
+def test_report_sorted_is_ordered(spark):
+    from fraudmart.plans import catalog
+    from conftest import SF001
+    rows = catalog.report_sorted(spark, SF001).collect()
+    dts = [r["event_dt"] for r in rows]
+    assert dts == sorted(dts) and len(dts) > 0

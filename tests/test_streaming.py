@@ -100,3 +100,23 @@ def test_stream_city_hop_and_report_equal_batch(spark, planted, tmp_path):
     mart = spark.read.parquet(str(tmp_path / "mart")).select(*schemas.REPORT_COLUMNS)
     batch = report.build_report(wh, REPORT_DT, AS_OF)
     assert sorted(mart.collect()) == sorted(batch.collect())
+
+
+def test_sequence_step_scans_rules_3_and_4_together():
+    # Pure scan logic, no Spark: one client, two cards, rows in order.
+    def row(i, sec, card, city, result, otype, amt):
+        return {"trans_id": str(i), "client_id": "c", "passport_num": "p", "fio": "f", "phone": "t",
+                "ts": f"2021-03-03 00:00:{sec:02d}.000000", "sec": sec, "et": sec * 1000,
+                "terminal_city": city, "oper_result": result, "oper_type": otype, "amt": amt, "card_num": card}
+    rows = [row(1, 0, "a", "X", "REJECT", "WITHDRAW", "30.00"),
+            row(2, 5, "b", "Y", "SUCCESS", "PAYMENT", "99.00"),
+            row(3, 9, "a", "X", "SUCCESS", "WITHDRAW", "20.00"),
+            row(4, 50, "b", "X", "SUCCESS", "DEPOSIT", "1.00")]
+    step = stateful.sequence_rules_step(hop_seconds=10, emit="both", n_rejects=1, guess_seconds=60)
+    hits, tail, live = step({}, rows)
+    got = sorted((h["trans_id"], h["event_type"]) for h in hits)
+    # hop: 2 (Y) next to 3 (X) within 10 s -> both; 4 is 41 s after 3 -> no.
+    # guess on card a: 1 reject 30 then success 20 -> 3. Card b's 2 has no reject before it.
+    assert got == sorted([("2", schemas.EVENT_CITY_HOP), ("3", schemas.EVENT_CITY_HOP),
+                          ("3", schemas.EVENT_AMOUNT_GUESS)])
+    assert live == (max(9 + 60, 50 + 10) + 1) * 1000
