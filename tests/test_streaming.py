@@ -120,3 +120,20 @@ def test_sequence_step_scans_rules_3_and_4_together():
     assert got == sorted([("2", schemas.EVENT_CITY_HOP), ("3", schemas.EVENT_CITY_HOP),
                           ("3", schemas.EVENT_AMOUNT_GUESS)])
     assert live == (max(9 + 60, 50 + 10) + 1) * 1000
+
+
+def test_stream_ingest_archives_committed_files(spark, tmp_path):
+    import os
+    landing, arch = tmp_path / "landing", tmp_path / "archive"
+    write_tx_files(str(landing))
+    table, ck = str(tmp_path / "tx"), str(tmp_path / "ck")
+    ingest_transactions(spark, str(landing), table, ck, archive_dir=str(arch)).awaitTermination()
+    # A new day arrives; committed files of the earlier batch are moved away.
+    (landing / "transactions_04032021.txt").write_text(
+        "transaction_id;transaction_date;amount;card_num;oper_type;oper_result;terminal\n"
+        "99;2021-03-04 10:00:00;1,00;c1;PAYMENT;SUCCESS;T1\n")
+    ingest_transactions(spark, str(landing), table, ck, archive_dir=str(arch)).awaitTermination()
+    assert sorted(os.listdir(landing)) == ["transactions_04032021.txt"]
+    archived = [f for _, _, fs in os.walk(arch) for f in fs]
+    assert len(archived) == 4
+    assert spark.read.parquet(table).count() == 41
