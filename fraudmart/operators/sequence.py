@@ -34,39 +34,53 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKET_SECONDS = 3_600       # ordered neighbours: an hour per task
+DEFAULT_BUCKET_SECONDS = 3_600       # ordered neighbours: at most an hour per bucket
 DEFAULT_OVERLAP_BUCKET_SECONDS = 21_600  # bounded look-back: six hours, an hour of overlap
 DEFAULT_SPLIT_ROWS = 1_000_000       # a key with more rows is split by time
 DEFAULT_MAX_SPLIT_KEYS = 10_000      # size bound of the broadcast hot-key set
+DEFAULT_BUCKET_ROWS = 1_000_000      # aim per bucket of a hot key
 
 
 def _cols(names: Sequence[str]) -> list[Column]:
     return [F.col(n) for n in names]
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], split_rows: int = DEFAULT_SPLIT_ROWS,
+def hot_keys(df: DataFrame, keys: Sequence[str], sec: Column, split_rows: int = DEFAULT_SPLIT_ROWS,
              max_keys: int = DEFAULT_MAX_SPLIT_KEYS) -> DataFrame:
-    """Keys with more than ``split_rows`` rows: the ``max_keys`` largest."""
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_hk_n"))
+    """Keys with more than ``split_rows`` rows, the ``max_keys`` largest, with
+    their row count and first/last second (to size their buckets)."""
+    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_hk_n"), F.min(sec).alias("_hk_lo"),
+                                  F.max(sec).alias("_hk_hi"))
               .filter(F.col("_hk_n") > split_rows)
               .orderBy(F.desc("_hk_n")).limit(max_keys)
-              .select(*keys, F.lit(True).alias("_hk")))
+              .select(*keys, F.lit(True).alias("_hk"), "_hk_n", "_hk_lo", "_hk_hi"))
 
 
-def _flag_hot(df: DataFrame, keys: Sequence[str], split_rows: int, max_keys: int) -> DataFrame:
+def _flag_hot(df: DataFrame, keys: Sequence[str], sec: Column, split_rows: int, max_keys: int,
+              bucket_seconds: int, bucket_rows: int) -> DataFrame:
+    """Add ``_hk`` (split this key?) and ``_hk_w`` (its bucket width in
+    seconds). The width aims at ``bucket_rows`` rows per bucket from the key's
+    density, capped at ``bucket_seconds``; any width gives the same result."""
     if split_rows <= 0:
-        return df.withColumn("_hk", F.lit(True))
-    hot = hot_keys(df, keys, split_rows, max_keys)
+        return df.withColumns({"_hk": F.lit(True), "_hk_w": F.lit(int(bucket_seconds)).cast("long")})
+    hot = hot_keys(df, keys, sec, split_rows, max_keys)
     # The hot-key set has at most max_keys rows: a proven bound for broadcast.
+    span = F.col("_hk_hi") - F.col("_hk_lo") + 1
+    width = F.greatest(F.lit(1).cast("long"),
+                       F.least(F.lit(int(bucket_seconds)).cast("long"),
+                               F.floor(span * F.lit(bucket_rows) / F.col("_hk_n")).cast("long")))
     return (df.join(F.broadcast(hot), list(keys), "left")
-              .withColumn("_hk", F.coalesce(F.col("_hk"), F.lit(False))))
+              .withColumns({"_hk": F.coalesce(F.col("_hk"), F.lit(False)),
+                            "_hk_w": F.coalesce(width, F.lit(int(bucket_seconds)).cast("long"))})
+              .drop("_hk_n", "_hk_lo", "_hk_hi"))
 
 
 def ordered_neighbours(df: DataFrame, keys: Sequence[str], ts: str, tie: str,
                        values: Sequence[str], lags: int = 1, leads: int = 0,
                        bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
                        split_rows: int = DEFAULT_SPLIT_ROWS,
-                       max_split_keys: int = DEFAULT_MAX_SPLIT_KEYS) -> DataFrame:
+                       max_split_keys: int = DEFAULT_MAX_SPLIT_KEYS,
+                       bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
     """Add ``prev{j}_{v}`` (j = 1..lags) and ``next{j}_{v}`` (j = 1..leads)
     for each value column ``v``: the value of the j-th previous / next row of
     the same key in (ts, tie) order, null when there is none."""
@@ -75,9 +89,9 @@ def ordered_neighbours(df: DataFrame, keys: Sequence[str], ts: str, tie: str,
         return df
     keys = list(keys)
     b, rn, cnt = "_sq_bucket", "_sq_rn", "_sq_cnt"
-    d = _flag_hot(df, keys, split_rows, max_split_keys)
-    d = d.withColumn(b, F.when(F.col("_hk"), F.floor(F.unix_timestamp(F.col(ts)) / F.lit(bucket_seconds)))
-                     .otherwise(F.lit(-1)))
+    sec = F.unix_timestamp(F.col(ts))
+    d = _flag_hot(df, keys, sec, split_rows, max_split_keys, bucket_seconds, bucket_rows)
+    d = d.withColumn(b, F.when(F.col("_hk"), F.floor(sec / F.col("_hk_w"))).otherwise(F.lit(-1)))
     # Explicit shuffle on (key, bucket). Input that is already hash
     # partitioned by the key alone (a sort-merge join on it) would otherwise
     # satisfy the window's clustering, and a hot key would stay in one task.
@@ -108,21 +122,23 @@ def ordered_neighbours(df: DataFrame, keys: Sequence[str], ts: str, tie: str,
             fixes[f"next{j}_{v}"] = F.when(F.col(cnt) - F.col(rn) >= j, F.col(f"next{j}_{v}")) \
                 .otherwise(F.lead(v, j).over(w_edge))
     outer = d.filter(edge).withColumns(fixes)
-    return inner.unionByName(outer).drop(b, rn, cnt, "_hk")
+    return inner.unionByName(outer).drop(b, rn, cnt, "_hk", "_hk_w")
 
 
 def overlap_buckets(df: DataFrame, sec: str, lookback_seconds: int,
                     bucket_seconds: int = DEFAULT_OVERLAP_BUCKET_SECONDS,
-                    split: Column | None = None) -> DataFrame:
+                    split: Column | None = None, width: Column | None = None) -> DataFrame:
     """Assign ``_ob_bucket`` and ``_ob_native``: every row once in its own
     bucket of the epoch-seconds column ``sec`` (native) and, when it lies
     within ``lookback_seconds`` before the next bucket's start, once more in
     that bucket as context. Rows where ``split`` is false stay in bucket -1."""
-    width = max(int(bucket_seconds), int(lookback_seconds))
+    lookback = F.lit(int(lookback_seconds)).cast("long")
+    width = F.lit(int(bucket_seconds)).cast("long") if width is None else width
+    width = F.greatest(width, lookback)  # one carry bucket is enough
     sec = F.col(sec)
     split = F.lit(True) if split is None else split
-    own = F.when(split, F.floor(sec / F.lit(width))).otherwise(F.lit(-1))
-    carry = split & (sec >= (own + 1) * F.lit(width) - F.lit(lookback_seconds))
+    own = F.when(split, F.floor(sec / width)).otherwise(F.lit(-1))
+    carry = split & (sec >= (own + 1) * width - lookback)
     buckets = F.when(carry, F.array(own, own + 1)).otherwise(F.array(own))
     return (df.withColumn("_ob_own", own)
               .withColumn("_ob_bucket", F.explode(buckets))
@@ -134,7 +150,8 @@ def recent_other_value(df: DataFrame, keys: Sequence[str], sec: str, tie: str, v
                        lookback_seconds: int,
                        bucket_seconds: int = DEFAULT_OVERLAP_BUCKET_SECONDS,
                        split_rows: int = DEFAULT_SPLIT_ROWS,
-                       max_split_keys: int = DEFAULT_MAX_SPLIT_KEYS) -> DataFrame:
+                       max_split_keys: int = DEFAULT_MAX_SPLIT_KEYS,
+                       bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
     """Keep rows that have another row of the same key with a different
     ``value`` at most ``lookback_seconds`` earlier (or at the same second).
 
@@ -142,8 +159,8 @@ def recent_other_value(df: DataFrame, keys: Sequence[str], sec: str, tie: str, v
     row just before the current run of equal values; rows of the same second
     are checked with a peer frame."""
     keys = list(keys)
-    d = _flag_hot(df, keys, split_rows, max_split_keys)
-    d = overlap_buckets(d, sec, lookback_seconds, bucket_seconds, F.col("_hk"))
+    d = _flag_hot(df, keys, F.col(sec), split_rows, max_split_keys, bucket_seconds, bucket_rows)
+    d = overlap_buckets(d, sec, lookback_seconds, bucket_seconds, F.col("_hk"), F.col("_hk_w"))
     part = [*_cols(keys), F.col("_ob_bucket")]
     d = d.repartition(*part)  # see ordered_neighbours: never inherit a key-only partitioning
     w = Window.partitionBy(*part).orderBy(F.col(sec), F.col(tie))
@@ -160,5 +177,5 @@ def recent_other_value(df: DataFrame, keys: Sequence[str], sec: str, tie: str, v
     hit = ((F.col(sec) - F.col("_rov_other_sec") <= lookback_seconds)
            | (F.col("_rov_pmin") != F.col("_rov_pmax")))
     return (d.filter(F.col("_ob_native") & hit)
-             .drop("_hk", "_ob_bucket", "_ob_native", "_rov_start", "_rov_other_sec",
+             .drop("_hk", "_hk_w", "_ob_bucket", "_ob_native", "_rov_start", "_rov_other_sec",
                    "_rov_pmin", "_rov_pmax"))

@@ -36,11 +36,14 @@ def test_ordered_neighbours_matches_plain_window(spark):
     w = Window.partitionBy("k").orderBy("ts", "id")
     plain = df.select("id", *[F.lag("v", j).over(w).alias(f"prev{j}_v") for j in (1, 2, 3)],
                       *[F.lead("city", j).over(w).alias(f"next{j}_city") for j in (1, 2)])
-    for bucket, split in ((600, 0), (3600, 0), (86400, 0), (600, 100), (600, 10_000)):
+    # (bucket cap, split_rows, bucket_rows): all keys split, only the hot key,
+    # none, and adaptive widths of a few rows per bucket.
+    for bucket, split, per in ((600, 0, 10**6), (3600, 0, 10**6), (86400, 0, 10**6), (600, 100, 10**6),
+                               (600, 10_000, 10**6), (86400, 100, 10), (86400, 50, 3)):
         got = ordered_neighbours(df, ["k"], "ts", "id", ["v", "city"], lags=3, leads=2,
-                                 bucket_seconds=bucket, split_rows=split)
+                                 bucket_seconds=bucket, split_rows=split, bucket_rows=per)
         got = got.select("id", "prev1_v", "prev2_v", "prev3_v", "next1_city", "next2_city")
-        assert sorted(got.collect()) == sorted(plain.collect()), (bucket, split)
+        assert sorted(got.collect()) == sorted(plain.collect()), (bucket, split, per)
 
 
 def test_ordered_neighbours_on_shared_events(spark):
@@ -65,9 +68,11 @@ def test_recent_other_value_matches_brute_force(spark):
                 if k2 == k and city2 != city and 0 <= gap <= lookback:
                     expected.add(i)
                     break
-        for bucket, split in ((1800, 0), (86400, 0), (1800, 100), (1800, 10_000)):
-            got = recent_other_value(df, ["k"], "sec", "id", "city", lookback, bucket, split)
-            assert sorted(r["id"] for r in got.collect()) == sorted(expected), (lookback, bucket, split)
+        for bucket, split, per in ((1800, 0, 10**6), (86400, 0, 10**6), (1800, 100, 10**6),
+                                   (1800, 10_000, 10**6), (86400, 50, 5)):
+            got = recent_other_value(df, ["k"], "sec", "id", "city", lookback, bucket, split,
+                                     bucket_rows=per)
+            assert sorted(r["id"] for r in got.collect()) == sorted(expected), (lookback, bucket, split, per)
 
 
 def test_hot_key_is_shuffled_by_bucket_even_when_input_is_partitioned_by_key(spark):
