@@ -10,8 +10,9 @@ Only hot keys are split. A count per key (combined map-side, so it shuffles
 one row per key and partition) finds the keys above ``split_rows`` rows; at
 most ``max_split_keys`` of them, the largest, are kept, so the broadcast set
 has a fixed size bound. Every other key stays one group, and its rows need no
-repair. Which keys are split never changes a result, only where the work
-runs.
+repair. A hot key's bucket width follows its density (about
+``bucket_rows`` rows per bucket, at most ``bucket_seconds``). Which keys are
+split, and how finely, never changes a result, only where the work runs.
 
 ``ordered_neighbours``: exact ``lag``/``lead`` up to k steps, unbounded in
 time. Window per (key, bucket); then only the first and last k rows of every
