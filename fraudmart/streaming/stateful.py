@@ -1,4 +1,6 @@
-"""Rules 3 (any pair) and 4 on a transaction stream, with keyed state.
+"""Rules 3 (adjacent pairs or any pair) and 4 on a transaction stream,
+with keyed state; ``stream_sequence_rules`` runs 3 and 4 in one operator
+(a streaming query takes one applyInPandasWithState).
 
 Neighbours in a stream are only final once no earlier operation can still
 arrive, so each key (client or card) buffers its rows in state until the
