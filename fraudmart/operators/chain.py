@@ -51,7 +51,7 @@ def ownership_chain(wh: Warehouse, transactions: DataFrame | None = None,
                     owners: DataFrame | None = None) -> DataFrame:
     """Transactions with their card's owner (inner: unknown cards drop out)."""
     tx = transactions if transactions is not None else v_transactions(wh)
-    owners = owners if owners is not None else owner_dim(wh)
+    owners = owners if owners is not None else wh.owners
     return tx.join(owners, "card_num")
 
 

@@ -53,7 +53,7 @@ def fraud_passport(wh: Warehouse, report_dt=None, as_of=None,
     """Rule 1: a successful operation while the passport is expired
     (passport_valid_to <= trans_date) or blacklisted (entry_dt <= trans_date).
     One row per matching blacklist entry, as the left join gives."""
-    owners = chain.with_blacklist(chain.owner_dim(wh), chain.current_blacklist(wh, as_of))
+    owners = chain.with_blacklist(wh.owners, chain.current_blacklist(wh, as_of))
     # Cards whose owner has neither an expiry date nor a blacklist entry can
     # never match; dropping them here shrinks the big join's dimension side.
     owners = owners.filter(F.col("entry_dt").isNotNull() | F.col("passport_valid_to").isNotNull())
@@ -67,7 +67,7 @@ def fraud_passport(wh: Warehouse, report_dt=None, as_of=None,
 def fraud_contract(wh: Warehouse, report_dt=None) -> DataFrame:
     """Rule 2: a successful operation on an account whose contract ended
     (valid_to <= trans_date; the end day itself counts from midnight)."""
-    owners = chain.owner_dim(wh).filter(F.col("valid_to").isNotNull())
+    owners = wh.owners.filter(F.col("valid_to").isNotNull())
     rows = chain.ownership_chain(wh, _success(wh), owners)
     rows = rows.filter(F.col("valid_to") <= F.col("trans_date"))
     return _emit(rows, schemas.EVENT_CONTRACT, report_dt)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
@@ -24,3 +25,10 @@ class Warehouse:
 
     def with_(self, **changes: DataFrame) -> "Warehouse":
         return replace(self, **changes)
+
+    @functools.cached_property
+    def owners(self) -> DataFrame:
+        """The card-level owner dimension, planned once per warehouse (a lazy
+        plan, no data is cached)."""
+        from fraudmart.operators.chain import owner_dim
+        return owner_dim(self)
