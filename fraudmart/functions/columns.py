@@ -31,9 +31,9 @@ def ts_lit(value: _dt.datetime | str | None) -> Column:
 
 
 def date_lit(value: _dt.date | str | None) -> Column:
-    """A date literal; ``None`` means today."""
+    """A date literal; ``None`` means today's UTC day (the report date)."""
     if value is None:
-        return F.current_date()
+        value = _dt.datetime.now(_dt.timezone.utc).date()
     if isinstance(value, _dt.datetime):
         value = value.date()
     if isinstance(value, _dt.date):
