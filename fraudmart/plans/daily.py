@@ -31,6 +31,7 @@ class DayResult:
     seeded: dict[str, bool] = field(default_factory=dict)
     loaded_files: dict[str, list[str]] = field(default_factory=dict)
     exported: list[str] = field(default_factory=list)
+    rejects: dict[str, int] = field(default_factory=dict)
 
 
 def new_files(store: TableStore, listing: DataFrame, kind: str) -> DataFrame:
@@ -117,6 +118,17 @@ def archive(spark: SparkSession, paths: list[str], landing: str, archive_dir: st
     return out
 
 
+def transaction_rejects(store: TableStore, paths: list[str]) -> int:
+    """Rows of the loaded feed files whose amount or time did not parse. They
+    are stored (with nulls), not dropped; this counts them from the table,
+    reading only the loaded files' rows and two columns."""
+    if not paths:
+        return 0
+    names = sorted({p.rsplit("/", 1)[-1] for p in paths})
+    tx = store.read("transactions").filter(F.col("file_name").isin(names))
+    return tx.filter(F.col("amt").isNull() | F.col("trans_date").isNull()).count()
+
+
 def load_feeds(spark: SparkSession, landing: str, root: str) -> dict[str, list[str]]:
     """Load every new feed file of the landing folder into the warehouse."""
     store = TableStore(spark, root)
@@ -137,6 +149,7 @@ def run_day(spark: SparkSession, landing: str, root: str, seeds: dict[str, DataF
         res.seeded = ensure_dimensions(store, seeds)
     ensure_history_tables(store)
     res.loaded_files = load_feeds(spark, landing, root)
+    res.rejects["transactions"] = transaction_rejects(store, res.loaded_files["transactions"])
     report_dt = report_dt or rules.default_report_dt()
     rep = report.build_report(store.warehouse(), report_dt, as_of, since=since)
     report.write_report(store, rep)

@@ -165,3 +165,19 @@ def test_run_day_since_reports_only_new_events(spark, tmp_path):
     want = full.filter(F.col("event_dt") >= F.lit("2021-03-03 00:00:00").cast("timestamp_ntz"))
     assert sorted(mart.collect()) == sorted(want.collect())
     assert mart.count() < full.count()
+
+
+def test_unparsable_amounts_are_kept_and_counted(spark, tmp_path):
+    landing = _landing(tmp_path)
+    with open(os.path.join(landing, "transactions_05032021.txt"), "w") as f:
+        f.write("transaction_id;transaction_date;amount;card_num;oper_type;oper_result;terminal\n"
+                "70;2021-03-05 10:00:00;1 234,5;c1;PAYMENT;SUCCESS;T1\n"
+                "71;2021-03-05 10:01:00;12,50;c1;PAYMENT;SUCCESS;T1\n")
+    wh = planted_warehouse(spark)
+    res = run_day(spark, landing, str(tmp_path / "wh"),
+                  seeds={"cards": wh.cards, "accounts": wh.accounts, "clients": wh.clients},
+                  report_dt="2021-03-06")
+    assert res.rejects == {"transactions": 1}
+    tx = TableStore(spark, str(tmp_path / "wh")).read("transactions")
+    assert tx.count() == 42
+    assert tx.filter(F.col("trans_id") == "70").first()["amt"] is None
