@@ -21,7 +21,7 @@ def test_passport_expired_or_blacklisted(planted):
 def test_report_columns_and_values(planted):
     out = rules.report_rows(rules.fraud_passport(planted, REPORT_DT, AS_OF))
     assert out.columns == schemas.REPORT_COLUMNS
-    row = out.orderBy("event_dt").first()
+    row = out.orderBy("event_dt", "passport").first()  # 2 and 4 share a timestamp
     assert row["event_dt"] == dt.datetime(2021, 3, 1, 0, 0)
     assert row["passport"] == "p2"
     assert row["fio"] == "Last2 First2 Middle2"
