@@ -6,17 +6,36 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fraudmart.llm import token_store
 from fraudmart.llm.common import read
 from fraudmart.llm.minhash import near_duplicates
+from fraudmart.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+TOKENIZER = "word_bpe_49k.json"
+END_ID = 2
+
+
+def tokenizer_file(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op1_token_store(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    store = token_store.write_token_store(docs, scratch_path(spark, "tokens"), tokenizer_file(), end_id=END_ID)
+    return token_store.digests(store, docs)
+
+
 def op4_near_duplicates(spark, sf_dir):
     return near_duplicates(read(spark, sf_dir, "documents"), width=3, percent=85)
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_token_store,
     op4_near_duplicates,
 )}
 
