@@ -1,7 +1,18 @@
 """The corpus pipeline: documents in, a token store out.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
-as Parquet and read again as the next stage's documents.
+as Parquet and read again as the next stage's documents. All stages but the
+last return the columns of documents:
+
+1. quality rules: documents that fail the line rules or the base rules go; the
+   others keep the lines that passed.
+2. near-duplicates: five-word shingles, similarity 0.8; the smallest id of each
+   group stays, once.
+3. benchmark decontamination: documents that hold a benchmark passage go.
+4. mixing to source weights: documents are taken as often as the mix takes them.
+5. token ids: a token store is written; one row per stored document.
+
+Null ids are kept by every stage (they cannot be linked as duplicates).
 """
 
 from __future__ import annotations
@@ -9,17 +20,72 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudmart.llm.common import read, stored
+from fraudmart.llm import decontaminate, line_clean, minhash, mixing, token_store
+from fraudmart.llm.common import DOCUMENT_COLUMNS, read, stored
+from fraudmart.llm.queries import END_ID, tokenizer_file
+from fraudmart.session import scratch_path
+
+
+def _documents(df: DataFrame) -> DataFrame:
+    return df.select(*DOCUMENT_COLUMNS)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    judged = line_clean.line_statistics(_documents(docs)).filter("kept")
+    return _documents(judged.drop("text").withColumnRenamed("clean_text", "text")
+                      .withColumn("n_chars", F.length("text").cast("long")))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    verdict = minhash.near_duplicates(docs, width=5, percent=80)
+    gone = verdict.filter("doc_id is not null and not kept").select("doc_id").distinct()
+    left = _documents(docs).join(gone, "doc_id", "left_anti")
+    # rows that repeat an id are one document: the first by text stays
+    first = F.min(F.struct(F.col("text"), F.col("lang"), F.col("source"), F.col("n_chars")))
+    repeated = stored(verdict.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
+                      .select("doc_id"), "repeated-ids")
+    once = (left.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(first.alias("f"))
+            .select("doc_id", "f.text", "f.lang", "f.source", "f.n_chars"))
+    return _documents(left.join(repeated, "doc_id", "left_anti")).unionByName(_documents(once))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    hits = stored(decontaminate.overlaps(docs, read(spark, sf_dir, "benchmark"))
+                  .filter("doc_id is not null").select("doc_id").distinct(), "contaminated")
+    return _documents(_documents(docs).join(hits, "doc_id", "left_anti"))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    size = F.coalesce(line_clean.n_words(F.col("text")), F.lit(0)).cast("long")
+    sizes = stored(_documents(docs).select("doc_id", "source", size.alias("size")), "sizes")
+    taken = mixing.mix(sizes, mixing.cyclic_weights(sizes)).documents
+    # rows equal in id, source and size share what the mix takes of them
+    times = (taken.groupBy("doc_id", "source", "size")
+             .agg(F.ceil(F.sum("times") / F.count("*")).cast("int").alias("times")).filter("times > 0"))
+    d = _documents(docs).withColumn("size", size).alias("d")
+    same = (F.col("d.doc_id").eqNullSafe(F.col("t.doc_id")) & F.col("d.source").eqNullSafe(F.col("t.source"))
+            & (F.col("d.size") == F.col("t.size")))
+    mixed = d.join(times.alias("t"), same).withColumn(
+        "pass", F.explode(F.sequence(F.lit(1), F.col("t.times"))))
+    return mixed.select(*[F.col(f"d.{c}") for c in DOCUMENT_COLUMNS])
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    store = token_store.write_token_store(docs, scratch_path(spark, "pipeline-tokens"), tokenizer_file(),
+                                          end_id=END_ID)
+    return token_store.digests(store, docs)
+
 
-STAGES: list = []
+STAGES = [("quality_rules", quality_rules), ("near_duplicates", near_duplicates),
+          ("decontamination", decontamination), ("source_mix", source_mix), ("token_ids", token_ids)]
 
-#: The near-duplicate signatures, the shuffle order and the tokenizer cannot be
-#: written as SQL; tests compare the pipeline with a brute-force version.
+#: Signatures, token ids and files cannot be written as SQL; tests compare the
+#: stages with brute-force versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

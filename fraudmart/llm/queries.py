@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fraudmart.llm import token_store
+from fraudmart.llm import decontaminate, line_clean, mixing, token_store
 from fraudmart.llm.common import read
 from fraudmart.llm.minhash import near_duplicates
 from fraudmart.session import scratch_path
@@ -30,13 +31,33 @@ def op1_token_store(spark, sf_dir):
     return token_store.digests(store, docs)
 
 
+def op3_decontamination(spark, sf_dir):
+    return decontaminate.overlaps(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op4_near_duplicates(spark, sf_dir):
     return near_duplicates(read(spark, sf_dir, "documents"), width=3, percent=85)
 
 
+def op5_line_cleaning(spark, sf_dir):
+    judged = line_clean.line_statistics(read(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         "base_failed", "kept", "lost_words")
+
+
+def op7_source_mixing(spark, sf_dir):
+    sizes = read(spark, sf_dir, "documents").select(
+        "doc_id", "source", F.coalesce(line_clean.n_words(F.col("text")), F.lit(0)).cast("long").alias("size"))
+    return mixing.mix(sizes, mixing.cyclic_weights(sizes)).documents.select(
+        "doc_id", "size", "source_size", "target", "taken", "source")
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_token_store,
+    op3_decontamination,
     op4_near_duplicates,
+    op5_line_cleaning,
+    op7_source_mixing,
 )}
 
 SQL: dict[str, str] = {}
