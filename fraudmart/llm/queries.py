@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudmart.llm import decontaminate, line_clean, mixing, token_store
+from fraudmart.llm import (decontaminate, license_scan, line_clean, mixing, pseudonyms, token_histogram,
+                           token_store)
 from fraudmart.llm.common import read
 from fraudmart.llm.minhash import near_duplicates
 from fraudmart.session import scratch_path
@@ -17,6 +18,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
+#: The registered query's key; a production run passes its own secret.
+PSEUDONYM_KEY = "registered-query-key"
 
 
 def tokenizer_file(name: str = TOKENIZER) -> str:
@@ -45,6 +48,11 @@ def op5_line_cleaning(spark, sf_dir):
                          "base_failed", "kept", "lost_words")
 
 
+def op6_pseudonyms(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonyms.pseudonymise(docs, PSEUDONYM_KEY)
+
+
 def op7_source_mixing(spark, sf_dir):
     sizes = read(spark, sf_dir, "documents").select(
         "doc_id", "source", F.coalesce(line_clean.n_words(F.col("text")), F.lit(0)).cast("long").alias("size"))
@@ -52,12 +60,24 @@ def op7_source_mixing(spark, sf_dir):
         "doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op8_license_scan(spark, sf_dir):
+    return license_scan.scan(read(spark, sf_dir, "documents"))
+
+
+def op9_token_histogram(spark, sf_dir):
+    lengths = token_histogram.length_histogram(read(spark, sf_dir, "documents"), tokenizer_file(), extra=1)
+    return token_histogram.with_sums(lengths)
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_token_store,
     op3_decontamination,
     op4_near_duplicates,
     op5_line_cleaning,
+    op6_pseudonyms,
     op7_source_mixing,
+    op8_license_scan,
+    op9_token_histogram,
 )}
 
 SQL: dict[str, str] = {}
