@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudmart.llm import (decontaminate, license_scan, line_clean, mixing, pseudonyms, token_histogram,
-                           token_store)
-from fraudmart.llm.common import read
+from fraudmart.llm import (decontaminate, language_mixture, license_scan, line_clean, mixing, pseudonyms,
+                           token_histogram, token_store)
+from fraudmart.llm.common import crc_bucket, read
 from fraudmart.llm.minhash import near_duplicates
 from fraudmart.session import scratch_path
 
@@ -34,6 +34,14 @@ def op1_token_store(spark, sf_dir):
     return token_store.digests(store, docs)
 
 
+def op2_language_mixture(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    bucket = crc_bucket(F.col("doc_id"))
+    model = language_mixture.fit(docs, F.coalesce(bucket != 1, F.lit(True)))
+    return language_mixture.predict(docs, model).select(
+        "doc_id", F.coalesce(bucket == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", "langs", "shares")
+
+
 def op3_decontamination(spark, sf_dir):
     return decontaminate.overlaps(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -71,6 +79,7 @@ def op9_token_histogram(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_token_store,
+    op2_language_mixture,
     op3_decontamination,
     op4_near_duplicates,
     op5_line_cleaning,
