@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudmart.llm import (decontaminate, language_mixture, license_scan, line_clean, mixing, pseudonyms,
-                           token_histogram, token_store)
+                           token_histogram, token_store, toxicity)
 from fraudmart.llm.common import crc_bucket, read
 from fraudmart.llm.minhash import near_duplicates
 from fraudmart.session import scratch_path
@@ -77,6 +77,15 @@ def op9_token_histogram(spark, sf_dir):
     return token_histogram.with_sums(lengths)
 
 
+def op10_toxicity(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    bucket = crc_bucket(F.col("doc_id"))
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"), bucket != 1)
+    return toxicity.score(docs, model).select(
+        "doc_id", F.coalesce(bucket == 1, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"), "evidence")
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_token_store,
     op2_language_mixture,
@@ -87,6 +96,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op7_source_mixing,
     op8_license_scan,
     op9_token_histogram,
+    op10_toxicity,
 )}
 
 SQL: dict[str, str] = {}
