@@ -10,5 +10,6 @@ from fraudmart.functions.columns import (  # noqa: F401
     epoch_seconds,
     excel_serial_to_date,
     full_name,
+    iso_date,
     ts_lit,
 )

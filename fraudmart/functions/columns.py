@@ -41,6 +41,15 @@ def date_lit(value: _dt.date | str | None) -> Column:
     return F.lit(value).cast("date")
 
 
+def iso_date(value: _dt.date | str | None) -> str:
+    """A report date as ``YYYY-MM-DD``; ``None`` means today's UTC day."""
+    if value is None:
+        value = _dt.datetime.now(_dt.timezone.utc).date()
+    if isinstance(value, _dt.datetime):
+        value = value.date()
+    return value.isoformat() if isinstance(value, _dt.date) else _dt.date.fromisoformat(value[:10]).isoformat()
+
+
 def full_name(last: Column | str = "last_name", first: Column | str = "first_name",
               patronymic: Column | str = "patronymic") -> Column:
     """``last || ' ' || first || ' ' || patronymic``: null when any part is null

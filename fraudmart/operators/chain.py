@@ -10,7 +10,7 @@ otherwise; AQE splits a skewed card or terminal partition.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fraudmart.functions import full_name
@@ -71,16 +71,33 @@ def with_terminal(rows: DataFrame, terminals: DataFrame) -> DataFrame:
     return rows.join(t, rows["terminal"] == t["terminal_id"])
 
 
+def merged_intervals(history: DataFrame) -> DataFrame:
+    """Terminal history with equal consecutive intervals merged: a daily slice
+    starts a row every day, so an unchanged terminal has one row per day
+    loaded. Windows run per terminal key (at most one row per slice)."""
+    keys, attrs = ["terminal_id", "terminal_type"], ["terminal_city", "terminal_address"]
+    w = Window.partitionBy(*keys).orderBy("effective_from")
+    same = F.lit(True)
+    for a in (*attrs, "deleted_flg"):
+        same = same & F.col(a).eqNullSafe(F.lag(a).over(w))
+    joined = same & (F.lag("effective_to").over(w) + F.expr("INTERVAL 1 SECOND") >= F.col("effective_from"))
+    runs = history.withColumn("_new", (~F.coalesce(joined, F.lit(False))).cast("int")) \
+        .withColumn("_run", F.sum("_new").over(w))
+    return (runs.groupBy(*keys, *attrs, "deleted_flg", "_run")
+            .agg(F.min("effective_from").alias("effective_from"), F.max("effective_to").alias("effective_to"))
+            .drop("_run"))
+
+
 def with_terminal_at_event(rows: DataFrame, terminal_history: DataFrame) -> DataFrame:
     """Point-in-time variant: the terminal row valid when the operation took
-    place (trans_date between effective_from and effective_to). An equi-join
-    on the id with the interval as a join condition; a terminal has one
-    history row per slice, so the fan-out per id stays small."""
-    t = (terminal_history.filter(F.col("deleted_flg") == 0)
+    place, from ``effective_from`` to the end of the second ``effective_to``. An
+    equi-join on the id with the interval as a join condition, over merged
+    intervals, so an operation meets one candidate per change, not per day."""
+    t = (merged_intervals(terminal_history.filter(F.col("deleted_flg") == 0))
          .select("terminal_id", "terminal_type", "terminal_city", "terminal_address",
                  F.col("effective_from").alias("_t_from"), F.col("effective_to").alias("_t_to")))
-    cond = ((rows["terminal"] == t["terminal_id"])
-            & rows["trans_date"].between(t["_t_from"], t["_t_to"]))
+    cond = ((rows["terminal"] == t["terminal_id"]) & (rows["trans_date"] >= t["_t_from"])
+            & (rows["trans_date"] < t["_t_to"] + F.expr("INTERVAL 1 SECOND")))
     return rows.join(t, cond).drop("_t_from", "_t_to")
 
 

@@ -21,10 +21,11 @@ from fraudmart.functions import ts_lit
 
 def as_of(history: DataFrame, at: _dt.datetime | str | Column | None = None,
           include_deleted: bool = False) -> DataFrame:
-    """Rows valid at ``at`` (inclusive bounds); ``None`` means now.
+    """Rows valid at ``at``, up to the end of the second ``effective_to``; ``None``
+    means now.
     Soft-deleted rows (deleted_flg = 1) are left out unless asked for."""
     at_col = at if isinstance(at, Column) else ts_lit(at)
-    cond = at_col.between(F.col("effective_from"), F.col("effective_to"))
+    cond = (at_col >= F.col("effective_from")) & (at_col < F.col("effective_to") + F.expr("INTERVAL 1 SECOND"))
     if not include_deleted:
         cond = cond & (F.col("deleted_flg") == 0)
     return history.filter(cond)
@@ -76,26 +77,35 @@ def history_as_slices(history: DataFrame, keys: Sequence[str], attrs: Sequence[s
 
 
 def load_history(existing: DataFrame | None, new_slices: DataFrame, keys: Sequence[str],
-                 attrs: Sequence[str], close_missing: bool = False) -> DataFrame:
-    """Fold new slices into stored history; order-free and idempotent."""
-    rows = new_slices.select(*keys, *attrs, "effective_from")
+                 attrs: Sequence[str], close_missing: bool = False, row_col: str | None = None) -> DataFrame:
+    """Fold new slices into stored history; order-free and idempotent. With
+    ``row_col`` the largest of it wins when a key repeats in a slice, and rows
+    loaded now win over stored rows of the same slice (a corrected slice)."""
+    order = F.struct(F.lit(1).alias("load"), (F.col(row_col) if row_col else F.lit(None)).alias("row"))
+    rows = new_slices.select(*keys, *attrs, "effective_from", order.alias("_order"))
     if existing is not None:
-        rows = history_as_slices(existing, keys, attrs).unionByName(rows)
-    return scd2_history(rows, keys, attrs, close_missing=close_missing)
+        first = F.struct(F.lit(0).alias("load"), F.lit(None).cast(rows.schema["_order"].dataType["row"].dataType).alias("row"))
+        rows = history_as_slices(existing, keys, attrs).withColumn("_order", first).unionByName(rows)
+    return scd2_history(rows, keys, attrs, row_col="_order", close_missing=close_missing)
 
 
 def insert_if_absent(existing: DataFrame | None, incoming: DataFrame, keys: Sequence[str],
                      from_col: str = "effective_from") -> DataFrame:
-    """Rows of ``incoming`` whose key is not stored yet, each key once with its
-    earliest ``from_col``; open-ended, not deleted. Null keys never match and
-    are dropped (``insert_if_absent_rejects`` counts them)."""
+    """Rows of ``incoming`` whose key is not stored yet, or is stored from a
+    later time than an older file gives: each key once with its earliest
+    ``from_col``; open-ended, not deleted. Readers take the earliest row of a key,
+    so files may arrive in any order. Null keys never match and are dropped
+    (``insert_if_absent_rejects`` counts them)."""
     keys = list(keys)
     not_null = F.lit(True)
     for k in keys:
         not_null = not_null & F.col(k).isNotNull()
     first = incoming.filter(not_null).groupBy(*keys).agg(F.min(from_col).alias("effective_from"))
     if existing is not None:
-        first = first.join(existing.select(*keys), on=keys, how="left_anti")
+        known = existing.groupBy(*keys).agg(F.min("effective_from").alias("_known_from"))
+        first = (first.join(known, keys, "left")
+                 .filter(F.col("_known_from").isNull() | (F.col("effective_from") < F.col("_known_from")))
+                 .drop("_known_from"))
     return (first.withColumn("effective_to", ts_lit(schemas.OPEN_END))
                  .withColumn("deleted_flg", F.lit(0)))
 

@@ -1,31 +1,23 @@
-"""Ordered-neighbour operators that stay parallel when one key is hot.
-
-A plain ``Window.partitionBy(key).orderBy(ts)`` sends every row of a key to
-one task. When a single card or client holds a third of all rows, that task
-is the whole job. Both helpers here split a key's history into time buckets
-so that a hot key spreads over many tasks, and they still return exactly the
-answer of the plain window.
-
-Only hot keys are split. A count per key (combined map-side, so it shuffles
-one row per key and partition) finds the keys above ``split_rows`` rows; at
-most ``max_split_keys`` of them, the largest, are kept, so the broadcast set
-has a fixed size bound. Every other key stays one group, and its rows need no
-repair. A hot key's bucket width follows its density (about
-``bucket_rows`` rows per bucket, at most ``bucket_seconds``). Which keys are
-split, and how finely, never changes a result, only where the work runs.
-
-``ordered_neighbours``: exact ``lag``/``lead`` up to k steps, unbounded in
-time. Window per (key, bucket); then only the first and last k rows of every
-bucket of a split key go through a second window per key (at most 2k rows
-per bucket), which gives the true neighbours of rows near a bucket edge.
-Rows away from the edges keep their in-bucket values. No join of the large
-side; the two halves are a union over one reused shuffle.
-
-``overlap_buckets``: for frames bounded in time (look back at most N
-seconds). Each row goes to its own bucket and, when it lies within N seconds
-of the next bucket's start, also to that bucket as a context row. A window
-per (key, bucket) then sees every row it needs; results are taken from the
-native rows only.
+"""Neighbours in time that stay parallel when one key is hot.
+
+A plain ``Window.partitionBy(key).orderBy(ts)`` sends every row of a key to one
+task. Nothing here does, and nothing depends on a row count, a threshold or a
+list of hot keys.
+
+``ordered_neighbours``: exact lag/lead, unbounded in time. Rows are range
+partitioned by (key, ts, tie), so any key splits anywhere, a burst of one
+second included. Windows run per (key, range partition). Only a key that
+straddles a partition boundary needs repair, and there are fewer such keys than
+partitions: a proven bound for the broadcast. Their first and last k rows per
+partition go through a second small window.
+
+``context_buckets``: for look-backs bounded in time. Every row goes to the time
+bucket of its own and, when it lies at most the look-back before the next
+bucket's start, also to that bucket as context. A window per (key, bucket) then
+sees all it needs in one shuffle; results are taken from the native rows.
+
+``recent_other_value``: first reduced to the smallest and largest value per key
+and second, so no window holds more than one row per second.
 """
 
 from __future__ import annotations
@@ -35,72 +27,48 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKET_SECONDS = 3_600       # ordered neighbours: at most an hour per bucket
-DEFAULT_OVERLAP_BUCKET_SECONDS = 21_600  # bounded look-back: six hours, an hour of overlap
-DEFAULT_SPLIT_ROWS = 1_000_000       # a key with more rows is split by time
-DEFAULT_MAX_SPLIT_KEYS = 10_000      # size bound of the broadcast hot-key set
-DEFAULT_BUCKET_ROWS = 1_000_000      # aim per bucket of a hot key
+from fraudmart.session import scratch_path
+
+DEFAULT_BUCKET_SECONDS = 43_200  # context buckets: twelve hours and their look-back
 
 
 def _cols(names: Sequence[str]) -> list[Column]:
     return [F.col(n) for n in names]
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], sec: Column, split_rows: int = DEFAULT_SPLIT_ROWS,
-             max_keys: int = DEFAULT_MAX_SPLIT_KEYS) -> DataFrame:
-    """Keys with more than ``split_rows`` rows, the ``max_keys`` largest, with
-    their row count and first/last second (to size their buckets)."""
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_hk_n"), F.min(sec).alias("_hk_lo"),
-                                  F.max(sec).alias("_hk_hi"))
-              .filter(F.col("_hk_n") > split_rows)
-              .orderBy(F.desc("_hk_n")).limit(max_keys)
-              .select(*keys, F.lit(True).alias("_hk"), "_hk_n", "_hk_lo", "_hk_hi"))
-
-
-def _flag_hot(df: DataFrame, keys: Sequence[str], sec: Column, split_rows: int, max_keys: int,
-              bucket_seconds: int, bucket_rows: int) -> DataFrame:
-    """Add ``_hk`` (split this key?) and ``_hk_w`` (its bucket width in
-    seconds). The width aims at ``bucket_rows`` rows per bucket from the key's
-    density, capped at ``bucket_seconds``; any width gives the same result."""
-    if split_rows <= 0:
-        return df.withColumns({"_hk": F.lit(True), "_hk_w": F.lit(int(bucket_seconds)).cast("long")})
-    hot = hot_keys(df, keys, sec, split_rows, max_keys)
-    # The hot-key set has at most max_keys rows: a proven bound for broadcast.
-    span = F.col("_hk_hi") - F.col("_hk_lo") + 1
-    width = F.greatest(F.lit(1).cast("long"),
-                       F.least(F.lit(int(bucket_seconds)).cast("long"),
-                               F.floor(span * F.lit(bucket_rows) / F.col("_hk_n")).cast("long")))
-    return (df.join(F.broadcast(hot), list(keys), "left")
-              .withColumns({"_hk": F.coalesce(F.col("_hk"), F.lit(False)),
-                            "_hk_w": F.coalesce(width, F.lit(int(bucket_seconds)).cast("long"))})
-              .drop("_hk_n", "_hk_lo", "_hk_hi"))
-
-
 def ordered_neighbours(df: DataFrame, keys: Sequence[str], ts: str, tie: str,
                        values: Sequence[str], lags: int = 1, leads: int = 0,
-                       bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-                       split_rows: int = DEFAULT_SPLIT_ROWS,
-                       max_split_keys: int = DEFAULT_MAX_SPLIT_KEYS,
-                       bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
+                       partitions: int | None = None) -> DataFrame:
     """Add ``prev{j}_{v}`` (j = 1..lags) and ``next{j}_{v}`` (j = 1..leads)
     for each value column ``v``: the value of the j-th previous / next row of
-    the same key in (ts, tie) order, null when there is none."""
+    the same key in (ts, tie) order, null when there is none. ``partitions``:
+    number of ranges (default: the session's shuffle partitions).
+
+    The ranged rows are written once, so the input is read once and a rerun of
+    a lost task sees the same ranges."""
     m = max(lags, leads)
     if m < 1:
         return df
-    keys = list(keys)
-    b, rn, cnt = "_sq_bucket", "_sq_rn", "_sq_cnt"
-    sec = F.unix_timestamp(F.col(ts))
-    d = _flag_hot(df, keys, sec, split_rows, max_split_keys, bucket_seconds, bucket_rows)
-    d = d.withColumn(b, F.when(F.col("_hk"), F.floor(sec / F.col("_hk_w"))).otherwise(F.lit(-1)))
-    # Explicit shuffle on (key, bucket). Input that is already hash
-    # partitioned by the key alone (a sort-merge join on it) would otherwise
-    # satisfy the window's clustering, and a hot key would stay in one task.
-    d = d.repartition(*_cols(keys), F.col(b))
+    spark, keys = df.sparkSession, list(keys)
+    part, rn, cnt, cut = "_sq_part", "_sq_rn", "_sq_cnt", "_sq_cut"
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, "ranged")
+    (df.repartitionByRange(n, *_cols(keys), F.col(ts), F.col(tie))
+     .withColumn(part, F.spark_partition_id()).write.parquet(path))
+    d = spark.read.parquet(path)
+    # at most one key crosses each of the n - 1 boundaries
+    same = [F.col(f"_cut_{k}") for k in keys]
+    cuts = (d.groupBy(*_cols(keys)).agg(F.min(part).alias("_lo"), F.max(part).alias("_hi"))
+            .filter("_lo < _hi").select(*[F.col(k).alias(f"_cut_{k}") for k in keys], F.lit(True).alias(cut)))
+    on = F.lit(True)
+    for k, c in zip(keys, same):
+        on = on & F.col(k).eqNullSafe(c)
+    d = d.join(F.broadcast(cuts), on, "left").drop(*[f"_cut_{k}" for k in keys])
     order = [F.col(ts), F.col(tie)]
-    w_in = Window.partitionBy(*_cols(keys), F.col(b)).orderBy(*order)
-    w_all = Window.partitionBy(*_cols(keys), F.col(b))
-    in_cols: dict[str, Column] = {rn: F.row_number().over(w_in), cnt: F.count(F.lit(1)).over(w_all)}
+    group = [*_cols(keys), F.col(part)]
+    w_in = Window.partitionBy(*group).orderBy(*order)
+    in_cols: dict[str, Column] = {rn: F.row_number().over(w_in),
+                                  cnt: F.count(F.lit(1)).over(Window.partitionBy(*group))}
     for v in values:
         for j in range(1, lags + 1):
             in_cols[f"prev{j}_{v}"] = F.lag(v, j).over(w_in)
@@ -108,11 +76,9 @@ def ordered_neighbours(df: DataFrame, keys: Sequence[str], ts: str, tie: str,
             in_cols[f"next{j}_{v}"] = F.lead(v, j).over(w_in)
     d = d.withColumns(in_cols)
 
-    edge = F.col("_hk") & ((F.col(rn) <= m) | (F.col(cnt) - F.col(rn) < m))
-    inner = d.filter(~edge)
-    # Edge rows: first m and last m rows of each bucket. In their own order
-    # per key they are contiguous wherever a lag/lead of at most m steps can
-    # reach, so a window over them gives true neighbours across buckets.
+    edge = F.coalesce(F.col(cut), F.lit(False)) & ((F.col(rn) <= m) | (F.col(cnt) - F.col(rn) < m))
+    # The first and last m rows per partition of a cut key are contiguous
+    # wherever m steps can reach, so a window over them sees true neighbours.
     w_edge = Window.partitionBy(*_cols(keys)).orderBy(*order)
     fixes: dict[str, Column] = {}
     for v in values:
@@ -122,61 +88,37 @@ def ordered_neighbours(df: DataFrame, keys: Sequence[str], ts: str, tie: str,
         for j in range(1, leads + 1):
             fixes[f"next{j}_{v}"] = F.when(F.col(cnt) - F.col(rn) >= j, F.col(f"next{j}_{v}")) \
                 .otherwise(F.lead(v, j).over(w_edge))
-    outer = d.filter(edge).withColumns(fixes)
-    return inner.unionByName(outer).drop(b, rn, cnt, "_hk", "_hk_w")
-
-
-def overlap_buckets(df: DataFrame, sec: str, lookback_seconds: int,
-                    bucket_seconds: int = DEFAULT_OVERLAP_BUCKET_SECONDS,
-                    split: Column | None = None, width: Column | None = None) -> DataFrame:
-    """Assign ``_ob_bucket`` and ``_ob_native``: every row once in its own
-    bucket of the epoch-seconds column ``sec`` (native) and, when it lies
-    within ``lookback_seconds`` before the next bucket's start, once more in
-    that bucket as context. Rows where ``split`` is false stay in bucket -1."""
-    lookback = F.lit(int(lookback_seconds)).cast("long")
-    width = F.lit(int(bucket_seconds)).cast("long") if width is None else width
-    width = F.greatest(width, lookback)  # one carry bucket is enough
-    sec = F.col(sec)
-    split = F.lit(True) if split is None else split
-    own = F.when(split, F.floor(sec / width)).otherwise(F.lit(-1))
-    carry = split & (sec >= (own + 1) * width - lookback)
-    buckets = F.when(carry, F.array(own, own + 1)).otherwise(F.array(own))
-    return (df.withColumn("_ob_own", own)
-              .withColumn("_ob_bucket", F.explode(buckets))
-              .withColumn("_ob_native", F.col("_ob_bucket") == F.col("_ob_own"))
-              .drop("_ob_own"))
-
-
-def recent_other_value(df: DataFrame, keys: Sequence[str], sec: str, tie: str, value: str,
-                       lookback_seconds: int,
-                       bucket_seconds: int = DEFAULT_OVERLAP_BUCKET_SECONDS,
-                       split_rows: int = DEFAULT_SPLIT_ROWS,
-                       max_split_keys: int = DEFAULT_MAX_SPLIT_KEYS,
-                       bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
+    return (d.filter(~edge).unionByName(d.filter(edge).withColumns(fixes))
+            .drop(part, rn, cnt, cut))
+
+
+def context_buckets(df: DataFrame, sec: str, lookback_seconds: int,
+                    bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+    """Add ``_cb_bucket`` and ``_cb_native``: every row once in its own bucket
+    of the epoch-seconds column ``sec`` (native) and, when it lies at most
+    ``lookback_seconds`` before the next bucket's start, once more in that
+    bucket as context."""
+    width = max(int(bucket_seconds), int(lookback_seconds))  # one context bucket is enough
+    own = F.floor(F.col(sec) / F.lit(width))
+    carry = F.col(sec) >= (own + 1) * width - int(lookback_seconds)
+    return (df.withColumn("_cb_own", own)
+            .withColumn("_cb_bucket", F.explode(F.when(carry, F.array(own, own + 1)).otherwise(F.array(own))))
+            .withColumn("_cb_native", F.col("_cb_bucket") == F.col("_cb_own")).drop("_cb_own"))
+
+
+def recent_other_value(df: DataFrame, keys: Sequence[str], sec: str, value: str, lookback_seconds: int,
+                       bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """Keep rows that have another row of the same key with a different
     ``value`` at most ``lookback_seconds`` earlier (or at the same second).
-
-    Linear time per bucket: the nearest earlier row with another value is the
-    row just before the current run of equal values; rows of the same second
-    are checked with a peer frame."""
+    Null values differ from nothing and are neither reported nor compared."""
     keys = list(keys)
-    d = _flag_hot(df, keys, F.col(sec), split_rows, max_split_keys, bucket_seconds, bucket_rows)
-    d = overlap_buckets(d, sec, lookback_seconds, bucket_seconds, F.col("_hk"), F.col("_hk_w"))
-    part = [*_cols(keys), F.col("_ob_bucket")]
-    d = d.repartition(*part)  # see ordered_neighbours: never inherit a key-only partitioning
-    w = Window.partitionBy(*part).orderBy(F.col(sec), F.col(tie))
-    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    peers = Window.partitionBy(*part).orderBy(F.col(sec)).rangeBetween(Window.currentRow, Window.currentRow)
-    prev_val = F.lag(value, 1).over(w)
-    run_start_prev_sec = F.when(prev_val != F.col(value), F.lag(sec, 1).over(w))
-    d = d.withColumn("_rov_start", run_start_prev_sec)
-    d = d.withColumns({
-        "_rov_other_sec": F.last("_rov_start", ignorenulls=True).over(running),
-        "_rov_pmin": F.min(value).over(peers),
-        "_rov_pmax": F.max(value).over(peers),
-    })
-    hit = ((F.col(sec) - F.col("_rov_other_sec") <= lookback_seconds)
-           | (F.col("_rov_pmin") != F.col("_rov_pmax")))
-    return (d.filter(F.col("_ob_native") & hit)
-             .drop("_hk", "_hk_w", "_ob_bucket", "_ob_native", "_rov_start", "_rov_other_sec",
-                   "_rov_pmin", "_rov_pmax"))
+    rows = df.filter(F.col(value).isNotNull())
+    seconds = rows.groupBy(*_cols(keys), sec).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+    w = (Window.partitionBy(*_cols(keys), "_cb_bucket").orderBy(sec)
+         .rangeBetween(-int(lookback_seconds), Window.currentRow))
+    near = (context_buckets(seconds, sec, lookback_seconds, bucket_seconds)
+            .withColumns({"_lo": F.min("_lo").over(w), "_hi": F.max("_hi").over(w)})
+            .filter(F.col("_cb_native") & (F.col("_lo") != F.col("_hi")))
+            .select(*keys, sec, "_lo", "_hi"))
+    return (rows.join(near, [*keys, sec])
+            .filter((F.col("_lo") != F.col(value)) | (F.col("_hi") != F.col(value))).drop("_lo", "_hi"))

@@ -53,16 +53,13 @@ def test_amount_guess(planted):
 
 
 def test_small_buckets_do_not_change_rules(planted):
-    # Every key split (split_rows=0) into 5-minute buckets: chains cross buckets.
-    kw = dict(split_rows=0)
-    assert ids(rules.fraud_amount_guess(planted, REPORT_DT, AS_OF, bucket_seconds=300, **kw)) == [34, 55]
-    assert ids(rules.fraud_city_hop(planted, REPORT_DT, AS_OF, bucket_seconds=300, **kw)) == [9, 10, 20, 21]
-    assert ids(rules.city_hop_any_pair(planted, REPORT_DT, AS_OF, bucket_seconds=600, **kw)) == [10, 21, 22]
-    # Only keys above 3 rows split (c5a, c9, client 1 ...): same answers.
-    kw = dict(split_rows=3)
-    assert ids(rules.fraud_amount_guess(planted, REPORT_DT, AS_OF, bucket_seconds=300, **kw)) == [34, 55]
-    assert ids(rules.fraud_city_hop(planted, REPORT_DT, AS_OF, bucket_seconds=300, **kw)) == [9, 10, 20, 21]
-    assert ids(rules.city_hop_any_pair(planted, REPORT_DT, AS_OF, bucket_seconds=600, **kw)) == [10, 21, 22]
+    # The narrowest buckets (their look-back) and odd widths: pairs and chains cross them.
+    for width in (1, 7300, 10_007, 86_400):
+        assert ids(rules.fraud_amount_guess(planted, REPORT_DT, AS_OF, bucket_seconds=width)) == [34, 55]
+        assert ids(rules.fraud_city_hop(planted, REPORT_DT, AS_OF, bucket_seconds=width)) == [9, 10, 20, 21]
+        assert ids(rules.city_hop_any_pair(planted, REPORT_DT, AS_OF, bucket_seconds=width)) == [10, 21, 22]
+        assert ids(rules.all_rules(planted, REPORT_DT, AS_OF, bucket_seconds=width)) == sorted(
+            [2, 4, 5, 5, 8, 9, 10, 20, 21, 34, 55])
 
 
 def test_all_rules_union_keeps_duplicates(planted):
@@ -83,8 +80,15 @@ def test_report_since_reads_bounded_history_exactly(planted):
     for since in ["2021-03-01 00:00:00", "2021-03-03 10:05:00", "2021-03-03 10:20:00",
                   "2021-03-03 11:00:00", "2021-03-03 12:20:01", "2021-03-04 00:00:00"]:
         got = report.build_report(planted, REPORT_DT, AS_OF, since=since)
-        want = full.filter(F.col("event_dt") >= F.lit(since).cast("timestamp_ntz"))
+        want = rules.report_rows(rules.all_rules(planted, REPORT_DT, AS_OF).filter(
+            F.col("established_dt") >= F.lit(since).cast("timestamp_ntz")))
         assert sorted(got.collect()) == sorted(want.collect()), since
+    # runs that each see what has arrived add up to the full report
+    cuts, parts = ["2021-02-28 00:00:00", "2021-03-03 10:05:00", "2021-03-03 10:59:59.7", "2021-03-03 12:00:00"], []
+    for at, until in zip(cuts, [*cuts[1:], "2030-01-01 00:00:00"]):
+        seen = planted.transactions.filter(F.col("trans_date") < F.lit(until).cast("timestamp_ntz"))
+        parts += report.build_report(planted.with_(transactions=seen), REPORT_DT, AS_OF, since=at).collect()
+    assert sorted(parts) == sorted(full.collect())
 
 
 def test_report_sorted_is_ordered(spark):

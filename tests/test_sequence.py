@@ -36,14 +36,27 @@ def test_ordered_neighbours_matches_plain_window(spark):
     w = Window.partitionBy("k").orderBy("ts", "id")
     plain = df.select("id", *[F.lag("v", j).over(w).alias(f"prev{j}_v") for j in (1, 2, 3)],
                       *[F.lead("city", j).over(w).alias(f"next{j}_city") for j in (1, 2)])
-    # (bucket cap, split_rows, bucket_rows): all keys split, only the hot key,
-    # none, and adaptive widths of a few rows per bucket.
-    for bucket, split, per in ((600, 0, 10**6), (3600, 0, 10**6), (86400, 0, 10**6), (600, 100, 10**6),
-                               (600, 10_000, 10**6), (86400, 100, 10), (86400, 50, 3)):
-        got = ordered_neighbours(df, ["k"], "ts", "id", ["v", "city"], lags=3, leads=2,
-                                 bucket_seconds=bucket, split_rows=split, bucket_rows=per)
+    # one range, few, and more ranges than rows of a key: keys cut anywhere
+    for n in (1, 2, 7, 150):
+        got = ordered_neighbours(df, ["k"], "ts", "id", ["v", "city"], lags=3, leads=2, partitions=n)
         got = got.select("id", "prev1_v", "prev2_v", "prev3_v", "next1_city", "next2_city")
-        assert sorted(got.collect()) == sorted(plain.collect()), (bucket, split, per)
+        assert sorted(got.collect()) == sorted(plain.collect()), n
+
+
+def test_ordered_neighbours_with_many_hot_keys_bursts_and_nulls(spark):
+    rnd, base, rows = random.Random(3), dt.datetime(2024, 1, 1), []
+    for k in ["a", "b", "c", "d", None]:
+        for i in range(120):
+            # a burst of equal times, one stray early row
+            t = base + dt.timedelta(seconds=0 if i else -10**7) if i % 3 else base
+            rows.append((k, t, f"{k}{i:04d}", rnd.choice("AB"), i))
+    df = spark.createDataFrame(rows, SCHEMA)
+    w = Window.partitionBy("k").orderBy("ts", "id")
+    plain = df.select("id", F.lag("v", 2).over(w).alias("p"), F.lead("v", 1).over(w).alias("n"))
+    for n in (3, 40):
+        ranged = ordered_neighbours(df, ["k"], "ts", "id", ["v"], lags=2, leads=1, partitions=n)
+        got = ranged.select("id", F.col("prev2_v").alias("p"), F.col("next1_v").alias("n"))
+        assert sorted(got.collect(), key=str) == sorted(plain.collect(), key=str), n
 
 
 def test_ordered_neighbours_on_shared_events(spark):
@@ -51,8 +64,7 @@ def test_ordered_neighbours_on_shared_events(spark):
         F.col("user_id").alias("k"), "ts", F.col("event_id").alias("id"), "event_type")
     w = Window.partitionBy("k").orderBy("ts", "id")
     plain = ev.select("id", F.lag("event_type", 1).over(w).alias("p"), F.lead("ts", 1).over(w).alias("n"))
-    got = ordered_neighbours(ev, ["k"], "ts", "id", ["event_type", "ts"], lags=1, leads=1,
-                             bucket_seconds=3600, split_rows=50)
+    got = ordered_neighbours(ev, ["k"], "ts", "id", ["event_type", "ts"], lags=1, leads=1)
     got = got.select("id", F.col("prev1_event_type").alias("p"), F.col("next1_ts").alias("n"))
     assert sorted(got.collect()) == sorted(plain.collect())
 
@@ -68,21 +80,21 @@ def test_recent_other_value_matches_brute_force(spark):
                 if k2 == k and city2 != city and 0 <= gap <= lookback:
                     expected.add(i)
                     break
-        for bucket, split, per in ((1800, 0, 10**6), (86400, 0, 10**6), (1800, 100, 10**6),
-                                   (1800, 10_000, 10**6), (86400, 50, 5)):
-            got = recent_other_value(df, ["k"], "sec", "id", "city", lookback, bucket, split,
-                                     bucket_rows=per)
-            assert sorted(r["id"] for r in got.collect()) == sorted(expected), (lookback, bucket, split, per)
+        for bucket in (1, 1800, 5000, 86400):
+            got = recent_other_value(df, ["k"], "sec", "city", lookback, bucket)
+            assert sorted(r["id"] for r in got.collect()) == sorted(expected), (lookback, bucket)
+
+
+def test_recent_other_value_ignores_nulls(spark):
+    base = dt.datetime(2024, 1, 1)
+    rows = [("k", base + dt.timedelta(minutes=10 * i), str(i), c, i) for i, c in enumerate(["A", None, "B", "B", None])]
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("sec", F.unix_timestamp("ts"))
+    assert sorted(r["id"] for r in recent_other_value(df, ["k"], "sec", "city", 3600).collect()) == ["2", "3"]
+    assert [r["id"] for r in recent_other_value(df, ["k"], "sec", "city", 1200).collect()] == ["2"]
 
 
-def test_hot_key_is_shuffled_by_bucket_even_when_input_is_partitioned_by_key(spark):
-    # A sort-merge join on the key leaves the input hash partitioned by the
-    # key; the window must still be distributed by (key, bucket).
+def test_hot_key_is_spread_even_when_input_is_partitioned_by_key(spark):
     df = spark.createDataFrame(_random_rows(), SCHEMA).repartition(4, "k")
-    got = ordered_neighbours(df, ["k"], "ts", "id", ["v"], lags=1, bucket_seconds=3600, split_rows=0)
-    got.collect()
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert any("hashpartitioning(k#" in l and "_sq_bucket" in l for l in plan.splitlines())
-    # Tasks: the hot key k0 spans many buckets, hence many shuffle partitions.
-    rows = got.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
+    got = ordered_neighbours(df, ["k"], "ts", "id", ["v"], lags=1, partitions=12)
+    rows = got.filter("k = 'k0'").groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert len(rows) > 1
