@@ -2,7 +2,8 @@
 
     python -m fraudmart run-day --landing . --root ./warehouse \
         [--seeds ./seed] [--report-dt 2021-03-04] [--as-of "2021-03-04 00:00:00"] \
-        [--export .] [--archive ./archive] [--since "2021-03-04 00:00:00"] [--master local[*]]
+        [--export .] [--archive ./archive] [--since "2021-03-04 00:00:00"] [--close-missing] \
+        [--city-hop later] [--point-in-time] [--distinct-events] [--master local[*]]
 
 Seeds (cards, accounts, clients) are read from ``<seeds>/<name>.parquet`` or
 ``<seeds>/<name>.csv`` (header row) and loaded only into empty tables.
@@ -44,14 +45,20 @@ def main(argv: list[str] | None = None) -> int:
     day.add_argument("--as-of")
     day.add_argument("--export")
     day.add_argument("--archive")
-    day.add_argument("--since", help="report only events from this instant on")
+    day.add_argument("--since", help="report only events established from this instant on")
+    day.add_argument("--close-missing", action="store_true", help="close terminals missing from the next slice")
+    day.add_argument("--city-hop", choices=["both", "later"], default="both", help="which operations of a pair")
+    day.add_argument("--point-in-time", action="store_true", help="terminals as they were at the operation")
+    day.add_argument("--distinct-events", action="store_true", help="one passport event per operation")
     day.add_argument("--master")
     a = ap.parse_args(argv)
     spark = get_session(a.master)
     seeds = read_seeds(spark, a.seeds) if a.seeds else None
     res = run_day(spark, a.landing, a.root, seeds=seeds, report_dt=a.report_dt, as_of=a.as_of,
-                  export_dir=a.export, archive_dir=a.archive, since=a.since)
-    print(json.dumps({"seeded": res.seeded, "loaded_files": res.loaded_files, "exported": res.exported}))
+                  export_dir=a.export, archive_dir=a.archive, since=a.since, close_missing=a.close_missing,
+                  city_hop_emit=a.city_hop, point_in_time=a.point_in_time, distinct_events=a.distinct_events)
+    print(json.dumps({"seeded": res.seeded, "loaded_files": res.loaded_files, "exported": res.exported,
+                      "rejected_files": res.rejected_files, "rejects": res.rejects}))
     return 0
 
 

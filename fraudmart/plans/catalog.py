@@ -3,6 +3,8 @@ returns a DataFrame whose columns match ``fraudmart.plans.oracle.SQL``."""
 
 from __future__ import annotations
 
+import datetime as _dt
+import decimal
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,9 +15,9 @@ from fraudmart.functions import amount_from_text, full_name
 from fraudmart.functions import epoch_ms_to_date as epoch_ms_to_day
 from fraudmart.operators import chain, history, report, rules
 from fraudmart.operators.sequence import ordered_neighbours
-from fraudmart.plans import daily, lens
+from fraudmart.plans import daily, lens, staging
 from fraudmart.session import scratch_path
-from fraudmart.sources import feeds, workbook
+from fraudmart.sources import feeds, files, workbook
 from fraudmart.sources.store import TableStore, ensure_dimensions
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,13 +115,13 @@ def tx_prev_next(spark, sf_dir):
                        F.col("next1_terminal_city").alias("next_city"))
 
 
-def _lag3(spark, sf_dir, **split) -> DataFrame:
+def _lag3(spark, sf_dir, **ranges) -> DataFrame:
     wh = _wh(spark, sf_dir)
     tx = chain.v_transactions(wh).filter(
         F.col("oper_type").isin(schemas.TYPE_WITHDRAW, schemas.TYPE_PAYMENT))
     rows = chain.with_terminal(chain.ownership_chain(wh, tx), chain.current_terminals(wh, AS_OF))
     rows = ordered_neighbours(rows, ["card_num"], "trans_date", "trans_id",
-                              ["trans_date", "oper_result", "amt"], lags=3, **split)
+                              ["trans_date", "oper_result", "amt"], lags=3, **ranges)
     cols = ["trans_id", "card_num"]
     for j in (1, 2, 3):
         cols += [F.col(f"prev{j}_trans_date").alias(f"dt_{j}"),
@@ -176,6 +178,14 @@ def table_scan(spark, sf_dir):
     return _wh(spark, sf_dir).cards
 
 
+def table_scan_accounts(spark, sf_dir):
+    return _wh(spark, sf_dir).accounts
+
+
+def table_scan_clients(spark, sf_dir):
+    return _wh(spark, sf_dir).clients
+
+
 _TERMINAL_KEYS = ["terminal_id", "terminal_type"]
 _TERMINAL_ATTRS = ["terminal_city", "terminal_address"]
 
@@ -232,6 +242,8 @@ QUERIES: dict[str, Query] = {
     "v_accounts": v_accounts,
     "v_transactions": v_transactions,
     "table_scan": table_scan,
+    "table_scan_accounts": table_scan_accounts,
+    "table_scan_clients": table_scan_clients,
     "scd2_terminal_history": scd2_terminal_history,
     "scd2_terminals_as_of": _terminals_at(AS_OF),
     "scd2_terminals_as_of_jan2": _terminals_at(JAN2),
@@ -300,41 +312,152 @@ def ingest_ledger(spark, sf_dir):
 def report_for_day(spark, sf_dir):
     store = TableStore(spark, scratch_path(spark, "wh"))
     rep = report.build_report(_wh(spark, sf_dir), REPORT_DT, AS_OF)
-    report.write_report(store, rep)
-    report.write_report(store, rep)  # same-day rerun replaces the slice
+    report.write_report(store, rep, REPORT_DT)
+    report.write_report(store, rep, REPORT_DT)  # same-day rerun replaces the slice
     out_dir = scratch_path(spark, "export")
     report.export_report(spark, report.report_for_day(store, REPORT_DT), out_dir, REPORT_DT,
                          scratch_path(spark, "export-staging"))
     return report.read_export(spark, out_dir)
 
 
-def dim_seed_if_empty(spark, sf_dir):
+def _seeded(spark, sf_dir) -> TableStore:
     store = TableStore(spark, scratch_path(spark, "wh"))
-    seed = {"cards": lens.cards(spark, sf_dir)}
-    ensure_dimensions(store, seed)
-    ensure_dimensions(store, seed)  # second call sees rows and does nothing
-    return store.read("cards")
+    seeds = {"cards": lens.cards(spark, sf_dir), "accounts": lens.accounts(spark, sf_dir),
+             "clients": lens.clients(spark, sf_dir)}
+    ensure_dimensions(store, seeds)
+    ensure_dimensions(store, seeds)  # second call sees rows and does nothing
+    return store
+
+
+def dim_seed_if_empty(spark, sf_dir):
+    return _seeded(spark, sf_dir).read("cards")
+
+
+def dim_seed_accounts(spark, sf_dir):
+    return _seeded(spark, sf_dir).read("accounts")
+
+
+def dim_seed_clients(spark, sf_dir):
+    return _seeded(spark, sf_dir).read("clients")
+
+
+def _terminal_feed(spark, sf_dir, slices=None) -> str:
+    folder = scratch_path(spark, "terminal-feed")
+    staging.write_workbooks(lens.terminal_slices(spark, sf_dir) if slices is None else slices, "effective_from",
+                            "terminals", schemas.TERMINAL_SHEET, workbook.TERMINAL_COLUMNS, folder)
+    return folder
+
+
+def _blacklist_feed(spark, sf_dir, rows=None) -> str:
+    folder = scratch_path(spark, "blacklist-feed")
+    rows = lens.blacklist_files(spark, sf_dir) if rows is None else rows
+    cells = rows.select(F.col("passport_num").alias("passport"),
+                        F.datediff("entry_dt", F.lit("1899-12-30").cast("date")).alias("date"), "effective_from")
+    staging.write_workbooks(cells, "effective_from", "passport_blacklist", schemas.BLACKLIST_SHEET,
+                            workbook.BLACKLIST_COLUMNS, folder)
+    return folder
 
 
 def terminal_feed_scan(spark, sf_dir):
-    slices = lens.terminal_slices(spark, sf_dir)
-    staged = workbook.stage_workbooks(slices, "effective_from", "terminals", schemas.TERMINAL_SHEET,
-                                      workbook.TERMINAL_COLUMNS)
-    parsed = workbook.parse_workbooks(staged, schemas.TERMINAL_SHEET, workbook.TERMINAL_COLUMNS)
+    """The .xlsx files, found and read from storage."""
+    parsed = workbook.read_workbooks(spark, _terminal_feed(spark, sf_dir), schemas.TERMINAL_FEED_GLOB,
+                                     schemas.TERMINAL_SHEET, workbook.TERMINAL_COLUMNS)
     return workbook.terminal_slices(parsed).select(*_TERMINAL_KEYS, *_TERMINAL_ATTRS, "effective_from")
 
 
 def blacklist_feed_scan(spark, sf_dir):
-    files_rows = lens.blacklist_files(spark, sf_dir).select(
-        F.col("passport_num").alias("passport"),
-        F.datediff("entry_dt", F.lit("1899-12-30").cast("date")).alias("date"),
-        "effective_from")
-    staged = workbook.stage_workbooks(files_rows, "effective_from", "passport_blacklist",
-                                      schemas.BLACKLIST_SHEET, workbook.BLACKLIST_COLUMNS)
-    parsed = workbook.parse_workbooks(staged, schemas.BLACKLIST_SHEET, workbook.BLACKLIST_COLUMNS)
+    parsed = workbook.read_workbooks(spark, _blacklist_feed(spark, sf_dir), schemas.BLACKLIST_FEED_GLOB,
+                                     schemas.BLACKLIST_SHEET, workbook.BLACKLIST_COLUMNS)
     return workbook.blacklist_rows(parsed).select("passport_num", "entry_dt", "effective_from")
 
 
+# --- the daily job over several runs -----------------------------------------
+
+MIDDLE = "2024-01-16 00:00:00"
+
+
+def _move(spark, folder: str, landing: str) -> None:
+    for path in files.list_files(spark, folder):
+        files.rename(spark, path, f"{landing}/{path.rsplit('/', 2)[-2]}/{path.rsplit('/', 1)[-1]}")
+
+
+def daily_run_two_days(spark, sf_dir):
+    """A first run with part of the days and archive; then late files
+    for days already archived, under names used before, and the other days; then a
+    rerun without new files. All transactions are in the table, once."""
+    wh, base = _wh(spark, sf_dir), scratch_path(spark, "daily")
+    tx, landing = wh.transactions, f"{base}/landing"
+    late = F.pmod(F.xxhash64("trans_id"), F.lit(10)) == 0
+    early = F.col("trans_date") < F.lit(MIDDLE).cast(schemas.TS)
+    seeds = {"cards": wh.cards, "accounts": wh.accounts, "clients": wh.clients}
+    for part in (early & ~late, ~early | late, None):
+        if part is not None:
+            feeds.write_tx_feed(spark, tx.filter(part), scratch_path(spark, "staging"), landing)
+        daily.run_day(spark, landing, f"{landing}/warehouse", seeds=seeds, report_dt=REPORT_DT, as_of=AS_OF,
+                      archive_dir=f"{landing}/archive", since=MIDDLE)
+    return TableStore(spark, f"{landing}/warehouse").read("transactions").select(*_TX_COLS)
+
+
+def report_rerun(spark, sf_dir):
+    """A slice and its export are written, the input changes, both
+    are written again: exactly the second report is left."""
+    store, out_dir = TableStore(spark, scratch_path(spark, "wh")), scratch_path(spark, "export")
+    for since in (None, SINCE):
+        rep = report.build_report(_wh(spark, sf_dir), REPORT_DT, AS_OF, since=since)
+        report.write_report(store, rep, REPORT_DT)
+        report.export_report(spark, report.report_for_day(store, REPORT_DT), out_dir, REPORT_DT,
+                             scratch_path(spark, "export-staging"))
+    return report.read_export(spark, out_dir)
+
+
+CUTS = ["2024-01-01 00:00:00", "2024-01-08 00:00:00", "2024-01-15 00:00:00", "2024-01-22 00:00:00"]
+
+
+def report_accumulated_days(spark, sf_dir):
+    """Runs with ``since``, each over what had arrived by then, add up to the
+    full report."""
+    wh, out = _wh(spark, sf_dir), None
+    for at, until in zip(CUTS, [*CUTS[1:], None]):
+        seen = wh.transactions if until is None else wh.transactions.filter(
+            F.col("trans_date") < F.lit(until).cast(schemas.TS))
+        rep = report.build_report(wh.with_(transactions=seen), REPORT_DT, AS_OF, since=None if out is None else at)
+        out = rep if out is None else out.unionByName(rep)
+    return out
+
+
+def terminals_loaded_out_of_order(spark, sf_dir):
+    """The last slice is loaded first, then the others, from files."""
+    day = F.dayofmonth("effective_from")
+    slices, base = lens.terminal_slices(spark, sf_dir), scratch_path(spark, "wh")
+    store = TableStore(spark, base)
+    for part in (day == 3, day < 3):
+        daily.load_terminals(spark, store, _terminal_feed(spark, sf_dir, slices.filter(part)))
+    return store.read("terminals")
+
+
+def blacklist_loaded_out_of_order(spark, sf_dir):
+    """The last file is loaded first, then the others, then all again."""
+    day = F.dayofmonth("effective_from")
+    rows, store = lens.blacklist_files(spark, sf_dir), TableStore(spark, scratch_path(spark, "wh"))
+    for part in (day == 3, day < 3, day > 0):
+        daily.load_blacklist(spark, store, _blacklist_feed(spark, sf_dir, rows.filter(part)))
+    return store.read("passport_blacklist")
+
+
+def city_hop_any_pair_null_city(spark, sf_dir):
+    """J7 where a third of the terminals have no city."""
+    wh = _wh(spark, sf_dir)
+    city = F.when(F.col("terminal_id").cast("int") % 3 != 0, F.col("terminal_city"))
+    return rules.report_rows(rules.city_hop_any_pair(
+        wh.with_(terminals=wh.terminals.withColumn("terminal_city", city)), REPORT_DT, AS_OF))
+
+
+def fraud_amount_guess_dense(spark, sf_dir):
+    """R4 with its real parameters over a binding where it has rows."""
+    wh = _wh(spark, sf_dir).with_(transactions=lens.dense_transactions(spark, sf_dir))
+    return rules.report_rows(rules.fraud_amount_guess(wh, REPORT_DT, AS_OF))
+
+
 QUERIES.update({
     "tx_feed_scan": tx_feed_scan,
     "feed_business_date": feed_business_date,
@@ -344,6 +467,15 @@ QUERIES.update({
     "ingest_ledger": ingest_ledger,
     "report_for_day": report_for_day,
     "dim_seed_if_empty": dim_seed_if_empty,
+    "dim_seed_accounts": dim_seed_accounts,
+    "dim_seed_clients": dim_seed_clients,
+    "daily_run_two_days": daily_run_two_days,
+    "report_rerun": report_rerun,
+    "report_accumulated_days": report_accumulated_days,
+    "terminals_loaded_out_of_order": terminals_loaded_out_of_order,
+    "blacklist_loaded_out_of_order": blacklist_loaded_out_of_order,
+    "city_hop_any_pair_null_city": city_hop_any_pair_null_city,
+    "fraud_amount_guess_dense": fraud_amount_guess_dense,
     "terminal_feed_scan": terminal_feed_scan,
     "blacklist_feed_scan": blacklist_feed_scan,
 })
@@ -351,12 +483,18 @@ QUERIES.update({
 
 # --- streaming extensions: the shared rows arrive as files -------------------
 
-def _staged_tx_stream(spark, sf_dir) -> str:
-    """Lens transactions as Parquet files, one folder per day, plus a
-    far-future marker row that moves the watermark past everything."""
-    from fraudmart.streaming.stateful import FLUSH_ROW
+# A transaction far in the future, the last file of a finished stream: it moves
+# the watermark past every real row. The rules' status and type filters are
+# pushed below the watermark, so it must pass them; its card exists in no
+# dimension, so it drops out at the ownership join.
+FLUSH_ROW = ("__flush__", _dt.datetime(9999, 1, 1), "__flush__", schemas.TYPE_WITHDRAW,
+             decimal.Decimal("0.00"), schemas.RESULT_SUCCESS, "__flush__")
+
+
+def _staged_tx_stream(spark, sf_dir, transactions=None) -> str:
+    """Transactions as Parquet files, one folder per day, plus the marker row."""
     base = scratch_path(spark, "txstream")
-    tx = _wh(spark, sf_dir).transactions
+    tx = _wh(spark, sf_dir).transactions if transactions is None else transactions
     (tx.withColumn("_day", F.to_date("trans_date")).write.partitionBy("_day")
      .parquet(f"{base}/src/days"))
     spark.createDataFrame([FLUSH_ROW], schemas.TRANSACTIONS).write.parquet(f"{base}/src/zz-flush")
@@ -401,6 +539,15 @@ def stream_city_hop_any_pair(spark, sf_dir):
     return out.select(*schemas.REPORT_COLUMNS)
 
 
+def stream_amount_guess_dense(spark, sf_dir):
+    """X4 with the rule's real parameters over a binding where it has rows."""
+    from fraudmart.streaming import stateful
+    tx = lens.dense_transactions(spark, sf_dir)
+    out = _drain(spark, _staged_tx_stream(spark, sf_dir, tx), "guess",
+                 lambda s: stateful.stream_amount_guess(_wh(spark, sf_dir), s, REPORT_DT, AS_OF))
+    return out.select(*schemas.REPORT_COLUMNS)
+
+
 def _stream_guess(n_rejects: int, seconds: int) -> Query:
     def q(spark, sf_dir):
         from fraudmart.streaming import stateful
@@ -419,6 +566,7 @@ QUERIES.update({
     "stream_city_hop_any_pair": stream_city_hop_any_pair,
     "stream_amount_guess": _stream_guess(schemas.AMOUNT_GUESS_REJECTS, schemas.AMOUNT_GUESS_SECONDS),
     "stream_amount_guess_1reject_1day": _stream_guess(1, 86400),
+    "stream_amount_guess_dense": stream_amount_guess_dense,
 })
 
 
@@ -458,7 +606,7 @@ SINCE = "2024-01-15 00:00:00"
 
 
 def fraud_report_since(spark, sf_dir):
-    """R5 with ``since``: only events from that instant on."""
+    """R5 with ``since``: only events established from that instant on."""
     return report.build_report(_wh(spark, sf_dir), REPORT_DT, AS_OF, since=SINCE)
 
 
@@ -472,26 +620,25 @@ QUERIES.update({
 })
 
 
-# --- the hot-key path: every key split by time (split_rows=0), so the
-# bucket-edge repair runs on the shared data and is checked by the oracle ----
+# --- small pieces: narrow time buckets and many ranges, so that pairs, chains
+# and neighbours cross their edges on the shared data --------------------------
 
 def fraud_city_hop_split(spark, sf_dir):
     return rules.report_rows(rules.fraud_city_hop(_wh(spark, sf_dir), REPORT_DT, AS_OF, emit="both",
-                                                  bucket_seconds=3600, split_rows=0))
+                                                  bucket_seconds=7200))
 
 
 def city_hop_any_pair_split(spark, sf_dir):
-    return rules.report_rows(rules.city_hop_any_pair(_wh(spark, sf_dir), REPORT_DT, AS_OF,
-                                                     bucket_seconds=7200, split_rows=0))
+    return rules.report_rows(rules.city_hop_any_pair(_wh(spark, sf_dir), REPORT_DT, AS_OF, bucket_seconds=3600))
 
 
 def amount_guess_1reject_1day_split(spark, sf_dir):
     return rules.report_rows(rules.fraud_amount_guess(_wh(spark, sf_dir), REPORT_DT, AS_OF, n_rejects=1,
-                                                      seconds=86400, bucket_seconds=3600, split_rows=0))
+                                                      seconds=86400, bucket_seconds=86400))
 
 
 def tx_lag3_split(spark, sf_dir):
-    return _lag3(spark, sf_dir, bucket_seconds=3600, split_rows=0)
+    return _lag3(spark, sf_dir, partitions=97)
 
 
 QUERIES.update({

@@ -169,6 +169,23 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
                     _str(i % n_terminals).alias("terminal"))
 
 
+@_once
+def dense_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One operation a minute in groups of four on one card with falling
+    amounts; in two of three groups the last succeeds after three rejects."""
+    e = _read(spark, sf_dir, "events").select("event_id")
+    i = F.col("event_id")
+    group, at = F.floor(i / 4), i % 4
+    return e.select(_str(i).alias("trans_id"),
+                    F.timestamp_add("SECOND", (i * 60).cast("int"), ts_lit(EPOCH_START)).alias("trans_date"),
+                    F.concat(F.lit("C"), _str(1 + group % 100), F.lit("-0")).alias("card_num"),
+                    F.lit(schemas.TYPE_WITHDRAW).alias("oper_type"),
+                    (F.lit(400) - 100 * at).cast(schemas.AMOUNT).alias("amt"),
+                    F.when((at == 3) & (group % 3 != 0), schemas.RESULT_SUCCESS)
+                     .otherwise(schemas.RESULT_REJECT).alias("oper_result"),
+                    _str(i % F.lit(_supplier_count(spark, sf_dir))).alias("terminal"))
+
+
 def _blacklisted(customer: DataFrame) -> DataFrame:
     k = F.col("c_custkey")
     first = customer.filter(k % 7 == 0).select(

@@ -8,7 +8,12 @@ which counts whole-second boundaries like Spark's difference of
 
 from __future__ import annotations
 
-from fraudmart import schemas
+# Fixed values, written out here so that the oracle does not share them with
+# the code it checks.
+EVENT_PASSPORT = "Совершение операции при просроченном или заблокированном паспорте"
+EVENT_CONTRACT = "Совершение операции при недействующем договоре"
+EVENT_CITY_HOP = "Совершение операций в разных городах в течение одного часа"
+EVENT_AMOUNT_GUESS = "Попытка подбора суммы"
 
 LENS = """
 WITH l_clients AS (
@@ -88,11 +93,11 @@ def _q(body: str) -> str:
 
 
 PASSPORT_BODY = _report(
-    schemas.EVENT_PASSPORT,
+    EVENT_PASSPORT,
     "chain LEFT JOIN l_blacklist b ON b.passport_num = chain.passport_num",
     "(b.entry_dt <= trans_date OR passport_valid_to <= trans_date) AND oper_result = 'SUCCESS'",
     passport="chain.passport_num")
-CONTRACT_BODY = _report(schemas.EVENT_CONTRACT, "chain",
+CONTRACT_BODY = _report(EVENT_CONTRACT, "chain",
                         "valid_to <= trans_date AND oper_result = 'SUCCESS'")
 
 CITY_NB = """, nb AS (
@@ -104,7 +109,7 @@ CITY_PREV = "(terminal_city <> p_city AND abs(date_diff('second', p_dt, trans_da
 CITY_NEXT = "(terminal_city <> f_city AND abs(date_diff('second', trans_date, f_dt)) <= 3600)"
 
 ANY_PAIR_BODY = _report(
-    schemas.EVENT_CITY_HOP, "located r",
+    EVENT_CITY_HOP, "located r",
     "EXISTS (SELECT 1 FROM located o WHERE o.client_id = r.client_id "
     "AND o.terminal_city <> r.terminal_city "
     "AND date_diff('second', o.trans_date, r.trans_date) BETWEEN 0 AND 3600)")
@@ -124,7 +129,7 @@ def amount_guess_select(n_rejects: int, seconds: int) -> str:
     src = (f"(SELECT *, {lags} FROM (SELECT ch.* FROM chain ch JOIN l_terminals te "
            "ON ch.terminal = te.terminal_id WHERE ch.oper_type IN ('WITHDRAW', 'PAYMENT')) "
            "WINDOW w AS (PARTITION BY card_num ORDER BY trans_date, trans_id)) nb")
-    return _report(schemas.EVENT_AMOUNT_GUESS, src, " AND ".join(conds))
+    return _report(EVENT_AMOUNT_GUESS, src, " AND ".join(conds))
 
 
 def amount_guess_sql(n_rejects: int, seconds: int) -> str:
@@ -135,8 +140,8 @@ SQL: dict[str, str] = {
     "ownership_chain": _q("SELECT trans_id, card_num, account, client_id FROM chain"),
     "fraud_passport": _q(PASSPORT_BODY),
     "fraud_contract": _q(CONTRACT_BODY),
-    "fraud_city_hop": _q(CITY_NB + _report(schemas.EVENT_CITY_HOP, "nb", f"{CITY_PREV} OR {CITY_NEXT}")),
-    "fraud_city_hop_later": _q(CITY_NB + _report(schemas.EVENT_CITY_HOP, "nb", CITY_PREV)),
+    "fraud_city_hop": _q(CITY_NB + _report(EVENT_CITY_HOP, "nb", f"{CITY_PREV} OR {CITY_NEXT}")),
+    "fraud_city_hop_later": _q(CITY_NB + _report(EVENT_CITY_HOP, "nb", CITY_PREV)),
     "city_hop_any_pair": _q(ANY_PAIR_BODY),
     "fraud_amount_guess": amount_guess_sql(3, 1200),
     "amount_guess_1reject_1day": amount_guess_sql(1, 86400),
@@ -220,7 +225,7 @@ SQL["blacklist_as_of"] = _q(
     + " WHERE TIMESTAMP '2024-01-02 12:00:00' BETWEEN effective_from AND TIMESTAMP '9999-12-31 23:59:59'")
 SQL["fraud_report"] = _q(
     f"({PASSPORT_BODY}) UNION ALL ({CONTRACT_BODY}) UNION ALL ("
-    + _report(schemas.EVENT_CITY_HOP,
+    + _report(EVENT_CITY_HOP,
               "(SELECT *, lag(trans_date) OVER w AS p_dt, lag(terminal_city) OVER w AS p_city, "
               "lead(trans_date) OVER w AS f_dt, lead(terminal_city) OVER w AS f_city FROM located "
               "WINDOW w AS (PARTITION BY client_id ORDER BY trans_date, trans_id)) nb",
@@ -265,7 +270,7 @@ SQL["terminal_open_rows"] = _q(
 SQL["fraud_passport_distinct"] = _q(
     "SELECT event_dt, passport, fio, phone, event_type, report_dt FROM (SELECT DISTINCT trans_id, "
     "trans_date AS event_dt, chain.passport_num AS passport, fio, phone, "
-    f"'{schemas.EVENT_PASSPORT}' AS event_type, {REPORT_DT} AS report_dt "
+    f"'{EVENT_PASSPORT}' AS event_type, {REPORT_DT} AS report_dt "
     "FROM chain LEFT JOIN l_blacklist b ON b.passport_num = chain.passport_num "
     "WHERE (b.entry_dt <= trans_date OR passport_valid_to <= trans_date) AND oper_result = 'SUCCESS')")
 SQL["scd2_terminal_history_close_missing"] = _q(
@@ -275,24 +280,60 @@ SQL["scd2_terminal_history_close_missing"] = _q(
     "0 AS deleted_flg FROM l_slices JOIN (SELECT s, lead(s) OVER (ORDER BY s) AS next_slice FROM "
     "(SELECT DISTINCT effective_from AS s FROM l_slices)) c ON l_slices.effective_from = c.s "
     "WINDOW w AS (PARTITION BY terminal_id, terminal_type ORDER BY effective_from)")
+# half-open: valid until the next row of the key starts
 _HISTORY_AT = ("(SELECT terminal_id, terminal_type, terminal_city, terminal_address, effective_from, "
-               "coalesce(lead(effective_from) OVER w - INTERVAL 1 SECOND, "
-               "TIMESTAMP '9999-12-31 23:59:59') AS effective_to FROM l_slices "
+               "coalesce(lead(effective_from) OVER w, TIMESTAMP '10000-01-01 00:00:00') AS next_from FROM l_slices "
                "WINDOW w AS (PARTITION BY terminal_id, terminal_type ORDER BY effective_from))")
 SQL["chain_terminal_at_event_time"] = _q(
     "SELECT t.trans_id, h.terminal_id, h.terminal_type, h.terminal_city, h.terminal_address "
     f"FROM l_tx t JOIN {_HISTORY_AT} h ON t.terminal = h.terminal_id "
-    "AND t.trans_date BETWEEN h.effective_from AND h.effective_to")
+    "AND t.trans_date >= h.effective_from AND t.trans_date < h.next_from")
 SQL["city_hop_point_in_time"] = _q(
-    _report(schemas.EVENT_CITY_HOP,
+    _report(EVENT_CITY_HOP,
             "(SELECT *, lag(trans_date) OVER w AS p_dt, lag(terminal_city) OVER w AS p_city, "
             "lead(trans_date) OVER w AS f_dt, lead(terminal_city) OVER w AS f_city FROM "
             f"(SELECT ch.*, h.terminal_city FROM chain ch JOIN {_HISTORY_AT} h ON ch.terminal = h.terminal_id "
-            "AND ch.trans_date BETWEEN h.effective_from AND h.effective_to WHERE ch.oper_result = 'SUCCESS') "
+            "AND ch.trans_date >= h.effective_from AND ch.trans_date < h.next_from WHERE ch.oper_result = 'SUCCESS') "
             "WINDOW w AS (PARTITION BY client_id ORDER BY trans_date, trans_id)) nb",
             f"{CITY_PREV} OR {CITY_NEXT}"))
-SQL["fraud_report_since"] = ("SELECT * FROM (" + SQL["fraud_report"] + ") r "
-                             "WHERE event_dt >= TIMESTAMP '2024-01-15 00:00:00'")
+# Events by the time of the operation that established them: the first operation
+# of a pair (not itself the later one of another pair) counts when the second happens.
+_NB = ("(SELECT *, lag(trans_date) OVER w AS p_dt, lag(terminal_city) OVER w AS p_city, "
+       "lead(trans_date) OVER w AS f_dt, lead(terminal_city) OVER w AS f_city FROM located "
+       "WINDOW w AS (PARTITION BY client_id ORDER BY trans_date, trans_id)) nb")
+SINCE = "TIMESTAMP '2024-01-15 00:00:00'"
+SQL["fraud_report_since"] = _q(
+    f"SELECT * FROM (({PASSPORT_BODY}) UNION ALL ({CONTRACT_BODY}) UNION ALL ({amount_guess_select(3, 1200)})) r "
+    f"WHERE event_dt >= {SINCE} UNION ALL ("
+    + _report(EVENT_CITY_HOP, _NB, f"coalesce({CITY_PREV}, FALSE) AND trans_date >= {SINCE}") + ") UNION ALL ("
+    + _report(EVENT_CITY_HOP, _NB, f"NOT coalesce({CITY_PREV}, FALSE) AND {CITY_NEXT} AND f_dt >= {SINCE}") + ")")
+SQL["report_rerun"] = SQL["fraud_report_since"]
+SQL["report_accumulated_days"] = SQL["fraud_report"]
+SQL["daily_run_two_days"] = SQL["tx_feed_scan"]
+SQL["terminals_loaded_out_of_order"] = SQL["scd2_terminal_history"]
+SQL["blacklist_loaded_out_of_order"] = SQL["blacklist_insert_if_absent"]
+SQL["table_scan_accounts"] = _q("SELECT account, valid_to, client, CAST(NULL AS DATE) AS create_dt, "
+                                "CAST(NULL AS DATE) AS update_dt FROM l_accounts")
+SQL["table_scan_clients"] = _q(
+    "SELECT client_id, last_name, first_name, patronymic, date_of_birth, passport_num, passport_valid_to, phone, "
+    "CAST(NULL AS DATE) AS create_dt, CAST(NULL AS DATE) AS update_dt FROM l_clients")
+SQL["dim_seed_accounts"] = SQL["table_scan_accounts"]
+SQL["dim_seed_clients"] = SQL["table_scan_clients"]
+_CITY = "n.n_name AS terminal_city, s.s_name AS terminal_address\n  FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey),"
+assert LENS.count(_CITY) == 1
+SQL["city_hop_any_pair_null_city"] = SQL["city_hop_any_pair"].replace(
+    _CITY, _CITY.replace("n.n_name", "CASE WHEN s.s_suppkey % 3 <> 0 THEN n.n_name END"))
+_TX = LENS[LENS.index("l_tx AS ("):LENS.index("l_blacklist AS (")]
+_DENSE = """l_tx AS (
+  SELECT CAST(event_id AS VARCHAR) AS trans_id, TIMESTAMP '2024-01-01 00:00:00' + to_seconds(event_id * 60) AS trans_date,
+         'C' || CAST(1 + (event_id // 4) % 100 AS VARCHAR) || '-0' AS card_num, 'WITHDRAW' AS oper_type,
+         CAST(400 - 100 * (event_id % 4) AS DECIMAL(18,2)) AS amt,
+         CASE WHEN event_id % 4 = 3 AND (event_id // 4) % 3 <> 0 THEN 'SUCCESS' ELSE 'REJECT' END AS oper_result,
+         CAST(event_id % (SELECT count(*) FROM supplier) AS VARCHAR) AS terminal
+  FROM events),
+"""
+SQL["fraud_amount_guess_dense"] = SQL["fraud_amount_guess"].replace(_TX, _DENSE)
+SQL["stream_amount_guess_dense"] = SQL["fraud_amount_guess_dense"]
 SQL["fraud_city_hop_split"] = SQL["fraud_city_hop"]
 SQL["city_hop_any_pair_split"] = SQL["city_hop_any_pair"]
 SQL["amount_guess_1reject_1day_split"] = SQL["amount_guess_1reject_1day"]

@@ -10,7 +10,9 @@ business date, taken from the name. Order never depends on listing order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudmart import schemas
@@ -18,37 +20,74 @@ from fraudmart.functions import amount_from_text, business_date, date_tag
 from fraudmart.sources import files
 
 
+def _file_id() -> Column:
+    """A feed file's identity: path, modification time and size. A file that
+    arrives under a name used before is another file."""
+    return F.substring(F.sha2(F.concat_ws("|", "_metadata.file_path", F.unix_micros("_metadata.file_modification_time"),
+                                          "_metadata.file_size"), 256), 1, 20)
+
+
 def _with_file(df: DataFrame) -> DataFrame:
     name = F.col("_metadata.file_name")
-    return df.withColumns({"file_name": name, "file_path": F.col("_metadata.file_path"),
+    return df.withColumns({"file_name": name, "file_path": F.col("_metadata.file_path"), "file_id": _file_id(),
                            "business_dt": business_date(name)})
 
 
-def discover(spark: SparkSession, landing: str, glob: str) -> DataFrame:
-    """File listing as a DataFrame (path, file_name, business_dt, length);
-    the content column of ``binaryFile`` is pruned, so nothing is read."""
+def discover(spark: SparkSession, landing: str, glob: str, exclude: Sequence[str] = ()) -> DataFrame:
+    """File listing as a DataFrame (file_path, file_name, file_id, length,
+    business_dt); the content column of ``binaryFile`` is pruned, so nothing is
+    read. Folders in ``exclude`` are not part of the landing folder."""
     df = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
           .option("recursiveFileLookup", "true").load(landing))
-    return df.select(F.col("path").alias("file_path"),
-                     F.element_at(F.split("path", "/"), -1).alias("file_name"),
-                     "length").withColumn("business_dt", business_date("file_name"))
+    out = df.select(F.col("path").alias("file_path"), F.element_at(F.split("path", "/"), -1).alias("file_name"),
+                    _file_id().alias("file_id"), "length").withColumn("business_dt", business_date("file_name"))
+    for folder in exclude:
+        out = out.filter(~F.col("file_path").startswith(files.qualify(spark, folder) + "/"))
+    return out
+
+
+def feed_header(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """Column names of a transaction feed file, in its order."""
+    return tuple(h.strip().strip('"').lstrip("\ufeff") for h in files.first_line(spark, path).split(";"))
+
+
+def missing_columns(header: tuple[str, ...]) -> list[str]:
+    return [f.name for f in schemas.TX_FEED.fields if f.name not in header]
 
 
 def read_tx_feed(spark: SparkSession, landing: str | list[str]) -> DataFrame:
-    """Scan transaction feed files; every column stays a string."""
-    paths = [landing] if isinstance(landing, str) else list(landing)
-    df = (spark.read.schema(schemas.TX_FEED)
-          .option("sep", ";").option("header", "true")
-          .option("pathGlobFilter", schemas.TX_FEED_GLOB)
-          .option("recursiveFileLookup", "true")
-          .option("mode", "PERMISSIVE")
-          .csv(paths))
-    return _with_file(df)
+    """Scan transaction feed files; every column stays a string. Columns are
+    taken by the names in each file's header line (one short read per file, as
+    the listing is), so files may order them as they like; a file without one of
+    the columns is an error."""
+    if isinstance(landing, str):
+        paths = [r["file_path"] for r in discover(spark, landing, schemas.TX_FEED_GLOB).select("file_path").collect()]
+    else:
+        paths = list(landing)
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for p in paths:
+        by_header.setdefault(feed_header(spark, p), []).append(p)
+    names = [f.name for f in schemas.TX_FEED.fields]
+    out = None
+    for header, group in sorted(by_header.items()):
+        if missing_columns(header):
+            raise ValueError(f"no column {', '.join(missing_columns(header))} in {group}")
+        schema = schemas.T.StructType([schemas.T.StructField(h, schemas.T.StringType()) for h in header])
+        df = (spark.read.schema(schema).option("sep", ";").option("header", "true").option("mode", "PERMISSIVE")
+              .csv(group))
+        df = _with_file(df).select(*names, "file_name", "file_path", "file_id", "business_dt")
+        out = df if out is None else out.unionByName(df)
+    if out is None:
+        out = spark.createDataFrame([], schemas.TX_FEED).withColumns(
+            {c: F.lit(None).cast("string") for c in ("file_name", "file_path", "file_id")}
+            | {"business_dt": F.lit(None).cast(schemas.TS)})
+    return out
 
 
 def normalise_transactions(feed: DataFrame) -> DataFrame:
     """Feed columns -> the transaction table: renames, decimal comma to point,
-    text timestamp to timestamp; ``load_dt`` is the file's business day."""
+    text timestamp to timestamp; ``load_dt`` is the file's business day,
+    ``trans_day`` the operation's."""
     return feed.select(
         F.trim("transaction_id").alias("trans_id"),
         F.trim("transaction_date").try_cast(schemas.TS).alias("trans_date"),
@@ -59,6 +98,8 @@ def normalise_transactions(feed: DataFrame) -> DataFrame:
         F.trim("terminal").alias("terminal"),
         F.col("business_dt").cast("date").alias("load_dt"),
         "file_name",
+        F.trim("transaction_date").try_cast(schemas.TS).cast("date").alias("trans_day"),
+        "file_id",
     )
 
 
@@ -71,8 +112,8 @@ def transaction_rejects(feed: DataFrame) -> DataFrame:
 
 
 def to_feed_text(transactions: DataFrame) -> DataFrame:
-    """The transaction table in feed layout (strings, decimal comma) with the
-    day it belongs to; the inverse of ``normalise_transactions``."""
+    """The transaction table in feed layout (strings, decimal comma, whole
+    seconds as the feed has them) with the day it belongs to."""
     return transactions.select(
         F.col("trans_id").alias("transaction_id"),
         F.date_format("trans_date", "yyyy-MM-dd HH:mm:ss").alias("transaction_date"),

@@ -41,6 +41,30 @@ def list_dirs(spark: SparkSession, folder: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
 
 
+def qualify(spark: SparkSession, path: str) -> str:
+    """The full path with its file system, as scans report paths."""
+    fs, p, _ = _fs(spark, path)
+    return fs.makeQualified(p).toString().rstrip("/")
+
+
+def delete(spark: SparkSession, path: str) -> bool:
+    """Remove a file or folder; whether there was one."""
+    fs, p, _ = _fs(spark, path)
+    return bool(fs.delete(p, True))
+
+
+def first_line(spark: SparkSession, path: str, limit: int = 1 << 16) -> str:
+    """The first line of a text file (at most ``limit`` bytes are read)."""
+    fs, p, jvm = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(
+            jvm.org.apache.commons.io.input.BoundedInputStream(stream, limit), "UTF-8"))
+        return reader.readLine() or ""
+    finally:
+        stream.close()
+
+
 def rename(spark: SparkSession, src: str, dst: str) -> None:
     fs, s, jvm = _fs(spark, src)
     d = jvm.org.apache.hadoop.fs.Path(dst)

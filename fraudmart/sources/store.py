@@ -1,33 +1,39 @@
 """The warehouse on storage: one Parquet table per folder below a root.
 
 * dimensions (cards, accounts, clients): seeded once, only when empty;
-* transactions: partitioned by ``load_dt`` (the feed's business day), loaded
-  with dynamic partition overwrite, so re-running a day replaces that day;
+* transactions: partitioned by ``trans_day`` (the day of the operation, so a
+  report since an instant prunes) and ``file_id`` (the feed file's path, time and
+  size): each file is its own unit, loading it again replaces exactly its
+  partitions, and no load touches another file's rows;
 * terminals: history recomputed at each load and written as a new version
   folder ``v=NNNNNN`` (never read and overwritten in place); readers take the
-  newest committed version;
-* passport_blacklist: insert-only, appended;
-* reporting_list: partitioned by ``report_dt``, dynamic overwrite, so a
-  same-day rerun replaces its own slice;
+  newest committed version, the one before it is kept for them to finish;
+* passport_blacklist: insert-only, appended; a key seen earlier in an older
+  file gets one more row, and readers take its earliest ``effective_from``;
+* reporting_list: partitioned by ``report_dt``; a run replaces its own slice,
+  also by an empty one;
 * _ingest_ledger: one row per loaded feed file.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fraudmart import schemas
 from fraudmart.sources import files
 from fraudmart.warehouse import Warehouse
 
 VERSIONED = {"terminals"}
-PARTITIONS = {"transactions": ["load_dt"], "reporting_list": ["report_dt"]}
+PARTITIONS = {"transactions": ["trans_day", "file_id"], "reporting_list": ["report_dt"]}
 TX_STORED = schemas.T.StructType(list(schemas.TRANSACTIONS.fields)
                                  + [schemas.T.StructField("load_dt", schemas.T.DateType()),
-                                    schemas.T.StructField("file_name", schemas.T.StringType())])
+                                    schemas.T.StructField("file_name", schemas.T.StringType()),
+                                    schemas.T.StructField("trans_day", schemas.T.DateType()),
+                                    schemas.T.StructField("file_id", schemas.T.StringType())])
 LEDGER = (schemas.T.StructType()
           .add("kind", "string").add("file_path", "string").add("file_name", "string")
-          .add("business_dt", schemas.TS).add("loaded_at", schemas.TS))
+          .add("business_dt", schemas.TS).add("file_id", "string").add("loaded_at", schemas.TS))
 SCHEMAS = dict(schemas.WAREHOUSE_TABLES, transactions=TX_STORED, _ingest_ledger=LEDGER)
 
 
@@ -57,7 +63,12 @@ class TableStore:
         loc = self.location(name)
         if loc is None:
             return self.spark.createDataFrame([], SCHEMAS[name])
-        return self.spark.read.schema(SCHEMAS[name]).parquet(loc)
+        df = self.spark.read.schema(SCHEMAS[name]).parquet(loc)
+        if name == "passport_blacklist":
+            df = (df.groupBy("passport_num", "entry_dt")
+                  .agg(F.min("effective_from").alias("effective_from"), F.max("effective_to").alias("effective_to"),
+                       F.max("deleted_flg").alias("deleted_flg")))
+        return df
 
     def is_empty(self, name: str) -> bool:
         return (not self.exists(name)) or self.read(name).isEmpty()
@@ -69,6 +80,8 @@ class TableStore:
         n = max([int(v.split("=")[1]) for v in versions] + [0]) + 1
         target = f"{self.path(name)}/v={n:06d}"
         df.write.mode("errorifexists").parquet(target)
+        for old in self._versions(name)[:-2]:
+            files.delete(self.spark, f"{self.path(name)}/{old}")
         return target
 
     def append(self, name: str, df: DataFrame) -> None:
@@ -82,6 +95,12 @@ class TableStore:
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*PARTITIONS[name]).parquet(self.path(name)))
 
+    def replace_partition(self, name: str, df: DataFrame, value: str) -> None:
+        """Replace one named partition of a table with a single partition
+        column, also when ``df`` has no rows."""
+        (column,) = PARTITIONS[name]
+        df.drop(column).write.mode("overwrite").parquet(f"{self.path(name)}/{column}={value}")
+
     def warehouse(self) -> Warehouse:
         return Warehouse(cards=self.read("cards"), accounts=self.read("accounts"),
                          clients=self.read("clients"), terminals=self.read("terminals"),

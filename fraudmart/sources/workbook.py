@@ -4,8 +4,7 @@
 each workbook's named sheet into rows on the executors (a workbook is a zip
 of XML parts, parsed with the standard library). A workbook is not
 splittable, so one file is one unit of work; everything after the parse is
-ordinary DataFrame code. ``workbook_bytes`` writes the same minimal format
-(inline strings and numbers), used to stage feeds from tables.
+ordinary DataFrame code.
 """
 
 from __future__ import annotations
@@ -15,7 +14,6 @@ import re
 import zipfile
 from collections.abc import Iterator, Sequence
 from xml.etree import ElementTree as ET
-from xml.sax.saxutils import escape
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fraudmart import schemas
-from fraudmart.functions import business_date, date_tag, excel_serial_to_date
+from fraudmart.functions import business_date, excel_serial_to_date
 from fraudmart.session import ship_package
 
 NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
@@ -119,6 +117,32 @@ def parse_workbooks(files: DataFrame, sheet: str, columns: Sequence[str]) -> Dat
     return parsed.withColumns({"file_name": name, "business_dt": business_date(name)})
 
 
+def workbook_problems(files: DataFrame, sheet: str, columns: Sequence[str]) -> DataFrame:
+    """(file_path, problem) for workbooks that cannot be read as asked: not a
+    workbook, no such sheet, or a missing column."""
+    columns = list(columns)
+
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            bad = []
+            for path, content in zip(batch["file_path"], batch["content"]):
+                try:
+                    rows = sheet_rows(bytes(content), sheet)
+                except (zipfile.BadZipFile, KeyError, ET.ParseError, StopIteration) as e:
+                    bad.append((path, f"not a workbook: {type(e).__name__}"))
+                    continue
+                header = [(h or "").strip() for h in rows[0]] if rows else []
+                missing = [c for c in columns if c not in header]
+                if not rows:
+                    bad.append((path, f"no rows in a sheet named {sheet}"))
+                elif missing:
+                    bad.append((path, "no column " + ", ".join(missing)))
+            yield pd.DataFrame(bad, columns=["file_path", "problem"])
+
+    ship_package(files.sparkSession)
+    return files.select("file_path", "content").mapInPandas(check, "file_path string, problem string")
+
+
 def read_workbooks(spark: SparkSession, landing: str, glob: str, sheet: str,
                    columns: Sequence[str]) -> DataFrame:
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
@@ -147,84 +171,5 @@ def blacklist_rows(parsed: DataFrame) -> DataFrame:
                          F.col("business_dt").alias("effective_from"), "file_name")
 
 
-# --- writing ---------------------------------------------------------------
-
-def _col_letters(i: int) -> str:
-    s = ""
-    i += 1
-    while i:
-        i, r = divmod(i - 1, 26)
-        s = chr(65 + r) + s
-    return s
-
-
-def workbook_bytes(sheet: str, header: Sequence[str], rows: Sequence[Sequence]) -> bytes:
-    """A minimal single-sheet workbook: inline strings, numbers as numbers."""
-    def cell(ref: str, v) -> str:
-        if v is None:
-            return ""
-        if isinstance(v, (int, float)) and not isinstance(v, bool):
-            return f'<c r="{ref}"><v>{v}</v></c>'
-        return f'<c r="{ref}" t="inlineStr"><is><t>{escape(str(v))}</t></is></c>'
-    lines = []
-    for r, values in enumerate([list(header)] + [list(x) for x in rows], start=1):
-        cells = "".join(cell(f"{_col_letters(i)}{r}", v) for i, v in enumerate(values))
-        lines.append(f'<row r="{r}">{cells}</row>')
-    sheet_xml = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-                 f'<worksheet xmlns="{NS["m"]}"><sheetData>{"".join(lines)}</sheetData></worksheet>')
-    workbook = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-                f'<workbook xmlns="{NS["m"]}" xmlns:r="{NS["r"]}"><sheets>'
-                f'<sheet name="{escape(sheet)}" sheetId="1" r:id="rId1"/></sheets></workbook>')
-    rels = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-            f'<Relationships xmlns="{NS["rel"]}">'
-            '<Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/'
-            'relationships/worksheet" Target="worksheets/sheet1.xml"/></Relationships>')
-    root_rels = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-                 f'<Relationships xmlns="{NS["rel"]}">'
-                 '<Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/'
-                 '2006/relationships/officeDocument" Target="xl/workbook.xml"/></Relationships>')
-    types = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-             '<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types">'
-             '<Default Extension="rels" ContentType="application/vnd.openxmlformats-package.'
-             'relationships+xml"/><Default Extension="xml" ContentType="application/xml"/>'
-             '<Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-'
-             'officedocument.spreadsheetml.sheet.main+xml"/>'
-             '<Override PartName="/xl/worksheets/sheet1.xml" ContentType="application/vnd.'
-             'openxmlformats-officedocument.spreadsheetml.worksheet+xml"/></Types>')
-    buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
-        z.writestr("[Content_Types].xml", types)
-        z.writestr("_rels/.rels", root_rels)
-        z.writestr("xl/workbook.xml", workbook)
-        z.writestr("xl/_rels/workbook.xml.rels", rels)
-        z.writestr("xl/worksheets/sheet1.xml", sheet_xml)
-    return buf.getvalue()
-
-
-def stage_workbooks(rows: DataFrame, day_col: str, prefix: str, sheet: str,
-                    header: Sequence[str]) -> DataFrame:
-    """Build workbook files from table rows on the executors: one workbook
-    per Arrow batch and day (batches are bounded, so no file grows with the
-    data), as (file_path, content) rows shaped like a ``binaryFile`` scan."""
-    header = list(header)
-    tagged = rows.select(*header, date_tag(F.col(day_col)).alias("_day"))
-
-    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import uuid
-        for batch in batches:
-            paths, blobs = [], []
-            for day, part in batch.groupby("_day", sort=True):
-                values = part[header].astype(object).where(part[header].notna(), None)
-                blob = workbook_bytes(sheet, header, values.values.tolist())
-                paths.append(f"staged/{uuid.uuid4().hex[:12]}/{prefix}_{day}.xlsx")
-                blobs.append(blob)
-            yield pd.DataFrame({"file_path": paths, "content": blobs})
-
-    schema = T.StructType([T.StructField("file_path", T.StringType()),
-                           T.StructField("content", T.BinaryType())])
-    ship_package(rows.sparkSession)
-    return tagged.mapInPandas(build, schema)
-
-
 TERMINAL_COLUMNS = ["terminal_id", "terminal_type", "terminal_city", "terminal_address"]
 BLACKLIST_COLUMNS = ["passport", "date"]

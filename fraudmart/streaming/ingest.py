@@ -23,6 +23,7 @@ def tx_feed_stream(spark: SparkSession, landing: str, max_files_per_trigger: int
     """Streaming scan of transaction feed files, normalised to the table."""
     r = (spark.readStream.schema(schemas.TX_FEED)
          .option("sep", ";").option("header", "true")
+         .option("enforceSchema", "false")  # columns in another order fail, they are not mixed up
          .option("pathGlobFilter", schemas.TX_FEED_GLOB)
          .option("recursiveFileLookup", "true"))
     if max_files_per_trigger:

@@ -40,14 +40,6 @@ OUT = T.StructType([T.StructField("trans_id", T.StringType()), T.StructField("cl
                     T.StructField("fio", T.StringType()), T.StructField("phone", T.StringType())])
 STATE = T.StructType([T.StructField("pending", T.StringType()), T.StructField("tail", T.StringType())])
 PASS = ["trans_id", "client_id", "passport_num", "fio", "phone"]
-# A transaction far in the future, appended as the last file of a stream: it
-# moves the watermark past every real row, which closes the stream. Catalyst
-# pushes the rules' status/type filters (and the join's not-null filters)
-# below the watermark, so the marker must pass them; its card exists in no
-# dimension, so it drops out at the ownership join.
-FLUSH_ROW = ("__flush__", __import__("datetime").datetime(9999, 1, 1), "__flush__", schemas.TYPE_WITHDRAW,
-             __import__("decimal").Decimal("0.00"), schemas.RESULT_SUCCESS, "__flush__")
-
 Step = Callable[[object, list[dict]], tuple[list[dict], object, int | None]]
 
 

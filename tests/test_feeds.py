@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from fraudmart import schemas
 from fraudmart.functions import amount_from_text, business_date, epoch_ms_to_date, excel_serial_to_date
+from fraudmart.plans import staging
 from fraudmart.sources import feeds, workbook
 
 from conftest import PLANTED_FEED
@@ -75,10 +76,10 @@ def test_tx_feed_round_trip(spark, planted, tmp_path):
 
 def test_workbook_round_trip(spark, tmp_path):
     rows = [("T1", "ATM", "Moscow", "ул. Ленина, 1 & <2>"), ("T2", "POS", "Kazan", None)]
-    blob = workbook.workbook_bytes("terminals", workbook.TERMINAL_COLUMNS, rows)
+    blob = staging.workbook_bytes("terminals", workbook.TERMINAL_COLUMNS, rows)
     (tmp_path / "terminals_01032021.xlsx").write_bytes(blob)
     (tmp_path / "other.xlsx").write_bytes(blob)
-    bl = workbook.workbook_bytes("blacklist", ["passport", "date"], [("p3", 44256), ("p5", "2021-03-02")])
+    bl = staging.workbook_bytes("blacklist", ["passport", "date"], [("p3", 44256), ("p5", "2021-03-02")])
     (tmp_path / "passport_blacklist_02032021.xlsx").write_bytes(bl)
     parsed = workbook.read_workbooks(spark, str(tmp_path), schemas.TERMINAL_FEED_GLOB,
                                      "terminals", workbook.TERMINAL_COLUMNS)

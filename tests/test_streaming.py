@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fraudmart import schemas
 from fraudmart.operators import rules
+from fraudmart.plans.catalog import FLUSH_ROW
 from fraudmart.streaming import rules as srules
 from fraudmart.streaming import stateful
 from fraudmart.streaming.ingest import ingest_transactions
@@ -16,7 +17,7 @@ from fraudmart.streaming.ingest import ingest_transactions
 from conftest import AS_OF, REPORT_DT, ids
 from test_feeds import write_tx_files
 
-FLUSH = [stateful.FLUSH_ROW]
+FLUSH = [FLUSH_ROW]
 
 
 # Two more operations within the last hour of the data: a guess chain on c7
