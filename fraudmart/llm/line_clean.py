@@ -107,11 +107,14 @@ def line_statistics(docs: DataFrame, text_col: str = "text", width: int = 3, **r
     good = F.filter("_judged", lambda x: ~((x["words"] > 0) & line_fails(x["line"], x["words"], p)))
     failed = ((F.col("n_words") < p["min_words"])
               | (100 * F.col("n_repeat_words") > p["max_repeat_percent"] * F.col("n_words")))
-    return d.select(
-        *[F.col(f"`{c}`") for c in keep], "n_words",
-        F.length(F.regexp_replace(t, WORD_GAP, "")).cast("long").alias("word_chars"),
+    made = F.struct(
+        "n_words", F.length(F.regexp_replace(t, WORD_GAP, "")).cast("long").alias("word_chars"),
         F.regexp_count(t, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         (F.size("_full") - F.size(F.array_distinct("_full"))).cast("long").alias("n_dup_lines"),
         "n_repeat_words", lost.alias("lost_words"), failed.alias("base_failed"),
         (~failed & (100 * lost <= p["max_loss_percent"] * F.col("n_words"))).alias("kept"),
         F.array_join(F.transform(good, lambda x: x["line"]), "\n").alias("clean_text"))
+    # Results leave through a generator: a filter on them is not pushed below it,
+    # where it would repeat all of the above inside one expression.
+    return (d.select(*[F.col(f"`{c}`") for c in keep], F.explode(F.array(made)).alias("_made"))
+            .select(*[F.col(f"`{c}`") for c in keep], "_made.*"))
