@@ -79,7 +79,7 @@ def test_stages_take_odd_rows(spark, tmp_path):
         for name, stage in corpus_pipeline.STAGES:
             docs = stored(stage(spark, docs, str(tmp_path / "d")), "t")
             if name == "near_duplicates" and rows:
-                assert sorted((r.doc_id or -1) for r in docs.collect()) == [-1, 20]
+                assert sorted((r.doc_id or -1) for r in docs.collect()) == [-1, 20, 22]  # 22 differs too much
         assert docs.count() <= 3 * len(rows)
 
 
