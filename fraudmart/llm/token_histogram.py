@@ -19,7 +19,7 @@ from collections.abc import Iterator
 from functools import partial
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fraudmart.llm.common import python_stage, stored
@@ -72,19 +72,18 @@ def with_sums(histogram: DataFrame) -> DataFrame:
 def at_limits(sums: DataFrame, limits: list[int]) -> DataFrame:
     """Answers for any context limits: ``context, docs_longer,
     tokens_truncated``, from the longest length not above each limit."""
-    spark = sums.sparkSession
-    wanted = spark.createDataFrame([(int(x),) for x in limits], "context long")
-    totals = sums.agg(F.max("tokens_total").alias("all"), F.sum("n_docs").alias("docs"))
-    at = F.max(F.when(F.col("n_tokens") <= F.col("context"), F.struct("n_tokens", "docs_longer", "tokens_up_to")))
-    # a few limits against the histogram
-    found = sums.join(F.broadcast(wanted), F.col("n_tokens") <= F.col("context"), "right").groupBy("context").agg(at.alias("a"))
-    docs = totals.first()["docs"] or 0
-    longer = F.coalesce(F.col("a.docs_longer"), F.lit(docs))
+    # one pass: for each limit the row of the longest length not above it
+    best = [F.max(F.when(F.col("n_tokens") <= int(x), F.struct("n_tokens", "docs_longer", "tokens_up_to")))
+            for x in limits]
+    answers = F.array(*[F.struct(F.lit(int(x)).cast("long").alias("context"), b.alias("a")) for x, b in zip(limits, best)])
+    found = (sums.agg(answers.alias("all"), F.coalesce(F.sum("n_docs"), F.lit(0)).alias("docs"))
+             .select("docs", F.explode("all").alias("x")).select("docs", "x.context", "x.a"))
+    longer = F.coalesce(F.col("a.docs_longer"), F.col("docs"))
     return found.select("context", longer.alias("docs_longer"), (F.coalesce(
         F.col("a.tokens_up_to"), F.lit(0)) + F.col("context") * longer).alias("tokens_truncated"))
 
 
-def quantile(sums: DataFrame, q: float) -> Column | int | None:
+def quantile(sums: DataFrame, q: float) -> int | None:
     """The smallest length that at least a share ``q`` of documents do not
     exceed; None for an empty histogram."""
     return sums.filter(F.col("share_up_to") >= q).agg(F.min("n_tokens")).first()[0]
