@@ -4,14 +4,16 @@ inverted index, distance-weighted votes, calibrated scores with evidence.
 Fitting takes a bounded, documented sample of the labelled rows: at most
 ``examples_per_class`` documents of either label, those with the smallest hashed
 ids. Terms are words and character 5-grams of words; the at most ``max_terms``
-terms whose document frequencies differ most between the labels (two-proportion
-z at least ``min_z``, with continuity correction) form the vocabulary. Every example is a TF-IDF vector over
-it, so the model has at most 2 x ``examples_per_class`` x ``max_terms`` weights:
+terms whose document frequencies differ most between the labels form the
+vocabulary (two-proportion z with continuity correction at least ``min_z``, and
+``min_ratio`` times as frequent in one label: common words with a slight preference
+say nothing and would be in every posting list). Every example is a TF-IDF
+vector over it, so the model has at most 2 x ``examples_per_class`` x ``max_terms`` weights:
 a size bound for the broadcast.
 
 The index keeps postings by term, cut into blocks of examples, and the largest
 weight of each term in each block. A query adds these maxima to bounds of the
-blocks, reads blocks from the highest bound and stops when no other block can
+blocks, reads the blocks with the highest bounds and then only those that can
 reach the k-th cosine: the result is the exact top k (ties by smaller doc_id).
 
 A score is the calibrated vote: neighbours vote with cosine squared times the
@@ -29,12 +31,11 @@ scored alike; extra columns are ignored.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
-from itertools import chain
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -45,11 +46,14 @@ from fraudmart.llm.common import python_stage, spread, stored
 EXAMPLES_PER_CLASS = 3072
 MAX_TERMS = 2048
 MIN_Z = 4.5
+#: A term is at least so many times as frequent among documents of one label.
+MIN_RATIO = 3.0
 GRAM = 5
 BLOCK = 64
+#: Blocks read first to find a k-th cosine.
+PROBE = 4
 NEIGHBOURS = 15
 BASE_VOTE = 0.02
-MEMO_CHUNKS = 400_000
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -58,30 +62,38 @@ def terms_of(word: str) -> list[str]:
     return [word, *("~" + word[i:i + GRAM] for i in range(len(word) - GRAM + 1))]
 
 
-class _TermIds(dict):
-    """White-space separated chunk -> ids of its vocabulary terms, or None."""
-
-    def __init__(self, vocabulary: dict[str, int]):
-        super().__init__()
-        self.vocabulary = vocabulary
-
-    def __missing__(self, chunk: str):
-        found = [i for word in LETTERS.findall(chunk) for t in terms_of(word)
-                 if (i := self.vocabulary.get(t)) is not None]
-        self[chunk] = got = tuple(found) or None
-        return got
+def _in_word(c: str) -> bool:
+    return c.isalnum() and not c.isdecimal()
 
 
 class Vectoriser:
+    """TF-IDF vectors over the vocabulary. One automaton finds all terms in a
+    pass over the text, so nothing is kept between texts."""
+
     def __init__(self, vocabulary: dict[str, int], idf: np.ndarray):
-        self.memo, self.idf = _TermIds(vocabulary), idf
+        self.idf = idf
+        found: dict[str, list[int]] = {}  # string -> its number as a word and as an n-gram
+        for term, i in vocabulary.items():
+            gram = term.startswith("~")
+            found.setdefault(term[1:] if gram else term, [-1, -1])[gram] = i
+        self.automaton = ahocorasick.Automaton()
+        for key, (word, gram) in found.items():
+            self.automaton.add_word(key, (len(key), word, gram))
+        if found:
+            self.automaton.make_automaton()
 
     def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Term ids and weights of the unit vector; empty without terms."""
-        if len(self.memo) > MEMO_CHUNKS:
-            self.memo.clear()
-        chunks = (text or "").lower().split()
-        n = Counter(chain.from_iterable(filter(None, map(self.memo.__getitem__, chunks))))
+        n: dict[int, int] = {}
+        if text and len(self.automaton):
+            text = text.lower()
+            last = len(text) - 1
+            for end, (size, word, gram) in self.automaton.iter(text):
+                if gram >= 0:
+                    n[gram] = n.get(gram, 0) + 1
+                if (word >= 0 and (end == last or not _in_word(text[end + 1]))
+                        and (end < size or not _in_word(text[end - size]))):
+                    n[word] = n.get(word, 0) + 1
         if not n:
             return np.empty(0, np.int64), np.empty(0)
         ids = np.array(sorted(n), np.int64)
@@ -107,32 +119,44 @@ class BlockMaxIndex:
         np.maximum.at(self.max, cell, self.weight)
         self.max = self.max.reshape(n_terms, max(self.blocks, 1))
 
+    def _scores(self, ids: np.ndarray, weights: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(examples, cosines) of all examples of the blocks with a posting."""
+        cell = (ids[:, None] * self.blocks + blocks[None, :]).ravel()
+        lo, n = self.first[cell], self.first[cell + 1] - self.first[cell]
+        total = int(n.sum())
+        at = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(total)
+        w = np.repeat(np.repeat(weights, len(blocks)), n) * self.weight[at]
+        score = np.round(np.bincount(self.example[at], weights=w, minlength=self.n), 12)
+        hit = np.flatnonzero(score > 0)
+        return hit, score[hit]
+
     def top(self, ids: np.ndarray, weights: np.ndarray, k: int, without: int = -1
             ) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the k best with a positive cosine, best
-        first, equal cosines by example number."""
+        first, equal cosines by example number. The blocks with the highest
+        bounds give a k-th cosine; only blocks that can reach it are read."""
         if not len(ids) or not self.n:
             return np.empty(0, np.int64), np.empty(0)
         bound = weights @ self.max[ids]
-        best_e, best_s, kth = np.empty(0, np.int64), np.empty(0), 0.0
-        for b in np.argsort(-bound, kind="stable"):
-            # a little slack: sums in another order may differ in the last bits
-            if bound[b] <= 0 or (len(best_s) == k and bound[b] < kth - 1e-9):
-                break
-            score = np.zeros(BLOCK)
-            at = ids * self.blocks + b
-            for lo, hi, w in zip(self.first[at], self.first[at + 1], weights):
-                if hi > lo:
-                    score[self.example[lo:hi] - b * BLOCK] += w * self.weight[lo:hi]
-            score = np.round(score, 12)
-            hit = np.flatnonzero(score > 0)
-            if b == without // BLOCK and without >= 0:
-                hit = hit[hit != without - b * BLOCK]
-            if len(hit):
-                e, s = np.concatenate([best_e, hit + b * BLOCK]), np.concatenate([best_s, score[hit]])
-                keep = np.lexsort((e, -s))[:k]
-                best_e, best_s = e[keep], s[keep]
-                kth = best_s[-1]
+        order = np.argsort(-bound, kind="stable")
+        order = order[:np.count_nonzero(bound > 0)]
+        best_e, best_s, done = np.empty(0, np.int64), np.empty(0), 0
+        while done < len(order):
+            if not done:
+                now = order[:PROBE]
+            else:
+                # a little slack: sums in another order may differ in the last bits
+                kth = best_s[k - 1] - 1e-9 if len(best_s) >= k else 0.0
+                now = order[done:done + np.count_nonzero(bound[order[done:]] >= kth)]
+                if not len(now):
+                    break
+            e, s = self._scores(ids, weights, now)
+            if without >= 0:
+                s, e = s[e != without], e[e != without]
+            best_e, best_s = np.concatenate([best_e, e]), np.concatenate([best_s, s])
+            keep = np.lexsort((best_e, -best_s))[:k]
+            best_e, best_s = best_e[keep], best_s[keep]
+            done += len(now)
         return best_e, best_s
 
 
@@ -194,7 +218,7 @@ def _vectors(batches: Iterator[pa.RecordBatch], vocabulary: dict[str, int], idf:
 
 def fit(docs: DataFrame, labels: DataFrame, may_train: Column, *, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic", examples_per_class: int = EXAMPLES_PER_CLASS, max_terms: int = MAX_TERMS,
-        min_z: float = MIN_Z, neighbours: int = NEIGHBOURS) -> Model:
+        min_z: float = MIN_Z, min_ratio: float = MIN_RATIO, neighbours: int = NEIGHBOURS) -> Model:
     """``may_train`` is a condition on ``doc_id``."""
     python_stage(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -223,7 +247,8 @@ def fit(docs: DataFrame, labels: DataFrame, may_train: Column, *, id_col: str =
     counts = (examples.select("toxic", "text").mapInArrow(_features, "toxic int, terms array<string>")
               .select("toxic", F.explode("terms").alias("term")).groupBy("term")
               .agg(F.sum(F.col("toxic").cast("long")).alias("d1"), F.sum(1 - F.col("toxic")).cast("long").alias("d0")))
-    picked = (counts.filter(d1 + d0 < n1 + n0).withColumn("z", z).filter(F.col("z") >= min_z)
+    rare = F.greatest(d1 / n1, d0 / n0) >= min_ratio * F.least(d1 / n1, d0 / n0)
+    picked = (counts.filter((d1 + d0 < n1 + n0) & rare).withColumn("z", z).filter(F.col("z") >= min_z)
               .orderBy(F.desc("z"), "term").limit(max_terms).collect())
     vocabulary = {r["term"]: i for i, r in enumerate(picked)}
     idf = np.log((1 + n1 + n0) / (1 + np.array([r["d1"] + r["d0"] for r in picked], float))) + 1
