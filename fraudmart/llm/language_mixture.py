@@ -114,32 +114,39 @@ def fit(docs: DataFrame, may_train: Column, *, id_col: str = "doc_id", text_col:
     return langs, np.log(n / n.sum(axis=1, keepdims=True)).astype(np.float32), bits
 
 
+def likelihoods(logs: np.ndarray) -> np.ndarray:
+    """Per bin, the languages' likelihoods relative to the bin's largest (a
+    common factor of a draw changes neither weights nor comparisons)."""
+    return np.ascontiguousarray(np.exp((logs - logs.max(axis=0)).astype(np.float64)).T)
+
+
 def proportions(p: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
-    """EM for the mixture weights of likelihoods ``p`` (languages by draws);
+    """EM for the mixture weights of likelihoods ``p`` (draws by languages);
     the weights and the log-likelihood."""
-    k, n = p.shape
+    n, k = p.shape
     w = np.full(k, 1 / k)
     if k > 1:
         for _ in range(rounds):
-            new = w * (p @ (1 / (w @ p))) / n
+            new = w * ((1 / (p @ w)) @ p) / n
             done = np.abs(new - w).max() < 1e-3
             w = new
             if done:
                 break
-    return w, float(np.log(w @ p).sum())
+    return w, float(np.log(p @ w).sum())
 
 
-def infer(logs: np.ndarray, penalty: float = PENALTY) -> tuple[np.ndarray, np.ndarray]:
+def infer(p: np.ndarray, penalty: float = PENALTY) -> tuple[np.ndarray, np.ndarray]:
     """(language numbers, shares), largest share first, of one text's draws."""
-    n = logs.shape[1]
-    p = np.exp(logs - logs.max(axis=0)).astype(np.float64)
+    n = len(p)
     w, _ = proportions(p)
     order = np.argsort(-w, kind="stable")
     best, keep, share = -np.inf, order[:1], np.ones(1)
     for k in range(1, len(order) + 1):
-        if k > 1 and w[order[k - 1]] < 0.01:
+        if w[order[k - 1]] < 0.01:
             break
-        sub, ll = proportions(p[order[:k]])
+        if k == 1 and (len(order) == 1 or w[order[1]] < 0.01):
+            break  # no second language to compare with
+        sub, ll = proportions(np.ascontiguousarray(p[:, order[:k]]))
         value = ll - penalty * (k - 1) * np.log(n)
         if value <= best:
             break
@@ -150,7 +157,7 @@ def infer(logs: np.ndarray, penalty: float = PENALTY) -> tuple[np.ndarray, np.nd
 
 def _predict(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
     langs, logs, bits = model.value
-    grams = Grams(bits)
+    grams, table = Grams(bits), likelihoods(logs) if langs else None
     for batch in batches:
         rows = []
         for text in batch.column(1).to_pylist():
@@ -158,7 +165,7 @@ def _predict(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatc
             if not len(at) or not langs:
                 rows.append((UNKNOWN, 0.0, [], []))
                 continue
-            keep, share = infer(logs[:, at])
+            keep, share = infer(table[at])
             rows.append((langs[keep[0]], float(share[0]), [langs[i] for i in keep], share.tolist()))
         yield pa.RecordBatch.from_arrays([
             batch.column(0), pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.float64()),
