@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 EMAIL = (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
 ACCESS_KEY = r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
-PASSWORD = r"(?<=password=)[^\s\"']+"
+PASSWORD = r"(?<=password=)[^\s\"']*[A-Za-z0-9]"  # without the punctuation after it
 HEX_KEY = r"(?<![A-Za-z0-9])(?=[a-f]*+[0-9])[0-9a-f]{32,128}(?![A-Za-z0-9])"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
