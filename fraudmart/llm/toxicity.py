@@ -5,16 +5,17 @@ Fitting takes a bounded, documented sample of the labelled rows: at most
 ``examples_per_class`` documents of either label, those with the smallest hashed
 ids. Terms are words and character 5-grams of words; the at most ``max_terms``
 terms whose document frequencies differ most between the labels form the
-vocabulary (two-proportion z with continuity correction at least ``min_z``, and
-``min_ratio`` times as frequent in one label: common words with a slight preference
-say nothing and would be in every posting list). Every example is a TF-IDF
+vocabulary (two-proportion z with continuity correction at least ``min_z``; common
+words with a slight preference count too, many of them are evidence). Every example is a TF-IDF
 vector over it, so the model has at most 2 x ``examples_per_class`` x ``max_terms`` weights:
 a size bound for the broadcast.
 
-The index keeps postings by term, cut into blocks of examples, and the largest
-weight of each term in each block. A query adds these maxima to bounds of the
-blocks, reads the blocks with the highest bounds and then only those that can
-reach the k-th cosine: the result is the exact top k (ties by smaller doc_id).
+The index keeps the examples in blocks and the largest weight of each term in
+each block. A query adds these maxima to bounds of the blocks, reads the blocks
+with the highest bounds and then only those that can reach the k-th cosine. The
+queries of a batch read a block together, as one single-precision matrix product;
+whatever its rounding error leaves in reach of the k-th cosine is computed again in
+double precision: the result is the exact top k (ties by smaller doc_id).
 
 A score is the calibrated vote: neighbours vote with cosine squared times the
 number of labelled rows an example stands for, plus a small vote of the rate
@@ -41,13 +42,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fraudmart.llm.common import python_stage, spread, stored
+from fraudmart.llm.common import ARROW_ROWS, python_stage, spread, stored
 
 EXAMPLES_PER_CLASS = 3072
 MAX_TERMS = 2048
 MIN_Z = 4.5
-#: A term is at least so many times as frequent among documents of one label.
-MIN_RATIO = 3.0
 GRAM = 5
 BLOCK = 64
 #: Blocks read first to find a k-th cosine.
@@ -102,62 +101,81 @@ class Vectoriser:
 
 
 class BlockMaxIndex:
-    """Postings of unit vectors, in blocks of examples."""
+    """Unit vectors with positive weights, in blocks of examples."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
-        self.n = len(vectors)
+        self.n, self.n_terms = len(vectors), n_terms
         self.blocks = -(-self.n // BLOCK)
-        ex = np.repeat(np.arange(self.n), [len(i) for i, _ in vectors])
-        term = np.concatenate([i for i, _ in vectors]) if vectors else np.empty(0, np.int64)
-        weight = np.concatenate([w for _, w in vectors]) if vectors else np.empty(0)
-        order = np.lexsort((ex, term))
-        self.example, self.weight = ex[order].astype(np.int32), weight[order].astype(np.float32)
-        cell = term[order] * max(self.blocks, 1) + self.example // BLOCK
-        cells = n_terms * max(self.blocks, 1)
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(cell, minlength=cells))])
-        self.max = np.zeros(cells)
-        np.maximum.at(self.max, cell, self.weight)
-        self.max = self.max.reshape(n_terms, max(self.blocks, 1))
-
-    def _scores(self, ids: np.ndarray, weights: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(examples, cosines) of all examples of the blocks with a posting."""
-        cell = (ids[:, None] * self.blocks + blocks[None, :]).ravel()
-        lo, n = self.first[cell], self.first[cell + 1] - self.first[cell]
-        total = int(n.sum())
-        at = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(total)
-        w = np.repeat(np.repeat(weights, len(blocks)), n) * self.weight[at]
-        score = np.round(np.bincount(self.example[at], weights=w, minlength=self.n), 12)
-        hit = np.flatnonzero(score > 0)
-        return hit, score[hit]
+        self.example = np.repeat(np.arange(self.n, dtype=np.int32), [len(i) for i, _ in vectors])
+        self.term = np.concatenate([i for i, _ in vectors]).astype(np.int32) if vectors else np.empty(0, np.int32)
+        self.weight = np.concatenate([w for _, w in vectors]).astype(np.float32) if vectors else np.empty(0, np.float32)
+        self.max = np.zeros((n_terms, self.blocks), np.float32)
+        np.maximum.at(self.max, (self.term, self.example // BLOCK), self.weight)
+        #: Bound of the rounding error of a single-precision cosine.
+        self.slack = (n_terms + 4) * 2.0 ** -23
+        self.rows: np.ndarray | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"rows": None}  # the postings are smaller to ship
+
+    def _rows(self) -> np.ndarray:
+        if self.rows is None:
+            self.rows = np.zeros((self.n, self.n_terms), np.float32)
+            self.rows[self.example, self.term] = self.weight
+        return self.rows
+
+    def _read(self, queries: np.ndarray, wanted: np.ndarray, scores: np.ndarray) -> None:
+        """Fill in the scores of the examples of the wanted (query, block)s."""
+        rows = self._rows()
+        for b in np.flatnonzero(wanted.any(axis=0)).tolist():
+            at, own = np.flatnonzero(wanted[:, b]), slice(b * BLOCK, (b + 1) * BLOCK)
+            scores[at, own] = queries[at] @ rows[own].T
+
+    def top_many(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int] | None = None
+                 ) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per vector (examples, cosines) of the k best with a positive cosine,
+        best first, equal cosines by example number. The blocks with the highest
+        bounds give a k-th cosine; only blocks that can reach it are read."""
+        found = [(np.empty(0, np.int64), np.empty(0))] * len(vectors)
+        live = [v for v, (ids, _) in enumerate(vectors) if len(ids)]
+        if not live or not self.n:
+            return found
+        queries = np.zeros((len(live), self.n_terms), np.float32)
+        for q, v in enumerate(live):
+            queries[q, vectors[v][0]] = vectors[v][1]
+        bound = queries @ self.max
+        first = np.argsort(-bound, axis=1, kind="stable")[:, :PROBE]
+        wanted = np.zeros(bound.shape, bool)
+        np.put_along_axis(wanted, first, True, axis=1)
+        wanted &= bound > 0
+        scores = np.zeros((len(live), self.n), np.float32)
+
+        def reach() -> np.ndarray:
+            """What a score must be at least to be among the k best."""
+            if without is not None:
+                for q, v in enumerate(live):
+                    if without[v] >= 0:
+                        scores[q, without[v]] = 0
+            if self.n < k:
+                return np.zeros((len(live), 1))
+            return np.partition(scores, self.n - k, axis=1)[:, self.n - k, None] - 2 * self.slack
+
+        self._read(queries, wanted, scores)
+        # a bound is a sum of maxima, larger than one, with the error that goes with it
+        self._read(queries, ~wanted & (bound > 0) & (bound * (1 + self.slack) >= reach()), scores)
+        near = (scores > 0) & (scores >= reach())
+        for q, v in enumerate(live):
+            ids, weights = vectors[v]
+            e = np.flatnonzero(near[q])
+            s = np.round((self._rows()[np.ix_(e, ids)] * weights).sum(axis=1), 12)
+            e, s = e[s > 0], s[s > 0]
+            keep = np.lexsort((e, -s))[:k]
+            found[v] = e[keep], s[keep]
+        return found
 
     def top(self, ids: np.ndarray, weights: np.ndarray, k: int, without: int = -1
             ) -> tuple[np.ndarray, np.ndarray]:
-        """(examples, cosines) of the k best with a positive cosine, best
-        first, equal cosines by example number. The blocks with the highest
-        bounds give a k-th cosine; only blocks that can reach it are read."""
-        if not len(ids) or not self.n:
-            return np.empty(0, np.int64), np.empty(0)
-        bound = weights @ self.max[ids]
-        order = np.argsort(-bound, kind="stable")
-        order = order[:np.count_nonzero(bound > 0)]
-        best_e, best_s, done = np.empty(0, np.int64), np.empty(0), 0
-        while done < len(order):
-            if not done:
-                now = order[:PROBE]
-            else:
-                # a little slack: sums in another order may differ in the last bits
-                kth = best_s[k - 1] - 1e-9 if len(best_s) >= k else 0.0
-                now = order[done:done + np.count_nonzero(bound[order[done:]] >= kth)]
-                if not len(now):
-                    break
-            e, s = self._scores(ids, weights, now)
-            if without >= 0:
-                s, e = s[e != without], e[e != without]
-            best_e, best_s = np.concatenate([best_e, e]), np.concatenate([best_s, s])
-            keep = np.lexsort((best_e, -best_s))[:k]
-            best_e, best_s = best_e[keep], best_s[keep]
-            done += len(now)
-        return best_e, best_s
+        return self.top_many([(ids, weights)], k, [without])[0]
 
 
 @dataclass
@@ -218,7 +236,7 @@ def _vectors(batches: Iterator[pa.RecordBatch], vocabulary: dict[str, int], idf:
 
 def fit(docs: DataFrame, labels: DataFrame, may_train: Column, *, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "toxic", examples_per_class: int = EXAMPLES_PER_CLASS, max_terms: int = MAX_TERMS,
-        min_z: float = MIN_Z, min_ratio: float = MIN_RATIO, neighbours: int = NEIGHBOURS) -> Model:
+        min_z: float = MIN_Z, neighbours: int = NEIGHBOURS) -> Model:
     """``may_train`` is a condition on ``doc_id``."""
     python_stage(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -247,8 +265,7 @@ def fit(docs: DataFrame, labels: DataFrame, may_train: Column, *, id_col: str =
     counts = (examples.select("toxic", "text").mapInArrow(_features, "toxic int, terms array<string>")
               .select("toxic", F.explode("terms").alias("term")).groupBy("term")
               .agg(F.sum(F.col("toxic").cast("long")).alias("d1"), F.sum(1 - F.col("toxic")).cast("long").alias("d0")))
-    rare = F.greatest(d1 / n1, d0 / n0) >= min_ratio * F.least(d1 / n1, d0 / n0)
-    picked = (counts.filter((d1 + d0 < n1 + n0) & rare).withColumn("z", z).filter(F.col("z") >= min_z)
+    picked = (counts.filter(d1 + d0 < n1 + n0).withColumn("z", z).filter(F.col("z") >= min_z)
               .orderBy(F.desc("z"), "term").limit(max_terms).collect())
     vocabulary = {r["term"]: i for i, r in enumerate(picked)}
     idf = np.log((1 + n1 + n0) / (1 + np.array([r["d1"] + r["d0"] for r in picked], float))) + 1
@@ -263,8 +280,8 @@ def fit(docs: DataFrame, labels: DataFrame, may_train: Column, *, id_col: str =
     base = float((stands[bare] @ toxic[bare] + totals[1] / every) / (stands[bare].sum() + 1))
     model = Model(vocabulary, idf, BlockMaxIndex(vectors, len(vocabulary)),
                   np.array([r["doc_id"] for r in rows], np.int64), toxic, stands, base)
-    votes = np.array([model.vote(*model.index.top(i, w, neighbours, without=at))
-                      for at, (i, w) in enumerate(vectors)])
+    votes = np.array([model.vote(e, s) for at in range(0, len(vectors), ARROW_ROWS) for e, s in model.index.top_many(
+        vectors[at:at + ARROW_ROWS], neighbours, list(range(at, min(at + ARROW_ROWS, len(vectors)))))])
     model.steps, model.values = isotonic(votes, toxic, stands)
     return model
 
@@ -276,13 +293,12 @@ def _score(batches: Iterator[pa.RecordBatch], model, neighbours: int) -> Iterato
     bare = m.probability(m.vote(np.empty(0, np.int64), np.empty(0)))
     for batch in batches:
         scores, found = [], []
-        for text in batch.column(1).to_pylist():
-            ids, w = vector(text)
+        vectors = [vector(text) for text in batch.column(1).to_pylist()]
+        for (ids, _), (e, s) in zip(vectors, m.index.top_many(vectors, neighbours)):
             if not len(ids):
                 scores.append(bare)
                 found.append([])
                 continue
-            e, s = m.index.top(ids, w, neighbours)
             scores.append(m.probability(m.vote(e, s)))
             found.append([{"doc_id": int(m.doc_ids[i]), "cosine": float(c), "toxic": int(m.toxic[i])}
                           for i, c in zip(e[:3], s[:3])])

@@ -156,6 +156,36 @@ def test_toxicity(spark):
     assert toxicity.score(docs.limit(0), model).count() == 0
 
 
+def test_many_slightly_preferred_words_are_evidence(spark):
+    rng = random.Random(8)
+    hints = [f"hint{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60)]  # 36 % of toxic, 15 % of clean documents
+    rows = [(i, " ".join(["common", *(w for w in hints if rng.random() < (0.36 if i % 2 else 0.15))]), i % 2)
+            for i in range(1200)]
+    marks = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    docs = documents(spark, [(i, t) for i, t, _ in rows])
+    model = toxicity.fit(docs, marks, F.col("doc_id") < 900)
+    assert set(hints) <= set(model.vocabulary)
+    got = {r.doc_id: r.score for r in toxicity.score(docs.filter("doc_id >= 900"), model).collect()}
+    assert np.mean([(got[i] >= 0.5) == bool(y) for i, _, y in rows if i >= 900]) > 0.9
+
+
+def test_a_batch_finds_what_each_query_finds():
+    rng = np.random.default_rng(3)
+    vectors = []
+    for _ in range(600):
+        ids = np.unique(rng.integers(0, 40, rng.integers(0, 30)))
+        w = rng.random(len(ids)) + 0.01
+        vectors.append((ids, w / np.sqrt(w @ w) if len(w) else w))
+    index = toxicity.BlockMaxIndex(vectors, 40)
+    dense = np.zeros((len(vectors), 40))
+    for k, (i, w) in enumerate(vectors):
+        dense[k, i] = w.astype(np.float32)
+    for k, (e, s) in enumerate(index.top_many(vectors, 15, list(range(len(vectors))))):
+        cos = np.round(dense[:, vectors[k][0]] @ vectors[k][1], 12)
+        cos[k] = 0
+        assert e.tolist() == [x for x in np.lexsort((np.arange(len(cos)), -cos))[:15] if cos[x] > 0]
+
+
 def test_isotonic():
     x, y = np.array([0.1, 0.2, 0.2, 0.5, 0.9]), np.array([0, 1, 0, 1, 1.0])
     knots, values = toxicity.isotonic(x, y, np.ones(5))
