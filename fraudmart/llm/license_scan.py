@@ -1,12 +1,19 @@
 """License scan: lines and whole short texts against license templates by the
 Dice coefficient over distinct word bigrams. DataFrame functions only.
 
-A text unit is a line, or a whole text of several lines. Units and templates become lower-case words of letters and
+Templates are short notices, standard headers and whole licences
+(``license_texts``). A text unit is a line, a whole text of several lines, or a
+passage: consecutive sentences or pieces of sentences between line ends, of a
+template's size in words. Units and templates become lower-case words of letters and
 digits. Dice >= t needs sizes within a factor (2 - t) / t of each other, so each
 template lists the unit sizes it can match and units join it on their size: no
-template outside the bounds is compared. Everything happens inside a row after a
-broadcast of the templates, whose total size is checked; larger tables are
-taken block by block. Only matches are shuffled.
+template outside the bounds is compared. A passage can only match where the text
+holds so many of the template's bigrams that a few of them, the longest, cannot
+all be missing: only texts with one of these are searched for passages, and only
+for such templates. Of overlapping passages that match a template, the best stays;
+a passage is reported with the line it begins in. Everything happens inside a row after a
+broadcast of the templates, each once, whose total size is checked; larger tables
+are taken block by block. Only matches are shuffled.
 
 Null or blank text gives no rows. Null ids are reported like others; rows that
 repeat an id give one row per line and license. Units of one word are compared
@@ -23,6 +30,7 @@ from pyspark.sql import functions as F
 
 from fraudmart.llm.common import stored
 from fraudmart.llm.decontaminate import plain_words
+from fraudmart.llm.license_texts import texts
 
 #: Short notices as their licenses recommend them, by SPDX id.
 NOTICES = {
@@ -55,7 +63,8 @@ BLOCK_WORDS = 1 << 20
 
 
 def templates(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(k, t) for k, v in NOTICES.items() for t in v], "license_id string, text string")
+    notices = [(k, t) for k, v in NOTICES.items() for t in v]
+    return spark.createDataFrame(notices + texts(), "license_id string, text string")
 
 
 def bigrams(words: Column) -> Column:
@@ -66,21 +75,96 @@ def bigrams(words: Column) -> Column:
     return F.array_distinct(F.when(n == 1, F.array(F.xxhash64(F.get(words, 0)))).otherwise(pairs))
 
 
+def _longest_first(words: Column) -> Column:
+    """The distinct bigram hashes, those of the longest words first."""
+    n = F.size(words)
+    pairs = F.zip_with(F.slice(words, F.lit(1), F.greatest(n - 1, F.lit(0))),
+                       F.slice(words, F.lit(2), F.greatest(n - 1, F.lit(0))),
+                       lambda a, b: F.struct((-F.length(a) - F.length(b)).alias("n"), F.xxhash64(a, b).alias("h")))
+    return F.when(n == 1, bigrams(words)).otherwise(
+        F.transform(F.array_sort(F.array_distinct(pairs)), lambda v: v["h"]))
+
+
+def _only(df: DataFrame, *columns: Column) -> DataFrame:
+    """Columns from a generator: later uses do not repeat their expressions."""
+    return df.select(F.explode(F.array(F.struct(*columns))).alias("v")).select("v.*")
+
+
+def _passages(docs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """``doc_id, line, license_id, dice`` of sentences and runs of pieces.
+    ``docs``: ``doc_id, text, grams``."""
+    rare = known.select(F.explode("rare").alias("gram")).agg(F.collect_set("gram").alias("rare_grams"))
+    some = _only(docs.join(F.broadcast(rare), F.arrays_overlap("rare_grams", "grams")), F.col("doc_id"), F.col("text"),
+                 F.col("grams"), F.array_intersect("rare_grams", "grams").alias("hits"))
+    near = (some.join(F.broadcast(known), F.arrays_overlap("rare", "hits")
+                      & (F.size(F.array_intersect("known", "grams")) >= F.col("lo"))).drop("grams", "hits", "rare"))
+    pieces = F.flatten(F.transform(F.split("text", "\n"), lambda line, i: F.transform(
+        F.split(line, r"(?<=[.!?:;])\s+"), lambda p: F.struct((i + 1).alias("line"), plain_words(p).alias("words")))))
+    d = _only(near, F.col("doc_id"), F.col("license_id"), F.col("known"), F.col("known_size"),
+              F.col("least_words"), F.col("most_words"), F.filter(pieces, lambda v: F.size(v["words"]) > 0).alias("pieces"))
+    upto = F.aggregate("pieces", F.array(F.lit(0)), lambda acc, v: F.concat(
+        acc, F.array(F.element_at(acc, -1) + F.size(v["words"]))))
+
+    def mark(v: Column, k: Column) -> Column:
+        """Has a piece bigrams of the template, only such, and one with the last word before it?"""
+        own = F.when(F.size(v["words"]) > 1, bigrams(v["words"])).otherwise(F.array().cast("array<bigint>"))
+        before = F.element_at(F.get("pieces", F.greatest(k - 1, F.lit(0)))["words"], -1)
+        return F.transform(F.array(F.size(F.array_intersect(own, F.col("known")))), lambda m: F.struct(
+            (m > 0).alias("some"), (m == F.size(own)).alias("only"),
+            ((k > 0) & F.array_contains("known", F.xxhash64(before, F.get(v["words"], 0)))).alias("joined")))
+
+    d = _only(d, *[F.col(c) for c in d.columns], upto.alias("upto"),
+              F.flatten(F.transform("pieces", mark)).alias("marks"))
+    n = F.size("pieces")
+    at = lambda i: F.get("marks", i - 1)
+    # a piece without bigrams of the template at an end lowers the coefficient, one more of
+    # only such bigrams does not: no run begins or ends with the one or before the other
+    first = F.filter(F.sequence(F.lit(1), n), lambda i: (F.col("known_size") == 1) | (
+        (at(i)["some"] | ((i < n) & at(F.least(i + 1, n))["joined"]))
+        & ((i == 1) | ~(at(F.greatest(i - 1, F.lit(1)))["only"] & at(i)["joined"]))))
+    last = F.filter(F.sequence(F.lit(1), n), lambda j: (F.col("known_size") == 1) | (
+        (at(j)["some"] | at(j)["joined"])
+        & ((j == n) | ~(at(F.least(j + 1, n))["only"] & at(F.least(j + 1, n))["joined"]))))
+    d = _only(d.filter(n > 0), *[F.col(c) for c in d.columns if c != "marks"], first.alias("firsts"), last.alias("lasts"))
+
+    def run(i: Column, j: Column) -> Column:
+        own = bigrams(F.flatten(F.transform(F.slice("pieces", i, j - i + 1), lambda v: v["words"])))
+        return F.transform(F.array(own), lambda g: F.struct(
+            (2 * F.size(F.array_intersect(g, F.col("known"))) / (F.size(g) + F.col("known_size"))).alias("dice"),
+            (-i).alias("first"), (-j).alias("last")))
+
+    def runs(i: Column) -> Column:
+        size = lambda j: F.get("upto", j) - F.get("upto", i - 1)
+        ends = F.filter("lasts", lambda j: (j >= i) & size(j).between(F.col("least_words"), F.col("most_words")))
+        return F.filter(F.flatten(F.transform(ends, lambda j: run(i, j))), lambda v: 100 * v["dice"] >= percent)
+
+    every = F.flatten(F.transform("firsts", runs))
+    d = _only(d, F.col("doc_id"), F.col("license_id"), F.col("pieces"), F.sort_array(every, asc=False).alias("runs"))
+    # best first; ends are negated, so equal ones come by place
+    best = F.aggregate("runs", F.slice("runs", 1, 0), lambda acc, v: F.when(
+        F.exists(acc, lambda x: (x["first"] >= v["last"]) & (v["first"] >= x["last"])), acc)
+        .otherwise(F.concat(acc, F.array(v))))
+    whole = lambda v: (v["first"] == -1) & (v["last"] == -F.size("pieces"))
+    return (d.select("doc_id", "license_id", "pieces", F.explode(F.filter(best, lambda v: ~whole(v))).alias("v"))
+            .select("doc_id", F.get("pieces", -F.col("v.first") - 1)["line"].alias("line"), "license_id", "v.dice"))
+
+
 def scan(docs: DataFrame, notices: DataFrame | None = None, *, id_col: str = "doc_id", text_col: str = "text",
          percent: int = 80, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``doc_id, line, license_id, dice``: units whose Dice coefficient
-    with a template is at least ``percent``. ``line`` counts from 1; 0 is the
-    whole text of several lines."""
+    with a template is at least ``percent``. ``line`` counts from 1 and is where
+    the unit begins; 0 is the whole text of several lines."""
     spark = docs.sparkSession
     notices = templates(spark) if notices is None else notices
     known = stored(
-        notices.select("license_id", bigrams(plain_words(F.col("text"))).alias("grams"))
+        notices.select("license_id", plain_words(F.col("text")).alias("words"))
+        .select("license_id", _longest_first(F.col("words")).alias("grams"), F.size("words").alias("n_words"))
         .withColumn("size", F.size("grams")).filter("size > 0").distinct(), "license-templates")
     # dice = 2 common / (a + b) and common <= min(a, b)
     lo = F.ceil(F.col("size") * F.lit(percent) / F.lit(200 - percent)).cast("int")
     hi = F.floor(F.col("size") * F.lit(200 - percent) / F.lit(percent)).cast("int")
     known = known.withColumn("lo", lo).withColumn("hi", hi)
-    total = known.agg(F.sum(F.col("size") * (F.col("hi") - F.col("lo") + 1))).first()[0]
+    total = known.agg(F.sum(F.col("size") + F.col("hi") - F.col("lo") + 1)).first()[0]
     blocks = max(1, -(-int(total or 0) // block_words))
 
     lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")
@@ -93,12 +177,20 @@ def scan(docs: DataFrame, notices: DataFrame | None = None, *, id_col: str = "do
              .select("doc_id", "line", plain_words(F.col("unit")).alias("words"))
              .select("doc_id", "line", bigrams(F.col("words")).alias("grams"))
              .withColumn("size", F.size("grams")))
+    texts_ = _only(docs, F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
+                   bigrams(plain_words(F.col(text_col))).alias("grams"))
     found = []
     for b in range(blocks):
         own = (known.filter(F.pmod(F.xxhash64("license_id", "grams"), F.lit(blocks)) == b)
-               .select("license_id", F.col("grams").alias("known"), F.col("size").alias("known_size"),
-                       F.explode(F.sequence("lo", "hi")).alias("size")))
-        near = sized.join(F.broadcast(own), "size")
+               .select("license_id", F.col("grams").alias("known"), F.col("size").alias("known_size"), "lo", "hi",
+                       F.floor(F.col("n_words") * F.lit(percent) / F.lit(200 - percent)).alias("least_words"),
+                       F.ceil(F.col("n_words") * F.lit(200 - percent) / F.lit(percent)).alias("most_words"),
+                       F.xxhash64("license_id", "grams", "n_words").alias("template")))
+        # a unit with all but the rare ones has less than lo bigrams of the template
+        found.append(_passages(texts_, own.withColumn("rare", F.slice("known", F.lit(1), F.col("known_size") - F.col("lo") + 1))
+                               .drop("template"), percent))
+        sizes = own.select("template", F.explode(F.sequence("lo", "hi")).alias("size"))
+        near = sized.join(F.broadcast(sizes), "size").join(F.broadcast(own.select("template", "license_id", "known", "known_size")), "template")
         dice = 2 * F.size(F.array_intersect("grams", "known")) / (F.col("size") + F.col("known_size"))
         hit = F.filter(F.array(F.struct("license_id", dice.alias("dice"))), lambda v: 100 * v["dice"] >= percent)
         found.append(near.select("doc_id", "line", F.explode(hit).alias("v"))
