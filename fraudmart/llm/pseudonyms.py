@@ -17,8 +17,9 @@ and modulo the radix. That is a permutation of the format's whole domain:
 - IPv4: octets;
 - phone: the digits after the country code;
 - e-mail: letters and digits of the local part; the domain stays;
-- access keys, passwords after ``password=``, long hexadecimal keys: their
-  letters and digits.
+- access keys, passwords after ``password=`` (in any case), long hexadecimal keys:
+  their letters and digits. A hexadecimal key has the same pseudonym in upper and
+  lower case, each in its case; a key in mixed case keeps the case and the digits' places.
 
 A number that fails its format's check is no such value and stays. All kinds
 are found in one pass, so a pseudonym is never taken for a value again.
@@ -35,8 +36,8 @@ from pyspark.sql import functions as F
 
 EMAIL = (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
 ACCESS_KEY = r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
-PASSWORD = r"(?<=password=)[^\s\"']*[A-Za-z0-9]"  # without the punctuation after it
-HEX_KEY = r"(?<![A-Za-z0-9])(?=[a-f]*+[0-9])[0-9a-f]{32,128}(?![A-Za-z0-9])"
+PASSWORD = r"(?<=(?i:password)=)[^\s\"']*[A-Za-z0-9]"  # without the punctuation after it
+HEX_KEY = r"(?<![A-Za-z0-9])(?=[A-Fa-f]*+[0-9])[0-9a-fA-F]{32,128}(?![A-Za-z0-9])"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 DATE = (r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}"
@@ -84,14 +85,17 @@ def _letters(s: Column, key: str, kind: str, undo: bool, hexa: bool = False) ->
     if hexa:
         values = F.transform(_chars(s), lambda c: F.conv(c, 16, 10).cast("int"))
         out = feistel(values, F.transform(_chars(s), lambda c: F.lit(16)), key, kind, undo)
-        return F.array_join(F.transform(out, lambda v: F.lower(F.hex(v))), "")
+        made = F.array_join(F.transform(out, lambda v: F.lower(F.hex(v))), "")
+        return F.when(s.rlike("[A-F]"), F.upper(made)).otherwise(made)
+
+    letters = 6 if kind == "mixed_hex_key" else 26
 
     def base(c: Column) -> Column:
         return (F.when(c.between("0", "9"), F.ascii(F.lit("0"))).when(c.between("a", "z"), F.ascii(F.lit("a")))
                 .when(c.between("A", "Z"), F.ascii(F.lit("A"))))
 
     def radix(c: Column) -> Column:
-        return F.when(c.between("0", "9"), 10).when(c.between("a", "z") | c.between("A", "Z"), 26).otherwise(1)
+        return F.when(c.between("0", "9"), 10).when(c.between("a", "z") | c.between("A", "Z"), letters).otherwise(1)
 
     values = F.transform(_chars(s), lambda c: F.coalesce(F.ascii(c) - base(c), F.lit(0)))
     out = feistel(values, F.transform(_chars(s), radix), key, kind, undo)
@@ -222,7 +226,8 @@ def pseudonym(m: Column, key: str, undo: bool = False) -> tuple[Column, Column]:
     made = {
         "email": _email(m, key, undo),
         "access_key": F.concat(F.substr(m, F.lit(1), F.lit(4)), _letters(F.substr(m, F.lit(5)), key, "access_key", undo)),
-        "hex_key": _letters(m, key, "hex_key", undo, hexa=True),
+        "hex_key": F.when(m.rlike("[a-f]") & m.rlike("[A-F]"), _letters(m, key, "mixed_hex_key", undo))
+        .otherwise(_letters(m, key, "hex_key", undo, hexa=True)),
         "iban": _iban(m, key, undo), "ssn": _ssn(m, key, undo), "date": _date(m, key, undo),
         "ipv4": _ipv4(m, key, undo), "card": _card(m, key, undo), "phone": _phone(m, key, undo),
         "password": _letters(m, key, "password", undo),
@@ -240,7 +245,7 @@ def pseudonymise(docs: DataFrame, key: str, *, text_col: str = "text", undo: boo
     made = ["n_replaced", "replaced"]
     keep = [c for c in docs.columns if c not in made]
     t = F.col(f"`{text_col}`")
-    some = t.rlike("[0-9@]|password=")
+    some = t.rlike("[0-9@]|(?i:password)=")
     d = docs.select(*[F.col(f"`{c}`") for c in keep],
                     F.when(some, F.regexp_extract_all(t, F.lit(ANY), F.lit(0)))
                     .otherwise(F.array().cast("array<string>")).alias("_found"))

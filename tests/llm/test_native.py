@@ -213,6 +213,17 @@ def test_pseudonyms(spark):
     assert pseudonyms.pseudonymise(documents(spark, []), "k").count() == 0
 
 
+def test_keys_and_passwords_in_either_case(spark):
+    low, mixed = "9233a8ecf7c5b09fe5949719b6b82bc439e9329b", "9233A8ecf7c5B09fe5949719b6b82bc439e9329B"
+    rows = [(1, f'TOKEN = "{low.upper()}"'), (2, f'token = "{low}"'), (3, "PASSWORD=HUNTER22ABC, x"), (4, f"key {mixed};")]
+    made = pseudonyms.pseudonymise(documents(spark, rows), "k").cache()
+    out = {r.doc_id: r for r in made.collect()}
+    assert [out[i].replaced[0].kind for i in (1, 2, 3, 4)] == ["hex_key", "hex_key", "password", "hex_key"]
+    assert out[1].replaced[0].pseudonym == out[2].replaced[0].pseudonym.upper() != low.upper()
+    assert "HUNTER22ABC" not in out[3].text and mixed not in out[4].text
+    assert {(r.doc_id, r.text) for r in pseudonyms.pseudonymise(made, "k", undo=True).collect()} == set(rows)
+
+
 def test_feistel_is_a_permutation(spark):
     n = 189 * 773
     day = F.array((F.col("id") / 773).cast("int"), (F.col("id") % 773).cast("int"))
