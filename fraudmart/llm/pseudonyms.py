@@ -21,7 +21,9 @@ and modulo the radix. That is a permutation of the format's whole domain:
   their letters and digits. A hexadecimal key has the same pseudonym in upper and
   lower case, each in its case; a key in mixed case keeps the case and the digits' places.
 
-A number that fails its format's check is no such value and stays. All kinds
+A number that fails its format's check is no such value and stays. Digits next to a
+card (an expiry date, a year, a quantity) do not hide it: every run of its groups in a
+usual grouping is checked. An IBAN is as long as its country says. All kinds
 are found in one pass, so a pseudonym is never taken for a value again.
 
 Null text stays null, no value: the text stays as it is. Null ids, repeated
@@ -38,7 +40,16 @@ EMAIL = (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-
 ACCESS_KEY = r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
 PASSWORD = r"(?<=(?i:password)=)[^\s\"']*[A-Za-z0-9]"  # without the punctuation after it
 HEX_KEY = r"(?<![A-Za-z0-9])(?=[A-Fa-f]*+[0-9])[0-9a-fA-F]{32,128}(?![A-Za-z0-9])"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+#: Characters of an IBAN by country; other countries' IBANs are as long as they fit.
+IBAN_LENGTHS = {15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+                21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+                24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC SM",
+                28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC",
+                32: "LC", 33: "RU"}
+_OWN_LENGTH = "|".join(f"(?:{'|'.join(c.split())})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}"
+                       + (f" ?[A-Z0-9]{{{(n - 4) % 4}}}" if n % 4 else "") for n, c in IBAN_LENGTHS.items())
+IBAN = (rf"(?<![A-Za-z0-9])(?:{_OWN_LENGTH}|(?!{'|'.join(' '.join(IBAN_LENGTHS.values()).split())})"
+        r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])")
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 DATE = (r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}"
         r"|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?![0-9]|[./-][0-9])")
@@ -50,6 +61,10 @@ PHONE = (r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{
 KINDS = {"email": EMAIL, "access_key": ACCESS_KEY, "password": PASSWORD, "hex_key": HEX_KEY, "iban": IBAN,
          "ssn": SSN, "date": DATE, "ipv4": IPV4, "card": CARD, "phone": PHONE}
 ANY = "|".join(f"(?:{p})" for p in KINDS.values())
+#: Digits that go on with single blanks or hyphens, and the groupings of cards in them.
+DIGIT_RUN = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,}+"
+CARD_FORMS = (r"^[2-6](?:[0-9]{12,18}|[0-9]{3}(?: [0-9]{4}){3}(?: [0-9]{1,3})?|[0-9]{3}(?:-[0-9]{4}){3}(?:-[0-9]{1,3})?"
+              r"|[0-9]{3} [0-9]{6} [0-9]{4,5}|[0-9]{3}-[0-9]{6}-[0-9]{4,5})$")
 ROUNDS = 10
 #: 400 Gregorian years from 1800-01-01: 146097 days = 189 x 773.
 FIRST_DAY, DAY_RADICES = "1800-01-01", (189, 773)
@@ -140,6 +155,43 @@ def _card(m: Column, key: str, undo: bool) -> Column:
     return F.when(valid, _fill(m, F.concat(made, _check_digit(made))))
 
 
+def _cards(text: Column) -> Column:
+    """The valid cards among the groups of the text's digit runs, 16 digits first."""
+
+    def spans(chain: Column) -> Column:
+        group = F.split(chain, "[ -]")
+        ends = F.aggregate(group, F.array(F.lit(0)), lambda acc, g: F.concat(
+            acc, F.array(F.element_at(acc, -1) + F.length(g) + 1)))
+        every = F.flatten(F.transform(F.array(F.struct(ends.alias("e"))), lambda v: F.flatten(F.transform(
+            F.sequence(F.lit(0), F.size(v["e"]) - 2), lambda i: F.transform(
+                F.sequence(i + 1, F.least(i + 5, F.size(v["e"]) - 1)), lambda j: F.substr(
+                    chain, F.get(v["e"], i) + 1, F.get(v["e"], j) - F.get(v["e"], i) - 1))))))
+
+        def valid(c: Column) -> Column:
+            d = _digits(c)
+            total = (_luhn_sum(F.substr(d, F.lit(1), F.length(d) - 1)) + F.substr(d, F.length(d), F.lit(1)).cast("int"))
+            return F.when(c.rlike(CARD_FORMS), total % 10 == 0).otherwise(False)
+
+        good = F.filter(every, valid)
+        # years and numbers before a card begin with 2 more often than cards do
+        return F.transform(F.array(good), lambda g: F.filter(g, lambda c: (F.substr(c, F.lit(1), F.lit(1)) != "2")
+                                                             | ~F.exists(g, lambda o: F.substr(o, F.lit(1), F.lit(1)) != "2")))
+
+    found = F.flatten(F.flatten(F.transform(F.regexp_extract_all(text, F.lit(DIGIT_RUN), F.lit(0)), spans)))
+    ranked = F.array_sort(F.array_distinct(F.transform(found, lambda c: F.struct(
+        F.abs(F.length(_digits(c)) - 16).alias("n"), c.alias("c")))))
+    return F.transform(ranked, lambda v: v["c"])
+
+
+def _pattern(text: Column) -> Column:
+    """``ANY``, where valid cards stop other digits from running into them."""
+    cards = F.array_join(_cards(text), "|")
+    before, after = (F.lit(x) for x in ANY.split(f"(?:{CARD})"))
+    return F.transform(F.array(cards), lambda c: F.when(c == "", F.lit(ANY)).otherwise(F.concat(
+        before, F.lit("(?:(?<![0-9])(?:"), c, F.lit(")(?![0-9])|(?<![0-9-])[0-9](?:(?![ -]?(?:"), c,
+        F.lit(")(?![0-9]))[ -]?[0-9]){12,18}(?![0-9]))"), after)))[0]
+
+
 def _mod97(s: Column) -> Column:
     digits = F.array_join(F.transform(_chars(s), lambda c: F.when(
         c.between("0", "9"), c).otherwise((F.ascii(c) - 55).cast("string"))), "")
@@ -247,15 +299,16 @@ def pseudonymise(docs: DataFrame, key: str, *, text_col: str = "text", undo: boo
     t = F.col(f"`{text_col}`")
     some = t.rlike("[0-9@]|(?i:password)=")
     d = docs.select(*[F.col(f"`{c}`") for c in keep],
-                    F.when(some, F.regexp_extract_all(t, F.lit(ANY), F.lit(0)))
-                    .otherwise(F.array().cast("array<string>")).alias("_found"))
+                    F.when(t.rlike(DIGIT_RUN), _pattern(t)).otherwise(F.lit(ANY)).alias("_any"))
+    d = d.select("*", F.when(some, F.regexp_extract_all(t, F.col("_any"), F.lit(0)))
+                 .otherwise(F.array().cast("array<string>")).alias("_found"))
 
     def changed(m: Column) -> Column:
         kind, value = pseudonym(m, key, undo)
         return F.struct(m.alias("was"), kind.alias("kind"), value.alias("pseudonym"))
 
     d = d.withColumn("_made", F.transform("_found", changed))
-    pieces = F.split(t, ANY)
+    pieces = F.split(t, F.col("_any"))
     text = F.concat(F.get(pieces, 0), F.array_join(F.zip_with(
         "_made", F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))),
         lambda v, p: F.concat(F.coalesce(v["pseudonym"], v["was"]), p)), ""))

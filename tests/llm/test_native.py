@@ -224,6 +224,20 @@ def test_keys_and_passwords_in_either_case(spark):
     assert {(r.doc_id, r.text) for r in pseudonyms.pseudonymise(made, "k", undo=True).collect()} == set(rows)
 
 
+def test_numbers_beside_cards_and_ibans(spark):
+    card, plain_card = "4111 1111 1111 1111", "4111111111111111"
+    texts = [(f"{card} 12/27", card), (f"{plain_card} 123", plain_card), (f"qty 3 {plain_card}", plain_card),
+             (f"in 2021 {card}", card), (f"{card} {card}", card), ("AT611904300234573201 EUR", "AT611904300234573201"),
+             ("ES9121000418450200051332 BIC", "ES9121000418450200051332"), ("3782 822463 10005 1234", "3782 822463 10005")]
+    rows = [(k, t) for k, (t, _) in enumerate(texts)]
+    made = pseudonyms.pseudonymise(documents(spark, rows), "k").cache()
+    out = {r.doc_id: r for r in made.collect()}
+    for k, (t, v) in enumerate(texts):
+        assert v not in out[k].text and t.replace(v, out[k].replaced[0].pseudonym) == out[k].text, (t, out[k])
+    assert out[0].replaced[0].pseudonym == out[3].replaced[0].pseudonym == out[4].replaced[1].pseudonym
+    assert {(r.doc_id, r.text) for r in pseudonyms.pseudonymise(made, "k", undo=True).collect()} == set(rows)
+
+
 def test_feistel_is_a_permutation(spark):
     n = 189 * 773
     day = F.array((F.col("id") / 773).cast("int"), (F.col("id") % 773).cast("int"))
