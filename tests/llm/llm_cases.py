@@ -1,23 +1,11 @@
-from __future__ import annotations
-
-import os
-import sys
-
-import pytest
-
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+"""Documents and odd rows shared by the tests of the document operators. The
+``spark`` fixture is the one of the folder above."""
 
-from fraudmart.session import get_session  # noqa: E402
+from __future__ import annotations
 
 SF001 = "/root/testdata/sf0.001"
 
 
-@pytest.fixture(scope="session")
-def spark():
-    s = get_session("local[4]", app="fraudmart-llm-tests", shuffle_partitions=4)
-    yield s
-
-
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 import re
 
-from conftest_llm import ODD, documents
+from llm_cases import ODD, documents
 
 from fraudmart.llm import minhash
 from fraudmart.llm.components import components

@@ -7,7 +7,7 @@ import hashlib
 import random
 
 import numpy as np
-from conftest_llm import ODD, SF001, documents
+from llm_cases import ODD, SF001, documents
 from pyspark.sql import functions as F
 
 from fraudmart.llm import language_mixture as lm

@@ -6,7 +6,7 @@ import random
 import re
 from collections import Counter
 
-from conftest_llm import ODD, documents
+from llm_cases import ODD, documents
 from pyspark.sql import functions as F
 
 from fraudmart.llm import decontaminate, license_scan, line_clean, pseudonyms

@@ -8,7 +8,7 @@ import subprocess
 import sys
 
 import public_tokenizers
-from conftest_llm import ODD, SF001, documents
+from llm_cases import ODD, SF001, documents
 from pyspark.sql import functions as F
 from test_minhash import brute
 from test_native import base_statistics, overlap_pairs

@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest_llm import ODD, documents
+from llm_cases import ODD, documents
 from pyspark.sql import functions as F
 
 from fraudmart.llm import encoder, token_histogram, token_store
