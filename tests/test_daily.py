@@ -15,7 +15,7 @@ from fraudmart.plans.daily import run_day
 from fraudmart.sources import workbook
 from fraudmart.sources.store import TableStore
 
-from conftest import planted_warehouse
+from planted_cases import planted_warehouse
 from test_feeds import write_tx_files
 from test_history import BL_EXPECTED, BL_FILES, CITY, EXPECTED, SLICES, _bl_rows, _rows
 

@@ -14,7 +14,7 @@ from fraudmart.plans import daily, staging
 from fraudmart.sources import feeds, files, workbook
 from fraudmart.sources.store import TableStore
 
-from conftest import TS, D, planted_warehouse
+from planted_cases import TS, D, planted_warehouse
 from test_history import ATTRS, BL_SCHEMA, KEYS, SLICE_SCHEMA, _bl_rows
 
 HEADER = "transaction_id;transaction_date;amount;card_num;oper_type;oper_result;terminal\n"

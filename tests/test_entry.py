@@ -9,7 +9,7 @@ import __spark_entry__ as entry_mod
 from fraudmart import schemas
 from fraudmart.plans import catalog
 
-from conftest import SF001
+from planted_cases import SF001
 
 TABLES = ["nation", "customer", "supplier", "events"]
 

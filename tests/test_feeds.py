@@ -13,7 +13,7 @@ from fraudmart.functions import amount_from_text, business_date, epoch_ms_to_dat
 from fraudmart.plans import staging
 from fraudmart.sources import feeds, workbook
 
-from conftest import PLANTED_FEED
+from planted_cases import PLANTED_FEED
 
 
 def write_tx_files(folder, by_day=True):

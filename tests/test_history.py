@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from fraudmart import schemas
 from fraudmart.operators import history
 
-from conftest import TS, D
+from planted_cases import TS, D
 
 KEYS = ["terminal_id", "terminal_type"]
 ATTRS = ["terminal_city", "terminal_address"]

@@ -9,7 +9,7 @@ from fraudmart.operators import chain, history, rules
 from fraudmart.plans import catalog, lens
 from fraudmart.sources.store import TableStore, ensure_history_tables
 
-from conftest import SF01
+from planted_cases import SF01
 
 KEYS = ["terminal_id", "terminal_type"]
 ATTRS = ["terminal_city", "terminal_address"]

@@ -7,7 +7,7 @@ import datetime as dt
 from fraudmart import schemas
 from fraudmart.operators import rules
 
-from conftest import AS_OF, REPORT_DT, ids
+from planted_cases import AS_OF, REPORT_DT, ids
 
 
 def test_passport_expired_or_blacklisted(planted):
@@ -93,7 +93,7 @@ def test_report_since_reads_bounded_history_exactly(planted):
 
 def test_report_sorted_is_ordered(spark):
     from fraudmart.plans import catalog
-    from conftest import SF001
+    from planted_cases import SF001
     rows = catalog.report_sorted(spark, SF001).collect()
     dts = [r["event_dt"] for r in rows]
     assert dts == sorted(dts) and len(dts) > 0

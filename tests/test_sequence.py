@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from fraudmart.operators.sequence import ordered_neighbours, recent_other_value
 
-from conftest import SF001
+from planted_cases import SF001
 
 
 def _random_rows(n=400, keys=4, seed=7):

@@ -14,7 +14,7 @@ from fraudmart.streaming import rules as srules
 from fraudmart.streaming import stateful
 from fraudmart.streaming.ingest import ingest_transactions
 
-from conftest import AS_OF, REPORT_DT, ids
+from planted_cases import AS_OF, REPORT_DT, ids
 from test_feeds import write_tx_files
 
 FLUSH = [FLUSH_ROW]
