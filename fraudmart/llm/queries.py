@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudmart.llm import (decontaminate, language_mixture, license_scan, line_clean, mixing, pseudonyms,
+from fraudmart.llm import (alignment, decontaminate, language_mixture, license_scan, line_clean, mixing, pseudonyms,
                            token_histogram, token_store, toxicity)
 from fraudmart.llm.common import crc_bucket, read
 from fraudmart.llm.minhash import near_duplicates
@@ -87,6 +87,11 @@ def op10_toxicity(spark, sf_dir):
         (F.col("score") >= 0.7).cast("int").alias("predicted"), "evidence")
 
 
+def op12_tokenizer_alignment(spark, sf_dir):
+    return alignment.link_statistics(read(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"),
+                                     tokenizer_file("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_token_store,
     op2_language_mixture,
@@ -98,4 +103,5 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op8_license_scan,
     op9_token_histogram,
     op10_toxicity,
+    op12_tokenizer_alignment,
 )}
