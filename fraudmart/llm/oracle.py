@@ -129,3 +129,26 @@ pairs AS (SELECT doc_id, line, license_id, 2 * len(list_intersect(ug.g, ng.g)) /
           FROM ug JOIN ng ON len(ug.g) <= 2 * len(ng.g) AND len(ng.g) <= 2 * len(ug.g))
 SELECT doc_id, line::INT AS line, license_id, max(dice) AS dice FROM pairs WHERE 100 * dice >= 80 GROUP BY 1, 2, 3
 """
+
+SQL["op13_phrase_collocations"] = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM d),
+places AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w WHERE len(ws) > 0),
+grams AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase
+          FROM places, (VALUES (1), (2), (3), (4)) v(k) WHERE i + k - 1 <= len(ws)),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND f >= 30),
+cut AS (SELECT c.lang, c.phrase, c.a, cut, l.f AS l, r.f AS r, ((2000000::HUGEINT * c.a) // (l.f + r.f))::BIGINT AS score
+        FROM (SELECT *, unnest(range(1, k)) AS cut FROM cand) c
+        JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.ws[1:c.cut], ' ')
+        JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.ws[c.cut + 1:], ' ')),
+weak AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (SELECT DISTINCT s.lang, s.phrase FROM cand s JOIN cand g ON g.lang = s.lang AND g.k > s.k
+           AND contains(' ' || g.phrase || ' ', ' ' || s.phrase || ' ') AND 100::HUGEINT * g.a >= 80::HUGEINT * s.a),
+kept AS (SELECT * FROM weak ANTI JOIN inside USING (lang, phrase))
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) JOIN n USING (lang)
+WHERE rank <= 2000
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudmart.llm import (alignment, decontaminate, language_mixture, license_scan, line_clean, mixing, pseudonyms,
+from fraudmart.llm import (alignment, decontaminate, language_mixture, license_scan, line_clean, mixing, phrases, pseudonyms,
                            token_histogram, token_store, toxicity)
 from fraudmart.llm.common import crc_bucket, read
 from fraudmart.llm.minhash import near_duplicates
@@ -92,6 +92,10 @@ def op12_tokenizer_alignment(spark, sf_dir):
                                      tokenizer_file("piece_bpe_32k.model"))
 
 
+def op13_phrase_collocations(spark, sf_dir):
+    return phrases.collocations(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_token_store,
     op2_language_mixture,
@@ -104,4 +108,5 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op9_token_histogram,
     op10_toxicity,
     op12_tokenizer_alignment,
+    op13_phrase_collocations,
 )}
