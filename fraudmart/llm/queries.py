@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fraudmart.llm import (alignment, decontaminate, language_mixture, license_scan, line_clean, mixing, phrases, pseudonyms,
-                           token_histogram, token_store, toxicity)
+from fraudmart.llm import (alignment, decontaminate, html_extract, language_mixture, license_scan, line_clean, mixing,
+                           phrases, pseudonyms, token_histogram, token_store, toxicity)
 from fraudmart.llm.common import crc_bucket, read
 from fraudmart.llm.minhash import near_duplicates
 from fraudmart.llm.oracle import SQL  # noqa: F401  (read by the driver entry)
@@ -87,6 +87,11 @@ def op10_toxicity(spark, sf_dir):
         (F.col("score") >= 0.7).cast("int").alias("predicted"), "evidence")
 
 
+def op11_html_text(spark, sf_dir):
+    return html_extract.main_text(read(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "path")
+
+
 def op12_tokenizer_alignment(spark, sf_dir):
     return alignment.link_statistics(read(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"),
                                      tokenizer_file("piece_bpe_32k.model"))
@@ -107,6 +112,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op8_license_scan,
     op9_token_histogram,
     op10_toxicity,
+    op11_html_text,
     op12_tokenizer_alignment,
     op13_phrase_collocations,
 )}
