@@ -24,6 +24,7 @@ from __future__ import annotations
 import functools
 import json
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +39,7 @@ from fraudmart.llm.common import python_stage, stored
 #: A tokens per lane: the number of lockstep rounds a block needs.
 LANE = 192
 #: Characters of text per block; a longer text is a block of its own.
-BLOCK_CHARS = 2_000_000
+BLOCK_CHARS = 1_000_000
 #: A run this long without a change between blank and not is left to the
 #: tokenizer whose time does not grow with its square.
 LONG_RUN = re.compile(r"\S{600}|\s{600}")
@@ -59,10 +60,8 @@ class ByteBpe:
 
     def __init__(self, path: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         special = {t["content"] for t in spec["added_tokens"]}
@@ -81,6 +80,14 @@ class ByteBpe:
             self.quick = tiktoken.Encoding("a", pat_str=pattern, special_tokens={},
                                            mergeable_ranks={self.table[i]: i for i in vocab.values()})
 
+    @functools.cached_property
+    def tokenizer(self):
+        from tokenizers import Tokenizer
+
+        whole = Tokenizer.from_file(self.path)
+        whole.encode_special_tokens = True
+        return whole
+
     def encode(self, text: str) -> np.ndarray:
         if self.quick is not None and not LONG_RUN.search(text):
             return self.quick.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
@@ -96,8 +103,8 @@ class PieceBpe:
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.table = [_piece_bytes(self.model, i) for i in range(self.model.get_piece_size())]
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(x, np.int64) for x in self.model.encode(texts, num_threads=1)]
+    def encode(self, text: str) -> np.ndarray:
+        return np.array(self.model.encode(text), np.int64)
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -164,17 +171,25 @@ def _group_text(a_ids, b_ids, a_group, b_group, forms) -> str:
     return "".join(out.tolist())[:-1]
 
 
+def pack(positions: np.ndarray) -> bytes:
+    """Whole numbers below 2^32 as compressed bytes, the low bytes first."""
+    return zlib.compress(np.ascontiguousarray(positions.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+
+
+def unpack(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
 def align_texts(texts: list[str | None], a_file: str, b_file: str) -> tuple[pd.DataFrame, pd.DataFrame]:
-    """Align one block. Returns a row per text (``links``: positions in the block's
-    pairs, 4 bytes each) and the block's distinct id pairs with their link counts."""
+    """Align one block. Returns a row per text (``links``: packed positions in the
+    block's pairs) and the block's distinct id pairs with their link counts."""
     a, b, (a_size, b_size), forms = _tokenizers(a_file, b_file)
     a_all, b_all = [], []
     whole = [t or "" for t in texts]
-    some = [k for k, t in enumerate(whole) if t]
-    b_of = dict(zip(some, b.encode([whole[k] for k in some])))
     none = np.empty(0, np.int64)
-    for k, t in enumerate(whole):
-        x, y = (a.encode(" " + t), b_of[k]) if t else (none, none)
+    for t in whole:
+        x, y = (a.encode(" " + t), b.encode(t)) if t else (none, none)
         spelled = (" " + t).encode()
         same = (b"".join(map(a.table.__getitem__, x.tolist())) == spelled
                 and b"".join(map(b.table.__getitem__, y.tolist())) == spelled) if t else True
@@ -191,16 +206,20 @@ def align_texts(texts: list[str | None], a_file: str, b_file: str) -> tuple[pd.D
     a_group, b_group = np.cumsum(a_cut) - a_cut, np.cumsum(b_cut) - b_cut
     key = a_ids[link_a] * len(b_size) + b_ids[link_b]
     pair, pos, n = np.unique(key, return_inverse=True, return_counts=True)
+    often = np.argsort(-n, kind="stable")  # frequent pairs first: small positions pack well
+    place = np.empty_like(often)
+    place[often] = np.arange(len(often))
+    pair, pos, n = pair[often], place[pos], n[often]
     doc = np.searchsorted(a_from, link_a, side="right") - 1
     order = np.argsort(doc, kind="stable")
     ends = np.searchsorted(doc[order], np.arange(len(whole) + 1))
-    pos = pos[order].astype("<i4")
+    pos = pos[order]
     rows = []
     for k in range(len(whole)):
         s, e, u, v = a_from[k], a_from[k + 1], b_from[k], b_from[k + 1]
         rows.append((int(n_a[k]), int(n_b[k]), int(a_cut[s:e].sum()), int(ends[k + 1] - ends[k]),
                      _group_text(a_ids[s:e], b_ids[u:v], a_group[s:e], b_group[u:v], forms),
-                     pos[ends[k]:ends[k + 1]].tobytes()))
+                     pack(pos[ends[k]:ends[k + 1]])))
     docs = pd.DataFrame(rows, columns=["n_a", "n_b", "n_groups", "n_links", "groups", "links"])
     pairs = pd.DataFrame({"pos": np.arange(len(pair), dtype=np.int32), "a": (pair // len(b_size)).astype(np.int32),
                           "b": (pair % len(b_size)).astype(np.int32), "n": n.astype(np.int64)})
@@ -245,8 +264,8 @@ def _align_partition(batches: Iterator[pa.RecordBatch], a_file: str, b_file: str
 def align(docs: DataFrame, a_file: str, b_file: str, text: str = "text", doc_id: str = "doc_id",
           block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per document: ``block``, ``doc_id``, ``n_a``, ``n_b``, ``n_groups``,
-    ``n_links``, ``groups`` (``a1,a2|b1;a3|b2,b3``), ``links`` (positions in the block's
-    pairs) and, on one row of each block, ``pairs`` (its distinct id pairs with link
+    ``n_links``, ``groups`` (``a1,a2|b1;a3|b2,b3``), ``links`` (packed positions in the
+    block's pairs) and, on one row of each block, ``pairs`` (its distinct id pairs with link
     counts). Store it before counting: blocks are formed once."""
     python_stage(docs.sparkSession)
     run = functools.partial(_align_partition, a_file=a_file, b_file=b_file, block_chars=block_chars)
@@ -268,7 +287,7 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
 def _sum_links(key, docs: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
     pairs = pairs.sort_values("pos")
     count, best = pairs["count"].to_numpy(np.int64), pairs["best"].to_numpy(np.int64)
-    at = [np.frombuffer(x, "<i4") for x in docs["links"]]
+    at = [unpack(x) for x in docs["links"]]
     return docs.drop(columns=["block", "links"]).assign(
         n_best=[int(best[x].sum()) for x in at], count_sum=[int(count[x].sum()) for x in at])
 
