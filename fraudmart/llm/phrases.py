@@ -4,20 +4,24 @@ A text (A-Z lower-cased) is split at ``[.,;:!?]`` and line ends into pieces, a p
 blanks and tabs into words. Per language (null: ``und``) phrases of two to four words
 that occur at least ``least`` times are scored by their weakest cut.
 
-Parsing: a window of three words whose hash is divisible by ``TRIGGER`` starts a new
-chunk, and the chunk before it ends with that same window. Which windows start
-chunks depends on their words alone, so a passage that many documents share is cut
-alike everywhere and becomes the same chunks; chunks overlap by three words. The
-dictionary holds each distinct chunk once, with its number of occurrences. Phrases
-are counted inside distinct chunks, times that number. A phrase belongs to the chunk
-in which it starts before the closing window (the last chunk of a piece has no
-closing window), so what lies in an overlap is counted once.
-
-Counting goes by length. A phrase of k words can only occur ``least`` times if both
-its phrases of k-1 words do, so each level counts only inside runs of frequent
-shorter phrases. Which phrases are frequent comes back to the blocks of the
-dictionary, one row per block and distinct phrase: no phrase is a hot key and
-nothing is broadcast or collected. The pruning drops no phrase that could be kept.
+Parsing: words are counted first. A word that occurs less than ``least`` times is in no
+phrase that counts, so pieces fall into runs of frequent words, held as numbers. A
+window of three words whose hash is divisible by ``TRIGGER`` starts a new chunk, and
+the chunk before it ends with that same window. Which windows start chunks depends on
+their words alone, so a passage that many documents share is cut alike everywhere and
+becomes the same chunks; chunks overlap by three words. The dictionary holds each
+distinct chunk once, with its number of occurrences. Phrases are counted inside
+distinct chunks, times that number. A phrase belongs to the chunk in which it starts
+before the closing window (the last chunk of a run has no closing window), so what
+lies in an overlap is counted once.
+
+Counting goes by length: pairs, then phrases of three and four words. The numbers of
+frequent words go to the parsing tasks as a broadcast while they are at most
+``most_words``; beyond that each block of documents gets those of its own words by a
+join (one row per block and distinct word, so no word is a hot key). Frequent pairs
+prune the longer phrases while they are at most ``most_pairs``; beyond that all
+phrases of frequent words are counted. Both ways give the same rows: what is pruned
+cannot occur ``least`` times.
 
 Null, empty and blank texts have no words. Repeated rows count each time.
 Languages are compared as strings; a null language and ``und`` are one. An empty
@@ -26,11 +30,9 @@ table gives no rows. Other columns are ignored.
 
 from __future__ import annotations
 
-import functools
 import re
-import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,167 +47,267 @@ WINDOW = 3
 LONGEST = WINDOW + 1
 #: One window in so many starts a chunk.
 TRIGGER = 12
-#: Distinct chunks per block of the dictionary, as a power of two.
-BLOCK_BITS = 16
-#: Distinct chunks a parsing task holds before it hands them on.
-HELD_CHUNKS = 200_000
+#: Bounds of the two broadcasts: about 60 MB of words and 32 MB of pairs.
+MOST_WORDS = 1 << 19
+MOST_PAIRS = 1 << 22
+#: Documents per block where words come back by a join, as a power of two.
+BLOCK_BITS = 11
+#: Distinct entries a counting task holds before it hands them on.
+HELD = 400_000
+#: Words of chunks that are counted together.
+COUNTED = 3_000_000
 PIECE_END = re.compile(rb"[.,;:!?\x0A-\x0D]")
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
-CHUNK = pa.schema([("lang", pa.string()), ("chunk", pa.string()), ("closed", pa.bool_()), ("n", pa.int64())])
-FOUND = pa.schema([("block", pa.int64()), ("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
+WORD = pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
+CHUNK = pa.schema([("chunk", pa.binary()), ("closed", pa.bool_()), ("n", pa.int64())])
+PHRASE = pa.schema([("hi", pa.int64()), ("lo", pa.int64()), ("n", pa.int64())])
 
 
 def _schema(schema: pa.Schema) -> str:
-    names = {pa.string(): "string", pa.bool_(): "boolean", pa.int64(): "long"}
+    names = {pa.string(): "string", pa.bool_(): "boolean", pa.int64(): "long", pa.binary(): "binary"}
     return ", ".join(f"{f.name} {names[f.type]}" for f in schema)
 
 
-def chunks_of(text: str | None) -> Iterator[tuple[bytes, bool]]:
-    """The chunks of a text, each with whether it ends with the next chunk's window."""
-    pieces = [p.split() for p in PIECE_END.split((text or "").encode().lower())]
-    words = [w for p in pieces for w in p]
-    if not words:
-        return
-    h = np.fromiter((zlib.crc32(w) for w in words), np.uint64, len(words))
-    window = np.zeros(len(words), np.uint64)
-    for i in range(min(WINDOW, len(words))):
-        window[:len(words) - i] += (h[i:] + np.uint64(1)) * _MIX[i]
-    starts = np.flatnonzero((window >> np.uint64(17)) % np.uint64(TRIGGER) == 0).tolist()
-    at = k = 0
-    for p in pieces:
-        end, start = at + len(p), at
-        while k < len(starts) and starts[k] <= at:
-            k += 1
-        while k < len(starts) and starts[k] <= end - WINDOW:
-            yield b" ".join(words[start:starts[k] + WINDOW]), True
-            start = starts[k]
-            k += 1
-        if p:
-            yield b" ".join(words[start:end]), False
-        at = end
-
-
-def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: Counter = Counter()
+def pieces_of(text: str | None) -> list[list[bytes]]:
+    return [p.split() for p in PIECE_END.split((text or "").encode().lower())]
 
-    def out():
-        keys = list(held)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1].decode() for k in keys], pa.string()),
-             pa.array([k[2] for k in keys], pa.bool_()), pa.array(list(held.values()), pa.int64())], schema=CHUNK)
 
-    for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            for chunk, closed in chunks_of(text):
-                held[lang, chunk, closed] += 1
-            if len(held) > HELD_CHUNKS:
-                yield out()
-                held.clear()
-    if held:
-        yield out()
+# -- words
 
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: dict[str, Counter] = {}
 
-def parse(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """The dictionary: ``lang``, ``chunk`` (its words, space-joined), ``closed`` (it ends
-    with the window the next chunk starts with) and ``n`` (its occurrences)."""
-    python_stage(docs.sparkSession)
-    rows = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.col(text).alias("text"))
-    return rows.mapInArrow(_parse, _schema(CHUNK)).groupBy("lang", "chunk", "closed").agg(F.sum("n").alias("n"))
-
-
-def _owned(words: list[str], closed: bool) -> int:
-    return len(words) - WINDOW if closed else len(words)
-
+    def out():
+        found = [(lang, w.decode(), n) for lang, c in held.items() for w, n in c.items()]
+        return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*found), WORD)], schema=WORD)
 
-def _words_of_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of single words per block; a batch may hold parts of several blocks."""
-    held: Counter = Counter()
     for batch in batches:
-        for block, lang, chunk, closed, n in zip(*[batch.column(c).to_pylist() for c in
-                                                   ("block", "lang", "chunk", "closed", "n")]):
-            words = chunk.split(" ")
-            own = _owned(words, closed)
-            for i, w in enumerate(words):  # the overlap counts elsewhere, but must come back as frequent here too
-                held[block, lang, w] += n if i < own else 0
-        if len(held) > HELD_CHUNKS:
-            yield _found(held)
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            own = held.setdefault(lang, Counter())
+            for p in pieces_of(text):
+                own.update(p)
+        if sum(map(len, held.values())) > HELD:
+            yield out()
             held.clear()
-    if held:
-        yield _found(held)
-
-
-def _found(held: Counter) -> pa.RecordBatch:
-    keys = list(held)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.string()),
-         pa.array([k[2] for k in keys], pa.string()), pa.array(list(held.values()), pa.int64())], schema=FOUND)
-
+    if any(held.values()):
+        yield out()
 
-def _longer(chunks: pa.Table, frequent: pa.Table, shorter: int, longest: int) -> pa.Table:
-    """Count, in one block, the phrases of ``shorter`` + 1 to ``longest`` words all of whose
-    phrases of ``shorter`` words are frequent."""
-    known: dict[str, set] = {}
-    for lang, phrase in zip(frequent.column("lang").to_pylist(), frequent.column("phrase").to_pylist()):
-        known.setdefault(lang, set()).add(phrase)
-    held: Counter = Counter()
-    block = None
-    for block, lang, chunk, closed, n in zip(*[chunks.column(c).to_pylist() for c in
-                                               ("block", "lang", "chunk", "closed", "n")]):
-        words, of = chunk.split(" "), known.get(lang)
-        if not of or len(words) <= shorter:
-            continue
-        parts = words if shorter == 1 else [" ".join(words[i:i + shorter]) for i in range(len(words) - shorter + 1)]
-        good, run, own = [p in of for p in parts], 0, _owned(words, closed)
-        for i in range(len(parts) - 1, -1, -1):  # run: frequent parts from i on
-            run = run + 1 if good[i] else 0
-            if run > 1:
-                for k in range(shorter + 1, min(longest, shorter + run - 1) + 1):
-                    held[lang, " ".join(words[i:i + k])] += n if i < own else 0
-    keys = list(held)
-    return pa.Table.from_arrays(
-        [pa.array([block] * len(keys), pa.int64()), pa.array([k[0] for k in keys], pa.string()),
-         pa.array([k[1] for k in keys], pa.string()), pa.array(list(held.values()), pa.int64())], schema=FOUND)
 
+def word_counts(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """``(words, totals)``: ``lang``, ``word``, ``f`` of the frequent words, and ``lang``, ``n``.
+    Rare words leave one sum per language and task behind."""
+    counted = docs.mapInArrow(_count_words, _schema(WORD)).groupBy("lang", "word").agg(F.sum("n").alias("f"))
+    kept = F.when(F.col("f") >= least, F.col("word"))
+    table = stored(counted.groupBy("lang", kept.alias("word")).agg(F.sum("f").alias("f")), "words")
+    return table.filter("word is not null"), table.groupBy("lang").agg(F.sum("f").alias("n"))
+
+
+def _numbered(words: DataFrame) -> DataFrame:
+    """The words with a number each, from 1 on without gaps: their place in the
+    partition plus the sizes of those before it (one row per partition)."""
+    at = F.monotonically_increasing_id()
+    placed = stored(words.withColumns({"part": F.shiftright(at, 33), "row": at.bitwiseAND((1 << 33) - 1)}), "placed-words")
+    parts = placed.groupBy("part").agg(F.count("*").alias("size"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
+    return placed.join(F.broadcast(starts), "part").select("lang", "word", "f", (F.col("start") + F.col("row") + 1).alias("id"))
+
+
+# -- chunks
+
+def cut(ids: np.ndarray) -> Iterator[tuple[bytes, bool]]:
+    """The chunks of word numbers in which 0 ends a run, each with whether it ends
+    with the next chunk's window. Runs of one word hold no phrase and give none."""
+    ids = np.concatenate([[0], ids, [0]])
+    ends = np.flatnonzero(ids == 0)
+    first, last = ends[:-1] + 1, ends[1:]  # runs: [first, last)
+    long_enough = last - first >= 2
+    first, last = first[long_enough], last[long_enough]
+    if not len(first):
+        return
+    window = np.zeros(len(ids), np.uint64)
+    for i in range(WINDOW):
+        window[:len(ids) - i] += ids[i:].astype(np.uint64) * _MIX[i]
+    window ^= window >> np.uint64(31)
+    starts = np.flatnonzero((window * _MIX[0] >> np.uint64(33)) % np.uint64(TRIGGER) == 0)
+    run = np.searchsorted(first, starts, side="right") - 1
+    inside = (run >= 0) & (starts > first[run]) & (starts + WINDOW <= last[run])
+    starts, run = starts[inside], run[inside]
+    begin = np.concatenate([first, starts])
+    order = np.argsort(begin, kind="stable")
+    begin, of = begin[order], np.concatenate([np.arange(len(first)), run])[order]
+    closed = np.append(of[1:] == of[:-1], False)
+    end = np.where(closed, np.append(begin[1:], 0) + WINDOW, last[of])
+    data = ids.astype("<i4").tobytes()
+    for b, e, c in zip((begin * 4).tolist(), (end * 4).tolist(), closed.tolist()):
+        yield data[b:e], c
+
+
+def _ids_of(texts: list, langs: list, known: dict[str, dict[bytes, int]]) -> np.ndarray:
+    out: list[int] = []
+    for text, lang in zip(texts, langs):
+        if of := known.get(lang):
+            for p in pieces_of(text):
+                out.extend([of.get(w, 0) for w in p])
+                out.append(0)
+    return np.array(out, np.int64)
+
+
+def _chunk_rows(held: Counter) -> dict:
+    return {"chunk": pa.array([k[0] for k in held], pa.binary()), "closed": pa.array([k[1] for k in held], pa.bool_()),
+            "n": pa.array(list(held.values()), pa.int64())}
+
+
+def _by_lang(langs: list, words: list, ids: list) -> dict[str, dict[bytes, int]]:
+    known: dict[str, dict[bytes, int]] = {}
+    for lang, w, i in zip(langs, words, ids):
+        known.setdefault(lang, {})[w.encode()] = i
+    return known
+
+
+def _parse_with(sent) -> Callable:
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, held = _by_lang(*sent.value), Counter()
+        for batch in batches:
+            held.update(cut(_ids_of(batch.column(1).to_pylist(), batch.column(0).to_pylist(), known)))
+            if len(held) > HELD:
+                yield pa.RecordBatch.from_pydict(_chunk_rows(held), schema=CHUNK)
+                held.clear()
+        if held:
+            yield pa.RecordBatch.from_pydict(_chunk_rows(held), schema=CHUNK)
+    return parse
 
-def _blocks(dictionary: DataFrame) -> DataFrame:
-    row = F.monotonically_increasing_id()
-    return dictionary.withColumn("block", F.shiftright(row, BLOCK_BITS))
 
+def _parse_block(docs: pa.Table, words: pa.Table) -> pa.Table:
+    known = _by_lang(*[words.column(c).to_pylist() for c in ("lang", "word", "id")])
+    ids = _ids_of(docs.column("text").to_pylist(), docs.column("lang").to_pylist(), known)
+    return pa.Table.from_pydict(_chunk_rows(Counter(cut(ids))), schema=CHUNK)
 
-def _frequent(found: DataFrame, least: int) -> DataFrame:
-    return found.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
 
+def _count_words_of_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = {(b, lang, w) for b, lang, text in zip(*[batch.column(i).to_pylist() for i in range(3)])
+                 for p in pieces_of(text) for w in p}
+        yield pa.RecordBatch.from_pydict({"block": [k[0] for k in found], "lang": [k[1] for k in found],
+                                          "word": [k[2].decode() for k in found]})
+
+
+def dictionary(docs: DataFrame, words: DataFrame, most_words: int = MOST_WORDS) -> DataFrame:
+    """``chunk`` (word numbers, 4 bytes each), ``closed`` and ``n`` of each distinct chunk."""
+    spark = docs.sparkSession
+    if words.count() <= most_words:
+        rows = words.select("lang", "word", "id").toArrow()
+        sent = spark.sparkContext.broadcast([rows.column(c).to_pylist() for c in ("lang", "word", "id")])
+        chunks = docs.mapInArrow(_parse_with(sent), _schema(CHUNK))
+    else:
+        blocks = stored(docs.withColumn("block", F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS)), "document-blocks")
+        own = (blocks.select("block", "lang", "text").mapInArrow(_count_words_of_blocks, "block long, lang string, word string")
+               .distinct().join(words, ["lang", "word"]).select(F.col("block").alias("of_block"), "lang", "word", "id"))
+        chunks = blocks.groupBy("block").cogroup(own.groupBy("of_block")).applyInArrow(_parse_block, _schema(CHUNK))
+    return chunks.groupBy("chunk", "closed").agg(F.sum("n").alias("n"))
+
+
+# -- phrases
+
+def _summed(hi: np.ndarray, lo: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """Equal (hi, lo) added up."""
+    order = np.lexsort((lo, hi))
+    hi, lo, n = hi[order], lo[order], n[order]
+    new = np.ones(len(hi), bool)
+    new[1:] = (hi[1:] != hi[:-1]) | (lo[1:] != lo[:-1])
+    at = np.flatnonzero(new)
+    return pa.RecordBatch.from_arrays([pa.array(hi[at]), pa.array(lo[at]), pa.array(np.add.reduceat(n, at))], schema=PHRASE)
+
+
+def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Word numbers of many chunks, zeros between them, and how often a phrase that
+    starts at each place counts (0 in a closing window)."""
+    parts, weights, size = [], [], 0
+
+    def joined():
+        data = np.frombuffer(b"".join(parts), "<i4").astype(np.int64)
+        return data, np.repeat(np.array([w for w, _ in weights], np.int64), [k for _, k in weights])
 
-def _next_level(chunks: DataFrame, found: DataFrame, frequent: DataFrame, shorter: int, longest: int) -> DataFrame:
-    back = (found.select("block", "lang", "phrase").join(frequent, ["lang", "phrase"], "left_semi")
-            .select(F.col("block").alias("of_block"), "lang", "phrase"))
-    run = functools.partial(_longer, shorter=shorter, longest=longest)
+    for batch in batches:
+        for chunk, closed, n in zip(*[batch.column(c).to_pylist() for c in ("chunk", "closed", "n")]):
+            parts += (chunk, b"\0\0\0\0")
+            k = len(chunk) // 4
+            tail = WINDOW if closed else 0
+            weights += ((n, k - tail), (0, tail + 1))
+            size += k + 1
+        if size > COUNTED:
+            yield joined()
+            parts, weights, size = [], [], 0
+    if parts:
+        yield joined()
+
+
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for ids, n in _sequences(batches):
+        at = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0) & (n[:-1] > 0))
+        hi = ids[at] << 32 | ids[at + 1]
+        yield _summed(hi, np.zeros(len(at), np.int64), n[at])
+
+
+def _longer_with(sent) -> Callable:
+    def longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = None if sent is None else np.sort(sent.value)
+        for ids, n in _sequences(batches):
+            ids = np.concatenate([ids, np.zeros(LONGEST, np.int64)])
+            pair = ids[:-1] << 32 | ids[1:]
+            good = (ids[:-1] > 0) & (ids[1:] > 0)
+            if known is not None:
+                place = np.minimum(np.searchsorted(known, pair), max(len(known) - 1, 0))
+                good &= known[place] == pair if len(known) else False
+            three = np.flatnonzero(good[:-1] & good[1:])
+            three = three[n[three] > 0]
+            four = three[good[three + 2]]
+            hi = np.concatenate([pair[three], pair[four]])
+            lo = np.concatenate([ids[three + 2] << 32, ids[four + 2] << 32 | ids[four + 3]])
+            if len(hi):
+                yield _summed(hi, lo, np.concatenate([n[three], n[four]]))
+    return longer
+
+
+def _in_words(found: DataFrame, words: DataFrame) -> DataFrame:
+    """``lang``, ``phrase``, ``f`` of phrases held as numbers."""
+    mask = (1 << 32) - 1
+    out = found.withColumns({"i1": F.shiftright("hi", 32), "i2": F.col("hi").bitwiseAND(mask),
+                             "i3": F.shiftright("lo", 32), "i4": F.col("lo").bitwiseAND(mask)})
+    for k in range(1, LONGEST + 1):
+        of = words.select(F.col("id").alias(f"i{k}"), F.col("word").alias(f"w{k}"), *(["lang"] if k == 1 else []))
+        out = out.join(of, f"i{k}", "inner" if k < 3 else "left")
+    return out.select("lang", F.concat_ws(" ", *[f"w{k}" for k in range(1, LONGEST + 1)]).alias("phrase"), "f")
+
+
+def phrase_counts(docs: DataFrame, least: int = 30, text: str = "text", lang: str = "lang",
+                  most_words: int = MOST_WORDS, most_pairs: int = MOST_PAIRS) -> tuple[DataFrame, DataFrame]:
+    """``(frequent, totals)``: ``lang``, ``phrase``, ``f`` of every phrase of one to four
+    words that occurs at least ``least`` times, and ``lang``, ``n`` (its words)."""
+    python_stage(docs.sparkSession)
+    rows = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.col(text).alias("text"))
+    words, totals = word_counts(rows, least)
+    words = stored(_numbered(words), "numbered-words")
+    chunks = stored(dictionary(rows, words, most_words), "dictionary")
 
-    def count(chunks: pa.Table, frequent: pa.Table) -> pa.Table:
-        return run(chunks, frequent)
+    def frequent(counted: DataFrame) -> DataFrame:
+        return stored(counted.groupBy("hi", "lo").agg(F.sum("n").alias("f")).filter(F.col("f") >= least), "phrases")
 
-    return chunks.groupBy("block").cogroup(back.groupBy("of_block")).applyInArrow(count, _schema(FOUND))
+    two = frequent(chunks.mapInArrow(_pairs, _schema(PHRASE)))
+    sent = None
+    if two.count() <= most_pairs:
+        keys = two.select("hi").toArrow().column("hi").to_numpy()
+        sent = docs.sparkSession.sparkContext.broadcast(np.array(keys, np.int64))
+    more = frequent(chunks.mapInArrow(_longer_with(sent), _schema(PHRASE)))
+    phrases = _in_words(two.unionByName(more), words)
+    return stored(words.select("lang", F.col("word").alias("phrase"), "f").unionByName(phrases), "frequent"), totals
 
 
 def _n_words(phrase: Column) -> Column:
     return F.size(F.split(phrase, " "))
 
 
-def phrase_counts(docs: DataFrame, least: int = 30, text: str = "text", lang: str = "lang"
-                  ) -> tuple[DataFrame, DataFrame]:
-    """``(frequent, totals)``: ``lang``, ``phrase``, ``f`` of every phrase of one to four
-    words that occurs at least ``least`` times, and ``lang``, ``n`` (its words)."""
-    chunks = stored(_blocks(stored(parse(docs, text, lang), "dictionary")), "dictionary-blocks")
-    words = stored(chunks.mapInArrow(_words_of_block, _schema(FOUND)), "words")
-    totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    f1 = stored(_frequent(words, least), "phrases-1")
-    pairs = stored(_next_level(chunks, words, f1, 1, 2), "pairs")
-    f2 = stored(_frequent(pairs, least), "phrases-2")
-    f3 = stored(_frequent(_next_level(chunks, pairs, f2, 2, LONGEST), least), "phrases-3")
-    return f1.unionByName(f2).unionByName(f3), totals
-
-
 def _exact(value: Column) -> Column:
     return value.cast("decimal(38,0)")
 
@@ -241,10 +343,10 @@ def contained(frequent: DataFrame, percent: int = 80) -> DataFrame:
 
 
 def collocations(docs: DataFrame, least: int = 30, percent: int = 80, top: int = 2000, text: str = "text",
-                 lang: str = "lang") -> DataFrame:
+                 lang: str = "lang", most_words: int = MOST_WORDS, most_pairs: int = MOST_PAIRS) -> DataFrame:
     """The first ``top`` phrases of each language: ``lang``, ``rank``, ``phrase``, ``a``, ``l``,
     ``r``, ``n``, ``score``."""
-    frequent, totals = phrase_counts(docs, least, text, lang)
+    frequent, totals = phrase_counts(docs, least, text, lang, most_words, most_pairs)
     kept = scored(frequent).join(contained(frequent, percent), ["lang", "phrase"], "left_anti")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
     # the row limit is pushed below the shuffle: each task passes on its first rows

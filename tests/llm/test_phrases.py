@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import duckdb
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_cases import DOCUMENTS, ODD, SF001, documents
@@ -72,15 +73,17 @@ def test_equals_plain_counting(spark):
     assert len(out) > 7
 
 
-def test_small_blocks_give_the_same(spark, monkeypatch):
+def test_beyond_the_broadcast_bounds(spark, monkeypatch):
     rows = shared_text(2)
     monkeypatch.setattr(phrases, "BLOCK_BITS", 3)
-    assert got(phrases.collocations(documents(spark, rows), least=4)) == plain([(r[2], r[1]) for r in rows], 4, 80, 2000)
+    want = plain([(r[2], r[1]) for r in rows], 4, 80, 2000)
+    for bounds in ({"most_words": 0}, {"most_pairs": 0}, {"most_words": 0, "most_pairs": 0}):
+        assert got(phrases.collocations(documents(spark, rows), least=4, **bounds)) == want
 
 
 def test_odd_rows_clashing_columns_and_repeats(spark):
     rows = [*ODD, *ODD, (30, "B\x0bc\x0cd  e f\tÀ b. B c", None), (31, "word " * 200)]
-    docs = documents(spark, rows).withColumns({"chunk": F.lit("x"), "block": F.lit(1), "phrase": F.lit(2), "n": F.lit(3)})
+    docs = documents(spark, rows).withColumns({"chunk": F.lit("x"), "block": F.lit(1), "word": F.lit("w"), "id": F.lit(4), "phrase": F.lit(2), "n": F.lit(3)})
     want = plain([(r[2] if len(r) > 2 else None, r[1]) for r in rows], 2, 80, 2000)
     assert got(phrases.collocations(docs, least=2)) == want
 
@@ -106,16 +109,16 @@ def test_query_equals_sql(spark):
 
 
 @settings(max_examples=80, deadline=None)
-@given(st.text(alphabet="abAB ,.\t\n", max_size=400))
-def test_chunks_hold_every_phrase_once(text):
+@given(st.lists(st.integers(0, 3), max_size=400))
+def test_chunks_hold_every_phrase_once(ids):
     from_chunks, direct = Counter(), Counter()
-    for chunk, closed in phrases.chunks_of(text):
-        words = chunk.decode().split(" ")
-        for i in range(phrases._owned(words, closed)):
-            for k in range(1, min(4, len(words) - i) + 1):
+    for chunk, closed in phrases.cut(np.array(ids, np.int64)):
+        words = np.frombuffer(chunk, "<i4").tolist()
+        for i in range(len(words) - (phrases.WINDOW if closed else 0)):
+            for k in range(2, min(4, len(words) - i) + 1):
                 from_chunks[tuple(words[i:i + k])] += 1
-    for words in pieces(text):
-        for i in range(len(words)):
-            for k in range(1, min(4, len(words) - i) + 1):
-                direct[tuple(words[i:i + k])] += 1
+    for i in range(len(ids)):
+        for k in range(2, 5):
+            if i + k <= len(ids) and 0 not in ids[i:i + k]:
+                direct[tuple(ids[i:i + k])] += 1
     assert from_chunks == direct
