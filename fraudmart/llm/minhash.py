@@ -318,11 +318,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .mapInArrow(partial(_block_pairs, percent=percent, least=bound), "a long, b long").distinct())
     more = _confirm(found, docs, id_col, text_col, width, percent, "cross")
 
-    # 4. members of each class and component
-    groups = components(links.union(more))
+    # 4. an id that repeats is one document: its texts' classes belong together
+    again = stored(signed.filter("doc_id is not null").groupBy("doc_id")
+                   .agg(F.count_distinct(F.coalesce("digest", F.lit(b""))).alias("n")).filter("n > 1").select("doc_id"),
+                   "repeated-ids")
+    own = (named.select("doc_id", "digest").join(again, "doc_id").distinct().join(classes.select("digest", "node"), "digest")
+           .select(F.col("doc_id").alias("a"), F.col("node").alias("b")))
+
+    # 5. members of each class and component
+    groups = components(links.union(more).union(own))
     rep = classes.select("digest", "node").join(groups, "node", "left").select(
         "digest", F.coalesce("component", "node").alias("component"))
-    joined = signed.select("doc_id", "n_shingles", "digest").join(rep, "digest", "left")
+    # a text without words belongs to the other texts of its id
+    rest = again.join(groups, again["doc_id"] == groups["node"]).select(
+        "doc_id", F.col("component").alias("of_id"))
+    full = signed.filter("digest is not null").select("doc_id", "n_shingles", "digest").join(rep, "digest", "left")
+    blank = (signed.filter("digest is null").select("doc_id", "n_shingles", "digest").join(rest, "doc_id", "left")
+             .select("digest", "doc_id", "n_shingles", F.col("of_id").alias("component")))
+    joined = full.unionByName(blank)
     component = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(
         F.coalesce("component", "doc_id"))
     return joined.select("doc_id", "n_shingles", component.alias("component_id"),

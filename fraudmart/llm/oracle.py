@@ -43,21 +43,21 @@ SELECT doc_id, item_id, doc_start, item_start, n_equal FROM (
 """
 
 SQL["op4_near_duplicates"] = rf"""
-WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-                               'abcdefghijklmnopqrstuvwxyz'), {W}) AS ws FROM documents),
-s AS (SELECT DISTINCT doc_id, g FROM (
-        SELECT doc_id, ws[p:p+2] AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS p FROM d WHERE len(ws) >= 3)
-        UNION ALL SELECT doc_id, ws FROM d WHERE len(ws) BETWEEN 1 AND 2)),
-n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
-both_in AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b USING (g)
-            WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
-links AS (SELECT x, y FROM both_in JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
-          WHERE 100 * c >= 85 * (nx.n + ny.n - c)),
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {W}) AS ws FROM documents),
+s AS (SELECT DISTINCT r, g FROM (
+        SELECT r, ws[p:p+2] AS g FROM (SELECT r, ws, unnest(range(1, len(ws) - 1)) AS p FROM d WHERE len(ws) >= 3)
+        UNION ALL SELECT r, ws FROM d WHERE len(ws) BETWEEN 1 AND 2)),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY 1),
+both_in AS (SELECT a.r AS x, b.r AS y, count(*) AS c FROM s a JOIN s b USING (g) WHERE a.r <> b.r GROUP BY 1, 2),
+links AS (SELECT dx.doc_id AS x, dy.doc_id AS y FROM both_in JOIN n nx ON nx.r = x JOIN n ny ON ny.r = y
+          JOIN d dx ON dx.r = x JOIN d dy ON dy.r = y
+          WHERE 100 * c >= 85 * (nx.n + ny.n - c) AND dx.doc_id <> dy.doc_id),
 reach(x, y) AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
 low AS (SELECT x, min(y) AS y FROM reach GROUP BY 1)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(low.y, d.doc_id)) AS component_id,
        coalesce(low.y, d.doc_id) >= d.doc_id AS kept
-FROM d LEFT JOIN n USING (doc_id) LEFT JOIN low ON low.x = d.doc_id
+FROM d LEFT JOIN n USING (r) LEFT JOIN low ON low.x = d.doc_id
 """
 
 SQL["op5_line_cleaning"] = rf"""

@@ -107,3 +107,12 @@ def test_bands():
     for percent in (80, 85):
         r = minhash.bands_for(percent, 128)
         assert (1 - (percent / 100) ** r) ** (128 // r) <= 1e-6
+
+
+def test_an_id_with_several_texts_links_their_classes(spark):
+    t, u = (" ".join(f"{c}{k}" for k in range(40)) for c in "tu")
+    rows = [(1, t), (2, t), (2, u), (3, u), (4, u + " x"), (5, "other words here"), (2, ""), (6, None), (6, "other words here")]
+    out = minhash.near_duplicates(documents(spark, rows), width=3, percent=85).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in out) == sorted(
+        [(1, 1, True), (2, 1, False), (2, 1, False), (2, 1, False), (3, 1, False), (4, 1, False), (5, 5, True),
+         (6, 5, False), (6, 5, False)])
