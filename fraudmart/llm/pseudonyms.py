@@ -36,7 +36,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-EMAIL = (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
+#: Labels and their number are bounded as in host names: an open repeat of a group
+#: would go one level deeper into the stack for each label.
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]{1,63}\.){1,126}[A-Za-z]{2,63}"
 ACCESS_KEY = r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
 PASSWORD = r"(?<=(?i:password)=)[^\s\"']*[A-Za-z0-9]"  # without the punctuation after it
 HEX_KEY = r"(?<![A-Za-z0-9])(?=[A-Fa-f]*+[0-9])[0-9a-fA-F]{32,128}(?![A-Za-z0-9])"

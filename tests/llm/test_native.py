@@ -243,3 +243,10 @@ def test_feistel_is_a_permutation(spark):
     day = F.array((F.col("id") / 773).cast("int"), (F.col("id") % 773).cast("int"))
     df = spark.range(n).select(pseudonyms.feistel(day, F.array(F.lit(189), F.lit(773)), "k", "date").alias("v"))
     assert df.distinct().count() == n
+
+
+def test_mail_addresses_with_very_many_parts(spark):
+    rows = [(1, "a@" + "b." * 3000 + "com"), (2, "x " + "joe@" + "mail." * 20 + "example.org y"), (3, "a@b..com"), (4, "@" * 5000)]
+    out = {r.doc_id: r for r in pseudonyms.pseudonymise(documents(spark, rows), "k").collect()}
+    assert out[1].n_replaced == 0 and out[3].n_replaced == 0 and out[4].n_replaced == 0
+    assert out[2].n_replaced == 1 and out[2].text.endswith("@" + "mail." * 20 + "example.org y")
