@@ -83,6 +83,30 @@ def test_stages_take_odd_rows(spark, tmp_path):
         assert docs.count() <= 3 * len(rows)
 
 
+def test_rows_that_share_an_id_or_have_none(spark, tmp_path):
+    texts = [" ".join(f"{c}{k}" for k in range(80)) + "." for c in "abcdef"]
+    passage = read(spark, SF001, "benchmark").orderBy("item_id").first()["text"]
+    steps = dict(corpus_pipeline.STAGES)
+    rows = [(1, texts[0]), (1, texts[1]), (2, texts[1] + " more"), (2, texts[2]), (None, texts[3]), (None, f"{texts[4]} {passage}"),
+            (3, texts[5]), (3, f"{texts[5]} {passage}"), (3, texts[5])]
+    out = steps["near_duplicates"](spark, documents(spark, rows), SF001)
+    assert sorted(r.text for r in out.collect() if r.doc_id in (1, 2)) in (
+        sorted([texts[0], texts[1], texts[2]]), sorted([texts[0], texts[1] + " more", texts[2]]))
+    out = steps["decontamination"](spark, documents(spark, rows), SF001)
+    assert sorted((r.doc_id or 0, r.text) for r in out.collect()) == sorted(
+        (i or 0, t) for i, t in rows if not t.endswith(passage))
+
+
+def test_mix_of_rows_alike_in_id_source_and_size(spark):
+    words = " ".join(["w"] * 10)
+    alike = [(None, words, "en", "a")] * 25 + [(None, " ".join([f"v{k}"] * 10), "en", "a") for k in range(15)]
+    others = [(k, words, "en", "b") for k in range(100)]
+    out = corpus_pipeline.source_mix(spark, documents(spark, alike + others), SF001).collect()
+    taken = sum(r.source == "a" for r in out)
+    # weights 1 and 2 of 140 documents of one size
+    assert abs(taken - 140 / 3) <= 1 and abs(len(out) - 140) <= 1
+
+
 def test_entry_without_the_subpackage(tmp_path):
     for name in ("__spark_entry__.py", "fraudmart"):
         src = os.path.join(REPO, name)
