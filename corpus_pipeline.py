@@ -6,13 +6,14 @@ last return the columns of documents:
 
 1. quality rules: documents that fail the line rules or the base rules go; the
    others keep the lines that passed.
-2. near-duplicates: five-word shingles, similarity 0.8; the smallest id of each
-   group stays, once.
+2. near-duplicates: five-word shingles, similarity 0.8; one row of each group
+   stays, the one with the smallest id.
 3. benchmark decontamination: documents that hold a benchmark passage go.
 4. mixing to source weights: documents are taken as often as the mix takes them.
 5. token ids: a token store is written; one row per stored document.
 
-Null ids are kept by every stage (they cannot be linked as duplicates).
+Rows that repeat an id are judged, dropped and mixed each by its own text. Rows
+without an id are no duplicates of anything; the other stages judge them like any row.
 """
 
 from __future__ import annotations
@@ -36,38 +37,51 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
                       .withColumn("n_chars", F.length("text").cast("long")))
 
 
+def _with_row_key(docs: DataFrame) -> DataFrame:
+    """The documents with ``row_key`` and ``repeats``. The key is the id; of rows that
+    repeat an id all but those of one content, and rows without an id, get a number
+    from their whole content instead. Only rows alike in every column share a key."""
+    rows = _documents(docs).withColumn(
+        "content", F.lit(1 << 61) + F.shiftrightunsigned(F.xxhash64(*DOCUMENT_COLUMNS), 3))
+    again = stored(rows.filter("doc_id is not null").groupBy("doc_id")
+                   .agg(F.count("*").alias("n"), F.min("content").alias("first")).filter("n > 1").drop("n"), "repeated-ids")
+    other = F.col("doc_id").isNull() | (F.col("first") != F.col("content"))
+    return rows.join(again, "doc_id", "left").select(
+        *DOCUMENT_COLUMNS, F.when(other, F.col("content")).otherwise(F.col("doc_id")).alias("row_key"),
+        (F.col("doc_id").isNull() | F.col("first").isNotNull()).alias("repeats"))
+
+
+def _once(keyed: DataFrame) -> DataFrame:
+    """One of the rows that are alike in every column."""
+    return keyed.filter("not repeats").unionByName(
+        keyed.filter("repeats").dropDuplicates(["row_key", *DOCUMENT_COLUMNS]))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    verdict = minhash.near_duplicates(docs, width=5, percent=80)
-    gone = verdict.filter("doc_id is not null and not kept").select("doc_id").distinct()
-    left = _documents(docs).join(gone, "doc_id", "left_anti")
-    # rows that repeat an id are one document: the first by text stays
-    first = F.min(F.struct(F.col("text"), F.col("lang"), F.col("source"), F.col("n_chars")))
-    repeated = stored(verdict.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
-                      .select("doc_id"), "repeated-ids")
-    once = (left.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(first.alias("f"))
-            .select("doc_id", "f.text", "f.lang", "f.source", "f.n_chars"))
-    return _documents(left.join(repeated, "doc_id", "left_anti")).unionByName(_documents(once))
+    keyed = _with_row_key(docs)
+    named = keyed.filter("doc_id is not null")
+    verdict = minhash.near_duplicates(named, "row_key", width=5, percent=80)
+    gone = verdict.filter("not kept").select(F.col("doc_id").alias("row_key")).distinct()
+    left = _once(named.join(gone, "row_key", "left_anti"))
+    return _documents(left).unionByName(_documents(docs).filter("doc_id is null"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    hits = stored(decontaminate.overlaps(docs, read(spark, sf_dir, "benchmark"))
-                  .filter("doc_id is not null").select("doc_id").distinct(), "contaminated")
-    return _documents(_documents(docs).join(hits, "doc_id", "left_anti"))
+    keyed = _with_row_key(docs)
+    found = decontaminate.overlaps(keyed.select(F.col("row_key").alias("doc_id"), "text"), read(spark, sf_dir, "benchmark"))
+    hits = stored(found.select(F.col("doc_id").alias("row_key")).distinct(), "contaminated")
+    return _documents(keyed.join(hits, "row_key", "left_anti"))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     size = F.coalesce(line_clean.n_words(F.col("text")), F.lit(0)).cast("long")
-    sizes = stored(_documents(docs).select("doc_id", "source", size.alias("size")), "sizes")
+    keyed = _with_row_key(docs)
+    sizes = stored(keyed.select(F.col("row_key").alias("doc_id"), "source", size.alias("size")), "sizes")
     taken = mixing.mix(sizes, mixing.cyclic_weights(sizes)).documents
-    # rows equal in id, source and size share what the mix takes of them
-    times = (taken.groupBy("doc_id", "source", "size")
-             .agg(F.ceil(F.sum("times") / F.count("*")).cast("int").alias("times")).filter("times > 0"))
-    d = _documents(docs).withColumn("size", size).alias("d")
-    same = (F.col("d.doc_id").eqNullSafe(F.col("t.doc_id")) & F.col("d.source").eqNullSafe(F.col("t.source"))
-            & (F.col("d.size") == F.col("t.size")))
-    mixed = d.join(times.alias("t"), same).withColumn(
-        "pass", F.explode(F.sequence(F.lit(1), F.col("t.times"))))
-    return mixed.select(*[F.col(f"d.{c}") for c in DOCUMENT_COLUMNS])
+    # rows with one key are alike, so the row comes out as often as the mix takes them together
+    times = (taken.groupBy(F.col("doc_id").alias("row_key")).agg(F.sum("times").cast("int").alias("times"))
+             .filter("times > 0"))
+    return _documents(_once(keyed).join(times, "row_key").withColumn("pass", F.explode(F.sequence(F.lit(1), "times"))))
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
