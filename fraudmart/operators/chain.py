@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fraudmart.functions import full_name
+from fraudmart.operators.asof import asof_join
 from fraudmart.operators.history import as_of
 from fraudmart.warehouse import Warehouse
 
@@ -101,6 +102,19 @@ def with_terminal_at_event(rows: DataFrame, terminal_history: DataFrame) -> Data
     return rows.join(t, cond).drop("_t_from", "_t_to")
 
 
+def with_terminal_as_of(rows: DataFrame, terminal_history: DataFrame, partitions: int | None = None) -> DataFrame:
+    """``with_terminal_at_event`` by sorted merge (``operators.asof``), for histories
+    too large to broadcast: a row meets one interval per type its terminal ever had,
+    however often it changed."""
+    t = merged_intervals(terminal_history.filter(F.col("deleted_flg") == 0))
+    types = t.groupBy(F.col("terminal_id").alias("_tid")).agg(F.collect_set("terminal_type").alias("_types"))
+    typed = (rows.join(types, rows["terminal"] == types["_tid"]).withColumn("terminal_id", F.col("terminal"))
+             .withColumn("terminal_type", F.explode("_types")).drop("_tid", "_types"))
+    found = asof_join(typed, t.withColumnRenamed("effective_to", "_t_to"), ["terminal_id", "terminal_type"],
+                      "trans_date", "effective_from", ["terminal_city", "terminal_address", "_t_to"], partitions)
+    return found.filter(F.col("trans_date") < F.col("_t_to") + F.expr("INTERVAL 1 SECOND")).drop("_t_to")
+
+
 def with_blacklist(rows: DataFrame, blacklist: DataFrame) -> DataFrame:
     """Left join to the current blacklist on passport; several entries of one
     passport fan a row out, one per entry."""
