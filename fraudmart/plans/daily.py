@@ -2,8 +2,8 @@
 
 Every step is idempotent, and the ledger is written only after the data, so
 a crash anywhere means "run again": each transaction file is its own unit of
-the table and replaces only itself, terminal history is recomputed from all
-slices, blacklist rows are inserted only when absent, and the report replaces
+the table and replaces only itself, terminal history is what all slices give in
+any order, blacklist rows are inserted only when absent, and the report replaces
 its report_dt slice. Files that cannot be read as asked (no business date in
 the name, a missing sheet or column) are reported, stay in the landing folder
 and are neither loaded, listed in the ledger nor archived.
@@ -117,9 +117,7 @@ def load_terminals(spark: SparkSession, store: TableStore, landing: str,
     no_id = F.col("terminal_id").isNull() | (F.col("terminal_id") == "")
     slices = workbook.terminal_slices(parsed).withColumn("_row", F.struct("file_name", "row_no"))
     done.rejects = slices.filter(no_id).count()
-    existing = store.read("terminals") if store.exists("terminals") else None
-    store.write_version("terminals", history.load_history(
-        existing, slices.filter(~no_id), TERMINAL_KEYS, TERMINAL_ATTRS, close_missing, "_row"))
+    store.history("terminals").load(slices.filter(~no_id), "_row", close_missing)
     _record(store, "terminals", fresh.filter(F.col("file_path").isin(done.paths)))
     return done
 

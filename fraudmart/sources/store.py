@@ -5,9 +5,8 @@
   report since an instant prunes) and ``file_id`` (the feed file's path, time and
   size): each file is its own unit, loading it again replaces exactly its
   partitions, and no load touches another file's rows;
-* terminals: history recomputed at each load and written as a new version
-  folder ``v=NNNNNN`` (never read and overwritten in place); readers take the
-  newest committed version, the one before it is kept for them to finish;
+* terminals: history in key buckets with a manifest (``sources.buckets``): a load
+  writes the open rows of the buckets it touches and the rows it closes;
 * passport_blacklist: insert-only, appended; a key seen earlier in an older
   file gets one more row, and readers take its earliest ``effective_from``;
 * reporting_list: partitioned by ``report_dt``; a run replaces its own slice,
@@ -22,9 +21,11 @@ from pyspark.sql import functions as F
 
 from fraudmart import schemas
 from fraudmart.sources import files
+from fraudmart.sources.buckets import BucketedHistory
 from fraudmart.warehouse import Warehouse
 
-VERSIONED = {"terminals"}
+#: Validity histories by key bucket: keys and attributes.
+HISTORIES = {"terminals": (["terminal_id", "terminal_type"], ["terminal_city", "terminal_address"])}
 PARTITIONS = {"transactions": ["trans_day", "file_id"], "reporting_list": ["report_dt"]}
 TX_STORED = schemas.T.StructType(list(schemas.TRANSACTIONS.fields)
                                  + [schemas.T.StructField("load_dt", schemas.T.DateType()),
@@ -45,21 +46,22 @@ class TableStore:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _versions(self, name: str) -> list[str]:
-        return [d for d in files.list_dirs(self.spark, self.path(name)) if d.startswith("v=")
-                and files.exists(self.spark, f"{self.path(name)}/{d}/_SUCCESS")]
+    def history(self, name: str) -> BucketedHistory:
+        keys, attrs = HISTORIES[name]
+        return BucketedHistory(self.spark, self.path(name), keys, attrs, SCHEMAS[name])
 
     def location(self, name: str) -> str | None:
-        if name in VERSIONED:
-            versions = self._versions(name)
-            return f"{self.path(name)}/{versions[-1]}" if versions else None
         p = self.path(name)
         return p if files.exists(self.spark, f"{p}/_SUCCESS") or files.list_files(self.spark, p) else None
 
     def exists(self, name: str) -> bool:
+        if name in HISTORIES:
+            return self.history(name).exists()
         return self.location(name) is not None
 
     def read(self, name: str) -> DataFrame:
+        if name in HISTORIES:
+            return self.history(name).read()
         loc = self.location(name)
         if loc is None:
             return self.spark.createDataFrame([], SCHEMAS[name])
@@ -73,17 +75,6 @@ class TableStore:
     def is_empty(self, name: str) -> bool:
         return (not self.exists(name)) or self.read(name).isEmpty()
 
-    def write_version(self, name: str, df: DataFrame) -> str:
-        """Write a full new version; the old one stays readable until done."""
-        versions = self._versions(name) + [d for d in files.list_dirs(self.spark, self.path(name))
-                                           if d.startswith("v=")]
-        n = max([int(v.split("=")[1]) for v in versions] + [0]) + 1
-        target = f"{self.path(name)}/v={n:06d}"
-        df.write.mode("errorifexists").parquet(target)
-        for old in self._versions(name)[:-2]:
-            files.delete(self.spark, f"{self.path(name)}/{old}")
-        return target
-
     def append(self, name: str, df: DataFrame) -> None:
         w = df.write.mode("append")
         if name in PARTITIONS:
@@ -129,11 +120,10 @@ def ensure_history_tables(store: TableStore) -> list[str]:
     for name in ("terminals", "passport_blacklist", "transactions", "reporting_list"):
         if store.exists(name):
             continue
-        empty = store.spark.createDataFrame([], SCHEMAS[name])
-        if name in VERSIONED:
-            store.write_version(name, empty)
+        if name in HISTORIES:
+            store.history(name).create()
         else:
-            w = empty.write.mode("append")
+            w = store.spark.createDataFrame([], SCHEMAS[name]).write.mode("append")
             if name in PARTITIONS:
                 w = w.partitionBy(*PARTITIONS[name])
             w.parquet(store.path(name))

@@ -62,7 +62,7 @@ def main() -> None:
     store = TableStore(spark, scratch_path(spark, "plans-wh"))
     for name in ("cards", "accounts", "clients", "passport_blacklist"):
         store.append(name, getattr(wh, name))
-    store.write_version("terminals", wh.terminals)
+    store.history("terminals").load(wh.terminals)
     store.append("transactions", wh.transactions.withColumns(
         {"load_dt": F.to_date("trans_date"), "file_name": F.lit("binding"), "trans_day": F.to_date("trans_date"),
          "file_id": F.lit("binding")}))
