@@ -25,7 +25,7 @@ from fraudmart.operators import chain
 from fraudmart.operators.sequence import DEFAULT_BUCKET_SECONDS, context_buckets, recent_other_value
 from fraudmart.warehouse import Warehouse
 
-#: What a rule needs to know of an operation's owner.
+#: What the report says of an operation's owner.
 _OWNER = ["client_id", "passport_num", "fio", "phone"]
 #: Order of neighbours; the city decides between the rows of one operation whose
 #: terminal has several current rows.
@@ -79,11 +79,13 @@ def fraud_contract(wh: Warehouse, report_dt=None) -> DataFrame:
     return _emit(rows, schemas.EVENT_CONTRACT, report_dt)
 
 
-def _locate(rows: DataFrame, wh: Warehouse, as_of, point_in_time: bool) -> DataFrame:
+def _locate(rows: DataFrame, wh: Warehouse, as_of, point_in_time: bool | str) -> DataFrame:
     """Attach the terminal: the one current at ``as_of`` (as the original
-    does), or with ``point_in_time`` the one valid at the operation's time."""
+    does), or with ``point_in_time`` the one valid at the operation's time
+    (``"merge"``: found by sorted merge, for large histories)."""
     if point_in_time:
-        return chain.with_terminal_at_event(rows, wh.terminals)
+        by_merge = point_in_time == "merge"
+        return (chain.with_terminal_as_of if by_merge else chain.with_terminal_at_event)(rows, wh.terminals)
     return chain.with_terminal(rows, chain.current_terminals(wh, as_of))
 
 
@@ -143,10 +145,23 @@ def _event(event_type: str, trans_id: str = "trans_id", ts: str = "trans_date")
     return F.struct(F.col(trans_id).alias("trans_id"), F.col(ts).alias("event_dt"), F.lit(event_type).alias("event_type"))
 
 
-def _report_events(rows: DataFrame, events: Column, report_dt) -> DataFrame:
+def _who() -> Column:
+    """Stands for the owner's texts while operations are shuffled: eight bytes. The texts
+    of one client differ only where the clients table repeats an id."""
+    return F.xxhash64(*_OWNER)
+
+
+def _texts(owners: DataFrame) -> DataFrame:
+    return owners.select(F.col("client_id").alias("_client"), _who().alias("_texts"), *_OWNER[1:]).distinct()
+
+
+def _report_events(rows: DataFrame, events: Column, report_dt, owners: DataFrame) -> DataFrame:
     """Explode ``events`` (structs of ``_event``) to report rows; an event is
-    established by the operation whose row carries it."""
-    return (rows.select(*_OWNER, F.col("trans_date").alias("established_dt"), F.explode(events).alias("e"))
+    established by the operation whose row carries it. Only events meet the owners'
+    texts; the operations carry ``client_id`` and ``_who``."""
+    found = rows.select("client_id", "_who", F.col("trans_date").alias("established_dt"), F.explode(events).alias("e"))
+    t = _texts(owners)
+    return (found.join(t, (F.col("client_id") == F.col("_client")) & (F.col("_who") == F.col("_texts")))
             .select("e.trans_id", "client_id", "e.event_dt", F.col("passport_num").alias("passport"), "fio", "phone",
                     "e.event_type", date_lit(report_dt).alias("report_dt"), "established_dt"))
 
@@ -174,22 +189,27 @@ def fraud_city_hop(wh: Warehouse, report_dt=None, as_of=None, emit: str = "both"
     pair, and the pair before it) decide it in one shuffle."""
     if emit not in ("both", "later"):
         raise ValueError("emit must be 'both' or 'later'")
-    rows = located_successes(wh, as_of, point_in_time)
+    rows = located_successes(wh, as_of, point_in_time).select(
+        "client_id", _who().alias("_who"), *_ORDER, "_sec")
     rows = context_buckets(rows, "_sec", 2 * seconds, bucket_seconds)
     # explicit: input partitioned by the client alone would satisfy the window
     rows = _hop_events(rows.repartition("client_id", "_cb_bucket"), seconds, emit).filter("_cb_native")
-    return _report_events(rows, _hop_array(emit), report_dt)
+    return _report_events(rows, _hop_array(emit), report_dt, wh.owners)
 
 
 def city_hop_any_pair(wh: Warehouse, report_dt=None, as_of=None,
                       seconds: int = schemas.CITY_HOP_SECONDS,
                       bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-                      point_in_time: bool = False) -> DataFrame:
+                      point_in_time: bool = False, emit: str = "later") -> DataFrame:
     """Rule 3 as its text reads: an operation is reported when the same client
     made any successful operation in another city at most ``seconds`` earlier
-    (or in the same second), adjacent or not."""
+    (or in the same second), adjacent or not. ``emit="both"`` also reports the
+    earlier operations of such pairs."""
+    if emit not in ("later", "both"):
+        raise ValueError("emit must be 'later' or 'both'")
     rows = located_successes(wh, as_of, point_in_time)
-    rows = recent_other_value(rows, ["client_id"], "_sec", "terminal_city", seconds, bucket_seconds)
+    rows = recent_other_value(rows, ["client_id"], "_sec", "terminal_city", seconds, bucket_seconds,
+                              lookahead_seconds=seconds if emit == "both" else 0)
     return _emit(rows, schemas.EVENT_CITY_HOP, report_dt)
 
 
@@ -220,10 +240,12 @@ def fraud_amount_guess(wh: Warehouse, report_dt=None, as_of=None,
     first and last at most ``seconds`` apart. Only the success is reported."""
     tx = chain.v_transactions(wh).filter(
         F.col("oper_type").isin(schemas.TYPE_WITHDRAW, schemas.TYPE_PAYMENT))
-    rows = _locate(chain.ownership_chain(wh, tx), wh, as_of, point_in_time)
-    rows = context_buckets(rows.withColumn("_sec", epoch_seconds("trans_date")), "_sec", seconds, bucket_seconds)
+    rows = _locate(chain.ownership_chain(wh, tx), wh, as_of, point_in_time).select(
+        "client_id", _who().alias("_who"), "card_num", *_ORDER, "amt", "oper_result",
+        epoch_seconds("trans_date").alias("_sec"))
+    rows = context_buckets(rows, "_sec", seconds, bucket_seconds)
     rows = _guess_hit(rows.repartition("client_id", "_cb_bucket"), n_rejects, seconds).filter("_cb_native and guess")
-    return _emit(rows, schemas.EVENT_AMOUNT_GUESS, report_dt)
+    return _report_events(rows, F.array(_event(schemas.EVENT_AMOUNT_GUESS)), report_dt, wh.owners)
 
 
 def all_rules(wh: Warehouse, report_dt=None, as_of=None, city_hop_emit: str = "both",
@@ -242,29 +264,31 @@ def all_rules(wh: Warehouse, report_dt=None, as_of=None, city_hop_emit: str = "b
                .agg(F.collect_list("entry_dt").alias("_entries"), F.count("*").cast("int").alias("_known")))
     owners = wh.owners.join(entries, F.col("passport_num") == F.col("_bl"), "left").drop("_bl")
     rows = chain.ownership_chain(wh, chain.v_transactions(wh).filter(success | guessable), owners)
-    located = _locate_left(rows, wh, as_of, point_in_time)
+    # rules 1 and 2 are decided by the row alone: two numbers go on instead of the owner
+    expired = F.coalesce(F.col("passport_valid_to") <= F.col("trans_date"), F.lit(False))
+    listed = F.coalesce(F.size(F.filter("_entries", lambda d: d <= F.col("trans_date"))), F.lit(0))
+    n1 = F.when(expired, F.greatest(F.lit(1), F.col("_known"))).otherwise(F.greatest(listed, F.lit(0)))
+    if distinct_events:
+        n1 = F.least(n1, F.lit(1))
+    n2 = F.coalesce((F.col("valid_to") <= F.col("trans_date")).cast("int"), F.lit(0))
+    rows = rows.select("client_id", _who().alias("_who"), "card_num", "terminal", "trans_date", "trans_id", "amt", "oper_result",
+                       success.alias("_success"), guessable.alias("_guessable"),
+                       F.when(success, n1).otherwise(0).alias("_n1"), F.when(success, n2).otherwise(0).alias("_n2"))
+    located = _locate_left(rows, wh, as_of, point_in_time).drop("terminal")
     rows = context_buckets(located.withColumn("_sec", epoch_seconds("trans_date")), "_sec",
                            max(2 * schemas.CITY_HOP_SECONDS, schemas.AMOUNT_GUESS_SECONDS), bucket_seconds)
     # operations without a time can only meet rules 1 and 2, which they fail
     rows = rows.filter(F.col("_sec").isNotNull()).repartition("client_id", "_cb_bucket")
     # one row per current terminal row; rules 1 and 2 count an operation once
-    hop, guess = success & F.col("_located"), guessable & F.col("_located")
+    hop, guess = F.col("_success") & F.col("_located"), F.col("_guessable") & F.col("_located")
     rows = _hop_events(rows, schemas.CITY_HOP_SECONDS, city_hop_emit, hop)
     rows = _guess_hit(rows, schemas.AMOUNT_GUESS_REJECTS, schemas.AMOUNT_GUESS_SECONDS, guess).filter("_cb_native")
-
-    expired = F.coalesce(F.col("passport_valid_to") <= F.col("trans_date"), F.lit(False))
-    listed = F.coalesce(F.size(F.filter("_entries", lambda d: d <= F.col("trans_date"))), F.lit(0))
-    n1 = F.when(expired, F.greatest(F.lit(1), F.col("_known"))).otherwise(F.greatest(listed, F.lit(0)))
-    if distinct_events:
-        n1 = F.least(n1, F.lit(1))
-    n2 = F.coalesce((F.col("valid_to") <= F.col("trans_date")).cast("int"), F.lit(0))
-    own = success & F.col("_first")
     events = F.concat(
-        F.array_repeat(_event(schemas.EVENT_PASSPORT), F.when(own, n1).otherwise(0)),
-        F.array_repeat(_event(schemas.EVENT_CONTRACT), F.when(own, n2).otherwise(0)),
+        F.array_repeat(_event(schemas.EVENT_PASSPORT), F.when(F.col("_first"), F.col("_n1")).otherwise(0)),
+        F.array_repeat(_event(schemas.EVENT_CONTRACT), F.when(F.col("_first"), F.col("_n2")).otherwise(0)),
         _hop_array(city_hop_emit),
         F.array_repeat(_event(schemas.EVENT_AMOUNT_GUESS), F.col("guess").cast("int")))
-    return _report_events(rows, events, report_dt)
+    return _report_events(rows, events, report_dt, wh.owners)
 
 
 def default_report_dt() -> _dt.date:

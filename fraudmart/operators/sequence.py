@@ -93,30 +93,35 @@ def ordered_neighbours(df: DataFrame, keys: Sequence[str], ts: str, tie: str,
 
 
 def context_buckets(df: DataFrame, sec: str, lookback_seconds: int,
-                    bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                    bucket_seconds: int = DEFAULT_BUCKET_SECONDS, lookahead_seconds: int = 0) -> DataFrame:
     """Add ``_cb_bucket`` and ``_cb_native``: every row once in its own bucket
     of the epoch-seconds column ``sec`` (native) and, when it lies at most
     ``lookback_seconds`` before the next bucket's start, once more in that
-    bucket as context."""
-    width = max(int(bucket_seconds), int(lookback_seconds))  # one context bucket is enough
+    bucket as context; with ``lookahead_seconds`` likewise in the bucket before."""
+    width = max(int(bucket_seconds), int(lookback_seconds), int(lookahead_seconds))  # one context bucket is enough
     own = F.floor(F.col(sec) / F.lit(width))
     carry = F.col(sec) >= (own + 1) * width - int(lookback_seconds)
+    buckets = F.when(carry, F.array(own, own + 1)).otherwise(F.array(own))
+    if lookahead_seconds:
+        back = F.col(sec) < own * width + int(lookahead_seconds)
+        buckets = F.when(back, F.concat(F.array(own - 1), buckets)).otherwise(buckets)
     return (df.withColumn("_cb_own", own)
-            .withColumn("_cb_bucket", F.explode(F.when(carry, F.array(own, own + 1)).otherwise(F.array(own))))
+            .withColumn("_cb_bucket", F.explode(buckets))
             .withColumn("_cb_native", F.col("_cb_bucket") == F.col("_cb_own")).drop("_cb_own"))
 
 
 def recent_other_value(df: DataFrame, keys: Sequence[str], sec: str, value: str, lookback_seconds: int,
-                       bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                       bucket_seconds: int = DEFAULT_BUCKET_SECONDS, lookahead_seconds: int = 0) -> DataFrame:
     """Keep rows that have another row of the same key with a different
-    ``value`` at most ``lookback_seconds`` earlier (or at the same second).
+    ``value`` at most ``lookback_seconds`` earlier (or at the same second), or at
+    most ``lookahead_seconds`` later.
     Null values differ from nothing and are neither reported nor compared."""
     keys = list(keys)
     rows = df.filter(F.col(value).isNotNull())
     seconds = rows.groupBy(*_cols(keys), sec).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
     w = (Window.partitionBy(*_cols(keys), "_cb_bucket").orderBy(sec)
-         .rangeBetween(-int(lookback_seconds), Window.currentRow))
-    near = (context_buckets(seconds, sec, lookback_seconds, bucket_seconds)
+         .rangeBetween(-int(lookback_seconds), int(lookahead_seconds)))
+    near = (context_buckets(seconds, sec, lookback_seconds, bucket_seconds, lookahead_seconds)
             .withColumns({"_lo": F.min("_lo").over(w), "_hi": F.max("_hi").over(w)})
             .filter(F.col("_cb_native") & (F.col("_lo") != F.col("_hi")))
             .select(*keys, sec, "_lo", "_hi"))

@@ -20,6 +20,11 @@ DEFAULT_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
+    # plans of finished queries are not kept for a page nobody reads
+    "spark.sql.ui.retainedExecutions": "10",
+    "spark.ui.retainedJobs": "100",
+    "spark.ui.retainedStages": "100",
+    "spark.ui.retainedTasks": "1000",
     "spark.ui.showConsoleProgress": "false",
 }
 

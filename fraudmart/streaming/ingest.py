@@ -40,6 +40,14 @@ def with_event_time(df: DataFrame, ts: str = "trans_date", out: str = "event_tim
     return df.withColumn(out, F.timestamp_seconds(F.unix_timestamp(F.col(ts))))
 
 
+def watermarked(tx_stream: DataFrame, delay: str) -> DataFrame:
+    """Event time and watermark on the raw stream, before any join, so the
+    watermark follows every arriving row. A row without a time has no place in any
+    order and would never leave the state: it is not used here (the quarantine
+    keeps it)."""
+    return with_event_time(tx_stream.filter(F.col("trans_date").isNotNull())).withWatermark("event_time", delay)
+
+
 def ingest_transactions(spark: SparkSession, landing: str, table_path: str, checkpoint: str,
                         archive_dir: str | None = None, available_now: bool = True,
                         max_files_per_trigger: int | None = None) -> StreamingQuery:

@@ -32,33 +32,29 @@ from fraudmart import schemas
 from fraudmart.functions import date_lit
 from fraudmart.operators import chain
 from fraudmart.session import ship_package
-from fraudmart.streaming.ingest import with_event_time
+from fraudmart.streaming.ingest import watermarked
 from fraudmart.warehouse import Warehouse
 
 OUT = T.StructType([T.StructField("trans_id", T.StringType()), T.StructField("client_id", T.StringType()),
                     T.StructField("event_dt", schemas.TS), T.StructField("passport", T.StringType()),
-                    T.StructField("fio", T.StringType()), T.StructField("phone", T.StringType())])
+                    T.StructField("fio", T.StringType()), T.StructField("phone", T.StringType()),
+                    T.StructField("established_dt", schemas.TS)])
 STATE = T.StructType([T.StructField("pending", T.StringType()), T.StructField("tail", T.StringType())])
 PASS = ["trans_id", "client_id", "passport_num", "fio", "phone"]
 Step = Callable[[object, list[dict]], tuple[list[dict], object, int | None]]
 
 
-def _ts(v) -> str:
-    return pd.Timestamp(v).strftime("%Y-%m-%d %H:%M:%S.%f")
-
-
 def _records(frames: Iterator[pd.DataFrame], value_cols: list[str]) -> list[dict]:
     out = []
     for pdf in frames:
-        for r in pdf.to_dict("records"):
-            rec = {k: r[k] for k in PASS}
-            rec["ts"] = _ts(r["trans_date"])
-            rec["sec"] = int(r["_sec"])
-            rec["et"] = int(pd.Timestamp(r["event_time"]).value // 1_000_000)
-            for c in value_cols:
-                v = r[c]
-                rec[c] = None if v is None or (isinstance(v, float) and pd.isna(v)) else str(v)
-            out.append(rec)
+        pdf = pdf[pdf["trans_date"].notna()]
+        columns = {k: pdf[k].tolist() for k in PASS}
+        columns["ts"] = pdf["trans_date"].dt.strftime("%Y-%m-%d %H:%M:%S.%f").tolist()
+        columns["sec"] = [int(s) for s in pdf["_sec"]]
+        columns["et"] = [s * 1000 for s in columns["sec"]]
+        for c in value_cols:
+            columns[c] = [None if pd.isna(v) else str(v) for v in pdf[c]]
+        out += [dict(zip(columns, r)) for r in zip(*columns.values())]
     return out
 
 
@@ -67,7 +63,9 @@ def _emit(hits: list[dict], with_event_type: bool = False) -> pd.DataFrame:
         "trans_id": [h["trans_id"] for h in hits], "client_id": [h["client_id"] for h in hits],
         "event_dt": pd.to_datetime([h["ts"] for h in hits]),
         "passport": [h["passport_num"] for h in hits], "fio": [h["fio"] for h in hits],
-        "phone": [h["phone"] for h in hits]})
+        "phone": [h["phone"] for h in hits],
+        # the first operation of a pair is established by the second
+        "established_dt": pd.to_datetime([h.get("by", h["ts"]) for h in hits])})
     if with_event_type:
         out["event_type"] = [h["event_type"] for h in hits]
     return out
@@ -80,10 +78,11 @@ def _ordered_scan(step: Step, init, value_cols: list[str], with_event_type: bool
         if state.exists:
             p, t = state.get
             pending, tail = json.loads(p), json.loads(t)
-        if not state.hasTimedOut:
-            pending += _records(frames, value_cols)
         wm = state.getCurrentWatermarkMs()
-        ready = sorted((r for r in pending if r["et"] <= wm), key=lambda r: (r["ts"], r["trans_id"]))
+        if not state.hasTimedOut:  # what arrives behind the watermark comes too late for the order
+            pending += [r for r in _records(frames, value_cols) if r["et"] > wm]
+        ready = sorted((r for r in pending if r["et"] <= wm),
+                       key=lambda r: (r["ts"], r["trans_id"], r.get("terminal_city") or ""))
         keep = [r for r in pending if r["et"] > wm]
         hits, tail, live_until_ms = step(tail, ready) if ready else ([], tail, None)
         if keep or (live_until_ms is not None and live_until_ms > wm):
@@ -157,7 +156,7 @@ def city_hop_adjacent_step(seconds: int, emit: str = "both") -> Step:
                 hits.append(r)
                 r["done"] = True
                 if emit == "both" and not last["done"]:
-                    hits.append(last)
+                    hits.append(dict(last, by=r["ts"]))
                     last["done"] = True
             last = r
         tail = {"last": last}
@@ -212,12 +211,6 @@ def _report(df: DataFrame, event_type: str, report_dt) -> DataFrame:
                      date_lit(report_dt).alias("report_dt"))
 
 
-def watermarked(tx_stream: DataFrame, delay: str) -> DataFrame:
-    """Event time and watermark on the raw stream, before any join, so the
-    watermark follows every arriving row."""
-    return with_event_time(tx_stream).withWatermark("event_time", delay)
-
-
 def stream_amount_guess(wh: Warehouse, tx_stream: DataFrame, report_dt, as_of=None,
                         n_rejects: int = schemas.AMOUNT_GUESS_REJECTS,
                         seconds: int = schemas.AMOUNT_GUESS_SECONDS,

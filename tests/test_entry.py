@@ -7,7 +7,7 @@ import duckdb
 
 import __spark_entry__ as entry_mod
 from fraudmart import schemas
-from fraudmart.plans import catalog
+from fraudmart.plans import registry
 
 from planted_cases import SF001
 
@@ -25,9 +25,9 @@ def test_every_query_has_oracle_with_same_columns(spark):
     for t in TABLES:
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF001}/{t}.parquet'")
     qs, sqls = entry_mod.queries(), entry_mod.oracle_sql()
-    assert set(catalog.QUERIES) <= set(qs) and set(sqls) <= set(qs)
+    assert set(registry.QUERIES) <= set(qs) and set(sqls) <= set(qs)
     rows = {}
-    for name, fn in catalog.QUERIES.items():
+    for name, fn in registry.QUERIES.items():
         df = fn(spark, SF001)
         cols = con.sql(sqls[name]).columns
         assert sorted(df.columns) == sorted(cols), name
