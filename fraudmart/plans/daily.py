@@ -86,7 +86,9 @@ def load_transactions(spark: SparkSession, store: TableStore, landing: str,
             del found[path]
     out = Loaded(sorted(found), sorted(found.values()), rejected)
     if found:
-        store.overwrite_partitions("transactions", feeds.normalise_transactions(feeds.read_tx_feed(spark, out.paths)))
+        feed = feeds.read_tx_feed(spark, out.paths)
+        store.overwrite_partitions("_rejects", feeds.transaction_rejects(feed))
+        store.overwrite_partitions("transactions", feeds.normalise_transactions(feeds.well_formed(feed)))
         _record(store, "transactions", fresh.filter(F.col("file_path").isin(out.paths)))
         out.rejects = transaction_rejects(store, out.ids)
     return out
@@ -95,13 +97,16 @@ def load_transactions(spark: SparkSession, store: TableStore, landing: str,
 def _workbooks(spark: SparkSession, fresh: DataFrame, rejected: dict[str, str], sheet: str,
                columns: Sequence[str]) -> tuple[Loaded, DataFrame | None]:
     rows = {r["file_path"]: r["file_id"] for r in fresh.select("file_path", "file_id").collect()}
-    if rows:
-        raw = _contents(spark, sorted(rows))
-        for r in workbook.workbook_problems(raw, sheet, columns).collect():
-            rejected[r["file_path"]] = r["problem"]
-            del rows[r["file_path"]]
+    if not rows:
+        return Loaded(rejected=rejected), None
+    path = scratch_path(spark, "workbooks")  # each workbook is parsed once
+    workbook.checked_workbooks(_contents(spark, sorted(rows)), sheet, columns).write.parquet(path)
+    parsed = spark.read.parquet(path)
+    for r in parsed.filter("problem is not null").select("file_path", "problem").distinct().collect():
+        rejected[r["file_path"]] = r["problem"]
+        del rows[r["file_path"]]
     done = Loaded(sorted(rows), sorted(rows.values()), rejected)
-    return done, workbook.parse_workbooks(_contents(spark, done.paths), sheet, columns) if rows else None
+    return done, parsed.filter("problem is null") if rows else None
 
 
 def _contents(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -162,13 +167,11 @@ def archive(spark: SparkSession, paths: list[str], landing: str, archive_dir: st
 
 
 def transaction_rejects(store: TableStore, file_ids: list[str]) -> int:
-    """Rows of the loaded feed files whose amount or time did not parse. They
-    are stored (with nulls), not dropped; this counts them from the loaded
-    files' partitions only."""
+    """Lines of the loaded feed files that could not be used as they are (the table
+    ``_rejects`` holds them with file and reason)."""
     if not file_ids:
         return 0
-    tx = store.read("transactions").filter(F.col("file_id").isin(file_ids))
-    return tx.filter(F.col("amt").isNull() | F.col("trans_date").isNull()).count()
+    return store.read("_rejects").filter(F.col("file_id").isin(file_ids)).count()
 
 
 def load_feeds(spark: SparkSession, landing: str, root: str, close_missing: bool = False,

@@ -15,8 +15,10 @@ from fraudmart.functions import ts_lit
 from fraudmart.operators import rules
 from fraudmart.plans import catalog, lens, oracle
 from fraudmart.session import scratch_path
+from fraudmart.sources.store import TableStore
 from fraudmart.streaming import interval, quarantine, typed
 from fraudmart.streaming import rules as srules
+from fraudmart.streaming.ingest import ingest_blacklist, ingest_terminals
 
 AS_OF, REPORT_DT = lens.AS_OF, lens.REPORT_DT
 #: Slices end at these instants; the last holds what is left.
@@ -127,6 +129,28 @@ def stream_report_repaired(spark, sf_dir):
     return quarantine.repaired_report(lens.warehouse(spark, sf_dir), _watched(spark, sf_dir), REPORT_DT, AS_OF)
 
 
+def _stream_workbooks(spark, rows: DataFrame, stage, ingest) -> TableStore:
+    """The last day's workbooks arrive first, then the others, each in a run of its own."""
+    base, day = scratch_path(spark, "workbook-stream"), F.dayofmonth("effective_from")
+    store = TableStore(spark, f"{base}/wh")
+    for i, part in enumerate((day == 3, day < 3)):
+        catalog._move(spark, stage(rows.filter(part)), f"{base}/landing/{i}")
+        ingest(spark, f"{base}/landing", store, f"{base}/ck").awaitTermination()
+    return store
+
+
+def stream_terminal_history(spark, sf_dir):
+    store = _stream_workbooks(spark, lens.terminal_slices(spark, sf_dir),
+                              lambda rows: catalog._terminal_feed(spark, sf_dir, rows), ingest_terminals)
+    return store.read("terminals")
+
+
+def stream_blacklist(spark, sf_dir):
+    store = _stream_workbooks(spark, lens.blacklist_files(spark, sf_dir),
+                              lambda rows: catalog._blacklist_feed(spark, sf_dir, rows), ingest_blacklist)
+    return store.read("passport_blacklist")
+
+
 QUERIES = {
     "stream_city_hop_interval_join": _interval("later"),
     "stream_city_hop_interval_both": _interval("both"),
@@ -137,6 +161,8 @@ QUERIES = {
     "stream_amount_guess_resumed": stream_amount_guess_resumed,
     "stream_quarantine": stream_quarantine,
     "stream_report_repaired": stream_report_repaired,
+    "stream_terminal_history": stream_terminal_history,
+    "stream_blacklist": stream_blacklist,
 }
 
 _BOTH = oracle._q(oracle._report(
@@ -159,4 +185,6 @@ SELECT CAST(i AS VARCHAR) AS trans_id, 'late' AS reason FROM e, wm WHERE early A
 UNION ALL SELECT 't' || CAST(i AS VARCHAR), 'no time' FROM e WHERE i % 50 = 3
 UNION ALL SELECT 'a' || CAST(i AS VARCHAR), 'no amount' FROM e WHERE NOT early AND i % 50 = 9""",
     "stream_report_repaired": oracle.SQL["fraud_report"],
+    "stream_terminal_history": oracle.SQL["scd2_terminal_history"],
+    "stream_blacklist": oracle.SQL["blacklist_insert_if_absent"],
 }

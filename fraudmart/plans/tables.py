@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from fraudmart import schemas
 from fraudmart.operators import chain, rules
-from fraudmart.plans import catalog, lens, oracle
+from fraudmart.plans import catalog, daily, lens, oracle
 from fraudmart.session import scratch_path
-from fraudmart.sources import sqltables
+from fraudmart.sources import feeds, sqltables
 from fraudmart.sources.bucketed import append_bucketed, bucketed_fact
 from fraudmart.sources.buckets import BucketedHistory
+from fraudmart.sources.store import TableStore
 
 AS_OF, REPORT_DT = lens.AS_OF, lens.REPORT_DT
 KEYS, ATTRS = ["terminal_id", "terminal_type"], ["terminal_city", "terminal_address"]
@@ -99,6 +100,26 @@ def terminals_by_bucket(spark, sf_dir):
     return table.read()
 
 
+def feed_rejects(spark, sf_dir):
+    """Feed files in which some lines have a wrong amount, a wrong time or a wrong
+    number of fields, loaded; what the load kept aside."""
+    base, i = scratch_path(spark, "badfeed"), F.col("transaction_id").cast("long")
+    feed = feeds.to_feed_text(lens.transactions(spark, sf_dir)).withColumns({
+        "amount": F.when(i % 40 == 1, "1 234,5x").otherwise(F.col("amount")),
+        "transaction_date": F.when(i % 40 == 2, "soon").otherwise(F.col("transaction_date"))})
+    names = schemas.TX_FEED.fieldNames()
+    line = F.concat_ws(";", *names)
+    lines = feed.select(F.col("_feed_day"), F.lit(1).alias("at"), F.when(i % 40 == 3, F.concat_ws(";", *names[:4]))
+                        .when(i % 40 == 4, F.concat(line, F.lit(";more"))).otherwise(line).alias("value"))
+    heads = lines.select("_feed_day").distinct().select("_feed_day", F.lit(0).alias("at"), F.lit(";".join(names)).alias("value"))
+    (lines.unionByName(heads).repartition("_feed_day").sortWithinPartitions("_feed_day", "at").drop("at")
+     .write.partitionBy("_feed_day").text(f"{base}/staging"))
+    feeds.publish(spark, f"{base}/staging", f"{base}/landing", "transactions", "txt")
+    store = TableStore(spark, f"{base}/wh")
+    daily.load_transactions(spark, store, f"{base}/landing")
+    return store.read("_rejects").select("line", "reason")
+
+
 QUERIES = {
     "catalog_defaults": catalog_defaults,
     "catalog_views": catalog_views,
@@ -110,6 +131,7 @@ QUERIES = {
     "city_hop_point_in_time_merge": city_hop_point_in_time_merge,
     "ownership_chain_bucketed": ownership_chain_bucketed,
     "terminals_by_bucket": terminals_by_bucket,
+    "feed_rejects": feed_rejects,
 }
 
 SQL = {
@@ -125,4 +147,11 @@ SQL = {
     "city_hop_point_in_time_merge": oracle.SQL["city_hop_point_in_time"],
     "ownership_chain_bucketed": oracle.SQL["ownership_chain"],
     "terminals_by_bucket": oracle.SQL["scd2_terminal_history"],
+    "feed_rejects": oracle._q(
+        "SELECT CASE WHEN i % 40 = 3 THEN a WHEN i % 40 = 4 THEN a || b || ';more' ELSE a || b END AS line, "
+        "CASE i % 40 WHEN 1 THEN 'amount' WHEN 2 THEN 'time' ELSE 'fields' END AS reason FROM (SELECT *, "
+        "trans_id || ';' || CASE WHEN i % 40 = 2 THEN 'soon' ELSE strftime(trans_date, '%Y-%m-%d %H:%M:%S') END || ';' || "
+        "CASE WHEN i % 40 = 1 THEN '1 234,5x' ELSE replace(CAST(amt AS VARCHAR), '.', ',') END || ';' || card_num AS a, "
+        "';' || oper_type || ';' || oper_result || ';' || terminal AS b "
+        "FROM (SELECT *, CAST(trans_id AS BIGINT) AS i FROM l_tx)) WHERE i % 40 BETWEEN 1 AND 4"),
 }

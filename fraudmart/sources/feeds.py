@@ -59,7 +59,9 @@ def read_tx_feed(spark: SparkSession, landing: str | list[str]) -> DataFrame:
     """Scan transaction feed files; every column stays a string. Columns are
     taken by the names in each file's header line (one short read per file, as
     the listing is), so files may order them as they like; a file without one of
-    the columns is an error."""
+    the columns is an error. ``bad_line`` is the text of a line with too few or too
+    many fields, null for others; which lines those are does not depend on the
+    columns a query reads."""
     if isinstance(landing, str):
         paths = [r["file_path"] for r in discover(spark, landing, schemas.TX_FEED_GLOB).select("file_path").collect()]
     else:
@@ -72,14 +74,14 @@ def read_tx_feed(spark: SparkSession, landing: str | list[str]) -> DataFrame:
     for header, group in sorted(by_header.items()):
         if missing_columns(header):
             raise ValueError(f"no column {', '.join(missing_columns(header))} in {group}")
-        schema = schemas.T.StructType([schemas.T.StructField(h, schemas.T.StringType()) for h in header])
+        schema = schemas.T.StructType([schemas.T.StructField(h, schemas.T.StringType()) for h in (*header, "bad_line")])
         df = (spark.read.schema(schema).option("sep", ";").option("header", "true").option("mode", "PERMISSIVE")
-              .csv(group))
-        df = _with_file(df).select(*names, "file_name", "file_path", "file_id", "business_dt")
+              .option("columnNameOfCorruptRecord", "bad_line").option("columnPruning", "false").csv(group))
+        df = _with_file(df).select(*names, "bad_line", "file_name", "file_path", "file_id", "business_dt")
         out = df if out is None else out.unionByName(df)
     if out is None:
         out = spark.createDataFrame([], schemas.TX_FEED).withColumns(
-            {c: F.lit(None).cast("string") for c in ("file_name", "file_path", "file_id")}
+            {c: F.lit(None).cast("string") for c in ("bad_line", "file_name", "file_path", "file_id")}
             | {"business_dt": F.lit(None).cast(schemas.TS)})
     return out
 
@@ -103,12 +105,22 @@ def normalise_transactions(feed: DataFrame) -> DataFrame:
     )
 
 
+def well_formed(feed: DataFrame) -> DataFrame:
+    """Lines with the header's number of fields."""
+    return feed.filter(F.col("bad_line").isNull())
+
+
 def transaction_rejects(feed: DataFrame) -> DataFrame:
-    """Feed rows whose amount or date does not parse (kept out of counts
-    silently nowhere: callers report them)."""
-    n = normalise_transactions(feed)
-    return n.filter(F.col("amt").isNull() | F.col("trans_date").isNull()
-                    | F.col("load_dt").isNull())
+    """Lines that cannot be used as they are: ``file_path``, ``line``, ``reason``, ``file_id``.
+    ``fields``: too few or too many (the line is in no table); ``time``, ``amount``: one that
+    does not parse (the row is stored with a null in its place)."""
+    bad_time = F.trim("transaction_date").try_cast(schemas.TS).isNull()
+    reason = F.concat_ws(", ", F.when(F.col("bad_line").isNotNull(), "fields"),
+                         F.when(F.col("bad_line").isNull() & bad_time, "time"),
+                         F.when(F.col("bad_line").isNull() & amount_from_text("amount").isNull(), "amount"))
+    line = F.concat_ws(";", *[F.coalesce(F.col(f.name), F.lit("")) for f in schemas.TX_FEED.fields])
+    return (feed.withColumn("reason", reason).filter("reason <> ''")
+            .select("file_path", F.coalesce("bad_line", line).alias("line"), "reason", "file_id"))
 
 
 def to_feed_text(transactions: DataFrame) -> DataFrame:

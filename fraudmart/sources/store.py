@@ -11,6 +11,7 @@
   file gets one more row, and readers take its earliest ``effective_from``;
 * reporting_list: partitioned by ``report_dt``; a run replaces its own slice,
   also by an empty one;
+* _rejects: lines of text feeds that could not be used as they are, by file;
 * _ingest_ledger: one row per loaded feed file.
 """
 
@@ -26,7 +27,7 @@ from fraudmart.warehouse import Warehouse
 
 #: Validity histories by key bucket: keys and attributes.
 HISTORIES = {"terminals": (["terminal_id", "terminal_type"], ["terminal_city", "terminal_address"])}
-PARTITIONS = {"transactions": ["trans_day", "file_id"], "reporting_list": ["report_dt"]}
+PARTITIONS = {"transactions": ["trans_day", "file_id"], "reporting_list": ["report_dt"], "_rejects": ["file_id"]}
 TX_STORED = schemas.T.StructType(list(schemas.TRANSACTIONS.fields)
                                  + [schemas.T.StructField("load_dt", schemas.T.DateType()),
                                     schemas.T.StructField("file_name", schemas.T.StringType()),
@@ -35,7 +36,9 @@ TX_STORED = schemas.T.StructType(list(schemas.TRANSACTIONS.fields)
 LEDGER = (schemas.T.StructType()
           .add("kind", "string").add("file_path", "string").add("file_name", "string")
           .add("business_dt", schemas.TS).add("file_id", "string").add("loaded_at", schemas.TS))
-SCHEMAS = dict(schemas.WAREHOUSE_TABLES, transactions=TX_STORED, _ingest_ledger=LEDGER)
+REJECTS = (schemas.T.StructType()
+           .add("file_path", "string").add("line", "string").add("reason", "string").add("file_id", "string"))
+SCHEMAS = dict(schemas.WAREHOUSE_TABLES, transactions=TX_STORED, _ingest_ledger=LEDGER, _rejects=REJECTS)
 
 
 class TableStore:

@@ -82,65 +82,75 @@ def sheet_rows(content: bytes, sheet: str) -> list[list[str | None]]:
     return rows
 
 
-def _parser(sheet: str, columns: Sequence[str]):
+#: Sheet rows per frame handed on.
+FRAME_ROWS = 10_000
+
+
+def _problem(content: bytes, sheet: str, columns: list[str]) -> tuple[str | None, list]:
+    try:
+        rows = sheet_rows(content, sheet)
+    except (zipfile.BadZipFile, KeyError, ET.ParseError, StopIteration) as e:
+        return f"not a workbook: {type(e).__name__}", []
+    if not rows:
+        return f"no rows in a sheet named {sheet}", []
+    header = [(h or "").strip() for h in rows[0]]
+    missing = [c for c in columns if c not in header]
+    return ("no column " + ", ".join(missing), []) if missing else (None, rows)
+
+
+def _parser(sheet: str, columns: Sequence[str], strict: bool):
     columns = list(columns)
 
+    def frame(path: str, rows: list, pos: dict, first: int, problem: str | None = None) -> pd.DataFrame:
+        out = {name: [r[i] if i is not None and i < len(r) else None for r in rows] for name, i in pos.items()}
+        made = pd.DataFrame(out, columns=columns, dtype=object)
+        if problem:
+            made = pd.DataFrame([[None] * len(columns)], columns=columns, dtype=object)
+        made["file_path"] = path
+        made["row_no"] = 0 if problem else range(first, first + len(made))
+        made["problem"] = problem
+        return made
+
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["file_path"], batch["content"]):
-                rows = sheet_rows(bytes(content), sheet)
+                problem, rows = _problem(bytes(content), sheet, columns) if strict else (None, sheet_rows(bytes(content), sheet))
+                if problem:
+                    yield frame(path, [], dict.fromkeys(columns), 0, problem)
                 if not rows:
                     continue
                 header = [(h or "").strip() for h in rows[0]]
                 pos = {name: header.index(name) if name in header else None for name in columns}
-                out = {name: [] for name in columns}
-                for r in rows[1:]:
-                    for name in columns:
-                        i = pos[name]
-                        out[name].append(r[i] if i is not None and i < len(r) else None)
-                frame = pd.DataFrame(out, columns=columns, dtype=object)
-                frame["file_path"] = path
-                frame["row_no"] = range(1, len(frame) + 1)
-                yield frame
+                for at in range(1, max(len(rows), 2), FRAME_ROWS):
+                    yield frame(path, rows[at:at + FRAME_ROWS], pos, at)
     return parse
 
 
-def parse_workbooks(files: DataFrame, sheet: str, columns: Sequence[str]) -> DataFrame:
-    """(file_path, content) rows -> one row per sheet row, all strings, with
-    the file's name, its business date and the row number in the sheet."""
+def _parsed(files: DataFrame, sheet: str, columns: Sequence[str], strict: bool) -> DataFrame:
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns]
-                          + [T.StructField("file_path", T.StringType()),
-                             T.StructField("row_no", T.LongType())])
+                          + [T.StructField("file_path", T.StringType()), T.StructField("row_no", T.LongType()),
+                             T.StructField("problem", T.StringType())])
     ship_package(files.sparkSession)
-    parsed = files.select("file_path", "content").mapInPandas(_parser(sheet, columns), schema)
+    parsed = files.select("file_path", "content").mapInPandas(_parser(sheet, columns, strict), schema)
     name = F.element_at(F.split("file_path", "/"), -1)
     return parsed.withColumns({"file_name": name, "business_dt": business_date(name)})
 
 
-def workbook_problems(files: DataFrame, sheet: str, columns: Sequence[str]) -> DataFrame:
-    """(file_path, problem) for workbooks that cannot be read as asked: not a
-    workbook, no such sheet, or a missing column."""
-    columns = list(columns)
-
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            bad = []
-            for path, content in zip(batch["file_path"], batch["content"]):
-                try:
-                    rows = sheet_rows(bytes(content), sheet)
-                except (zipfile.BadZipFile, KeyError, ET.ParseError, StopIteration) as e:
-                    bad.append((path, f"not a workbook: {type(e).__name__}"))
-                    continue
-                header = [(h or "").strip() for h in rows[0]] if rows else []
-                missing = [c for c in columns if c not in header]
-                if not rows:
-                    bad.append((path, f"no rows in a sheet named {sheet}"))
-                elif missing:
-                    bad.append((path, "no column " + ", ".join(missing)))
-            yield pd.DataFrame(bad, columns=["file_path", "problem"])
-
-    ship_package(files.sparkSession)
-    return files.select("file_path", "content").mapInPandas(check, "file_path string, problem string")
+def parse_workbooks(files: DataFrame, sheet: str, columns: Sequence[str]) -> DataFrame:
+    """(file_path, content) rows -> one row per sheet row, all strings, with
+    the file's name, its business date and the row number in the sheet."""
+    return _parsed(files, sheet, columns, strict=False).drop("problem")
+
+
+def checked_workbooks(files: DataFrame, sheet: str, columns: Sequence[str]) -> DataFrame:
+    """``parse_workbooks`` with ``problem``: a workbook that cannot be read as asked (not
+    a workbook, no such sheet, a missing column, no date in its name) gives one row
+    that says so and no other. Store it: each workbook is then parsed once, whatever is
+    asked of it."""
+    undated = F.when(F.col("business_dt").isNull(), "no business date in the name")
+    parsed = _parsed(files, sheet, columns, strict=True)
+    return (parsed.withColumn("problem", F.coalesce("problem", undated))
+            .filter(F.col("problem").isNull() | (F.col("row_no") <= 1)))
 
 
 def read_workbooks(spark: SparkSession, landing: str, glob: str, sheet: str,

@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fraudmart import schemas
-from fraudmart.sources import feeds
+from fraudmart.operators import history
+from fraudmart.session import scratch_path
+from fraudmart.sources import feeds, workbook
+from fraudmart.sources.store import TableStore
 
 
 def tx_feed_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None,
@@ -57,3 +60,56 @@ def ingest_transactions(spark: SparkSession, landing: str, table_path: str, chec
          .option("checkpointLocation", checkpoint).partitionBy("load_dt").outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
+
+
+def _workbook_stream(spark: SparkSession, landing: str, glob: str) -> DataFrame:
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    return (spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", glob)
+            .option("recursiveFileLookup", "true").load(landing)
+            .select(F.col("path").alias("file_path"), "content"))
+
+
+def _load_workbooks(spark: SparkSession, landing: str, glob: str, sheet: str, columns: list[str], store: TableStore,
+                    checkpoint: str, load, available_now: bool) -> StreamingQuery:
+    """Each micro-batch of new workbooks is parsed once and loaded; ``load`` gives the
+    same table when a batch runs again. Workbooks that cannot be read are rows of
+    ``_rejects``."""
+    def batch(files: DataFrame, batch_id: int) -> None:
+        path = scratch_path(files.sparkSession, "workbooks")
+        workbook.checked_workbooks(files, sheet, columns).write.parquet(path)
+        parsed = files.sparkSession.read.parquet(path)
+        bad = parsed.filter("problem is not null").select(
+            "file_path", F.lit(None).cast("string").alias("line"), F.col("problem").alias("reason"),
+            F.substring(F.sha2("file_path", 256), 1, 20).alias("file_id"))
+        store.overwrite_partitions("_rejects", bad)
+        load(parsed.filter("problem is null"))
+
+    w = (_workbook_stream(spark, landing, glob).writeStream.foreachBatch(batch)
+         .option("checkpointLocation", checkpoint))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()
+
+
+def ingest_terminals(spark: SparkSession, landing: str, store: TableStore, checkpoint: str,
+                     available_now: bool = True) -> StreamingQuery:
+    """Stream terminal workbooks into the bucketed history, in whatever order they come."""
+    def load(parsed: DataFrame) -> None:
+        slices = workbook.terminal_slices(parsed).withColumn("_row", F.struct("file_name", "row_no"))
+        store.history("terminals").load(slices.filter("terminal_id <> ''"), "_row")
+
+    return _load_workbooks(spark, landing, schemas.TERMINAL_FEED_GLOB, schemas.TERMINAL_SHEET, workbook.TERMINAL_COLUMNS,
+                           store, checkpoint, load, available_now)
+
+
+def ingest_blacklist(spark: SparkSession, landing: str, store: TableStore, checkpoint: str,
+                     available_now: bool = True) -> StreamingQuery:
+    """Stream blacklist workbooks; a key is inserted once, from its earliest file."""
+    def load(parsed: DataFrame) -> None:
+        existing = store.read("passport_blacklist") if store.exists("passport_blacklist") else None
+        new = history.insert_if_absent(existing, workbook.blacklist_rows(parsed), ["passport_num", "entry_dt"])
+        staged = scratch_path(spark, "blacklist")  # the join reads the table that is appended to
+        new.write.parquet(staged)
+        store.append("passport_blacklist", spark.read.parquet(staged))
+
+    return _load_workbooks(spark, landing, schemas.BLACKLIST_FEED_GLOB, schemas.BLACKLIST_SHEET, workbook.BLACKLIST_COLUMNS,
+                           store, checkpoint, load, available_now)

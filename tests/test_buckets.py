@@ -95,3 +95,36 @@ def test_repeats_corrections_and_missing_keys(spark, tmp_path):
         assert [(r[0], r[3]) for r in got] == [("a", "1"), ("a", "4"), ("b", "1")]
         assert (got[2][5] == TS(schemas.OPEN_END)) != close
         assert t.load(one.limit(0), "_row", close) == t.generation()
+
+
+def test_workbooks_streamed_into_the_tables(spark, tmp_path):
+    from fraudmart.plans import staging
+    from fraudmart.sources import workbook
+    from fraudmart.sources.store import TableStore
+    from fraudmart.streaming.ingest import ingest_blacklist, ingest_terminals
+    landing, store = tmp_path / "in", TableStore(spark, str(tmp_path / "wh"))
+    landing.mkdir()
+
+    def arrive(name, sheet, columns, rows):
+        (landing / name).write_bytes(staging.workbook_bytes(sheet, columns, rows))
+
+    def run():
+        ingest_terminals(spark, str(landing), store, str(tmp_path / "ck1")).awaitTermination()
+        ingest_blacklist(spark, str(landing), store, str(tmp_path / "ck2")).awaitTermination()
+
+    arrive("terminals_02032021.xlsx", "terminals", workbook.TERMINAL_COLUMNS, [("a", "ATM", "x", "2"), ("a", "ATM", "x", "3")])
+    arrive("passport_blacklist_02032021.xlsx", "blacklist", workbook.BLACKLIST_COLUMNS, [("p", "2021-03-01"), (None, "2021-03-01")])
+    (landing / "terminals_03032021.xlsx").write_bytes(b"no workbook")
+    run()
+    arrive("terminals_01032021.xlsx", "terminals", workbook.TERMINAL_COLUMNS, [("a", "ATM", "x", "1"), (None, "ATM", "q", "q")])
+    arrive("terminals_04032021.xlsx", "other", workbook.TERMINAL_COLUMNS, [("a", "ATM", "x", "4")])
+    arrive("passport_blacklist_01032021.xlsx", "blacklist", workbook.BLACKLIST_COLUMNS, [("p", "2021-03-01"), ("q", "2021-03-01")])
+    run()
+    run()  # nothing new
+    assert [(r[3], str(r[4])[:10], str(r[5])[:10]) for r in rows(store.read("terminals"))] == [
+        ("1", "2021-03-01", "2021-03-01"), ("3", "2021-03-02", "9999-12-31")]
+    assert sorted((r["passport_num"], str(r["effective_from"])[:10]) for r in store.read("passport_blacklist").collect()) == [
+        ("p", "2021-03-01"), ("q", "2021-03-01")]
+    bad = {r["file_path"].rsplit("/", 1)[-1]: r["reason"] for r in store.read("_rejects").collect()}
+    assert bad == {"terminals_03032021.xlsx": "not a workbook: BadZipFile",
+                   "terminals_04032021.xlsx": "no rows in a sheet named terminals"}

@@ -126,3 +126,28 @@ def test_workbook_shared_strings_and_date_cells(spark, tmp_path):
         spark, str(tmp_path), schemas.BLACKLIST_FEED_GLOB, "blacklist", ["passport", "date"])).collect()
     assert [(r["passport_num"], r["entry_dt"], r["effective_from"]) for r in b] == [
         ("p7", dt.date(2021, 3, 2), dt.datetime(2021, 3, 2))]
+
+
+def test_lines_that_do_not_fit_are_kept_with_their_reason(spark, tmp_path):
+    from fraudmart.plans import daily
+    from fraudmart.sources.store import TableStore
+    head = "transaction_id;transaction_date;amount;card_num;oper_type;oper_result;terminal"
+    good = "1;2021-03-01 10:00:00;1,00;c1;PAYMENT;SUCCESS;T1"
+    bad = {"2;2021-03-01 10:00:00;1,00": "fields", "3;2021-03-01 10:00:00;1,00;c1;PAYMENT;SUCCESS;T1;more": "fields",
+           "4;soon;1,00;c1;PAYMENT;SUCCESS;T1": "time", "5;2021-03-01 10:00:00;1 2,x;c1;PAYMENT;SUCCESS;T1": "amount",
+           "6;;;c1;PAYMENT;SUCCESS;T1": "time, amount"}
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "transactions_01032021.txt").write_text("\n".join([head, good, *bad]) + "\n")
+    (landing / "transactions_02032021.txt").write_text(f"{head}\n7{good[1:]}\n")
+    store = TableStore(spark, str(tmp_path / "wh"))
+    loaded = daily.load_transactions(spark, store, str(landing))
+    assert loaded.rejects == 5
+    kept = store.read("_rejects").collect()
+    assert {r["line"]: r["reason"] for r in kept} == bad
+    assert {r["file_path"].rsplit("/", 1)[-1] for r in kept} == {"transactions_01032021.txt"}
+    tx = {r["trans_id"]: r for r in store.read("transactions").collect()}
+    assert sorted(tx) == ["1", "4", "5", "6", "7"]  # what has its fields is stored, with nulls
+    assert tx["4"]["trans_date"] is None and tx["5"]["amt"] is None
+    assert daily.load_transactions(spark, store, str(landing)).rejects == 0  # nothing new
+    assert store.read("transactions").select("card_num").filter("card_num = 'c1'").count() == 5
