@@ -1,7 +1,7 @@
 """Validity history kept by key bucket, so that a load costs what arrives.
 
-Rows lie below ``rows/gen=G/state=open|closed/bucket=B``. Each load is a generation. A
-manifest version (one small Parquet folder per load) names for every bucket the
+Rows lie below ``gen=G/state=open|closed/bucket=B``. Each load is a generation. A
+manifest version (one small Parquet folder per load, below ``_manifest``) names for every bucket the
 generation whose open rows hold, and the generation from which on its closed rows
 hold; a reader takes the newest committed manifest and prunes folders by it.
 
@@ -44,9 +44,9 @@ class BucketedHistory:
     # -- manifest: one row per bucket
 
     def _versions(self) -> list[int]:
-        names = files.list_dirs(self.spark, f"{self.path}/manifest")
+        names = files.list_dirs(self.spark, f"{self.path}/_manifest")
         return sorted(int(n.split("=")[1]) for n in names
-                      if n.startswith("v=") and files.exists(self.spark, f"{self.path}/manifest/{n}/_SUCCESS"))
+                      if n.startswith("v=") and files.exists(self.spark, f"{self.path}/_manifest/{n}/_SUCCESS"))
 
     def exists(self) -> bool:
         return bool(self._versions())
@@ -55,7 +55,7 @@ class BucketedHistory:
         versions = self._versions()
         if not versions:
             return [(b, 0, 1) for b in range(self._buckets)]
-        found = self.spark.read.schema(MANIFEST).parquet(f"{self.path}/manifest/v={versions[-1]:09d}").collect()
+        found = self.spark.read.schema(MANIFEST).parquet(f"{self.path}/_manifest/v={versions[-1]:09d}").collect()
         return sorted(tuple(r) for r in found)
 
     def generation(self) -> int:
@@ -63,16 +63,16 @@ class BucketedHistory:
 
     def _commit(self, gen: int, manifest: list[tuple[int, int, int]]) -> None:
         (self.spark.createDataFrame(manifest, MANIFEST).coalesce(1).write.mode("overwrite")
-         .parquet(f"{self.path}/manifest/v={gen:09d}"))
+         .parquet(f"{self.path}/_manifest/v={gen:09d}"))
 
     # -- reading
 
     def _stored(self) -> DataFrame:
         whole = T.StructType([*self.schema.fields, T.StructField("gen", T.LongType()),
                               T.StructField("state", T.StringType()), T.StructField("bucket", T.IntegerType())])
-        if not files.exists(self.spark, f"{self.path}/rows"):
+        if not files.exists(self.spark, self.path):
             return self.spark.createDataFrame([], whole)
-        return self.spark.read.schema(whole).parquet(f"{self.path}/rows")
+        return self.spark.read.schema(whole).parquet(self.path)
 
     def _live(self, manifest: list[tuple[int, int, int]], open_rows: bool = True, closed_rows: bool = True) -> Column:
         """The folders that hold: static conditions on the partition columns."""
@@ -104,7 +104,7 @@ class BucketedHistory:
         state = F.when(F.col("effective_to") == ts_lit(schemas.OPEN_END), "open").otherwise("closed")
         (rows.select(*self.schema.fieldNames()).withColumns({"state": state, "bucket": self._bucket(len(self.manifest()))})
          .repartition("bucket", "state").write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .partitionBy("state", "bucket").parquet(f"{self.path}/rows/gen={gen}"))
+         .partitionBy("state", "bucket").parquet(f"{self.path}/gen={gen}"))
 
     def load(self, slices: DataFrame, row_col: str | None = None, close_missing: bool = False) -> int:
         """Fold new slices (``keys``, ``attrs``, ``effective_from``) into the table; returns the
