@@ -11,6 +11,8 @@ template outside the bounds is compared. A passage can only match where the text
 holds so many of the template's bigrams that a few of them, the longest, cannot
 all be missing: only texts with one of these are searched for passages, and only
 for such templates. Of overlapping passages that match a template, the best stays;
+a text that holds none of a few words, chosen so that no match can be without
+them all, is not cut into words at all;
 a passage is reported with the line it begins in. Everything happens inside a row after a
 broadcast of the templates, each once, whose total size is checked; larger tables
 are taken block by block. Only matches are shuffled.
@@ -23,7 +25,9 @@ Other columns are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,6 +64,11 @@ NOTICES = {
     "Proprietary": ["All rights reserved.", "Copyright. All rights reserved."],
 }
 BLOCK_WORDS = 1 << 20
+#: Words of everyday English, taken as keywords only where nothing else is left.
+EVERYDAY = frozenset("""about after also been before being between both could does each either every from have having
+    here into many more most much must only other others over same should some such than that their them then there
+    these they this those through under until upon were what when where whether which while will with within without
+    would your""".split())
 
 
 def templates(spark: SparkSession) -> DataFrame:
@@ -85,6 +94,33 @@ def _longest_first(words: Column) -> Column:
         F.transform(F.array_sort(F.array_distinct(pairs)), lambda v: v["h"]))
 
 
+def keywords(templates_: list[list[str]], percent: int) -> list[str]:
+    """Words of which every unit that can match a template holds at least one. A unit
+    without them lacks all the template's bigrams they are part of; they are chosen,
+    long and frequent ones first and everyday ones last, until each template would lose more bigrams than
+    a match can miss."""
+    bigrams_ = [set(zip(w, w[1:])) if len(w) > 1 else {(w[0],)} for w in templates_ if w]
+    need = [len(g) - ceil(len(g) * percent / (200 - percent)) + 1 for g in bigrams_]
+    chosen: list[str] = []
+    for usable in (lambda w: len(w) > 3 and w not in EVERYDAY, lambda w: True):
+        while any(n > 0 for n in need):
+            gain: Counter = Counter()
+            for g, n in zip(bigrams_, need):
+                if n > 0:
+                    touched = Counter(w for pair in g for w in set(pair) if usable(w))
+                    for w, k in touched.items():
+                        gain[w] += min(k, n) * len(w)
+            if not gain:
+                break
+            word = max(gain, key=lambda w: (gain[w], w))
+            chosen.append(word)
+            for t, g in enumerate(bigrams_):
+                lost = {pair for pair in g if word in pair}
+                need[t] -= len(lost)
+                g -= lost
+    return chosen
+
+
 def _only(df: DataFrame, *columns: Column) -> DataFrame:
     """Columns from a generator: later uses do not repeat their expressions."""
     return df.select(F.explode(F.array(F.struct(*columns))).alias("v")).select("v.*")
@@ -167,15 +203,24 @@ def scan(docs: DataFrame, notices: DataFrame | None = None, *, id_col: str = "do
     total = known.agg(F.sum(F.col("size") + F.col("hi") - F.col("lo") + 1)).first()[0]
     blocks = max(1, -(-int(total or 0) // block_words))
 
-    lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")
-    units = (docs.select(F.col(id_col).alias("doc_id"), lines.alias("lines"))
-             .select("doc_id", F.posexplode("lines").alias("at", "unit"))
-             .select("doc_id", (F.col("at") + 1).alias("line"), F.col("unit")))
-    whole = (docs.filter(F.col(text_col).contains("\n"))
-             .select(F.col(id_col).alias("doc_id"), F.lit(0).alias("line"), F.col(text_col).alias("unit")))
-    sized = (units.unionByName(whole)
-             .select("doc_id", "line", plain_words(F.col("unit")).alias("words"))
-             .select("doc_id", "line", bigrams(F.col("words")).alias("grams"))
+    # texts without any word that a match must hold are left out before words are cut;
+    # all texts are read once, what is left is written and read again
+    if blocks == 1:
+        held = keywords([r[0] for r in notices.select(plain_words(F.col("text"))).collect()], percent)
+        held = [w for w in held if not any(o != w and o in w for o in held)]
+        # over an array of one, so that the text is lower-cased once and not for each word
+        some = F.exists(F.array(F.lower(F.coalesce(F.col(text_col), F.lit("")))),
+                        lambda t: reduce(lambda a, b: a | b, [t.contains(w) for w in held], F.lit(False)))
+        docs = stored(docs.filter(some).select(F.col(id_col), F.col(text_col)), "license-candidates")
+
+    # the words of a text are those of its lines, one after the other: one pass gives all units
+    words = F.transform(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n"), plain_words)
+    per_text = _only(docs, F.col(id_col).alias("doc_id"), words.alias("lines"))
+    each = F.transform("lines", lambda w, i: F.struct((i + 1).alias("line"), w.alias("words")))
+    whole = F.array(F.struct(F.lit(0).alias("line"), F.flatten("lines").alias("words")))
+    units = F.when(F.size("lines") > 1, F.concat(whole, each)).otherwise(each)
+    sized = (per_text.select("doc_id", F.explode(units).alias("u"))
+             .select("doc_id", "u.line", bigrams(F.col("u.words")).alias("grams"))
              .withColumn("size", F.size("grams")))
     texts_ = _only(docs, F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
                    bigrams(plain_words(F.col(text_col))).alias("grams"))

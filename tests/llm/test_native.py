@@ -250,3 +250,20 @@ def test_mail_addresses_with_very_many_parts(spark):
     out = {r.doc_id: r for r in pseudonyms.pseudonymise(documents(spark, rows), "k").collect()}
     assert out[1].n_replaced == 0 and out[3].n_replaced == 0 and out[4].n_replaced == 0
     assert out[2].n_replaced == 1 and out[2].text.endswith("@" + "mail." * 20 + "example.org y")
+
+
+def test_keywords_are_in_every_match():
+    rnd = random.Random(3)
+    texts = [t for v in license_scan.NOTICES.values() for t in v]
+    words = [re.findall(r"[^\W_]+", t.lower()) for t in texts] + [["one"], ["a", "b"], []]
+    held = set(license_scan.keywords(words, 80))
+    for w in filter(None, words):
+        grams = set(zip(w, w[1:])) if len(w) > 1 else {(w[0],)}
+        for _ in range(200):  # change words until the rest would no longer match
+            unit = [x if rnd.random() < 0.85 else "zz" for x in w]
+            own = set(zip(unit, unit[1:])) if len(unit) > 1 else {(unit[0],)}
+            if 2 * len(grams & own) >= 0.8 * (len(grams) + len(own)):
+                assert held & set(unit)
+        left = [x for x in w if x not in held]
+        rest = set(zip(left, left[1:])) & grams if len(left) > 1 else {(x,) for x in left} & grams
+        assert 2 * len(rest) < 0.8 * (len(grams) + len(rest))
