@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fraudmart import schemas
 from fraudmart.operators import rules
+from fraudmart.session import rocksdb_state
 from fraudmart.warehouse import Warehouse
 
 
@@ -33,9 +34,10 @@ def transaction_stream(spark: SparkSession, folder: str, max_files_per_trigger:
 def drain_to_table(spark: SparkSession, df: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """Run a streaming DataFrame until its sources are drained
     (``availableNow``), appending to a Parquet sink; return the table."""
-    q = (df.writeStream.format("parquet").option("path", path)
-         .option("checkpointLocation", checkpoint).outputMode("append")
-         .trigger(availableNow=True).start())
+    with rocksdb_state(spark):
+        q = (df.writeStream.format("parquet").option("path", path)
+             .option("checkpointLocation", checkpoint).outputMode("append")
+             .trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception():
         raise q.exception()

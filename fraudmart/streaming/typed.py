@@ -23,8 +23,10 @@ may have been reported); ``fraudmart.streaming.quarantine`` keeps such rows.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -41,6 +43,12 @@ WHO = ["trans_id", "client_id", "passport_num", "fio", "phone"]
 _WHO = "trans_id string, client_id string, passport_num string, fio string, phone string"
 PENDING = f"{_WHO}, ts string, sec long, city string, oper_result string, cents long"
 OUT = f"{_WHO}, ts string, established string"
+SUCCESS, REJECT = schemas.RESULT_SUCCESS, schemas.RESULT_REJECT
+
+# Spark also starts a processor beside the driver, in a process that files added to
+# the session do not reach: processors travel whole. They use nothing of this package
+# but the names of this module.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 class _InOrder(StatefulProcessor):
@@ -104,8 +112,8 @@ class AmountGuess(_InOrder):
         last = [tuple(x) for x in self.last.get()]
         for r in rows:
             chain_ = last[-self.n:] + [(r[8], r[9], r[6])]
-            if len(chain_) > self.n and r[8] == schemas.RESULT_SUCCESS \
-                    and all(x[0] == schemas.RESULT_REJECT for x in chain_[:-1]) \
+            if len(chain_) > self.n and r[8] == SUCCESS \
+                    and all(x[0] == REJECT for x in chain_[:-1]) \
                     and all(x[1] is not None for x in chain_) \
                     and all(a[1] > b[1] for a, b in zip(chain_, chain_[1:])) and r[6] - chain_[0][2] <= self.seconds:
                 self.hit(r, r[5])

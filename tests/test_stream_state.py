@@ -145,3 +145,37 @@ def test_any_pair_both_over_bucket_edges(spark, planted):
         assert ids(rules.city_hop_any_pair(wh, REPORT_DT, AS_OF, bucket_seconds=width)) == [2, 3]
 
 
+
+
+PLAIN_SESSION = """
+import sys
+sys.path[:0] = [{repo!r}, {tests!r}]
+from pyspark.sql import SparkSession
+from fraudmart.streaming import rules as srules, typed
+from planted_cases import AS_OF, REPORT_DT, ids, planted_warehouse
+spark = SparkSession.builder.master("local[2]").config(map={{
+    "spark.ui.enabled": "false", "spark.sql.session.timeZone": "UTC", "spark.sql.shuffle.partitions": "2",
+    "spark.checkpoint.dir": {base!r} + "/shared"}}).getOrCreate()
+store = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+wh = planted_warehouse(spark)
+for name, build in (("guess", typed.stream_amount_guess_typed), ("hop", typed.stream_city_hop_typed)):
+    stream = srules.transaction_stream(spark, {base!r} + "/src/*")
+    out = srules.drain_to_table(spark, build(wh, stream, REPORT_DT, AS_OF), {base!r} + "/" + name, {base!r} + "/ck-" + name)
+    print("found", name, ids(out))
+assert store == spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+"""
+
+
+def test_typed_state_in_a_plain_session_elsewhere(spark, planted, tmp_path):
+    """Neither the working folder nor the session's settings are those of this library."""
+    import os
+    import subprocess
+    import sys
+    base, tests = str(tmp_path), os.path.dirname(os.path.abspath(__file__))
+    for i, part in enumerate([planted.transactions, rows(spark, FLUSH_ROW)]):
+        part.coalesce(1).write.parquet(f"{base}/src/slice{i}")
+    env = {k: v for k, v in os.environ.items() if k not in ("PYTHONPATH", "PYSPARK_SUBMIT_ARGS")}
+    code = PLAIN_SESSION.format(repo=os.path.dirname(tests), tests=tests, base=base)
+    done = subprocess.run([sys.executable, "-c", code], cwd=base, env=env, capture_output=True, text=True, timeout=300)
+    found = [line for line in done.stdout.splitlines() if line.startswith("found")]
+    assert found == ["found guess [34, 55]", "found hop [10, 21, 22]"], done.stderr[-3000:]
