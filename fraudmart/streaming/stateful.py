@@ -10,6 +10,11 @@ of a card (rule 4), or the last time each city was seen within the look-back
 (rule 3). State of a key is dropped once the watermark has moved past
 everything it could still match.
 
+Python is called per group, not per key: keys are dealt by hash into ``GROUPS``
+groups, a group's waiting rows are one Arrow table and its keys are scanned one
+after the other. Calls, timers and state reads then do not grow with the number
+of clients or cards.
+
 The inputs are the same joins as in batch (stream-static joins to the owner
 dimension and the current terminals), so a finished stream gives the batch
 answer, provided no row is later than the watermark delay.
@@ -23,6 +28,8 @@ import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,25 +46,44 @@ OUT = T.StructType([T.StructField("trans_id", T.StringType()), T.StructField("cl
                     T.StructField("event_dt", schemas.TS), T.StructField("passport", T.StringType()),
                     T.StructField("fio", T.StringType()), T.StructField("phone", T.StringType()),
                     T.StructField("established_dt", schemas.TS)])
-STATE = T.StructType([T.StructField("pending", T.StringType()), T.StructField("tail", T.StringType())])
+STATE = T.StructType([T.StructField("pending", T.BinaryType()), T.StructField("tails", T.StringType())])
+TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+#: Groups the keys are dealt into. A checkpoint keeps the number it began with.
+GROUPS = 1024
 PASS = ["trans_id", "client_id", "passport_num", "fio", "phone"]
 Step = Callable[[object, list[dict]], tuple[list[dict], object, int | None]]
 
 
-def _records(frames: Iterator[pd.DataFrame], value_cols: list[str]) -> list[dict]:
+def _fresh(frames: Iterator[pd.DataFrame], schema: pa.Schema, wm: int) -> list[pa.Table]:
+    """The rows that arrived; what is behind the watermark comes too late for the order."""
     out = []
     for pdf in frames:
-        pdf = pdf[pdf["trans_date"].notna()]
-        columns = {k: pdf[k].tolist() for k in PASS}
-        columns["ts"] = pdf["trans_date"].dt.strftime("%Y-%m-%d %H:%M:%S.%f").tolist()
-        columns["sec"] = [int(s) for s in pdf["_sec"]]
-        columns["et"] = [s * 1000 for s in columns["sec"]]
-        for c in value_cols:
-            columns[c] = [None if pd.isna(v) else str(v) for v in pdf[c]]
-        out += [dict(zip(columns, r)) for r in zip(*columns.values())]
+        pdf = pdf[pdf["sec"] * 1000 > wm]
+        if len(pdf):
+            out.append(pa.Table.from_pandas(pdf[schema.names], schema=schema, preserve_index=False))
     return out
 
 
+def _packed(rows: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def _runs(ready: pa.Table) -> Iterator[tuple[str | None, list[dict]]]:
+    """The ready rows of one key after the other, each in (ts, trans_id, city) order."""
+    order = [c for c in ("key", "ts", "trans_id", "terminal_city") if c in ready.column_names]
+    ready = ready.take(pc.sort_indices(ready, [(c, "ascending") for c in order], null_placement="at_start"))
+    columns = {c: ready.column(c).to_pylist() for c in ready.column_names}
+    keys = columns.pop("key")
+    start = 0
+    for end in range(1, len(keys) + 1):
+        if end == len(keys) or keys[end] != keys[start]:
+            yield keys[start], [dict(zip(columns, r)) for r in zip(*(v[start:end] for v in columns.values()))]
+            start = end
+
+
 def _emit(hits: list[dict], with_event_type: bool = False) -> pd.DataFrame:
     out = pd.DataFrame({
         "trans_id": [h["trans_id"] for h in hits], "client_id": [h["client_id"] for h in hits],
@@ -71,27 +97,37 @@ def _emit(hits: list[dict], with_event_type: bool = False) -> pd.DataFrame:
     return out
 
 
-def _ordered_scan(step: Step, init, value_cols: list[str], with_event_type: bool = False):
-    """Wrap a row scanner into an ``applyInPandasWithState`` function."""
-    def fn(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pending, tail = [], copy.deepcopy(init)  # never share the initial object
+def _ordered_scan(step: Step, init, schema: pa.Schema, with_event_type: bool = False):
+    """Wrap a row scanner of one key into an ``applyInPandasWithState`` function over a
+    group of keys."""
+    def fn(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held, tails = [], {}
         if state.exists:
-            p, t = state.get
-            pending, tail = json.loads(p), json.loads(t)
+            pending, kept = state.get
+            if pending is not None:
+                held = [pa.ipc.open_stream(pa.py_buffer(bytes(pending))).read_all()]
+            tails = {k: (tail, live) for k, tail, live in json.loads(kept)}
         wm = state.getCurrentWatermarkMs()
-        if not state.hasTimedOut:  # what arrives behind the watermark comes too late for the order
-            pending += [r for r in _records(frames, value_cols) if r["et"] > wm]
-        ready = sorted((r for r in pending if r["et"] <= wm),
-                       key=lambda r: (r["ts"], r["trans_id"], r.get("terminal_city") or ""))
-        keep = [r for r in pending if r["et"] > wm]
-        hits, tail, live_until_ms = step(tail, ready) if ready else ([], tail, None)
-        if keep or (live_until_ms is not None and live_until_ms > wm):
-            state.update((json.dumps(keep), json.dumps(tail)))
-            nxt = min([r["et"] for r in keep] + ([live_until_ms] if live_until_ms else []))
-            state.setTimeoutTimestamp(max(nxt, wm + 1))
+        if not state.hasTimedOut:
+            held += _fresh(frames, schema, wm)
+        rows = pa.concat_tables(held) if held else schema.empty_table()
+        passed = pc.less_equal(rows["sec"], wm // 1000)
+        hits = []
+        for k, ready in _runs(rows.filter(passed)):
+            tail = tails[k][0] if k in tails else copy.deepcopy(init)  # never share the initial object
+            found, tail, live = step(tail, ready)
+            hits += found
+            tails[k] = (tail, live)
+        tails = {k: t for k, t in tails.items() if t[1] is not None and t[1] > wm}
+        keep = rows.filter(pc.invert(passed))
+        if len(keep) or tails:
+            state.update((_packed(keep) if len(keep) else None, json.dumps([[k, *t] for k, t in tails.items()])))
+            due = pc.min(keep["sec"]).as_py() * 1000 if len(keep) else max(live for _, live in tails.values())
+            state.setTimeoutTimestamp(max(due, wm + 1))
         elif state.exists:
             state.remove()
-        yield _emit(hits, with_event_type)
+        if hits:
+            yield _emit(hits, with_event_type)
     return fn
 
 
@@ -194,15 +230,16 @@ def sequence_rules_step(hop_seconds: int, emit: str, n_rejects: int, guess_secon
 
 
 def _keyed(rows: DataFrame, key: str, step: Step, init, value_cols: list[str],
-           with_event_type: bool = False) -> DataFrame:
+           with_event_type: bool = False, groups: int = GROUPS) -> DataFrame:
     ship_package(rows.sparkSession)
-    cols = [*PASS, "trans_date", "_sec", "event_time", *value_cols]
-    if key not in cols:
-        cols.append(key)
+    texts = ["key", *PASS, "ts", *value_cols]
+    schema = pa.schema([*((c, pa.string()) for c in texts), ("sec", pa.int64())])
+    rows = rows.withColumns({"key": F.col(key), "ts": F.date_format("trans_date", TIME_FORMAT),
+                             "sec": F.unix_timestamp("trans_date"), "group": F.pmod(F.xxhash64(key), F.lit(groups))})
     out = T.StructType(list(OUT.fields) + ([T.StructField("event_type", T.StringType())]
                                            if with_event_type else []))
-    return (rows.select(*cols).groupBy(key)
-            .applyInPandasWithState(_ordered_scan(step, init, value_cols, with_event_type), out, STATE,
+    return (rows.select("group", "event_time", "sec", *texts).groupBy("group")
+            .applyInPandasWithState(_ordered_scan(step, init, schema, with_event_type), out, STATE,
                                     "append", GroupStateTimeout.EventTimeTimeout))
 
 
@@ -218,7 +255,7 @@ def stream_amount_guess(wh: Warehouse, tx_stream: DataFrame, report_dt, as_of=No
     tx = watermarked(tx_stream, delay).filter(
         F.col("oper_type").isin(schemas.TYPE_WITHDRAW, schemas.TYPE_PAYMENT))
     rows = chain.with_terminal(chain.ownership_chain(wh, tx), chain.current_terminals(wh, as_of))
-    rows = rows.withColumn("_sec", F.unix_timestamp("trans_date")).withColumn("amt", F.col("amt").cast("string"))
+    rows = rows.withColumn("amt", F.col("amt").cast("string"))
     out = _keyed(rows, "card_num", amount_guess_step(n_rejects, seconds), [], ["oper_result", "amt"])
     return _report(out, schemas.EVENT_AMOUNT_GUESS, report_dt)
 
@@ -228,7 +265,6 @@ def stream_city_hop(wh: Warehouse, tx_stream: DataFrame, report_dt, as_of=None,
     """Rule 3 (neighbouring operations, both or later) on a stream."""
     tx = watermarked(tx_stream, delay).filter(F.col("oper_result") == schemas.RESULT_SUCCESS)
     rows = chain.with_terminal(chain.ownership_chain(wh, tx), chain.current_terminals(wh, as_of))
-    rows = rows.withColumn("_sec", F.unix_timestamp("trans_date"))
     out = _keyed(rows, "client_id", city_hop_adjacent_step(seconds, emit), {}, ["terminal_city"])
     return _report(out, schemas.EVENT_CITY_HOP, report_dt)
 
@@ -243,7 +279,7 @@ def stream_sequence_rules(wh: Warehouse, tx_stream: DataFrame, report_dt, as_of=
         (F.col("oper_result") == schemas.RESULT_SUCCESS)
         | F.col("oper_type").isin(schemas.TYPE_WITHDRAW, schemas.TYPE_PAYMENT))
     rows = chain.with_terminal(chain.ownership_chain(wh, tx), chain.current_terminals(wh, as_of))
-    rows = rows.withColumn("_sec", F.unix_timestamp("trans_date")).withColumn("amt", F.col("amt").cast("string"))
+    rows = rows.withColumn("amt", F.col("amt").cast("string"))
     out = _keyed(rows, "client_id", sequence_rules_step(hop_seconds, emit, n_rejects, guess_seconds), {},
                  ["terminal_city", "oper_result", "oper_type", "amt", "card_num"], with_event_type=True)
     return out.select(*OUT.fieldNames(), "event_type", date_lit(report_dt).alias("report_dt"))
@@ -253,6 +289,5 @@ def stream_city_hop_any_pair(wh: Warehouse, tx_stream: DataFrame, report_dt, as_
                              seconds: int = schemas.CITY_HOP_SECONDS, delay: str = "1 hour") -> DataFrame:
     tx = watermarked(tx_stream, delay).filter(F.col("oper_result") == schemas.RESULT_SUCCESS)
     rows = chain.with_terminal(chain.ownership_chain(wh, tx), chain.current_terminals(wh, as_of))
-    rows = rows.withColumn("_sec", F.unix_timestamp("trans_date"))
     out = _keyed(rows, "client_id", city_hop_step(seconds), {}, ["terminal_city"])
     return _report(out, schemas.EVENT_CITY_HOP, report_dt)

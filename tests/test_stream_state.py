@@ -12,7 +12,7 @@ from fraudmart.plans.catalog import FLUSH_ROW
 from fraudmart.streaming import interval, quarantine, stateful, typed
 from fraudmart.streaming import rules as srules
 
-from planted_cases import AS_OF, REPORT_DT, TS, ids
+from planted_cases import AS_OF, REPORT_DT, TS, ids, planted_warehouse
 
 
 def rows(spark, *found):
@@ -179,3 +179,45 @@ def test_typed_state_in_a_plain_session_elsewhere(spark, planted, tmp_path):
     done = subprocess.run([sys.executable, "-c", code], cwd=base, env=env, capture_output=True, text=True, timeout=300)
     found = [line for line in done.stdout.splitlines() if line.startswith("found")]
     assert found == ["found guess [34, 55]", "found hop [10, 21, 22]"], done.stderr[-3000:]
+
+
+def test_state_does_not_grow_with_the_number_of_keys(spark, tmp_path):
+    """Waiting operations of 3000 clients: one state row per group of keys, not per
+    key, and the events of rules 3 and 4 are the batch rules'."""
+    from fraudmart.warehouse import Warehouse
+    n, k = 3000, F.col("id").cast("string")
+    null = F.lit(None).cast("date")
+    made = spark.range(n)
+    wh = Warehouse(
+        clients=made.select(k.alias("client_id"), k.alias("last_name"), k.alias("first_name"), k.alias("patronymic"),
+                            null.alias("date_of_birth"), k.alias("passport_num"), null.alias("passport_valid_to"),
+                            k.alias("phone"), null.alias("create_dt"), null.alias("update_dt")),
+        accounts=made.select(k.alias("account"), null.alias("valid_to"), k.alias("client"), null.alias("create_dt"),
+                             null.alias("update_dt")),
+        cards=made.select(k.alias("card_num"), k.alias("account"), null.alias("create_dt"), null.alias("update_dt")),
+        terminals=planted_warehouse(spark).terminals, passport_blacklist=None, transactions=None)
+    at, i = F.col("at"), F.col("id")
+    tx = made.withColumn("at", F.explode(F.sequence(F.lit(0), F.lit(2)))).select(
+        F.concat_ws("-", "id", "at").alias("trans_id"),
+        (F.lit("2021-03-03 10:00:00").cast("timestamp_ntz") + F.make_dt_interval(mins=at * (1 + i % 5 * 20))).alias("trans_date"),
+        k.alias("card_num"), F.lit("WITHDRAW").alias("oper_type"), (F.lit(90) - at * (i % 3)).cast(schemas.AMOUNT).alias("amt"),
+        F.when((at == 2) | (i % 2 == 0), "SUCCESS").otherwise("REJECT").alias("oper_result"),
+        F.when(at == 1, "T2").otherwise("T1").alias("terminal"))
+    wh = wh.with_(transactions=tx)
+    kw = {"n_rejects": 2, "seconds": 3600}
+    for name, build, batch in (
+            ("hop", stateful.stream_city_hop, rules.fraud_city_hop(wh, REPORT_DT, AS_OF)),
+            ("guess", lambda *a: stateful.stream_amount_guess(*a, **kw), rules.fraud_amount_guess(wh, REPORT_DT, AS_OF, **kw))):
+        base = str(tmp_path / name)
+        tx.coalesce(1).write.parquet(f"{base}/src/slice0")
+        stream = srules.transaction_stream(spark, f"{base}/src/*")
+        q = (build(wh, stream, REPORT_DT, AS_OF).writeStream.format("parquet").option("path", f"{base}/out")
+             .option("checkpointLocation", f"{base}/ck").trigger(availableNow=True).start())
+        q.awaitTermination()
+        held = max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress)
+        assert 0 < held <= stateful.GROUPS < n
+        rows(spark, FLUSH_ROW).write.parquet(f"{base}/src/slice1")
+        stream = srules.transaction_stream(spark, f"{base}/src/*")
+        out = srules.drain_to_table(spark, build(wh, stream, REPORT_DT, AS_OF), f"{base}/out", f"{base}/ck")
+        found = sorted(r["trans_id"] for r in out.collect())
+        assert found == sorted(r["trans_id"] for r in batch.collect()) and len(found) > 100
