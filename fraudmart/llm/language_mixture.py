@@ -120,25 +120,28 @@ def likelihoods(logs: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(np.exp((logs - logs.max(axis=0)).astype(np.float64)).T)
 
 
-def proportions(p: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
-    """EM for the mixture weights of likelihoods ``p`` (draws by languages);
-    the weights and the log-likelihood."""
-    n, k = p.shape
+def proportions(p: np.ndarray, rounds: int = ROUNDS, times: np.ndarray | None = None) -> tuple[np.ndarray, float]:
+    """EM for the mixture weights of likelihoods ``p`` (draws by languages; a
+    row stands for ``times`` equal draws); the weights and the log-likelihood."""
+    k = p.shape[1]
+    times = np.ones(len(p)) if times is None else times
+    n, rows = times.sum(), np.ascontiguousarray(p.T)
     w = np.full(k, 1 / k)
     if k > 1:
         for _ in range(rounds):
-            new = w * ((1 / (p @ w)) @ p) / n
+            new = w * (rows @ (times / (w @ rows))) / n
             done = np.abs(new - w).max() < 1e-3
             w = new
             if done:
                 break
-    return w, float(np.log(p @ w).sum())
+    return w, float(times @ np.log(w @ rows))
 
 
-def infer(p: np.ndarray, penalty: float = PENALTY) -> tuple[np.ndarray, np.ndarray]:
-    """(language numbers, shares), largest share first, of one text's draws."""
-    n = len(p)
-    w, _ = proportions(p)
+def infer(p: np.ndarray, penalty: float = PENALTY, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(language numbers, shares), largest share first, of one text's draws
+    (a row of ``p`` stands for ``times`` equal draws)."""
+    n = len(p) if times is None else times.sum()
+    w, _ = proportions(p, times=times)
     order = np.argsort(-w, kind="stable")
     best, keep, share = -np.inf, order[:1], np.ones(1)
     for k in range(1, len(order) + 1):
@@ -146,7 +149,7 @@ def infer(p: np.ndarray, penalty: float = PENALTY) -> tuple[np.ndarray, np.ndarr
             break
         if k == 1 and (len(order) == 1 or w[order[1]] < 0.01):
             break  # no second language to compare with
-        sub, ll = proportions(np.ascontiguousarray(p[:, order[:k]]))
+        sub, ll = proportions(p[:, order[:k]], times=times)
         value = ll - penalty * (k - 1) * np.log(n)
         if value <= best:
             break
@@ -165,7 +168,10 @@ def _predict(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatc
             if not len(at) or not langs:
                 rows.append((UNKNOWN, 0.0, [], []))
                 continue
-            keep, share = infer(table[at])
+            # a text repeats its short n-grams: each bin once, with how often it is drawn
+            times = np.bincount(at)
+            bins = np.flatnonzero(times)
+            keep, share = infer(table[bins], times=times[bins].astype(np.float64))
             rows.append((langs[keep[0]], float(share[0]), [langs[i] for i in keep], share.tolist()))
         yield pa.RecordBatch.from_arrays([
             batch.column(0), pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.float64()),

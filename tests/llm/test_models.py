@@ -191,3 +191,16 @@ def test_isotonic():
     knots, values = toxicity.isotonic(x, y, np.ones(5))
     assert (np.diff(values) >= 0).all() and values[0] == 0 and values[-1] == 1
     assert np.interp(0.2, knots, values) == 0.5
+
+
+def test_equal_draws_count_once_with_their_number():
+    """A text's repeated n-grams enter EM as one row each, with the same outcome."""
+    rng = np.random.default_rng(1)
+    table = rng.dirichlet(np.ones(40) * 0.3, 4)
+    for parts in ((500, 0, 120, 0), (300, 300, 0, 200), (1, 0, 0, 0)):
+        draws = np.concatenate([rng.choice(40, m, p=q) for m, q in zip(parts, table)])
+        like = lm.likelihoods(np.log(table + 1e-9))
+        times = np.bincount(draws)
+        bins = np.flatnonzero(times)
+        for got, want in zip(lm.infer(like[bins], times=times[bins].astype(float)), lm.infer(like[draws])):
+            assert np.allclose(got, want)
