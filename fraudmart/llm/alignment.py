@@ -42,7 +42,8 @@ LANE = 192
 BLOCK_CHARS = 1_000_000
 #: A run this long without a change between blank and not is left to the
 #: tokenizer whose time does not grow with its square.
-LONG_RUN = re.compile(r"\S{600}|\s{600}")
+LONG = 600
+LONG_BLANK = re.compile(rf"\s{{{LONG}}}")
 
 ALIGNED = T.StructType([
     T.StructField("block", T.StringType()), T.StructField("doc_id", T.LongType()),
@@ -54,6 +55,15 @@ ALIGNED = T.StructType([
         T.StructField("b", T.IntegerType()), T.StructField("n", T.LongType())])))])
 
 
+def has_long_run(text: str) -> bool:
+    if len(text) < LONG:
+        return False
+    words = text.split()
+    if len(max(words, key=len, default="")) >= LONG:
+        return True
+    return len(text) - sum(map(len, words)) >= LONG and LONG_BLANK.search(text) is not None
+
+
 class ByteBpe:
     """Tokenizer A. Where the file's merges are its ids in order, ids alone give
     the merge order and the quicker encoder is exact."""
@@ -89,7 +99,7 @@ class ByteBpe:
         return whole
 
     def encode(self, text: str) -> np.ndarray:
-        if self.quick is not None and not LONG_RUN.search(text):
+        if self.quick is not None and not has_long_run(text):
             return self.quick.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int64)
 
@@ -123,9 +133,17 @@ def _piece_bytes(model, i: int) -> bytes:
 @functools.lru_cache(maxsize=2)
 def _tokenizers(a_file: str, b_file: str):
     a, b = ByteBpe(a_file), PieceBpe(b_file)
-    sizes = [np.array([len(x) for x in t.table], np.int64) for t in (a, b)]
+    spelling = [pa.array(t.table, pa.large_binary()) for t in (a, b)]
     forms = [{end: np.array([f"{i}{end}" for i in range(len(t.table))], object) for end in ",|;"} for t in (a, b)]
-    return a, b, sizes, forms
+    return a, b, spelling, forms
+
+
+def _spelled(spelling: pa.Array, ids: np.ndarray) -> tuple[np.ndarray, bytes]:
+    """The byte end of each token (after a 0), and the bytes of all tokens in a row."""
+    if not len(ids):
+        return np.zeros(1, np.int64), b""
+    _, ends, data = spelling.take(pa.array(ids)).buffers()
+    return np.frombuffer(ends, np.int64, len(ids) + 1), data.to_pybytes() if data else b""
 
 
 def lockstep(a_ends: np.ndarray, a_from: np.ndarray, b_ends: np.ndarray, b_from: np.ndarray
@@ -184,33 +202,35 @@ def unpack(data: bytes) -> np.ndarray:
 def align_texts(texts: list[str | None], a_file: str, b_file: str) -> tuple[pd.DataFrame, pd.DataFrame]:
     """Align one block. Returns a row per text (``links``: packed positions in the
     block's pairs) and the block's distinct id pairs with their link counts."""
-    a, b, (a_size, b_size), forms = _tokenizers(a_file, b_file)
-    a_all, b_all = [], []
+    a, b, spelling, forms = _tokenizers(a_file, b_file)
     whole = [t or "" for t in texts]
     none = np.empty(0, np.int64)
-    for t in whole:
-        x, y = (a.encode(" " + t), b.encode(t)) if t else (none, none)
-        spelled = (" " + t).encode()
-        same = (b"".join(map(a.table.__getitem__, x.tolist())) == spelled
-                and b"".join(map(b.table.__getitem__, y.tolist())) == spelled) if t else True
-        a_all.append(x if same else none)
-        b_all.append(y if same else none)
+    found = [[a.encode(" " + t) if t else none for t in whole], [b.encode(t) if t else none for t in whole]]
+    texts_bytes = [(" " + t).encode() if t else b"" for t in whole]
+    same = np.ones(len(whole), bool)
+    for spell, ids in zip(spelling, found):
+        ends, data = _spelled(spell, np.concatenate([none, *ids]))
+        at = ends[np.append(0, np.cumsum([len(x) for x in ids], dtype=np.int64))]
+        same &= [data[s:e] == t for s, e, t in zip(at[:-1], at[1:], texts_bytes)]
+    a_all, b_all = ([x if ok else none for x, ok in zip(ids, same)] for ids in found)
     a_ids, b_ids = np.concatenate([none, *a_all]), np.concatenate([none, *b_all])
     n_a, n_b = np.array([len(x) for x in a_all], np.int64), np.array([len(x) for x in b_all], np.int64)
     a_from, b_from = np.append(0, np.cumsum(n_a)), np.append(0, np.cumsum(n_b))
-    link_a, link_b, cut = lockstep(np.cumsum(a_size[a_ids]), a_from, np.cumsum(b_size[b_ids]), b_from)
+    n_ids_b = len(spelling[1])
+    link_a, link_b, cut = lockstep(_spelled(spelling[0], a_ids)[0][1:], a_from, _spelled(spelling[1], b_ids)[0][1:], b_from)
 
     a_cut, b_cut = np.zeros(len(a_ids), np.int64), np.zeros(len(b_ids), np.int64)
     a_cut[link_a[cut]] = 1
     b_cut[link_b[cut]] = 1
     a_group, b_group = np.cumsum(a_cut) - a_cut, np.cumsum(b_cut) - b_cut
-    key = a_ids[link_a] * len(b_size) + b_ids[link_b]
+    key = a_ids[link_a] * n_ids_b + b_ids[link_b]
     pair, pos, n = np.unique(key, return_inverse=True, return_counts=True)
     often = np.argsort(-n, kind="stable")  # frequent pairs first: small positions pack well
     place = np.empty_like(often)
     place[often] = np.arange(len(often))
     pair, pos, n = pair[often], place[pos], n[often]
-    doc = np.searchsorted(a_from, link_a, side="right") - 1
+    # the smallest number type that holds the texts' numbers sorts quickest
+    doc = (np.searchsorted(a_from, link_a, side="right") - 1).astype(np.min_scalar_type(len(whole)))
     order = np.argsort(doc, kind="stable")
     ends = np.searchsorted(doc[order], np.arange(len(whole) + 1))
     pos = pos[order]
@@ -221,8 +241,8 @@ def align_texts(texts: list[str | None], a_file: str, b_file: str) -> tuple[pd.D
                      _group_text(a_ids[s:e], b_ids[u:v], a_group[s:e], b_group[u:v], forms),
                      pack(pos[ends[k]:ends[k + 1]])))
     docs = pd.DataFrame(rows, columns=["n_a", "n_b", "n_groups", "n_links", "groups", "links"])
-    pairs = pd.DataFrame({"pos": np.arange(len(pair), dtype=np.int32), "a": (pair // len(b_size)).astype(np.int32),
-                          "b": (pair % len(b_size)).astype(np.int32), "n": n.astype(np.int64)})
+    pairs = pd.DataFrame({"pos": np.arange(len(pair), dtype=np.int32), "a": (pair // n_ids_b).astype(np.int32),
+                          "b": (pair % n_ids_b).astype(np.int32), "n": n.astype(np.int64)})
     return docs, pairs
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import re
 
 import numpy as np
 import public_tokenizers
@@ -129,3 +130,22 @@ def test_lockstep_links_are_the_overlapping_spans(cases):
         base += total
     i, j, cut = alignment.lockstep(*(np.array(v, np.int64) for v in (a_ends, a_from, b_ends, b_from)))
     assert sorted(zip(i.tolist(), j.tolist(), cut.tolist())) == expected
+
+
+def test_long_runs_and_spelling():
+    old = re.compile(r"\S{600}|\s{600}")
+    for n in (599, 600, 601):
+        for text in ("a" * n, " \t" * (n // 2) + " " * (n % 2), "b " + " " * n + " c", "a " * n, "é" * n + "\n", "x" + "\x1c" * n):
+            assert alignment.has_long_run(text) == (old.search(text) is not None)
+    assert not alignment.has_long_run("")
+    # a text the tokens do not spell loses its tokens, its neighbours keep theirs
+    texts = ["a plain text", "a ▁ b", "", None, "café\U0001f600", "a plain text"]
+    files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    found, _ = alignment.align_texts(texts, *files)
+    assert [n > 0 for n in found["n_a"]] == [n > 0 for n in found["n_b"]] == [True, False, False, False, True, True]
+    a, b, spelling, _ = alignment._tokenizers(*files)
+    for tokenizer, spell in zip((a, b), spelling):
+        ids = tokenizer.encode("plain café\U0001f600")
+        ends, data = alignment._spelled(spell, ids)
+        assert data == b"".join(tokenizer.table[i] for i in ids) and ends.tolist() == [
+            sum(len(tokenizer.table[i]) for i in ids[:k]) for k in range(len(ids) + 1)]
