@@ -177,7 +177,7 @@ def dense_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = F.col("event_id")
     group, at = F.floor(i / 4), i % 4
     return e.select(_str(i).alias("trans_id"),
-                    F.timestamp_add("SECOND", (i * 60).cast("int"), ts_lit(EPOCH_START)).alias("trans_date"),
+                    F.timestamp_add("MINUTE", i.cast("int"), ts_lit(EPOCH_START)).alias("trans_date"),
                     F.concat(F.lit("C"), _str(1 + group % 100), F.lit("-0")).alias("card_num"),
                     F.lit(schemas.TYPE_WITHDRAW).alias("oper_type"),
                     (F.lit(400) - 100 * at).cast(schemas.AMOUNT).alias("amt"),

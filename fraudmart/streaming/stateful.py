@@ -40,6 +40,7 @@ from fraudmart.functions import date_lit
 from fraudmart.operators import chain
 from fraudmart.session import ship_package
 from fraudmart.streaming.ingest import watermarked
+from fraudmart.streaming.packed import GROUPS, fresh, group_of, pack, runs, unpack
 from fraudmart.warehouse import Warehouse
 
 OUT = T.StructType([T.StructField("trans_id", T.StringType()), T.StructField("client_id", T.StringType()),
@@ -48,42 +49,10 @@ OUT = T.StructType([T.StructField("trans_id", T.StringType()), T.StructField("cl
                     T.StructField("established_dt", schemas.TS)])
 STATE = T.StructType([T.StructField("pending", T.BinaryType()), T.StructField("tails", T.StringType())])
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
-#: Groups the keys are dealt into. A checkpoint keeps the number it began with.
-GROUPS = 1024
 PASS = ["trans_id", "client_id", "passport_num", "fio", "phone"]
 Step = Callable[[object, list[dict]], tuple[list[dict], object, int | None]]
 
 
-def _fresh(frames: Iterator[pd.DataFrame], schema: pa.Schema, wm: int) -> list[pa.Table]:
-    """The rows that arrived; what is behind the watermark comes too late for the order."""
-    out = []
-    for pdf in frames:
-        pdf = pdf[pdf["sec"] * 1000 > wm]
-        if len(pdf):
-            out.append(pa.Table.from_pandas(pdf[schema.names], schema=schema, preserve_index=False))
-    return out
-
-
-def _packed(rows: pa.Table) -> bytes:
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-        out.write_table(rows)
-    return sink.getvalue().to_pybytes()
-
-
-def _runs(ready: pa.Table) -> Iterator[tuple[str | None, list[dict]]]:
-    """The ready rows of one key after the other, each in (ts, trans_id, city) order."""
-    order = [c for c in ("key", "ts", "trans_id", "terminal_city") if c in ready.column_names]
-    ready = ready.take(pc.sort_indices(ready, [(c, "ascending") for c in order], null_placement="at_start"))
-    columns = {c: ready.column(c).to_pylist() for c in ready.column_names}
-    keys = columns.pop("key")
-    start = 0
-    for end in range(1, len(keys) + 1):
-        if end == len(keys) or keys[end] != keys[start]:
-            yield keys[start], [dict(zip(columns, r)) for r in zip(*(v[start:end] for v in columns.values()))]
-            start = end
-
-
 def _emit(hits: list[dict], with_event_type: bool = False) -> pd.DataFrame:
     out = pd.DataFrame({
         "trans_id": [h["trans_id"] for h in hits], "client_id": [h["client_id"] for h in hits],
@@ -105,15 +74,15 @@ def _ordered_scan(step: Step, init, schema: pa.Schema, with_event_type: bool = F
         if state.exists:
             pending, kept = state.get
             if pending is not None:
-                held = [pa.ipc.open_stream(pa.py_buffer(bytes(pending))).read_all()]
+                held = [unpack(pending)]
             tails = {k: (tail, live) for k, tail, live in json.loads(kept)}
         wm = state.getCurrentWatermarkMs()
         if not state.hasTimedOut:
-            held += _fresh(frames, schema, wm)
+            held += fresh(frames, schema, wm)
         rows = pa.concat_tables(held) if held else schema.empty_table()
         passed = pc.less_equal(rows["sec"], wm // 1000)
         hits = []
-        for k, ready in _runs(rows.filter(passed)):
+        for k, ready in runs(rows.filter(passed)):
             tail = tails[k][0] if k in tails else copy.deepcopy(init)  # never share the initial object
             found, tail, live = step(tail, ready)
             hits += found
@@ -121,7 +90,7 @@ def _ordered_scan(step: Step, init, schema: pa.Schema, with_event_type: bool = F
         tails = {k: t for k, t in tails.items() if t[1] is not None and t[1] > wm}
         keep = rows.filter(pc.invert(passed))
         if len(keep) or tails:
-            state.update((_packed(keep) if len(keep) else None, json.dumps([[k, *t] for k, t in tails.items()])))
+            state.update((pack(keep) if len(keep) else None, json.dumps([[k, *t] for k, t in tails.items()])))
             due = pc.min(keep["sec"]).as_py() * 1000 if len(keep) else max(live for _, live in tails.values())
             state.setTimeoutTimestamp(max(due, wm + 1))
         elif state.exists:
@@ -235,7 +204,7 @@ def _keyed(rows: DataFrame, key: str, step: Step, init, value_cols: list[str],
     texts = ["key", *PASS, "ts", *value_cols]
     schema = pa.schema([*((c, pa.string()) for c in texts), ("sec", pa.int64())])
     rows = rows.withColumns({"key": F.col(key), "ts": F.date_format("trans_date", TIME_FORMAT),
-                             "sec": F.unix_timestamp("trans_date"), "group": F.pmod(F.xxhash64(key), F.lit(groups))})
+                             "sec": F.unix_timestamp("trans_date"), "group": group_of(key, groups)})
     out = T.StructType(list(OUT.fields) + ([T.StructField("event_type", T.StringType())]
                                            if with_event_type else []))
     return (rows.select("group", "event_time", "sec", *texts).groupBy("group")
