@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import json
 import os
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -234,3 +235,10 @@ class Encoder:
             return [ids[a:b] for a, b in zip(ends[at[:-1]], ends[at[1:]])]
 
         return self._encode(texts, finish)
+
+
+@lru_cache(maxsize=1)
+def worker_encoder(path: str, run: str) -> Encoder:
+    """The encoder of a file, kept for the next task that this worker has in the same
+    run: loading it takes as long as encoding megabytes of texts."""
+    return Encoder(path)

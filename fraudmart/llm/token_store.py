@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fraudmart.llm.common import python_stage
-from fraudmart.llm.encoder import Encoder
+from fraudmart.llm.encoder import Encoder, worker_encoder
 
 U64 = np.uint64
 PLACES = "doc_id long, shard int, offset long, n_tokens long"
@@ -125,7 +125,7 @@ def _write_ids(batches: Iterator[pa.RecordBatch], path: str, tokenizer: str, end
     temporary = f"{name}.{task.taskAttemptId()}.tmp"
     for batch in batches:
         if encode is None:
-            encode, out = Encoder(tokenizer), fs.open_output_stream(temporary)
+            encode, out = worker_encoder(tokenizer, path), fs.open_output_stream(temporary)
         places = []
         for key, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist())):
             if end_id is not None:

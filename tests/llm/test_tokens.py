@@ -35,6 +35,31 @@ def test_encoder_equals_tokenizer(path, monkeypatch):
             assert e.lengths(part).tolist() == [len(x) for x in want]
 
 
+def test_a_worker_loads_the_tokenizer_once_per_run(tmp_path, monkeypatch):
+    import pyarrow as pa
+    loaded = []
+
+    class Counted(encoder.Encoder):
+        def __init__(self, path):
+            loaded.append(path)
+            super().__init__(path)
+
+    class Task:
+        partitionId = taskAttemptId = staticmethod(lambda: len(loaded))
+        get = classmethod(lambda cls: cls)
+
+    monkeypatch.setattr(encoder, "Encoder", Counted)
+    monkeypatch.setattr(token_store, "Encoder", Counted)
+    monkeypatch.setattr(token_store, "TaskContext", Task)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3], "text": ["a b", None, "a, c"]})
+    for run in ("a", "b"):
+        (tmp_path / run).mkdir()
+        places = [[b.to_pydict()["n_tokens"] for b in token_store._write_ids(iter([batch]), str(tmp_path / run), WORDS, 2, 2)]
+                  for _ in range(3)]
+        assert places == [[[3, 1, 4]]] * 3
+    assert loaded == [WORDS, WORDS]  # six tasks, two runs
+
+
 def test_perfect_hash():
     keys = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 5000).astype(np.uint64))
     table = token_store.PerfectHash.build(keys)
