@@ -104,6 +104,22 @@ def test_overlaps(spark):
     assert decontaminate.overlaps(d.limit(0), b).count() == 0
 
 
+def test_overlaps_of_a_long_item_and_of_blocks(spark):
+    rng = random.Random(11)
+    long = [f"v{rng.randrange(1 << 20)}" for _ in range(30000)]
+    short = [f"u{k}" for k in range(20)]
+    docs = [(1, "some words " + " ".join(long[20000:20030]) + " and more"), (2, " ".join(long[5:17])), (3, " ".join(short[3:]))]
+    d = documents(spark, docs)
+    b = spark.createDataFrame([(1, " ".join(long)), (2, " ".join(short))], "item_id long, text string")
+    # the words of an item once per hash would be some 40 GB
+    got = decontaminate.overlaps(d, b).collect()
+    assert sorted(map(tuple, got)) == [(1, 1, 0, 19998, 30), (3, 2, 0, 3, 17)]
+    blocks = decontaminate.overlaps(d, b, block_words=10000)
+    assert sorted(map(tuple, blocks.collect())) == sorted(map(tuple, got))
+    # each block's hits are written before the next block is broadcast
+    assert "Broadcast" not in blocks._jdf.queryExecution().executedPlan().toString()
+
+
 def test_masks_find_every_window():
     from itertools import combinations
 
