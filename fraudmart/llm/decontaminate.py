@@ -3,7 +3,8 @@
 Texts and benchmark items become words (lower case, letters and digits). A
 mask such as ``11010111`` hashes the words at its 1-positions and ignores the
 others. Training and benchmark hashes are joined; each hit fixes an alignment
-of the item in the text, which is then compared word by word. A document is
+of the item in the text, which is then compared word by word (once for hits that
+follow each other). A document is
 contaminated by an item when some ``window`` aligned words hold at most
 ``substitutions`` differences. The two masks together have a hit in every such
 window (for 13 words and any 2 differences), so the result does not depend on
@@ -136,7 +137,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", t
     found = []
     for block in range(blocks):
         own = items.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block)
-        hits = _aligned(_seeds(_texts(docs), every), own, _item_seeds(own, by_length, window), window, substitutions)
+        hits = _aligned(_seeds(_texts(docs), every), own, by_length, window, substitutions)
         # blocks run one after the other, so that one at a time is in memory
         found.append(stored(hits, "overlaps") if blocks > 1 else hits)
     best = F.max(F.struct("n_equal", (-F.col("doc_start")).alias("d"), (-F.col("item_start")).alias("i")))
@@ -152,12 +153,25 @@ def _item_seeds(items: DataFrame, by_length: dict[int, tuple[str, ...]], window:
     return reduce(DataFrame.unionByName, [_seeds(items.filter(length == n), m) for n, m in by_length.items()])
 
 
-def _aligned(places: DataFrame, items: DataFrame, seeds: DataFrame, window: int, substitutions: int) -> DataFrame:
-    """The alignments that hold, one row per hit of the texts' ``places``."""
+def _hit_before(mask: str) -> Column:
+    """Whether the alignment of a hit also has a hit one word earlier."""
+    at, item_at = F.col("at") - 1, F.col("item_at") - 1
+    fits = (at >= 0) & (item_at >= 0) & (at + len(mask) <= F.col("n")) & (item_at + len(mask) <= F.col("size"))
+    return reduce(Column.__and__, [F.get("words", at + k) == F.get("item_words", item_at + k)
+                                   for k, c in enumerate(mask) if c == "1"], fits)
+
+
+def _aligned(places: DataFrame, items: DataFrame, by_length: dict[int, tuple[str, ...]], window: int,
+             substitutions: int) -> DataFrame:
+    """The alignments that hold, at least once each, from the texts' ``places``."""
     # what is broadcast has a fixed size per seed, and each item's words once
-    seeds = seeds.select("seed", F.col("at").alias("item_at"), "item")
+    seeds = _item_seeds(items, by_length, window).select("seed", F.col("at").alias("item_at"), "item")
     whole = items.select("item", "item_id", F.col("words").alias("item_words"), F.col("n").alias("size"))
     hits = places.join(F.broadcast(seeds), "seed").join(F.broadcast(whole), "item")
+    # of hits that follow each other on one alignment the first is checked
+    own = F.least("size", F.lit(window))
+    follows = [(own == n) & _hit_before(m) for n, masks in by_length.items() for m in masks]
+    hits = hits.filter(~F.coalesce(reduce(Column.__or__, follows), F.lit(False)))
     # the part of the item that lies inside the text on this alignment
     skip = F.greatest(F.col("item_at") - F.col("at"), F.lit(0))
     start = F.greatest(F.col("at") - F.col("item_at"), F.lit(0))
@@ -165,7 +179,6 @@ def _aligned(places: DataFrame, items: DataFrame, seeds: DataFrame, window: int,
     same = F.zip_with(F.slice("words", start + 1, room), F.slice("item_words", skip + 1, room),
                       lambda x, y: (x == y).cast("int"))
     # running count of differences d; the latest `own` words hold d[i] - d[i - own]
-    own = F.least("size", F.lit(window))
     allowed = F.floor(own * substitutions / window).cast("int")
     zero = F.struct(F.lit(0).alias("n_equal"), F.lit(window + 1).alias("least"),
                     F.array().cast("array<int>").alias("last"))
